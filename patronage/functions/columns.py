@@ -12,7 +12,8 @@ def visitor_bytes(key: Column) -> Column:
 
 def visitor_hex(idvisitor: Column) -> Column:
     """Visitor bytes as an unsigned number in lower-case hex, no leading zeros."""
-    return F.regexp_replace(F.lower(F.hex(idvisitor)), "^0+(?=.)", "")
+    digits = F.ltrim(F.lower(F.hex(idvisitor)), F.lit("0"))
+    return F.when(digits == "", F.lit("0")).otherwise(digits)
 
 
 def epoch_millis(ts: Column) -> Column:

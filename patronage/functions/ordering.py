@@ -20,6 +20,18 @@ from .columns import spread
 MAX_SEGMENT = 100_000
 
 
+def _slotted(df: DataFrame, keys: Sequence[str], slot: Column) -> DataFrame:
+    """Rows with their slot; rows without a key or a slot have no place and are left out.
+
+    The filter is what the join below would infer for one of its sides. With it
+    on both, the two readers of these rows plan the same exchange and share it.
+    """
+    rows = df.withColumn("_slot", slot)
+    for name in [*keys, "_slot"]:
+        rows = rows.where(F.col(name).isNotNull())
+    return rows
+
+
 def positions(
     df: DataFrame,
     keys: Sequence[str],
@@ -28,21 +40,20 @@ def positions(
     name: str = "pos",
 ) -> DataFrame:
     """Add the zero-based position of each row inside its key."""
-    slotted = df.withColumn("_slot", slot)
     inside = Window.partitionBy(*keys, "_slot").orderBy(*order)
     before = (
         Window.partitionBy(*keys)
         .orderBy("_slot")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
+    ranked = _slotted(df, keys, slot).withColumn("_rank", F.row_number().over(inside))
     offsets = (
-        slotted.groupBy(*keys, "_slot")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        ranked.groupBy(*keys, "_slot")
+        .agg(F.max("_rank").cast("bigint").alias("_n"))
         .select(*keys, "_slot", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     )
     return (
-        slotted.withColumn("_rank", F.row_number().over(inside))
-        .join(offsets, [*keys, "_slot"])
+        ranked.join(offsets, [*keys, "_slot"])
         .withColumn(name, F.col("_before") + F.col("_rank") - 1)
         .drop("_slot", "_rank", "_before")
     )
@@ -60,26 +71,25 @@ def previous(
     ``values`` maps the new column name to the source column. ``order`` must
     identify a row inside its key.
     """
-    slotted = df.withColumn("_slot", slot)
     inside = Window.partitionBy(*keys, "_slot").orderBy(*order)
-    carried = F.struct(*[F.col(src).alias(dst) for dst, src in values.items()])
-    last = slotted.groupBy(*keys, "_slot").agg(
-        F.max_by(carried, F.struct(*order)).alias("_last")
+    ranked = _slotted(df, keys, slot).withColumn("_rank", F.row_number().over(inside))
+    last = ranked.groupBy(*keys, "_slot").agg(
+        *[F.max_by(src, "_rank").alias(f"_last_{dst}") for dst, src in values.items()]
     )
+    across = Window.partitionBy(*keys).orderBy("_slot")
     edges = last.select(
-        *keys,
-        "_slot",
-        F.lag("_last").over(Window.partitionBy(*keys).orderBy("_slot")).alias("_edge"),
+        *keys, "_slot", *[F.lag(f"_last_{dst}").over(across).alias(f"_edge_{dst}") for dst in values]
     )
-    near = F.lag(carried).over(inside)
-    ranked = slotted.withColumn("_near", near).withColumn("_rank", F.row_number().over(inside))
-    chosen = F.when(F.col("_rank") == 1, F.col("_edge")).otherwise(F.col("_near"))
-    return (
-        ranked.join(edges, [*keys, "_slot"])
-        .withColumn("_prev", chosen)
-        .select(*df.columns, *[F.col(f"_prev.{dst}").alias(dst) for dst in values])
+    near = ranked.select(
+        "*", *[F.lag(src).over(inside).alias(f"_near_{dst}") for dst, src in values.items()]
     )
 
+    def chosen(dst: str) -> Column:
+        pick = F.when(F.col("_rank") == 1, F.col(f"_edge_{dst}")).otherwise(F.col(f"_near_{dst}"))
+        return pick.alias(dst)
+
+    return near.join(edges, [*keys, "_slot"]).select(*df.columns, *[chosen(dst) for dst in values])
+
 
 def segments(
     df: DataFrame,
@@ -96,8 +106,9 @@ def segments(
     A key with at most ``max_len`` rows gives one row with ``segment`` 0; longer
     keys give several, in order, so that no row outgrows a task.
     """
-    placed = positions(df.withColumn("_value", value), keys, order, slot, "_pos")
+    placed = positions(df, keys, order, slot, "_pos").withColumn("_value", value)
     pieces = placed.withColumn("segment", F.floor(F.col("_pos") / F.lit(max_len)).cast("int"))
+    pieces = pieces.where(F.col("segment").isNotNull())  # always so; stated for exchange reuse
     listed = F.array_sort(F.collect_list(F.struct("_pos", "_value")))
     return pieces.groupBy(*keys, "segment").agg(
         *extra, F.transform(listed, lambda e: e["_value"]).alias(name)

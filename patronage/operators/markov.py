@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.ordering import MAX_SEGMENT, previous, segments
+from ..session import durable
 from .transactions import DAY, slot_of
 
 KEYS = ["idsite", "user"]
@@ -66,20 +67,37 @@ def state_sequences(states: DataFrame, max_states: int = MAX_SEGMENT) -> DataFra
     )
 
 
+def _steps(states: DataFrame) -> DataFrame:
+    """States with the state before them (null for a customer's first)."""
+    return previous(states, KEYS, ORDER, {"from_state": "state"}, slot_of("timestamp"))
+
+
 def transition_counts(states: DataFrame) -> DataFrame:
     """How often each customer went from one state to the next."""
-    pairs = previous(
-        states.select(*KEYS, *ORDER, "state"),
-        KEYS,
-        ORDER,
-        {"from_state": "state"},
-        slot_of("timestamp"),
-    ).where(F.col("from_state").isNotNull())
+    pairs = _steps(states.select(*KEYS, *ORDER, "state")).where(F.col("from_state").isNotNull())
     return pairs.groupBy(
         *KEYS, F.col("from_state").alias("state"), F.col("state").alias("next")
     ).agg(F.count(F.lit(1)).alias("n"))
 
 
+def rhythm(states: DataFrame) -> DataFrame:
+    """All that predictions need, in one pass: a row per customer and state pair.
+
+    At most 90 rows per customer, however long the history. The copy is durable,
+    as every later step reads it.
+    """
+    steps = _steps(states.select(*KEYS, *ORDER, "state", "gap", "ratio"))
+    return durable(
+        steps.groupBy(*KEYS, F.col("from_state").alias("state"), F.col("state").alias("next")).agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum("gap").alias("gaps"),
+            F.sum("ratio").alias("ratios"),
+            F.count("ratio").alias("rated"),
+            F.max(F.struct(*ORDER)).alias("last"),
+        )
+    )
+
+
 def transition_probs(counts: DataFrame, scale: float = 1.0) -> DataFrame:
     """Counts as shares of all steps out of the same state, times ``scale``."""
     totals = counts.groupBy(*KEYS, "state").agg(F.sum("n").alias("total"))
@@ -102,68 +120,67 @@ def _best(counts: DataFrame, keys: list[str], label: str) -> DataFrame:
     )
 
 
-def next_state(transactions: DataFrame, states: DataFrame) -> DataFrame:
-    """The most probable next state of every customer.
-
-    ``basis`` tells where the probability comes from: the customer's own steps
-    out of the current state, the steps of the whole site out of it, or, for a
-    customer without any state, how common each state is on the site.
-    """
-    counts = transition_counts(states)
+def _next(customers: DataFrame, known: DataFrame) -> DataFrame:
+    counts = known.where(F.col("state").isNotNull())
     own = _best(counts, [*KEYS, "state"], "own")
     by_site = counts.groupBy("idsite", "state", "next").agg(F.sum("n").alias("n"))
     site = _best(by_site, ["idsite", "state"], "site")
     common = _best(
-        states.groupBy("idsite", F.col("state").alias("next")).agg(F.count(F.lit(1)).alias("n")),
-        ["idsite"],
-        "start",
+        known.groupBy("idsite", "next").agg(F.sum("n").alias("n")), ["idsite"], "start"
     )
-    last = states.groupBy(*KEYS).agg(F.max_by("state", F.struct(*ORDER)).alias("state"))
+    last = known.groupBy(*KEYS).agg(F.max_by("next", "last").alias("state"))
+    fresh = F.col("state").isNull()
     return (
-        transactions.select(*KEYS)
-        .distinct()
-        .join(last, KEYS, "left")
+        customers.join(last, KEYS, "left")
         .join(own, [*KEYS, "state"], "left")
         .join(site, ["idsite", "state"], "left")
         .join(common, ["idsite"], "left")
-        .withColumn("_new", F.col("state").isNull())
-        .select(
-            *KEYS,
-            "state",
-            F.coalesce(
-                "own_next", "site_next", F.when(F.col("_new"), F.col("start_next"))
-            ).alias("next"),
-            F.coalesce(
-                "own_prob", "site_prob", F.when(F.col("_new"), F.col("start_prob"))
-            ).alias("prob"),
+        .withColumn("next", F.coalesce("own_next", "site_next", F.when(fresh, F.col("start_next"))))
+        .withColumn("prob", F.coalesce("own_prob", "site_prob", F.when(fresh, F.col("start_prob"))))
+        .withColumn(
+            "basis",
             F.when(F.col("own_next").isNotNull(), "own")
             .when(F.col("site_next").isNotNull(), "site")
-            .when(F.col("_new"), "start")
-            .alias("basis"),
+            .when(fresh, "start"),
         )
+        .drop("own_next", "own_prob", "site_next", "site_prob", "start_next", "start_prob")
     )
 
 
-def _means(states: DataFrame, keys: list[str], label: str) -> DataFrame:
-    """Mean gap per time letter and mean revenue ratio per amount letter, as maps' rows."""
-    symbols = F.explode(
+def next_state(transactions: DataFrame, states: DataFrame) -> DataFrame:
+    """The most probable next state of every customer.
+
+    ``basis`` tells where the probability comes from: the customer's own steps
+    out of the current state, the steps of the whole site out of it, or, for a
+    customer without any state, how common each state is on the site.
+    """
+    customers = transactions.select(*KEYS).distinct()
+    return _next(customers, rhythm(states)).select(*KEYS, "state", "next", "prob", "basis")
+
+
+def _means(known: DataFrame, keys: list[str], label: str) -> DataFrame:
+    """Mean gap per time letter and mean revenue ratio per amount letter."""
+    parts = F.explode(
         F.array(
             F.struct(
                 F.lit("time").alias("kind"),
-                F.substring("state", 1, 1).alias("letter"),
-                F.col("gap").cast("double").alias("x"),
+                F.substring("next", 1, 1).alias("letter"),
+                F.col("gaps").cast("double").alias("x"),
+                F.col("n").alias("n"),
             ),
             F.struct(
                 F.lit("amount").alias("kind"),
-                F.substring("state", 2, 1).alias("letter"),
-                F.col("ratio").alias("x"),
+                F.substring("next", 2, 1).alias("letter"),
+                F.col("ratios").alias("x"),
+                F.col("rated").alias("n"),
             ),
         )
     )
+    mean = F.when(F.sum("p.n") > 0, F.sum("p.x") / F.sum("p.n"))
     return (
-        states.select(*keys, symbols.alias("s"))
-        .groupBy(*keys, F.col("s.kind").alias("kind"), F.col("s.letter").alias("letter"))
-        .agg(F.avg("s.x").alias(label))
+        known.select(*keys, parts.alias("p"))
+        .groupBy(*keys, F.col("p.kind").alias("kind"), F.col("p.letter").alias("letter"))
+        .agg(mean.alias(label))
     )
 
 
@@ -175,11 +192,11 @@ def purchase_horizon(transactions: DataFrame, states: DataFrame) -> DataFrame:
     the customer's own where there are any, else the site's. Customers with a
     single transaction get nulls.
     """
-    ahead = next_state(transactions, states)
+    known = rhythm(states)
     last = transactions.groupBy(*KEYS).agg(
         F.max_by(F.struct("timestamp", "revenue_subtotal"), F.struct(*ORDER)).alias("l")
     )
-    rhythm = ahead.where(F.col("state").isNotNull() & F.col("next").isNotNull())
+    ahead = durable(_next(last, known))
     wanted = F.explode(
         F.array(
             F.struct(F.lit("time").alias("kind"), F.substring("next", 1, 1).alias("letter")),
@@ -187,23 +204,20 @@ def purchase_horizon(transactions: DataFrame, states: DataFrame) -> DataFrame:
         )
     )
     factors = (
-        rhythm.select(*KEYS, wanted.alias("w"))
+        ahead.where(F.col("state").isNotNull() & F.col("next").isNotNull())
+        .select(*KEYS, wanted.alias("w"))
         .select(*KEYS, "w.*")
-        .join(_means(states, KEYS, "own"), [*KEYS, "kind", "letter"], "left")
-        .join(_means(states, ["idsite"], "site"), ["idsite", "kind", "letter"], "left")
+        .join(_means(known, KEYS, "own"), [*KEYS, "kind", "letter"], "left")
+        .join(_means(known, ["idsite"], "site"), ["idsite", "kind", "letter"], "left")
         .groupBy(*KEYS)
         .agg(
             F.max(F.when(F.col("kind") == "time", F.coalesce("own", "site"))).alias("gap"),
             F.max(F.when(F.col("kind") == "amount", F.coalesce("own", "site"))).alias("ratio"),
         )
     )
-    return (
-        last.join(ahead, KEYS)
-        .join(factors, KEYS, "left")
-        .select(
-            *KEYS,
-            F.when(F.col("state").isNotNull(), F.col("next")).alias("next"),
-            (F.col("l.timestamp") + F.floor(F.col("gap") + F.lit(0.5))).alias("next_timestamp"),
-            (F.col("l.revenue_subtotal") * F.col("ratio")).alias("next_amount"),
-        )
+    return ahead.join(factors, KEYS, "left").select(
+        *KEYS,
+        F.when(F.col("state").isNotNull(), F.col("next")).alias("next"),
+        (F.col("l.timestamp") + F.floor(F.col("gap") + F.lit(0.5))).alias("next_timestamp"),
+        (F.col("l.revenue_subtotal") * F.col("ratio")).alias("next_amount"),
     )

@@ -5,14 +5,14 @@ Input throughout: basket lines, one row per (idsite, user, idorder, item).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.columns import customer_key, half_up
 from ..functions.ordering import dense_ids
 
 
 def _lines(lines: DataFrame) -> DataFrame:
-    return lines.select(
+    return lines.where(F.col("item").isNotNull()).select(
         customer_key(F.col("idsite"), F.col("user")).alias("cid"), "idorder", "item"
     )
 
@@ -34,11 +34,21 @@ def user_item_support(lines: DataFrame) -> DataFrame:
 
 
 def user_item_pref(lines: DataFrame) -> DataFrame:
-    """ln(1 + share of the customer's orders that contain the item)."""
+    """ln(1 + share of the customer's orders that contain the item).
+
+    Totals and supports come out of one pass: every order also counts as an item
+    of its own (null), whose support is the customer's total. The window over a
+    customer sees one row per item ever bought, not the order lines.
+    """
+    marked = _lines(lines).select(
+        "cid", "idorder", F.explode(F.array(F.col("item"), F.lit(None))).alias("item")
+    )
+    counted = marked.distinct().groupBy("cid", "item").agg(F.count(F.lit(1)).alias("supp"))
+    total = F.max(F.when(F.col("item").isNull(), F.col("supp"))).over(Window.partitionBy("cid"))
     share = F.col("supp") / F.col("total")
     return (
-        user_item_support(lines)
-        .join(user_totals(lines), "cid")
+        counted.withColumn("total", total)
+        .where(F.col("item").isNotNull())
         .select("cid", "item", F.log(F.lit(1.0) + share).alias("pref"))
     )
 

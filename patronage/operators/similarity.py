@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.columns import customer_key
 from ..functions.ordering import positions
+from ..session import durable
 from .transactions import slot_of
 
 KEYS = ["idsite", "user"]
@@ -96,12 +97,13 @@ def customer_similarity(sequences: DataFrame, min_similarity: float = 0.5) -> Da
     t = float(min_similarity)
     if not 0 < t <= 1:
         raise ValueError("min_similarity must be above 0 and at most 1")
+    sequences = durable(sequences)
     heads = (
         sequence_groups(sequences)
         .where(F.col("cid") == F.col("head"))
         .select("cid")
     )
-    rows = _profile(sequences).join(heads, "cid", "left_semi")
+    rows = durable(_profile(sequences).join(heads, "cid", "left_semi"))
     spread = rows.groupBy("pos", "item").agg(F.count(F.lit(1)).alias("f"))
     rarest = Window.partitionBy("cid", "pos").orderBy("f", "item")
     ranked = rows.join(spread, ["pos", "item"]).withColumn("r", F.row_number().over(rarest))
@@ -151,7 +153,7 @@ def top_k_similar(sequences: DataFrame, selected: DataFrame, k: int = 10) -> Dat
     Only the selected customers' rows meet the others, so the work grows with the
     table and not with its square.
     """
-    rows = _profile(sequences)
+    rows = durable(_profile(sequences))
     mine = _side(rows.join(selected.select("cid").distinct(), "cid", "left_semi"), "a")
     pairs = mine.join(_side(rows, "b"), ["pos", "item"]).where(F.col("a") != F.col("b"))
     best = Window.partitionBy("a").orderBy(F.desc("similarity"), "b")

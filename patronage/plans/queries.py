@@ -18,7 +18,7 @@ from ..operators import (
     similarity,
     transactions as tx,
 )
-from ..session import prepare, scratch
+from ..session import durable, prepare, scratch
 from ..sources import mapping, piped, scans
 from ..schemas import CLUSTER_LINE
 from ..streaming import counts, feed
@@ -329,7 +329,7 @@ def bounded_users(spark, sf_dir):
 
 @query
 def dictionary(spark, sf_dir):
-    kept = _bounded(spark, sf_dir)
+    kept = durable(_bounded(spark, sf_dir))
     return (
         preferences.dictionary(kept, "user")
         .withColumn("kind", F.lit("user"))
@@ -339,7 +339,7 @@ def dictionary(spark, sf_dir):
 
 @query
 def rating_matrix(spark, sf_dir):
-    kept = _bounded(spark, sf_dir)
+    kept = durable(_bounded(spark, sf_dir))
     return preferences.rating_matrix(
         kept, preferences.dictionary(kept, "user"), preferences.dictionary(kept, "product")
     )
@@ -363,7 +363,7 @@ def _fixed_factors(terms: DataFrame, name: str, salt: int) -> DataFrame:
 
 
 def _factors(spark, sf_dir):
-    scores = preferences.preference_scores(_lines(spark, sf_dir, "brand"))
+    scores = durable(preferences.preference_scores(_lines(spark, sf_dir, "brand")))
     users = preferences.dictionary(scores, "user")
     products = preferences.dictionary(scores, "product")
     return (

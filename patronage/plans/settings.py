@@ -15,8 +15,8 @@ VISIT_END = "2024-01-25"
 CENTERS = [(lat, lon) for lat in (-45.0, 45.0) for lon in (-144.0, -72.0, 0.0, 72.0, 144.0)]
 WIDTH, HEIGHT = 72, 36
 
-ITEMSET_SUPPORT = 0.003
-RULE_CONFIDENCE = 0.15
+ITEMSET_SUPPORT = 0.001
+RULE_CONFIDENCE = 0.12
 CATEGORY_SUPPORT = 0.1
 CATEGORY_CONFIDENCE = 0.8
 PAGE_SUPPORT = 0.001
