@@ -20,13 +20,16 @@ from .columns import spread
 MAX_SEGMENT = 100_000
 
 
-def _slotted(df: DataFrame, keys: Sequence[str], slot: Column) -> DataFrame:
+def _slotted(df: DataFrame, keys: Sequence[str], slot: Column | str) -> DataFrame:
     """Rows with their slot; rows without a key or a slot have no place and are left out.
 
+    A slot given by name is a column an earlier step kept: its rows are already
+    placed by key and slot, and Spark does not shuffle them again.
+
     The filter is what the join below would infer for one of its sides. With it
     on both, the two readers of these rows plan the same exchange and share it.
     """
-    rows = df.withColumn("_slot", slot)
+    rows = df.withColumn("_slot", F.col(slot) if isinstance(slot, str) else slot)
     for name in [*keys, "_slot"]:
         rows = rows.where(F.col(name).isNotNull())
     return rows
@@ -64,21 +67,29 @@ def previous(
     keys: Sequence[str],
     order: Sequence[str],
     values: dict[str, str],
-    slot: Column,
+    slot: Column | str,
+    position: str | None = None,
+    keep_slot: str | None = None,
 ) -> DataFrame:
     """Add columns of the preceding row of the same key; null on the first row.
 
     ``values`` maps the new column name to the source column. ``order`` must
-    identify a row inside its key.
+    identify a row inside its key. ``position`` also adds the zero-based position,
+    which comes out of the same steps; ``keep_slot`` keeps the slot for later use.
     """
     inside = Window.partitionBy(*keys, "_slot").orderBy(*order)
+    across = Window.partitionBy(*keys).orderBy("_slot")
     ranked = _slotted(df, keys, slot).withColumn("_rank", F.row_number().over(inside))
     last = ranked.groupBy(*keys, "_slot").agg(
-        *[F.max_by(src, "_rank").alias(f"_last_{dst}") for dst, src in values.items()]
+        F.max("_rank").cast("bigint").alias("_n"),
+        *[F.max_by(src, "_rank").alias(f"_last_{dst}") for dst, src in values.items()],
     )
-    across = Window.partitionBy(*keys).orderBy("_slot")
+    total = F.sum("_n").over(across.rowsBetween(Window.unboundedPreceding, -1))
     edges = last.select(
-        *keys, "_slot", *[F.lag(f"_last_{dst}").over(across).alias(f"_edge_{dst}") for dst in values]
+        *keys,
+        "_slot",
+        F.coalesce(total, F.lit(0)).alias("_before"),
+        *[F.lag(f"_last_{dst}").over(across).alias(f"_edge_{dst}") for dst in values],
     )
     near = ranked.select(
         "*", *[F.lag(src).over(inside).alias(f"_near_{dst}") for dst, src in values.items()]
@@ -88,7 +99,13 @@ def previous(
         pick = F.when(F.col("_rank") == 1, F.col(f"_edge_{dst}")).otherwise(F.col(f"_near_{dst}"))
         return pick.alias(dst)
 
-    return near.join(edges, [*keys, "_slot"]).select(*df.columns, *[chosen(dst) for dst in values])
+    extra = []
+    if position is not None:
+        extra.append((F.col("_before") + F.col("_rank") - 1).alias(position))
+    if keep_slot is not None and keep_slot not in df.columns:
+        extra.append(F.col("_slot").alias(keep_slot))
+    joined = near.join(edges, [*keys, "_slot"])
+    return joined.select(*df.columns, *[chosen(dst) for dst in values], *extra)
 
 
 def segments(
@@ -96,17 +113,23 @@ def segments(
     keys: Sequence[str],
     order: Sequence[str],
     value: Column,
-    slot: Column,
+    slot: Column | None,
     name: str,
     extra: Sequence[Column] = (),
     max_len: int = MAX_SEGMENT,
+    position: Column | None = None,
 ) -> DataFrame:
     """Ordered arrays per key, cut into consecutive pieces of ``max_len`` entries.
 
     A key with at most ``max_len`` rows gives one row with ``segment`` 0; longer
-    keys give several, in order, so that no row outgrows a task.
+    keys give several, in order, so that no row outgrows a task. Where the rows
+    already know their ``position`` it is taken from there.
     """
-    placed = positions(df, keys, order, slot, "_pos").withColumn("_value", value)
+    if position is None:
+        placed = positions(df, keys, order, slot, "_pos")
+    else:
+        placed = df.withColumn("_pos", position)
+    placed = placed.withColumn("_value", value)
     pieces = placed.withColumn("segment", F.floor(F.col("_pos") / F.lit(max_len)).cast("int"))
     pieces = pieces.where(F.col("segment").isNotNull())  # always so; stated for exchange reuse
     listed = F.array_sort(F.collect_list(F.struct("_pos", "_value")))

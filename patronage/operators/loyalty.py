@@ -19,7 +19,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.ordering import segments
 from ..session import durable
 from .markov import KEYS, ORDER, transaction_states
-from .transactions import slot_of
 
 HIDDEN = ("L", "N", "H")
 # time since the last purchase (small, medium, large) x amount (less, same, more)
@@ -47,7 +46,14 @@ def _codes(state: Column) -> Column:
 def observation_pieces(observations: DataFrame, piece: int = PIECE) -> DataFrame:
     """Observation numbers per customer in time order, in pieces."""
     return segments(
-        observations, KEYS, ORDER, _codes(F.col("state")), slot_of("timestamp"), "obs", max_len=piece
+        observations,
+        KEYS,
+        ORDER,
+        _codes(F.col("state")),
+        None,
+        "obs",
+        max_len=piece,
+        position=F.col("step"),
     )
 
 

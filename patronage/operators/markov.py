@@ -35,7 +35,9 @@ def transaction_states(
     """A state for every transaction but a customer's first.
 
     After a transaction without revenue any revenue counts as greater, and none
-    as equal; the ratio itself stays null.
+    as equal; the ratio itself stays null. ``step`` counts a customer's states from
+    0; ``slot`` is the time slot by which the rows are placed, and lets later steps
+    along the history do without another shuffle.
     """
     seen = previous(
         transactions.select(*KEYS, *ORDER, "revenue_subtotal"),
@@ -43,6 +45,8 @@ def transaction_states(
         ORDER,
         {"prev_timestamp": "timestamp", "prev_revenue": "revenue_subtotal"},
         slot_of("timestamp"),
+        position="_pos",
+        keep_slot="slot",
     ).where(F.col("prev_timestamp").isNotNull())
     gap = F.col("timestamp") - F.col("prev_timestamp")
     ratio = F.when(
@@ -56,25 +60,41 @@ def transaction_states(
     return (
         seen.withColumn("gap", gap)
         .withColumn("ratio", ratio)
-        .select(*KEYS, *ORDER, "revenue_subtotal", "gap", "ratio", F.concat(time, amount).alias("state"))
+        .select(
+            *KEYS,
+            *ORDER,
+            "revenue_subtotal",
+            "gap",
+            "ratio",
+            F.concat(time, amount).alias("state"),
+            (F.col("_pos") - 1).alias("step"),
+            "slot",
+        )
     )
 
 
 def state_sequences(states: DataFrame, max_states: int = MAX_SEGMENT) -> DataFrame:
     """States per customer in time order."""
     return segments(
-        states, KEYS, ORDER, F.col("state"), slot_of("timestamp"), "states", max_len=max_states
+        states,
+        KEYS,
+        ORDER,
+        F.col("state"),
+        None,
+        "states",
+        max_len=max_states,
+        position=F.col("step"),
     )
 
 
 def _steps(states: DataFrame) -> DataFrame:
     """States with the state before them (null for a customer's first)."""
-    return previous(states, KEYS, ORDER, {"from_state": "state"}, slot_of("timestamp"))
+    return previous(states, KEYS, ORDER, {"from_state": "state"}, "slot")
 
 
 def transition_counts(states: DataFrame) -> DataFrame:
     """How often each customer went from one state to the next."""
-    pairs = _steps(states.select(*KEYS, *ORDER, "state")).where(F.col("from_state").isNotNull())
+    pairs = _steps(states.select(*KEYS, *ORDER, "state", "slot")).where(F.col("from_state").isNotNull())
     return pairs.groupBy(
         *KEYS, F.col("from_state").alias("state"), F.col("state").alias("next")
     ).agg(F.count(F.lit(1)).alias("n"))
@@ -86,7 +106,7 @@ def rhythm(states: DataFrame) -> DataFrame:
     At most 90 rows per customer, however long the history. The copy is durable,
     as every later step reads it.
     """
-    steps = _steps(states.select(*KEYS, *ORDER, "state", "gap", "ratio"))
+    steps = _steps(states.select(*KEYS, *ORDER, "state", "gap", "ratio", "slot"))
     return durable(
         steps.groupBy(*KEYS, F.col("from_state").alias("state"), F.col("state").alias("next")).agg(
             F.count(F.lit(1)).alias("n"),
