@@ -20,19 +20,32 @@ from .columns import spread
 MAX_SEGMENT = 100_000
 
 
+def known(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows that have all the given columns.
+
+    This is the filter a join infers for one of its sides. Stated up front it is
+    part of every reader's plan, so readers of the same rows plan the same exchange
+    and Spark runs it once.
+    """
+    for name in columns:
+        df = df.where(F.col(name).isNotNull())
+    return df
+
+
 def _slotted(df: DataFrame, keys: Sequence[str], slot: Column | str) -> DataFrame:
     """Rows with their slot; rows without a key or a slot have no place and are left out.
 
     A slot given by name is a column an earlier step kept: its rows are already
     placed by key and slot, and Spark does not shuffle them again.
 
+    A slot given by name is a column an earlier step kept: its rows are already
+    placed by key and slot, and Spark does not shuffle them again.
+
     The filter is what the join below would infer for one of its sides. With it
     on both, the two readers of these rows plan the same exchange and share it.
     """
     rows = df.withColumn("_slot", F.col(slot) if isinstance(slot, str) else slot)
-    for name in [*keys, "_slot"]:
-        rows = rows.where(F.col(name).isNotNull())
-    return rows
+    return known(rows, [*keys, "_slot"])
 
 
 def positions(

@@ -97,21 +97,31 @@ def also_bought(
     """For each basket, items it lacks that some rule's antecedent calls for.
 
     A rule applies when the basket holds its whole antecedent; an item keeps the
-    confidence of its best rule.
+    confidence of its best rule. A basket row carries only items that occur in some
+    rule, so its length is bounded by the rules, and it meets a rule once, through
+    the rule's first item.
     """
-    unique = lines.select(*keys, "item").distinct()
-    parts = rules.select(
-        "antecedent", "consequent", "confidence", F.explode("antecedent").alias("item")
+    rules = durable(rules.select("antecedent", "consequent", "confidence"))
+    words = rules.select(
+        F.explode(F.array_append("antecedent", F.col("consequent"))).alias("item")
+    ).distinct()
+    held = (
+        lines.select(*keys, "item")
+        .join(words, "item", "left_semi")
+        .groupBy(*keys)
+        .agg(F.collect_set("item").alias("held"))
+    )
+    starts = rules.withColumn("item", F.element_at("antecedent", 1))
+    applies = (F.size(F.array_except("antecedent", "held")) == 0) & ~F.array_contains(
+        "held", F.col("consequent")
     )
-    matched = (
-        unique.join(parts, "item")
-        .groupBy(*keys, "antecedent", "consequent", "confidence")
-        .agg(F.count(F.lit(1)).alias("_hits"))
-        .where(F.col("_hits") == F.size("antecedent"))
+    return (
+        held.withColumn("item", F.explode("held"))
+        .join(starts, "item")
+        .where(applies)
         .groupBy(*keys, F.col("consequent").alias("item"))
         .agg(F.max("confidence").alias("confidence"))
     )
-    return matched.join(unique, [*keys, "item"], "left_anti")
 
 
 def sequence_patterns(

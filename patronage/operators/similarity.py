@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.columns import customer_key
-from ..functions.ordering import positions
+from ..functions.ordering import known, positions
 from ..session import durable
 from .transactions import slot_of
 
@@ -18,46 +18,52 @@ KEYS = ["idsite", "user"]
 
 def sequence_lines(lines: DataFrame) -> DataFrame:
     """Basket lines with the position of their order in the customer's history."""
-    orders = lines.groupBy(*KEYS, "idorder").agg(F.min("timestamp").alias("timestamp"))
+    order = [*KEYS, "idorder"]
+    bought = known(lines, [*order, "timestamp"]).groupBy(*order, "item").agg(F.min("timestamp").alias("timestamp"))
+    orders = bought.groupBy(*order).agg(F.min("timestamp").alias("timestamp"))
     placed = positions(orders, KEYS, ["timestamp", "idorder"], slot_of("timestamp"))
-    return (
-        lines.select(*KEYS, "idorder", "item")
-        .distinct()
-        .join(placed.select(*KEYS, "idorder", "pos"), [*KEYS, "idorder"])
-        .select(*KEYS, "pos", "item")
-    )
+    # the time stays in, so that both readers of ``bought`` want the same columns
+    return bought.join(placed.select(*order, "pos"), order).select(*KEYS, "pos", "item", "timestamp")
 
 
-def _profile(sequences: DataFrame) -> DataFrame:
-    """(cid, pos, item) with basket size ``n`` and history length ``len``."""
-    rows = sequences.select(
+def _rows(sequences: DataFrame) -> DataFrame:
+    return sequences.select(
         customer_key(F.col("idsite"), F.col("user")).alias("cid"), "pos", "item"
     ).distinct()
+
+
+def _profile(rows: DataFrame) -> DataFrame:
+    """(cid, pos, item) with basket size ``n`` and history length ``len``."""
     sizes = rows.groupBy("cid", "pos").agg(F.count(F.lit(1)).alias("n"))
     lengths = rows.groupBy("cid").agg((F.max("pos") + 1).alias("len"))
     return rows.join(sizes, ["cid", "pos"]).join(lengths, "cid")
 
 
-def sequence_groups(sequences: DataFrame) -> DataFrame:
-    """Customers with exactly the same history, each with one representative.
+_MARKS = ["f1", "f2", "f3", "f4"]
 
-    Histories are told apart by three independent 64-bit sums over their rows,
-    so no history is gathered in one place.
+
+def _prints(rows: DataFrame) -> DataFrame:
+    """Per customer, marks that tell histories apart, and the history's length.
+
+    The marks are three independent 64-bit sums over the rows and their number, so
+    no history is gathered in one place.
     """
-    rows = sequences.select(
-        customer_key(F.col("idsite"), F.col("user")).alias("cid"), "pos", "item"
-    ).distinct()
-    prints = rows.groupBy("cid").agg(
+    return rows.groupBy("cid").agg(
         F.bit_xor(F.xxhash64("pos", "item")).alias("f1"),
         F.bit_xor(F.xxhash64(F.lit(1), "pos", "item")).alias("f2"),
         F.bit_xor(F.xxhash64(F.lit(2), "item", "pos")).alias("f3"),
         F.count(F.lit(1)).alias("f4"),
+        (F.max("pos") + 1).alias("len"),
     )
-    marks = ["f1", "f2", "f3", "f4"]
-    heads = prints.groupBy(*marks).agg(
+
+
+def sequence_groups(sequences: DataFrame) -> DataFrame:
+    """Customers with exactly the same history, each with one representative."""
+    prints = _prints(_rows(sequences))
+    heads = prints.groupBy(*_MARKS).agg(
         F.min("cid").alias("head"), F.count(F.lit(1)).alias("copies")
     )
-    return prints.join(heads, marks).select("cid", "head", "copies")
+    return prints.join(heads, _MARKS).select("cid", "head", "copies")
 
 
 def _scored(pairs: DataFrame) -> DataFrame:
@@ -97,19 +103,25 @@ def customer_similarity(sequences: DataFrame, min_similarity: float = 0.5) -> Da
     t = float(min_similarity)
     if not 0 < t <= 1:
         raise ValueError("min_similarity must be above 0 and at most 1")
-    sequences = durable(sequences)
+    every = durable(_rows(sequences))
     heads = (
-        sequence_groups(sequences)
-        .where(F.col("cid") == F.col("head"))
-        .select("cid")
+        _prints(every)
+        .groupBy(*_MARKS)
+        .agg(F.min("cid").alias("cid"), F.first("len").alias("len"))
+        .select("cid", "len")
+    )
+    spread = every.groupBy("pos", "item").agg(F.count(F.lit(1)).alias("f"))
+    basket = Window.partitionBy("cid", "pos")
+    ranked = durable(
+        every.join(heads, "cid")
+        .join(spread, ["pos", "item"])
+        .withColumn("n", F.count(F.lit(1)).over(basket))
+        .withColumn("r", F.row_number().over(basket.orderBy("f", "item")))
+        .drop("f")
     )
-    rows = durable(_profile(sequences).join(heads, "cid", "left_semi"))
-    spread = rows.groupBy("pos", "item").agg(F.count(F.lit(1)).alias("f"))
-    rarest = Window.partitionBy("cid", "pos").orderBy("f", "item")
-    ranked = rows.join(spread, ["pos", "item"]).withColumn("r", F.row_number().over(rarest))
 
     # basket sizes that occur at all: a short list, one value per size
-    sizes = rows.select("n").distinct().agg(F.array_sort(F.collect_list("n")).alias("v"))
+    sizes = ranked.select("n").distinct().agg(F.array_sort(F.collect_list("n")).alias("v"))
     partner = F.explode(
         F.filter(
             F.col("_sizes"),
@@ -142,7 +154,7 @@ def customer_similarity(sequences: DataFrame, min_similarity: float = 0.5) -> Da
         .distinct()
     )
     found = _scored(
-        candidates.join(_side(rows, "a"), "a").join(_side(rows, "b"), ["b", "pos", "item"])
+        candidates.join(_side(ranked, "a"), "a").join(_side(ranked, "b"), ["b", "pos", "item"])
     )
     return found.where(F.col("similarity") >= t - 1e-9)
 
@@ -153,7 +165,7 @@ def top_k_similar(sequences: DataFrame, selected: DataFrame, k: int = 10) -> Dat
     Only the selected customers' rows meet the others, so the work grows with the
     table and not with its square.
     """
-    rows = durable(_profile(sequences))
+    rows = durable(_profile(durable(_rows(sequences))))
     mine = _side(rows.join(selected.select("cid").distinct(), "cid", "left_semi"), "a")
     pairs = mine.join(_side(rows, "b"), ["pos", "item"]).where(F.col("a") != F.col("b"))
     best = Window.partitionBy("a").orderBy(F.desc("similarity"), "b")

@@ -32,9 +32,11 @@ def shared_dir(spark: SparkSession) -> str:
     as in tests on one machine, a fresh temporary folder is used instead.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.sparkContext.getCheckpointDir()
     if named:
+        if current is None:
+            spark.sparkContext.setCheckpointDir(named)
         return named.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
     local = tempfile.mkdtemp(prefix="patronage-")
@@ -43,17 +45,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path for this application; everything it leaves is under one folder."""
+    app = spark.sparkContext.applicationId
+    return f"{shared_dir(spark)}/{app}/{label}-{uuid.uuid4().hex}"
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write a result that several later jobs read, and cut its lineage there.
+    """Write a result that several later steps read, and go on from the copy.
 
-    The copy lives in shared storage, so a lost executor costs a re-read and
-    never a re-run of what came before.
+    The copy is a Parquet table in shared storage: a lost executor costs a re-read
+    and never a re-run of what came before, readers fetch only their columns, and
+    the planner knows its true size.
     """
-    spark = df.sparkSession
-    base = shared_dir(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
-    return df.checkpoint()
+    path = scratch(df.sparkSession, "durable")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
