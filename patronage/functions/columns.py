@@ -73,7 +73,3 @@ def to_pixel(lat: Column, lon: Column, width: int, height: int) -> tuple[Column,
     y = (F.lit(float(height)) * (F.lit(0.5) - lat / F.lit(180.0))).cast("int")
     return x, y
 
-
-def time_slot(ts: Column, seconds: int) -> Column:
-    """Number of the time slot of the given width; rises with ``ts``."""
-    return F.floor(F.unix_seconds(ts.cast("timestamp")) / F.lit(seconds))

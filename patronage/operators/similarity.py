@@ -90,73 +90,115 @@ def _side(rows: DataFrame, tag: str, *names: str) -> DataFrame:
     )
 
 
-def customer_similarity(sequences: DataFrame, min_similarity: float = 0.5) -> DataFrame:
-    """All pairs of distinct histories with at least the given similarity.
+def _promising(sequences: DataFrame, chunk_rows: int) -> DataFrame:
+    """Rows of distinct histories, with what each history can still share from there on.
 
-    Customers with the same history are one row here (see ``sequence_groups`` for
-    who they are), so a crowd of copies costs no pairs. To reach similarity t two
-    histories must have baskets with Jaccard t at some position; baskets of sizes
-    n and s then share at least t/(1+t)*(n+s) items, so the rarest
-    n - that + 1 items of either must meet. Only those are joined, which keeps
-    very common items out of the join; every pair found is then scored in full.
+    Take two histories with similarity t and the rarest item they share. All they
+    share comes at or after it in the common order by rarity, so from there on each
+    must still be able to reach t times its length. With k items of the same basket
+    and k_q of basket q at or after it, and a partner basket of size s, at most
+
+        min(k, s) / (n + s - min(k, s)) + sum over other q of k_q / n_q
+
+    can be reached (``k`` and, for the sum, ``after``). Rows that fall short cannot be
+    that item; very common items of a history fall out first. A very long history is bounded in
+    chunks, where the other chunks count in full: it keeps more rows than needed,
+    never fewer.
     """
-    t = float(min_similarity)
-    if not 0 < t <= 1:
-        raise ValueError("min_similarity must be above 0 and at most 1")
     every = durable(_rows(sequences))
     heads = (
         _prints(every)
         .groupBy(*_MARKS)
         .agg(F.min("cid").alias("cid"), F.first("len").alias("len"))
-        .select("cid", "len")
+        .select("cid", "len", F.ceil(F.col("f4") / F.lit(chunk_rows)).alias("chunks"))
     )
+    sizes = every.groupBy("cid", "pos").agg(F.count(F.lit(1)).alias("n"))
     spread = every.groupBy("pos", "item").agg(F.count(F.lit(1)).alias("f"))
-    basket = Window.partitionBy("cid", "pos")
-    ranked = durable(
+    chunk = Window.partitionBy("cid", "_chunk")
+    basket = Window.partitionBy("cid", "_chunk", "pos")
+    rarity = [F.desc("f"), F.desc("pos"), F.desc("item")]  # from the end of the order back
+    here = F.sum(F.lit(1.0) / F.col("n"))
+    rows = (
         every.join(heads, "cid")
+        .join(sizes, ["cid", "pos"])
         .join(spread, ["pos", "item"])
-        .withColumn("n", F.count(F.lit(1)).over(basket))
-        .withColumn("r", F.row_number().over(basket.orderBy("f", "item")))
-        .drop("f")
+        .withColumn("_chunk", F.pmod(F.xxhash64("pos", "item"), F.col("chunks")))
+        .withColumn("_k", F.row_number().over(basket.orderBy(*rarity)))
+        .withColumn("_after", here.over(chunk.orderBy(*rarity)))
+        .withColumn("_outside", F.col("len") - here.over(chunk))
+        .withColumn("k", F.col("_k") + F.col("n") - F.count(F.lit(1)).over(basket))
+        .withColumn("after", F.col("_after") - F.col("_k") / F.col("n") + F.col("_outside"))
     )
+    return durable(rows.select("cid", "pos", "item", "n", "len", "k", "after"))
 
-    # basket sizes that occur at all: a short list, one value per size
-    sizes = ranked.select("n").distinct().agg(F.array_sort(F.collect_list("n")).alias("v"))
-    partner = F.explode(
-        F.filter(
-            F.col("_sizes"),
-            lambda s: (s >= F.col("n") * t - 1e-9) & (s * t <= F.col("n") + 1e-9),
-        )
-    )
-    shared = F.greatest(
-        F.ceil(F.lit(t / (1 + t)) * (F.col("n") + F.col("s")) - 1e-9), F.lit(1)
-    )
+
+def customer_similarity(
+    sequences: DataFrame, min_similarity: float = 0.5, chunk_rows: int = 100_000
+) -> DataFrame:
+    """All pairs of distinct histories with at least the given similarity.
+
+    Customers with the same history are one row here (see ``sequence_groups`` for
+    who they are), so a crowd of copies costs no pairs. Histories meet only on
+    items rare enough to matter (see ``_promising``) and in baskets of sizes that
+    fit; every pair found is then scored in full.
+    """
+    t = float(min_similarity)
+    if not 0 < t <= 1:
+        raise ValueError("min_similarity must be above 0 and at most 1")
+    rows = _promising(sequences, chunk_rows)
+    slack = 1e-9
+
+    # partner baskets by size class (1, 2, 3-4, 5-8, ...), of those that occur at all
+    size_class = F.ceil(F.log2(F.col("n").cast("double"))).cast("int")
+    rows = rows.withColumn("c", size_class)
+    classes = rows.select("c").distinct().agg(F.array_sort(F.collect_list("c")).alias("v"))
+    least = F.when(F.col("p") == 0, F.lit(1)).otherwise(F.pow(F.lit(2), F.col("p") - 1) + 1)
+    best = F.greatest(least, F.least("k", F.pow(F.lit(2), F.col("p"))))  # the fittest size
     tokens = (
-        ranked.withColumn("_sizes", sizes.scalar())
-        .select("cid", "pos", "item", "n", "len", "r", partner.alias("s"))
-        .where(F.col("r") <= F.col("n") - shared + 1)
-    )
-    left = tokens.select(
-        F.col("cid").alias("a"), "pos", "item", F.col("n").alias("n1"), F.col("s").alias("n2"),
-        F.col("len").alias("len_a"),
-    )
-    right = tokens.select(
-        F.col("cid").alias("b"), "pos", "item", F.col("s").alias("n1"), F.col("n").alias("n2"),
-        F.col("len").alias("len_b"),
-    )
-    close = (F.col("len_a") >= F.col("len_b") * t - 1e-9) & (
-        F.col("len_b") >= F.col("len_a") * t - 1e-9
+        rows.withColumn("_classes", classes.scalar())
+        .withColumn("p", F.explode("_classes"))
+        .withColumn("_best", best)
+        .where(
+            F.least(F.col("k"), F.col("_best")) / (F.col("n") + F.col("_best") - F.least("k", "_best"))
+            + F.col("after")
+            + slack
+            >= F.col("len") * t
+        )
     )
+
+    def side(tag: str, mine: str, other: str) -> DataFrame:
+        return tokens.select(
+            F.col("cid").alias(tag),
+            "pos",
+            "item",
+            F.col("c").alias(mine),
+            F.col("p").alias(other),
+            *[F.col(c).alias(f"{c}_{tag}") for c in ("n", "k", "len", "after")],
+        )
+
+    needed = F.greatest("len_a", "len_b") * t - slack
+    union = F.col("n_a") + F.col("n_b")
+
+    def reaches(tag: str, other: str):
+        shared = F.least(F.col(f"k_{tag}"), F.col(f"n_{other}"))
+        return shared / (union - shared) + F.col(f"after_{tag}") >= needed
+
     candidates = (
-        left.join(right, ["pos", "item", "n1", "n2"])
-        .where((F.col("a") < F.col("b")) & close)
+        side("a", "c1", "c2")
+        .join(side("b", "c2", "c1"), ["pos", "item", "c1", "c2"])
+        .where(
+            (F.col("a") < F.col("b"))
+            & (F.least("len_a", "len_b") >= needed)
+            & reaches("a", "b")
+            & reaches("b", "a")
+        )
         .select("a", "b")
         .distinct()
     )
     found = _scored(
-        candidates.join(_side(ranked, "a"), "a").join(_side(ranked, "b"), ["b", "pos", "item"])
+        candidates.join(_side(rows, "a"), "a").join(_side(rows, "b"), ["b", "pos", "item"])
     )
-    return found.where(F.col("similarity") >= t - 1e-9)
+    return found.where(F.col("similarity") >= t - slack)
 
 
 def top_k_similar(sequences: DataFrame, selected: DataFrame, k: int = 10) -> DataFrame:

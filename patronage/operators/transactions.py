@@ -14,12 +14,13 @@ from ..functions.columns import (
 from ..functions.ordering import MAX_SEGMENT, dense_ids, segments
 from ..sources.scans import filter_not_deleted, filter_orders, scan_conversion_item
 
-# Slot widths in milliseconds for ordering inside a key.
-HOUR = 3_600_000
-DAY = 24 * HOUR
+DAY = 86_400_000  # milliseconds
+# Slot width for ordering inside a key. A minute spreads even one customer's busy
+# day over many tasks, and years of minutes are still few rows to add up per key.
+SLOT = 60_000
 
 
-def slot_of(ts: str, width: int = DAY):
+def slot_of(ts: str, width: int = SLOT):
     return F.floor(F.col(ts) / F.lit(width))
 
 
@@ -72,7 +73,7 @@ def order_baskets(items: DataFrame, max_items: int = MAX_SEGMENT) -> DataFrame:
         ["idsite", "user", "idorder"],
         ["timestamp", "item"],
         F.col("item"),
-        slot_of("timestamp", HOUR),
+        slot_of("timestamp"),
         "items",
         extra=[F.min("timestamp").alias("timestamp")],
         max_len=max_items,
@@ -100,7 +101,7 @@ def visit_paths(actions: DataFrame, max_pages: int = MAX_SEGMENT) -> DataFrame:
         ["idsite", "user", "idvisit"],
         ["timestamp", "page"],
         F.col("page"),
-        slot_of("timestamp", HOUR),
+        slot_of("timestamp"),
         "pages",
         extra=[F.min("timestamp").alias("timestamp")],
         max_len=max_pages,

@@ -138,8 +138,9 @@ def as_sequences(spark, hist):
     )
 
 
+@pytest.mark.parametrize("chunk_rows", [3, 100_000])
 @pytest.mark.parametrize("threshold", [0.1, 0.34, 0.5, 0.8, 1.0])
-def test_similarity_equals_brute_force(spark, threshold):
+def test_similarity_equals_brute_force(spark, threshold, chunk_rows):
     hist = crowd()
     seqs = as_sequences(spark, hist)
     heads = {r.cid[2:]: r.head[2:] for r in similarity.sequence_groups(seqs).collect()}
@@ -152,10 +153,20 @@ def test_similarity_equals_brute_force(spark, threshold):
         for (a, b), s in brute_similarity(hist).items()
         if a < b and s >= threshold - 1e-9 and heads[a] == a and heads[b] == b
     }
-    got = similarity.customer_similarity(seqs, threshold).collect()
+    got = similarity.customer_similarity(seqs, threshold, chunk_rows).collect()
     assert {(r.a[2:], r.b[2:]): round(r.similarity, 9) for r in got} == want
 
 
+def test_common_items_do_not_bring_histories_together(spark):
+    """A hundred histories open alike and share nothing else: no pair is even looked at."""
+    hist = {f"c{i}": [{1}, {1000 + i}] for i in range(100)}
+    seqs = as_sequences(spark, hist)
+    assert similarity.customer_similarity(seqs, 0.8).isEmpty()
+    rows = similarity._promising(seqs, 100_000).collect()
+    common = [r for r in rows if r["item"] == 1]
+    assert len(common) == 100 and all(1 / r.n + r.after < 0.8 * r.len for r in common)
+
+
 def test_top_k_similar(spark):
     hist = crowd()
     chosen = spark.createDataFrame([("1|copy3",), ("1|c1",)], "cid string")
