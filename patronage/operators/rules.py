@@ -132,13 +132,13 @@ def sequence_patterns(
 ) -> DataFrame:
     """Frequent patterns (lists of itemsets) in customers' ordered baskets.
 
-    ``occurrences`` has the customer keys, ``pos`` and ``item``. A pattern of n
+    ``occurrences`` has one row per customer, ``pos`` and ``item``. A pattern of n
     items grows by one item, in a later basket or in its last one. Per customer
     only the places where a pattern ends are kept, as rows, so no customer's
     history is gathered in one place.
     """
     keys = list(keys)
-    occ = durable(occurrences.select(*keys, "pos", "item").distinct())
+    occ = durable(occurrences.select(*keys, "pos", "item"))
     customers = occ.select(*keys).distinct().count()
     needed = max(1, math.ceil(min_support * customers - 1e-9))
 

@@ -17,7 +17,10 @@ KEYS = ["idsite", "user"]
 
 
 def sequence_lines(lines: DataFrame) -> DataFrame:
-    """Basket lines with the position of their order in the customer's history."""
+    """Basket lines with the position of their order in the customer's history.
+
+    One row per customer, position and item; the operators below rely on that.
+    """
     order = [*KEYS, "idorder"]
     bought = known(lines, [*order, "timestamp"]).groupBy(*order, "item").agg(F.min("timestamp").alias("timestamp"))
     orders = bought.groupBy(*order).agg(F.min("timestamp").alias("timestamp"))
@@ -29,7 +32,7 @@ def sequence_lines(lines: DataFrame) -> DataFrame:
 def _rows(sequences: DataFrame) -> DataFrame:
     return sequences.select(
         customer_key(F.col("idsite"), F.col("user")).alias("cid"), "pos", "item"
-    ).distinct()
+    )
 
 
 def _profile(rows: DataFrame) -> DataFrame:
@@ -112,16 +115,15 @@ def _promising(sequences: DataFrame, chunk_rows: int) -> DataFrame:
         .agg(F.min("cid").alias("cid"), F.first("len").alias("len"))
         .select("cid", "len", F.ceil(F.col("f4") / F.lit(chunk_rows)).alias("chunks"))
     )
-    sizes = every.groupBy("cid", "pos").agg(F.count(F.lit(1)).alias("n"))
     spread = every.groupBy("pos", "item").agg(F.count(F.lit(1)).alias("f"))
     chunk = Window.partitionBy("cid", "_chunk")
     basket = Window.partitionBy("cid", "_chunk", "pos")
     rarity = [F.desc("f"), F.desc("pos"), F.desc("item")]  # from the end of the order back
     here = F.sum(F.lit(1.0) / F.col("n"))
     rows = (
-        every.join(heads, "cid")
-        .join(sizes, ["cid", "pos"])
-        .join(spread, ["pos", "item"])
+        every.join(spread, ["pos", "item"])
+        .join(heads, "cid")
+        .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("cid", "pos")))
         .withColumn("_chunk", F.pmod(F.xxhash64("pos", "item"), F.col("chunks")))
         .withColumn("_k", F.row_number().over(basket.orderBy(*rarity)))
         .withColumn("_after", here.over(chunk.orderBy(*rarity)))
