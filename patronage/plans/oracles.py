@@ -604,6 +604,7 @@ def build() -> dict[str, str]:
         _sliding('start, start + INTERVAL 15 SECOND AS "end", visitor, count(*) AS count')
         + " GROUP BY start, visitor"
     )
+    q["visitor_counts_stream"] = q["visitor_counts"]
     q["distinct_visitors"] = (
         _sliding('start, start + INTERVAL 15 SECOND AS "end", count(DISTINCT visitor) AS visitors')
         + " GROUP BY start"

@@ -656,3 +656,19 @@ def distinct_visitors(spark, sf_dir):
 def clickstream_estimates(spark, sf_dir):
     found = counts.clickstream_estimates(_views(spark, sf_dir))
     return found.withColumn("start", F.col("start").cast("timestamp_ntz"))
+
+
+@query
+def visitor_counts_stream(spark, sf_dir):
+    """The visitor counts from a drained stream, all windows kept."""
+    path = scratch(spark, "visitorcount")
+    found = counts.visitor_counts(feed.page_views(_click_stream(spark, sf_dir)))
+
+    def replace(result: DataFrame, _: int) -> None:
+        result.write.mode("overwrite").parquet(path)
+
+    feed.write_each(
+        found, replace, scratch(spark, "progress"), "complete", drain=True
+    ).awaitTermination()
+    stored = spark.read.schema(found.schema).parquet(path)
+    return stored.select(_plain("start"), _plain("end"), "visitor", "count")

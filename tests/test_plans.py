@@ -12,7 +12,7 @@ SQL = entry.oracle_sql()
 # these act on their input while the plan is built (fits, durable copies, sinks)
 LAZY = sorted(
     set(SQL)
-    - {"scan_piped_text", "sink_piped_text", "stream_source", "stream_sink_json", "dictionary", "rating_matrix",
+    - {"scan_piped_text", "sink_piped_text", "stream_source", "stream_sink_json", "visitor_counts_stream", "dictionary", "rating_matrix",
        "predict_pairs", "predict_user_items", "recommend_top_n", "next_state", "purchase_horizon",
        "frequent_itemsets", "top_k_rules", "also_bought", "multi_predicate_rules", "page_rules",
        "sequence_patterns", "customer_similarity", "top_k_similar"}
