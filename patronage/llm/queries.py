@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import prepare
-from . import bpe, exact_dedup, line_dedup, token_counts, topk
+from . import bpe, exact_dedup, language, line_dedup, mixing, near_dedup, secrets, token_counts, topk
 from .common import LOWER, UPPER, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,8 @@ SQL: dict[str, str] = {}
 #: Where the vocabulary files are; the second is the same vocabulary as ranks.
 VOCABULARY, RANKS = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/byte_bpe_50k.tiktoken"
 END_OF_DOCUMENT = 50256
+#: Target of each domain as a multiple of its present tokens: good text is seen 1.25 times, so none of it is lost.
+SHARES = {"plain": 0.5, "good": 1.25, "toxic": 0.05}
 
 
 def query(fn: Query) -> Query:
@@ -47,6 +49,23 @@ def op2_token_counts(spark, sf_dir):
     return token_counts.count_tokens(blocks, END_OF_DOCUMENT).select("doc_id", "n_tokens")
 
 
+@query
+def op3_mixing(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), SHARES)
+
+
+@query
+def op5_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs, language.fit(docs))
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query
+def op6_secrets(spark, sf_dir):
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_bpe(spark, sf_dir):
     return bpe.encode(table(spark, sf_dir, "documents"), VOCABULARY, with_ids=False)
@@ -86,3 +105,8 @@ s AS (
   FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0)
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM s QUALIFY rank <= 5"""
+
+
+@query
+def op10_near_dedup(spark, sf_dir):
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"))
