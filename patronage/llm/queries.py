@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import prepare
-from . import bpe, exact_dedup, language, line_dedup, mixing, near_dedup, secrets, token_counts, topk
+from . import bpe, exact_dedup, language, line_dedup, mixing, near_dedup, secrets, suffix_dedup, token_counts, topk
 from .common import LOWER, UPPER, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +54,11 @@ def op3_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), SHARES)
 
 
+@query
+def op4_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
 @query
 def op5_language(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
