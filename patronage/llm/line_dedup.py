@@ -14,6 +14,7 @@ identifier counts for nothing and keeps all lines. An empty table gives no rows.
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -22,18 +23,34 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import ascii_lower, hot_keys
+from ..session import durable
+from .common import hot_keys
 
 #: What is stripped at both ends of a line to get its key.
-BLANKS = " \t\n\x0b\x0c\r"
+BLANKS = b" \t\n\x0b\x0c\r"
 LEAST_CHARS, LEAST_DOCS = 20, 3
 
 
 def line_keys(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
     """doc, pos, key (hash of the line's key) of every line that is long enough."""
-    lines = docs.select(F.col("doc"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("pos", "line"))
-    keyed = lines.select("doc", "pos", ascii_lower(F.btrim("line", F.lit(BLANKS))).alias("key"))
-    return keyed.where(F.char_length("key") >= least_chars).select("doc", "pos", F.unhex(F.md5("key")).alias("key"))
+    kind = docs.schema["doc"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            owner, pos, keys = [], [], []
+            for i, text in enumerate(b.column(1).to_pylist()):
+                for n, line in enumerate((text or "").encode().split(b"\n")):
+                    # bytes methods change ASCII letters only; UTF-8 has at least a byte per code point
+                    if len(line) >= least_chars:
+                        key = line.strip(BLANKS).lower()
+                        if len(key) >= least_chars and (key.isascii() or len(key.decode()) >= least_chars):
+                            owner.append(i)
+                            pos.append(n)
+                            keys.append(hashlib.blake2b(key, digest_size=16).digest())
+            docs_of = b.column(0).take(pa.array(owner, pa.int64()))
+            yield pa.RecordBatch.from_arrays([docs_of, pa.array(pos, pa.int32()), pa.array(keys, pa.binary())], ["doc", "pos", "key"])
+
+    return docs.select("doc", "text").mapInArrow(run, f"doc {kind}, pos int, key binary")
 
 
 def dropped(rows: Iterable[tuple], least_docs: int = LEAST_DOCS) -> Iterator[tuple[int, int]]:
@@ -73,7 +90,7 @@ def kept_lines(packed: bytes | None, lines: list[str]) -> list[str]:
 def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_chars: int = LEAST_CHARS, least_docs: int = LEAST_DOCS) -> DataFrame:
     """doc, keep_bitmap for every document that loses a line. Bit i is line i; bits past the last dropped line are left out and mean keep."""
     given = docs.select(docs[id_col].alias("doc"), docs[text_col].alias("text")).where(F.col("doc").isNotNull())
-    lines = line_keys(given, least_chars)
+    lines = durable(line_keys(given, least_chars))  # a few bytes per line, and read three times
     doc_type = given.schema["doc"].dataType.simpleString()
     hot = hot_keys(lines, "key").select(F.col("key").alias("hot"))
     marked = lines.join(F.broadcast(hot), lines["key"] == F.col("hot"), "left")

@@ -83,7 +83,7 @@ def op8_line_dedup(spark, sf_dir):
     return kept.select(F.col("doc").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-_BLANKS = "||".join(f"chr({ord(c)})" for c in line_dedup.BLANKS)
+_BLANKS = "||".join(f"chr({c})" for c in line_dedup.BLANKS)
 SQL["op8_line_dedup"] = f"""
 WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM d),
