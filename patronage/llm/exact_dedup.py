@@ -1,8 +1,9 @@
 """Exact duplicates by a content sort, with DataFrame functions only.
 
-Sampled splitters range-partition the normalised text, an external sort places equal
-texts side by side, and comparing neighbours in full finds the groups (the window's
-group boundary is just that comparison). A text that holds more than 1/256 of all
+Sampled splitters range-partition the normalised text (by its head, then by a hash of the
+whole, so that splitters stay small), an external sort places equal texts side by side,
+and comparing neighbours in full finds the groups (the window's group boundary is just
+that comparison). A text that holds more than 1/256 of all
 rows is dealt over several sort ranges by a salt; the sizes and survivors of these at
 most 255 texts come from a count that is combined before its shuffle.
 
@@ -18,6 +19,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .common import ascii_lower, hot_keys
 
 SALTS = 64
+#: Characters of the text that the sampled splitters carry; texts that agree in them are dealt by a hash of the whole.
+HEAD = 48
 
 
 def _groups(docs: DataFrame, id_col: str, text_col: str, columns: list[str], salts: int) -> DataFrame:
@@ -28,8 +31,10 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, columns: list[str], sal
     digest = F.sha2(norm, 256)
     hot = hot_keys(rows.select(digest.alias("_hot"), ident.alias("_id")), "_hot", F.max("_id").alias("_hot_keep"))
     salt = F.when(F.col("_hot").isNull(), 0).otherwise(F.pmod(F.xxhash64(ident), F.lit(salts)))
-    ranged = rows.join(F.broadcast(hot), digest == F.col("_hot"), "left").withColumn("_norm", norm).withColumn("_salt", salt).repartitionByRange("_norm", "_salt")
-    group = Window.partitionBy("_norm", "_salt")
+    ranged = rows.join(F.broadcast(hot), digest == F.col("_hot"), "left")
+    keyed = ranged.select("*", norm.alias("_norm"), F.substring(norm, 1, HEAD).alias("_head"), F.xxhash64(norm).alias("_hash"), salt.alias("_salt"))
+    ranged = keyed.repartitionByRange("_head", "_hash", "_salt")
+    group = Window.partitionBy("_head", "_hash", "_salt", "_norm")
     mine = ranged.select(
         "*",
         F.row_number().over(group.orderBy(ident.desc_nulls_last())).alias("_nth"),
