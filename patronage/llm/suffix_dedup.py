@@ -21,8 +21,9 @@ so that in the end a group shares its Lyndon prefix. Then the array is filled fr
 front, each suffix found placing its predecessors at the heads of their groups. Nothing
 is renamed or sorted again.
 
-Minimisers that a sample shows to be frequent are dealt by a salt and settled by an
-aggregate that is combined before its shuffle; the sample only balances load.
+Minimisers travel many to a row, by ranges of their hash. Those that a sample shows to be
+frequent are dealt by document and settled by an aggregate that is combined before its
+shuffle; the sample only balances load. Texts travel compressed.
 
 Defined cases: a null text counts as empty. Texts shorter than LENGTH bytes lose
 nothing. Documents with equal identifiers do not remove each other's bytes, and rows
@@ -38,16 +39,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import durable
 from .shingles import U, mix
 
 LENGTH, GRAM, FREE = 50, 20, 7
-#: Share of documents that are looked at for frequent minimisers, the share of rows that makes one frequent, and how many are dealt by a salt.
-SAMPLE_ONE_IN, FREQUENT_ONE_IN, MOST_FREQUENT, SALTS = 64, 1 << 14, 2048, 64
-#: Letters that a task puts into one suffix array, and bytes of text in one step; matters of memory only.
-ARRAY_LETTERS, PIECE = 1 << 16, 1 << 20
+#: Share of documents that are looked at for frequent minimisers, and how many of these are dealt by document.
+SAMPLE_ONE_IN, MOST_FREQUENT = 64, 1 << 16
+#: Rows in one bucket of minimisers (about), rows held before they are dealt, letters in one suffix array, bytes of text in one step; matters of memory only.
+BUCKET_ROWS, HELD, ARRAY_LETTERS, PIECE = 1 << 17, 1 << 19, 1 << 16, 1 << 20
+#: Bits of a minimiser's hash. More than one in a group only means that more contexts are compared.
+KEY_BITS = 40
 END, BREAK, LETTER, CORE = 0, 1, 2, 300
 TAG_SHIFT, TAG_MASK = 40, (1 << 20) - 1
 
@@ -245,61 +249,110 @@ def all_anchors(texts: list[bytes], length: int, gram: int, piece: int = PIECE)
         at = upto
 
 
-def _anchor_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """anchor, ctx, doc, pos of every minimiser; docs: doc, text."""
+def _tables(docs: DataFrame, length: int, gram: int, tagged: bool, make, schema: str) -> DataFrame:
+    """``make`` turns the anchors of some documents, as (key, context, doc, pos) arrays of bounded length, into batches. docs: doc, text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for b in batches:
             ids = b.column(0).to_numpy(zero_copy_only=False)
             texts = [t.encode() for t in b.column(1).to_pylist()]
-            tags = np.array([tag(t) for t in texts], np.int64)
+            tags = np.array([tag(t) if tagged else 0 for t in texts], np.int64)
             for owner, pos, anchor, ctx in all_anchors(texts, length, gram):
-                yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(ctx), pa.array(ids[owner]), pa.array(pos | tags[owner])], ["anchor", "ctx", "doc", "pos"])
+                held.append((anchor.view(U) >> U(64 - KEY_BITS), ctx, ids[owner], pos | tags[owner]))
+                size += len(pos)
+                if size >= HELD:
+                    yield from make(*[np.concatenate(x) for x in zip(*held, strict=True)])
+                    held, size = [], 0
+        if size:
+            yield from make(*[np.concatenate(x) for x in zip(*held, strict=True)])
 
-    return docs.where(F.octet_length("text") >= length).select("doc", "text").mapInArrow(run, "anchor long, ctx long, doc long, pos long")
+    return docs.where(F.octet_length("text") >= length).select("doc", "text").mapInArrow(run, schema)
+
+
+def planes(column: np.ndarray) -> bytes:
+    """The bytes of integers, first all lowest ones, and so on: high bytes, mostly equal, then compress away."""
+    return np.ascontiguousarray(column.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def unplaned(data: memoryview) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<i8").ravel()
+
+
+def _blobs(named: DataFrame, length: int, gram: int, tagged: bool, n_buckets: int, frequent: np.ndarray) -> DataFrame:
+    """bucket, data: anchors by ranges of their key, many in one row. Frequent ones go to buckets past n_buckets, by document."""
+
+    def make(key, ctx, doc, pos):
+        often = np.isin(key, frequent)
+        bucket = np.where(often, U(n_buckets) + mix(doc.view(U)) % U(n_buckets), key * U(n_buckets) >> U(KEY_BITS))
+        order = np.argsort(bucket << U(KEY_BITS) | key, kind="stable")
+        bucket, key, ctx, doc, pos = (x[order] for x in (bucket, key, ctx, doc, pos))
+        edges = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket)).tolist()
+        for at in range(0, len(edges) - 1, 256):
+            ranges_of = list(zip(edges[at : at + 256], edges[at + 1 : at + 257], strict=False))
+            data = [planes(np.diff(key[a:b].view(np.int64), prepend=0)) + planes(ctx[a:b]) + planes(doc[a:b]) + planes(pos[a:b]) for a, b in ranges_of]
+            yield pa.RecordBatch.from_arrays([pa.array([int(bucket[a]) for a, _ in ranges_of], pa.int32()), pa.array(data, pa.binary())], ["bucket", "data"])
+
+    return _tables(named, length, gram, tagged, make, "bucket int, data binary")
 
 
 REMOVED, KEPT, FREQUENT = 0, 1, 2
 
 
-def _settled(rows: DataFrame) -> DataFrame:
-    """doc, pos, kind, anchor, ctx of the occurrences that matter. rows: sorted by anchor, ctx, doc in partitions that hold whole groups, or parts of frequent ones.
+def settle(key: np.ndarray, ctx: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, kinds) of the occurrences that matter among whole groups of anchors.
 
     REMOVED: a smaller document has the same context. KEPT: the context's smallest
-    document, in a group with other contexts. FREQUENT: not settled here.
+    document, in a group with other contexts.
     """
-
-    def settle(anchor, ctx, doc, pos, often):
-        new = np.append(True, anchor[1:] != anchor[:-1])
-        starts = np.flatnonzero(new)
-        group = np.cumsum(new) - 1
-        new_ctx = new | np.append(True, ctx[1:] != ctx[:-1])
-        ctx_least = doc[np.flatnonzero(new_ctx)][np.cumsum(new_ctx) - 1]  # docs ascend within a context
-        shared = np.minimum.reduceat(doc, starts) < np.maximum.reduceat(doc, starts)
-        several = np.add.reduceat(new_ctx.astype(np.int64), starts) > 1
-        kind = np.where(often, FREQUENT, np.where(doc > ctx_least, REMOVED, KEPT)).astype(np.int32)
-        use = often | (shared[group] & ((kind == REMOVED) | several[group]))
-        key, side = pa.array(anchor[use], mask=~often[use]), pa.array(ctx[use], mask=~often[use])
-        return pa.RecordBatch.from_arrays([pa.array(doc[use]), pa.array(pos[use]), pa.array(kind[use]), key, side], ["doc", "pos", "kind", "anchor", "ctx"])
+    order = np.lexsort((doc, ctx, key))
+    key, ctx, doc = key[order], ctx[order], doc[order]
+    new = np.append(True, key[1:] != key[:-1])
+    starts = np.flatnonzero(new)
+    group = np.cumsum(new) - 1
+    new_ctx = new | np.append(True, ctx[1:] != ctx[:-1])
+    ctx_least = doc[np.flatnonzero(new_ctx)][np.cumsum(new_ctx) - 1]
+    shared = np.minimum.reduceat(doc, starts) < np.maximum.reduceat(doc, starts)
+    several = np.add.reduceat(new_ctx.astype(np.int64), starts) > 1
+    kind = np.where(doc > ctx_least, REMOVED, KEPT)
+    use = shared[group] & ((kind == REMOVED) | several[group])
+    return order[use], kind[use]
+
+
+def _settled(blobs: DataFrame, n_buckets: int) -> DataFrame:
+    """doc, pos, kind, anchor, ctx; the last two only of frequent ones, which are not settled here. blobs: sorted by bucket, a bucket in one partition."""
+
+    def batch(doc, pos, kind, key=None, ctx=None):
+        sides = [pa.nulls(len(doc), pa.int64()) if x is None else pa.array(x) for x in (key, ctx)]
+        return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(pos), pa.array(kind, pa.int32()), *sides], ["doc", "pos", "kind", "anchor", "ctx"])
+
+    def solved(bucket: int, data: list) -> Iterator[pa.RecordBatch]:
+        parts = []
+        for buffer in data:
+            quarter = len(buffer) // 4
+            key, ctx, doc, pos = (unplaned(buffer[i * quarter : (i + 1) * quarter]) for i in range(4))
+            parts.append((np.cumsum(key), ctx, doc, pos))
+            if bucket >= n_buckets:
+                yield batch(doc, pos, np.full(len(doc), FREQUENT), parts.pop()[0], ctx)
+        if parts:
+            key, ctx, doc, pos = (np.concatenate(x) for x in zip(*parts, strict=True))
+            rows, kind = settle(key, ctx, doc)
+            for at in range(0, len(rows), 50_000):
+                yield batch(doc[rows[at : at + 50_000]], pos[rows[at : at + 50_000]], kind[at : at + 50_000])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        bucket, data = None, []
         for b in batches:
-            if not b.num_rows:
-                continue
-            now = [c.to_numpy(zero_copy_only=False) for c in b.columns]
-            if held is not None:
-                now = [np.concatenate(x) for x in zip(held, now, strict=True)]
-            cut = int(np.searchsorted(now[0], now[0][-1]))  # the last group may go on
-            if now[4][-1]:
-                cut = len(now[0])  # a frequent one need not stay together
-            if cut:
-                yield settle(*[x[:cut] for x in now])
-            held = [x[cut:] for x in now] if cut < len(now[0]) else None
-        if held is not None:
-            yield settle(*held)
-
-    return rows.mapInArrow(run, "doc long, pos long, kind int, anchor long, ctx long")
+            for name, value in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                if name != bucket and data:
+                    yield from solved(bucket, data)
+                    data = []
+                bucket = name
+                data.append(memoryview(value))
+        if data:
+            yield from solved(bucket, data)
+
+    return blobs.mapInArrow(run, "doc long, pos long, kind int, anchor long, ctx long")
 
 
 # ------------------------------------------------------------------- strings
@@ -345,14 +398,14 @@ def _core_rows(found: DataFrame, length: int, gram: int, free: int) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for doc, version, text, kept in zip(*[c.to_pylist() for c in b.columns], strict=True):
-                data = text.encode()
+            for doc, version, packed, kept in zip(*[c.to_pylist() for c in b.columns], strict=True):
+                data = zstandard.decompress(packed)
                 out += [(*row, doc, version) for p in kept for row in core_strings(data, p, length, gram, free)]
             columns = zip(*out, strict=True) if out else [()] * 6
             kinds = [pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["core", "left", "right", "at", "doc", "version"])
 
-    return found.where("size(kept) > 0").select("doc", "version", "text", "kept").mapInArrow(run, "core binary, left binary, right binary, at long, doc long, version long")
+    return found.where("size(kept) > 0").select("doc", "version", "packed", "kept").mapInArrow(run, "core binary, left binary, right binary, at long, doc long, version long")
 
 
 def _compared(rows: DataFrame, length: int, free: int) -> DataFrame:
@@ -415,58 +468,81 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     kind = docs.schema[id_col].dataType
     given = docs.select(docs[id_col].cast("long").alias("doc"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
     named = given.where("doc IS NOT NULL")
-    sampled = _anchor_rows(named.where(F.pmod(F.xxhash64("doc"), F.lit(SAMPLE_ONE_IN)) == 0), length, gram)
-    counts = durable(sampled.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")))
-    least = max(2, (counts.agg(F.sum("n")).first()[0] or 0) // FREQUENT_ONE_IN)
-    frequent = counts.where(F.col("n") > least).orderBy(F.desc("n"), "anchor").limit(MOST_FREQUENT)  # a bound on what is broadcast
-    rows = _anchor_rows(named, length, gram).join(F.broadcast(frequent.select("anchor", F.lit(True).alias("f"))), "anchor", "left")
-    often = F.coalesce("f", F.lit(False))
-    dealt = rows.select("anchor", "ctx", "doc", "pos", often.alias("often"), F.when(often, F.pmod("doc", F.lit(SALTS))).otherwise(0).alias("salt"))
-    settled = durable(_settled(dealt.repartition("anchor", "salt").sortWithinPartitions("anchor", "salt", "ctx", "doc").select("anchor", "ctx", "doc", "pos", "often")))
+    tagged = not named.groupBy("doc").count().where("count > 1").isEmpty()
+    n_buckets, frequent = _plan(named, length, gram)
+    blobs = _blobs(named, length, gram, tagged, n_buckets, frequent)
+    settled = durable(_settled(blobs.repartition("bucket").sortWithinPartitions("bucket"), n_buckets))
     hot = settled.where(F.col("kind") == FREQUENT).select("anchor", "ctx", "doc", "pos")
     first = hot.groupBy("anchor", "ctx").agg(F.min("doc").alias("least"))
     hot = hot.join(first, ["anchor", "ctx"]).select("doc", "pos", F.when(F.col("doc") > F.col("least"), REMOVED).otherwise(KEPT).alias("kind"))
     mine = settled.where(F.col("kind") != FREQUENT).select("doc", "pos", "kind").unionByName(hot)
     # a long holds a position and its kind; a document's own rows are as many as its text is long
     lists = mine.groupBy("doc").agg(F.collect_list(F.col("pos") * 2 + F.col("kind")).alias("marks"))
-    found = durable(_met(given.join(lists, "doc", "left").select("doc", "text", "marks"), length, gram))
+    found = durable(_met(_packed(given).join(lists, "doc", "left").select("doc", "version", "packed", "marks"), length, gram))
     cores = _core_rows(found, length, gram, free)
     more = _compared(cores.repartition("core").sortWithinPartitions("core", "left", "right", "doc"), length, free)
     more = more.groupBy("doc", "version").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
-    open_ = found.where("text IS NOT NULL").join(more, ["doc", "version"], "left").select("doc", "text", "spans", "starts", "ends")
-    closed = found.where("text IS NULL").select("doc", "n_bytes", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), "kept_sha256", "spans")
+    open_ = found.where("packed IS NOT NULL").join(more, ["doc", "version"], "left").select("doc", "packed", "spans", "starts", "ends")
+    closed = found.where("packed IS NULL").select("doc", "n_bytes", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), "kept_sha256", "spans")
     return closed.unionByName(_finished(open_)).select(F.col("doc").cast(kind).alias(id_col), "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans")
 
 
+def _plan(named: DataFrame, length: int, gram: int) -> tuple[int, np.ndarray]:
+    """Number of buckets, and the keys that would fill half a bucket alone, by a sample that grows with the corpus."""
+
+    def make(key, ctx, doc, pos):
+        keys, n = np.unique(key.view(np.int64), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], ["key", "n"])
+
+    some = named.where(F.pmod(F.xxhash64("doc"), F.lit(SAMPLE_ONE_IN)) == 0)
+    counts = durable(_tables(some, length, gram, False, make, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")))
+    rows = (counts.agg(F.sum("n")).first()[0] or 0) * SAMPLE_ONE_IN
+    often = counts.where(F.col("n") * SAMPLE_ONE_IN > BUCKET_ROWS // 2).orderBy(F.desc("n"), "key").limit(MOST_FREQUENT).select("key").collect()
+    return max(64, min(rows // BUCKET_ROWS, 1 << 23)), np.array([r[0] for r in often], np.int64).view(U)
+
+
+def _packed(given: DataFrame) -> DataFrame:
+    """doc, version, packed: the texts compressed before they are shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=3)
+        for b in batches:
+            packed = [packer.compress(t.encode()) for t in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(packed, pa.binary())], ["doc", "version", "packed"])
+
+    return given.select("doc", F.xxhash64("text").alias("version"), "text").mapInArrow(run, "doc long, version long, packed binary")
+
+
 def _met(rows: DataFrame, length: int, gram: int) -> DataFrame:
-    """doc, version, text, n_bytes, kept_sha256, spans, kept: the text only of documents with marks, the digest only of the others."""
+    """doc, version, packed, n_bytes, kept_sha256, spans, kept: the text only of documents with marks, the digest only of the others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for doc, version, text, marks in zip(*[c.to_pylist() for c in b.columns], strict=True):
-                data = text.encode()
-                if not marks:
+            for doc, version, packed, marks in zip(*[c.to_pylist() for c in b.columns], strict=True):
+                data = zstandard.decompress(packed)
+                m = np.array(marks or [], np.int64)
+                tags = m >> TAG_SHIFT + 1
+                m = m[(tags == 0) | (tags == tag(data) >> TAG_SHIFT)] & (1 << TAG_SHIFT + 1) - 1
+                if not len(m):
                     out.append((doc, version, None, len(data), hashlib.sha256(data).hexdigest(), b"", []))
                     continue
-                m = np.array(marks, np.int64)
-                m = m[m >> TAG_SHIFT + 1 == tag(data) >> TAG_SHIFT] & (1 << TAG_SHIFT + 1) - 1
                 pos = m[m % 2 == REMOVED] // 2
                 spans = merged(np.column_stack([np.maximum(pos - (length - gram), 0), np.minimum(pos + length, len(data))]))
-                out.append((doc, version, text, len(data), None, spans.astype("<i8").tobytes(), np.sort(m[m % 2 == KEPT] // 2)))
+                out.append((doc, version, packed, len(data), None, spans.astype("<i8").tobytes(), np.sort(m[m % 2 == KEPT] // 2)))
             columns = zip(*out, strict=True) if out else [()] * 7
-            kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.binary(), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc", "version", "text", "n_bytes", "kept_sha256", "spans", "kept"])
+            kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.string(), pa.binary(), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc", "version", "packed", "n_bytes", "kept_sha256", "spans", "kept"])
 
-    return rows.select("doc", F.xxhash64("text").alias("version"), "text", "marks").mapInArrow(run, "doc long, version long, text string, n_bytes long, kept_sha256 string, spans binary, kept array<long>")
+    return rows.mapInArrow(run, "doc long, version long, packed binary, n_bytes long, kept_sha256 string, spans binary, kept array<long>")
 
 
 def _finished(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for doc, text, spans, starts, ends in zip(*[c.to_pylist() for c in b.columns], strict=True):
-                data = text.encode()
+            for doc, packed, spans, starts, ends in zip(*[c.to_pylist() for c in b.columns], strict=True):
+                data = zstandard.decompress(packed)
                 own = np.frombuffer(spans, "<i8").reshape(-1, 2)
                 every = merged(np.concatenate([own, np.column_stack([starts, ends])]) if starts else own)
                 kept = cut(data, every)
