@@ -25,7 +25,7 @@ HEAD = 48
 
 def _groups(docs: DataFrame, id_col: str, text_col: str, columns: list[str], salts: int) -> DataFrame:
     """_row (the given columns), keep_id, group_size, kept, text_sha256."""
-    rows = docs.select(F.struct(*[docs[c] for c in columns]).alias("_row"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"))
     norm = ascii_lower(F.coalesce(F.col("_row")[text_col], F.lit("")))
     ident = F.col("_row")[id_col]
     digest = F.sha2(norm, 256)

@@ -170,7 +170,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
     """id, lang_pred, score, rejected; with ``carry`` a struct _row of all columns in place of the id."""
-    row = F.struct(*[docs[c] for c in docs.columns]) if carry else docs[id_col]
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]) if carry else docs[id_col]
     given = docs.select(row.alias("_row"), docs[text_col].alias("_text"))
     kind = given.schema["_row"].dataType.simpleString()
     name = "_row" if carry else id_col
