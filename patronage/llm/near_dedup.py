@@ -9,12 +9,13 @@ a register's first point agrees with a probability equal to the similarity. Poin
 in order of time, and a text stops once its slowest register is ahead of them.
 
 Texts with the same multiset are one node. Nodes that agree in one band of registers
-are candidates. A bucket is never paired out: its smallest node leads it, each member is
-verified against the leader by the exact multiset overlap, and what does not link to it
-goes on in the same bucket under new leaders until none is left. A member that links to
-a leader can be linked to one that does not only if that one's overlap with the leader
-is at least 2 * similarity - 1 (distances add up), so just these are verified in a last
-step. Groups are the connected components of all links that were found.
+are candidates. A bucket is never paired out: its most central node leads it and each
+member is verified against the leader by the exact multiset overlap. A link that this
+does not show is between members of which one has no link to the leader; if the other
+has, the first must still overlap the leader by 2 * similarity - 1 (distances add up).
+These few go to a task as a bounded group, which finds all their overlaps from the
+shingles that two of them share and returns no more links than join its components.
+Groups are the connected components of all links.
 
 Defined cases: a null text counts as empty. Texts without words are groups of their own.
 Rows that share an identifier share a group only if their texts do. A null identifier
@@ -28,14 +29,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..session import durable
 from .shingles import U, mix, multisets, slices
 
 REGISTERS, BANDS, ROWS = 128, 25, 5  # a pair at 0.8 shares no band with a chance of 5e-5
 SIMILARITY = 0.8
-LEADERS = 16
+#: Bounds on a block of nodes that are compared in one task, and what counts as an element that few of them hold.
+GROUP_NODES, GROUP_SHINGLES, RARE = 1024, 1 << 20, 12
 
 
 def signatures(owner: np.ndarray, value: np.ndarray, count: np.ndarray, n: int, registers: int = REGISTERS) -> np.ndarray:
@@ -176,17 +178,12 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     nodes = signed.where("node IS NOT NULL AND id IS NOT NULL")
     heads = durable(nodes.groupBy("node").agg(F.min("id").alias("head"), F.first("size").alias("size"), F.first("bands").alias("bands")))
     entries = heads.select("node", "size", F.explode("bands").alias("bucket"))
-    shared = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    opened = durable(entries.join(shared, "bucket").select("bucket", "node", "size"))
-    links, bridges = _links(docs, heads, opened, id_col, text_col, similarity)
+    shared = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    opened = durable(entries.join(shared, "bucket").select("bucket", "node", "size", "n"))
     head = heads.select("node", "head")
     found = head
-    if links is not None:
-        labels = components(links)
-        if bridges is not None:
-            more = _bridged(labels, *bridges, similarity)
-            if more is not None:
-                labels = components(links.unionByName(more))
+    if not opened.isEmpty():
+        labels = _labels(docs, head, opened, id_col, text_col, similarity)
         of = labels.join(head, "node").groupBy("label").agg(F.min("head").alias("class"))
         found = head.join(labels.join(of, "label").select("node", "class"), "node", "left").select("node", F.coalesce("class", "head").alias("head"))
     every = signed.select("id", "node").join(found, "node", "left")
@@ -194,55 +191,123 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return every.select(F.col("id").alias(id_col), own.alias("class_id"))
 
 
-def _links(docs, heads, opened, id_col, text_col, similarity):
-    """Verified links (a, b) of all rounds, and what the last step needs; (None, None) without candidates."""
-    if opened.isEmpty():
-        return None, None
-    wanted = opened.select("node").distinct().join(heads.select("node", F.col("head").alias("id")), "node")
+def _labels(docs, head, opened, id_col, text_col, similarity):
+    """node, label of every node that has a link."""
+    wanted = opened.select("node").distinct().join(head.select("node", F.col("head").alias("id")), "node")
     shingles = durable(shingle_table(docs, wanted, id_col, text_col))
-    least = 2 * similarity - 1
-    links, tried, n = [], [], 1
-    while not opened.isEmpty():
-        order = Window.partitionBy("bucket").orderBy("node")
-        if n == 1:
-            leaders = opened.groupBy("bucket").agg(F.min(F.struct("node", "size")).alias("m")).select("bucket", F.col("m.node").alias("a"), F.col("m.size").alias("sa"))
-        else:
-            leaders = opened.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= n).select("bucket", F.col("node").alias("a"), F.col("size").alias("sa"))
-        # every member meets its bucket's leaders, a leader the smaller ones
-        met = opened.join(leaders, "bucket").where("a < node").select("bucket", "a", F.col("node").alias("b"), "sa", F.col("size").alias("sb"))
-        near = F.least("sa", "sb") >= F.lit(least) * F.greatest("sa", "sb")  # sizes alone bound the overlap
-        met = durable(met.where(near).select("bucket", "a", "b"))
-        scores = durable(verify(met.select("a", "b").distinct(), shingles).where(F.col("similarity") >= least - 1e-9))
-        met = durable(met.join(scores, ["a", "b"]))
-        tried.append(met)
-        links.append(scores.where(F.col("similarity") >= similarity - 1e-12).select("a", "b"))
-        settled = met.where(F.col("similarity") >= similarity - 1e-12).select("bucket", F.col("b").alias("node")).unionByName(leaders.select("bucket", F.col("a").alias("node"))).distinct()
-        opened = opened.join(settled, ["bucket", "node"], "left_anti")
-        left = opened.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-        opened = durable(opened.join(left, "bucket").select("bucket", "node", "size"))
-        n = LEADERS
-    every = tried[0]
-    for t in tried[1:]:
-        every = every.unionByName(t)
-    edges = links[0]
-    for x in links[1:]:
-        edges = edges.unionByName(x)
-    return edges, (every, shingles)
-
-
-def _bridged(labels, tried, shingles, similarity):
-    """Links between a leader's members and those that came near it without a link, where their components still differ."""
+    stars = _stars(opened, shingles, similarity)
     linked = F.col("similarity") >= similarity - 1e-12
-    name = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))
-    near = tried.where(~linked).join(name("a"), "a", "left").join(name("b"), "b", "left")
-    near = near.where(~F.coalesce("a_label", "a").eqNullSafe(F.coalesce("b_label", "b"))).select("bucket", F.col("a").alias("leader"), F.col("b").alias("x"))
-    near = durable(near)
-    if near.isEmpty():
-        return None
-    members = tried.where(linked).select("bucket", F.col("a").alias("leader"), F.col("b").alias("y"))
-    pairs = near.join(members, ["bucket", "leader"]).where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    found = durable(verify(pairs, shingles).where(linked).select("a", "b"))
-    return None if found.isEmpty() else found
+    links = durable(stars.where(linked).select("a", "b").distinct())
+    labels = components(links)
+    groups = _groups(opened, stars, labels, similarity)
+    more = durable(_compared(groups, shingles, similarity))
+    return labels if more.isEmpty() else components(links.unionByName(more))
+
+
+def _stars(opened: DataFrame, shingles: DataFrame, similarity: float) -> DataFrame:
+    """bucket, a (its leader), b (a member), similarity (null if certainly under 2 * similarity - 1)."""
+    weight = opened.groupBy("node").agg(F.sum("n").alias("w"))
+    best = F.max(F.struct("w", "node", "size")).alias("m")  # the most central: it shares buckets with most nodes
+    leaders = opened.join(weight, "node").groupBy("bucket").agg(best).select("bucket", F.col("m.node").alias("a"), F.col("m.size").alias("sa"))
+    met = opened.select("bucket", F.col("node").alias("b"), F.col("size").alias("sb")).join(leaders, "bucket").where("a <> b")
+    met = durable(met.select("bucket", "a", "b", "sa", "sb"))
+    near = F.least("sa", "sb") >= (2 * similarity - 1) * F.greatest("sa", "sb")  # sizes alone bound the overlap
+    scores = verify(met.where(near).select("a", "b").distinct(), shingles)
+    return durable(met.select("bucket", "a", "b").join(scores, ["a", "b"], "left"))
+
+
+def _groups(opened: DataFrame, stars: DataFrame, labels: DataFrame, similarity: float) -> DataFrame:
+    """group, node, label: the nodes of a bucket that may still have links its leader does not show.
+
+    Members without a link to the leader, and those with one if any of the former came
+    near it. Buckets of one component are left out, as are all but one of those with the
+    same nodes. A large group is cut in blocks and every two blocks are a group.
+    """
+    rest = F.coalesce("similarity", F.lit(0.0))
+    apart = rest < similarity - 1e-12
+    near = F.max(apart & (rest >= 2 * similarity - 1 - 1e-9)).alias("near")
+    buckets = stars.groupBy("bucket").agg(near, F.max(apart).alias("any")).where("any").select("bucket", "near")
+    nodes = stars.join(buckets, "bucket").where(apart | F.col("near")).select("bucket", F.col("b").alias("node"))
+    named = nodes.join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
+    named = named.join(opened.select("bucket", "node", "size"), ["bucket", "node"])
+    mark = F.xxhash64("node")
+    kept = durable(named.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("size").alias("total"),
+        F.bit_xor(mark).alias("x"),
+        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"),
+        F.min("label").alias("l"),
+        F.max("label").alias("h"),
+    ).where("n > 1 AND l <> h").groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket"), F.first("total").alias("total")))
+    blocks = F.ceil(F.greatest(F.col("n") / GROUP_NODES, F.col("total") / GROUP_SHINGLES)).cast("int")
+    cut = named.join(kept.select("bucket", blocks.alias("k")), "bucket").withColumn("i", F.pmod(mark, F.col("k")).cast("int"))
+    pairs = F.transform(F.sequence(F.lit(0), F.col("k") - 1), lambda j: F.struct(F.least("i", j).alias("low"), F.greatest("i", j).alias("high")))
+    # a block alone is compared in each of its pairs, so it needs no group of its own unless it is the only one
+    dealt = cut.select("bucket", "node", "label", F.explode(F.filter(pairs, lambda p: (p["low"] < p["high"]) | (F.col("k") == 1))).alias("p"))
+    return dealt.select(F.struct("bucket", "p.low", "p.high").alias("group"), "node", "label")
+
+
+def forest(data: list[bytes], labels: list[bytes], similarity: float) -> list[tuple[int, int]]:
+    """Links that join the components of some multisets: exact overlaps of all of them, by the elements that at least two have."""
+    n = len(data)
+    owners, elements = [], []
+    sizes = np.zeros(n)
+    for i, d in enumerate(data):
+        x = np.frombuffer(d, U)
+        value, count = x[: len(x) // 2], x[len(x) // 2 :].astype(np.int64)
+        copy = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)  # a count is so many elements
+        with np.errstate(over="ignore"):
+            elements.append(mix(np.repeat(value, count) + copy.astype(U) * U(0xA0761D6478BD642F)))
+        owners.append(np.full(len(copy), i))
+        sizes[i] = len(copy)
+    owner, element = np.concatenate(owners), np.concatenate(elements)
+    order = np.argsort(element, kind="stable")
+    owner, element = owner[order], element[order]
+    starts = np.flatnonzero(np.append(True, element[1:] != element[:-1]))
+    held = np.diff(np.append(starts, len(element)))
+    both = np.zeros(n * n)
+    for d in range(2, RARE + 1):
+        rows = owner[starts[held == d][:, None] + np.arange(d)]
+        for p in range(d):
+            for q in range(p + 1, d):
+                both += np.bincount(rows[:, p] * n + rows[:, q], minlength=n * n) if len(rows) else 0
+    both = both.reshape(n, n)
+    often = np.flatnonzero(held > RARE)
+    for at in range(0, len(often), 4096):
+        some = often[at : at + 4096]
+        column = np.repeat(np.arange(len(some)), held[some])
+        row = owner[np.concatenate([np.arange(starts[k], starts[k] + held[k]) for k in some])]
+        m = np.zeros((n, len(some)), np.float32)
+        m[row, column] = 1
+        both += np.triu(m @ m.T, 1)
+    either = sizes[:, None] + sizes[None, :] - both
+    root = {x: x for x in labels}
+
+    def find(x: bytes) -> bytes:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    links = []
+    for i, j in zip(*np.nonzero(both >= (similarity - 1e-12) * either), strict=True):
+        a, b = find(labels[i]), find(labels[j])
+        if a != b:
+            root[a] = b
+            links.append((int(i), int(j)))
+    return links
+
+
+def _compared(groups: DataFrame, shingles: DataFrame, similarity: float) -> DataFrame:
+    """a, b: links that join components within the groups."""
+
+    def run(t: pa.Table) -> pa.Table:
+        t = t.sort_by("node")
+        nodes = t.column("node").to_pylist()
+        links = forest(t.column("data").to_pylist(), t.column("label").to_pylist(), similarity)
+        return pa.table([pa.array([nodes[i] for i, _ in links], pa.binary()), pa.array([nodes[j] for _, j in links], pa.binary())], ["a", "b"])
+
+    return groups.join(shingles, "node").select("group", "node", "label", "data").groupBy("group").applyInArrow(run, "a binary, b binary")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
