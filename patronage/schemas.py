@@ -75,8 +75,18 @@ REQUIRED = {
 }
 
 
+# Types that databases hand over and that fit the declared one without loss of meaning.
+WIDENED = {
+    T.DoubleType: (T.FloatType, T.DecimalType, T.IntegerType, T.ShortType, T.ByteType),
+    T.LongType: (T.IntegerType, T.ShortType, T.ByteType),
+    T.IntegerType: (T.ShortType, T.ByteType),
+    T.BooleanType: (T.ByteType,),
+}
+
+
 def conform(df, schema: T.StructType):
-    """Check that a table carries the declared columns with the declared types."""
+    """Check that a table carries the declared columns; narrower types are cast to the declared ones."""
+    casts = {}
     have = {f.name: f.dataType for f in df.schema.fields}
     for field in schema.fields:
         if field.name not in have:
@@ -85,9 +95,11 @@ def conform(df, schema: T.StructType):
         both_times = isinstance(found, (T.TimestampType, T.TimestampNTZType)) and isinstance(
             field.dataType, T.TimestampNTZType
         )
-        if found != field.dataType and not both_times:
+        if isinstance(found, WIDENED.get(type(field.dataType), ())):
+            casts[field.name] = df[field.name].cast(field.dataType)
+        elif found != field.dataType and not both_times:
             raise ValueError(
                 f"column {field.name} is {found.simpleString()}, "
                 f"expected {field.dataType.simpleString()}"
             )
-    return df
+    return df.withColumns(casts) if casts else df

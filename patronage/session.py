@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,8 +30,9 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset,
-    as in tests on one machine, a fresh temporary folder is used instead.
+    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset and
+    all work is done on one machine, as in tests, a fresh temporary folder is used
+    instead; elsewhere executors would each write to a disk of their own.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
@@ -39,6 +42,8 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if current:
         return current.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="patronage-")
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir().rstrip("/")
@@ -50,6 +55,10 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{app}/{label}-{uuid.uuid4().hex}"
 
 
+#: Called with every result that is about to be copied; for tests of plans.
+WATCHERS: list[Callable[[DataFrame], None]] = []
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write a result that several later steps read, and go on from the copy.
 
@@ -57,6 +66,14 @@ def durable(df: DataFrame) -> DataFrame:
     and never a re-run of what came before, readers fetch only their columns, and
     the planner knows its true size.
     """
+    for watch in WATCHERS:
+        watch(df)
     path = scratch(df.sparkSession, "durable")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete this application's copies, once no result that reads them is needed."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -27,6 +27,11 @@ def _site(key: Column) -> Column:
     return F.lit(1).cast("bigint") + key % 3
 
 
+def _ordered_at() -> Column:
+    """Order dates carry no hour, so the order key gives one."""
+    return F.col("o_orderdate") + F.make_dt_interval(hours=((F.col("o_orderkey") * 7) % 24).cast("int"))
+
+
 def log_conversion(
     spark: SparkSession, sf_dir: str, columns: Sequence[str] = ()
 ) -> DataFrame:
@@ -37,7 +42,7 @@ def log_conversion(
         "o_custkey",
         _site(key).alias("idsite"),
         visitor_bytes(key).alias("idvisitor"),
-        F.col("o_orderdate").alias("server_time"),
+        _ordered_at().alias("server_time"),
         (((key * 7919) % 18000) / F.lit(100.0) - F.lit(90.0)).alias("location_latitude"),
         (((key * 104729) % 36000) / F.lit(100.0) - F.lit(180.0)).alias("location_longitude"),
         F.when(F.col("o_orderstatus") == "P", 1).otherwise(0).alias("idgoal"),
@@ -106,7 +111,7 @@ def log_conversion_item(
         _site(key).alias("idsite"),
         visitor_bytes(key).alias("idvisitor"),
         (
-            F.col("o_orderdate")
+            _ordered_at()
             + F.make_dt_interval(secs=F.col("l_linenumber").cast("decimal(18,6)"))
         ).alias("server_time"),
         F.col("o_orderkey").cast("string").alias("idorder"),

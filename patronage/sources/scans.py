@@ -43,7 +43,15 @@ def jdbc_options(
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, **options) -> DataFrame:
-    """A database table; filters and columns below are pushed into its SQL."""
+    """A database table; filters and columns below are pushed into its SQL.
+
+    The scan is cut on ``partition_column`` between ``lower`` and ``upper``, such as
+    the time window that the scan above asks for. Without them it would be one
+    connection whatever the table's size, which must be asked for by ``partitions=1``.
+    """
+    bounded = options.get("lower") is not None and options.get("upper") is not None
+    if not bounded and options.get("partitions") != 1:
+        raise ValueError("a parallel scan needs lower and upper bounds; partitions=1 reads through one connection")
     return spark.read.format("jdbc").options(**jdbc_options(url, table, **options)).load()
 
 
@@ -94,9 +102,10 @@ def dropped_rows(table: DataFrame, kind: str) -> DataFrame:
 
 
 def filter_orders(conversions: DataFrame) -> DataFrame:
-    """Conversions that are shop orders."""
-    return conversions.where(F.col("idgoal") == 0)
+    """Conversions that are shop orders; one without a goal counts as an order."""
+    return conversions.where(F.coalesce("idgoal", F.lit(0)) == 0)
 
 
 def filter_not_deleted(items: DataFrame) -> DataFrame:
-    return items.where(~F.col("deleted"))
+    """Items that stand; one without the flag was not deleted."""
+    return items.where(~F.coalesce("deleted", F.lit(False)))
