@@ -38,9 +38,6 @@ def _slotted(df: DataFrame, keys: Sequence[str], slot: Column | str) -> DataFram
     A slot given by name is a column an earlier step kept: its rows are already
     placed by key and slot, and Spark does not shuffle them again.
 
-    A slot given by name is a column an earlier step kept: its rows are already
-    placed by key and slot, and Spark does not shuffle them again.
-
     The filter is what the join below would infer for one of its sides. With it
     on both, the two readers of these rows plan the same exchange and share it.
     """
@@ -54,15 +51,18 @@ def positions(
     order: Sequence[str],
     slot: Column,
     name: str = "pos",
+    weight: Column | None = None,
 ) -> DataFrame:
-    """Add the zero-based position of each row inside its key."""
+    """Add the zero-based position of each row inside its key, or the weight of the rows before it."""
     inside = Window.partitionBy(*keys, "_slot").orderBy(*order)
     before = (
         Window.partitionBy(*keys)
         .orderBy("_slot")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    ranked = _slotted(df, keys, slot).withColumn("_rank", F.row_number().over(inside))
+    one = F.lit(1) if weight is None else weight
+    rank = F.row_number().over(inside) if weight is None else F.sum(one).over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    ranked = _slotted(df, keys, slot).withColumn("_one", one).withColumn("_rank", rank)
     offsets = (
         ranked.groupBy(*keys, "_slot")
         .agg(F.max("_rank").cast("bigint").alias("_n"))
@@ -70,8 +70,8 @@ def positions(
     )
     return (
         ranked.join(offsets, [*keys, "_slot"])
-        .withColumn(name, F.col("_before") + F.col("_rank") - 1)
-        .drop("_slot", "_rank", "_before")
+        .withColumn(name, F.col("_before") + F.col("_rank") - F.col("_one"))
+        .drop("_slot", "_rank", "_before", "_one")
     )
 
 

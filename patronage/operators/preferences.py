@@ -5,10 +5,10 @@ Input throughout: basket lines, one row per (idsite, user, idorder, item).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import customer_key, half_up
-from ..functions.ordering import dense_ids
+from ..functions.ordering import dense_ids, positions
 
 
 def _lines(lines: DataFrame) -> DataFrame:
@@ -37,18 +37,18 @@ def user_item_pref(lines: DataFrame) -> DataFrame:
     """ln(1 + share of the customer's orders that contain the item).
 
     Totals and supports come out of one pass: every order also counts as an item
-    of its own (null), whose support is the customer's total. The window over a
-    customer sees one row per item ever bought, not the order lines.
+    of its own (null), whose support is the customer's total. A customer with a large
+    share of all items is joined, not gathered, so that the join can be split.
     """
     marked = _lines(lines).select(
         "cid", "idorder", F.explode(F.array(F.col("item"), F.lit(None))).alias("item")
     )
     counted = marked.distinct().groupBy("cid", "item").agg(F.count(F.lit(1)).alias("supp"))
-    total = F.max(F.when(F.col("item").isNull(), F.col("supp"))).over(Window.partitionBy("cid"))
+    total = counted.where(F.col("item").isNull()).select("cid", F.col("supp").alias("total"))
     share = F.col("supp") / F.col("total")
     return (
-        counted.withColumn("total", total)
-        .where(F.col("item").isNotNull())
+        counted.where(F.col("item").isNotNull())
+        .join(total, "cid")
         .select("cid", "item", F.log(F.lit(1.0) + share).alias("pref"))
     )
 
@@ -95,35 +95,21 @@ def rating_matrix(scores: DataFrame, users: DataFrame, products: DataFrame) -> D
     )
 
 
-def preferences_json(scores: DataFrame, max_items: int = 10_000) -> DataFrame:
-    """Preference lists as JSON documents, one per user.
+def preferences_json(scores: DataFrame, part_size: int = 10_000) -> DataFrame:
+    """Preference lists as JSON documents, best first, in parts of ``part_size`` preferences.
 
-    A user with more than ``max_items`` preferences gets several documents, each
-    complete in itself, chosen by an even hash of the product.
+    Every document names its part and the number of parts. Ties go by product.
     """
+    if part_size < 1:
+        raise ValueError("part_size must be at least 1")
     counted = scores.groupBy("user").agg(F.count(F.lit(1)).alias("_n"))
-    parts = F.ceil(F.col("_n") / F.lit(max_items))
-    spread_over = F.pmod(F.xxhash64("product"), parts)
-    listed = F.array_sort(F.collect_list(F.struct("product", "score", "user")))
+    placed = positions(scores.withColumn("_worse", -F.col("score")), ["user"], ["product"], F.col("_worse"), "_pos")
+    entry = F.struct("_pos", F.struct("user", "product", "score").alias("e"))
+    listed = F.transform(F.array_sort(F.collect_list(entry)), lambda x: x["e"])
     return (
-        scores.join(counted, "user")
-        .withColumn("part", spread_over.cast("int"))
-        .groupBy("user", "part")
-        .agg(listed.alias("l"))
-        .select(
-            "user",
-            "part",
-            F.to_json(
-                F.struct(
-                    F.transform(
-                        "l",
-                        lambda e: F.struct(
-                            e["user"].alias("user"),
-                            e["product"].alias("product"),
-                            e["score"].alias("score"),
-                        ),
-                    ).alias("items")
-                )
-            ).alias("json"),
-        )
+        placed.withColumn("part", F.floor(F.col("_pos") / part_size).cast("int"))
+        .join(counted, "user")
+        .groupBy("user", "part", F.ceil(F.col("_n") / part_size).cast("int").alias("parts"))
+        .agg(listed.alias("items"))
+        .select("user", "part", F.to_json(F.struct("part", "parts", "items")).alias("json"))
     )

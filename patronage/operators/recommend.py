@@ -8,11 +8,14 @@ from typing import NamedTuple
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
+from ..functions.ordering import dense_ids
 from ..session import durable, shared_dir
-from .preferences import bounded_users, dictionary, preference_scores, rating_matrix
+from .preferences import bounded_users, dictionary, preference_scores, preferences_json, rating_matrix
 
-# A request names its users, so their factors fit one row; this is the checked limit.
-MAX_REQUEST_USERS = 1_000
+# Users whose factors travel in one row.
+USER_BLOCK = 512
+# Ratings that one block of a fit should hold.
+BLOCK_RATINGS = 1_000_000
 
 
 class Recommender(NamedTuple):
@@ -26,13 +29,16 @@ def als_train(
     rank: int = 10,
     iterations: int = 20,
     regularization: float = 0.01,
-    partitions: int = 20,
+    partitions: int | None = None,
     seed: int = 7,
 ) -> ALSModel:
     """Explicit alternating least squares on (uid, pid, rating).
 
     Rows are placed and sorted by id first, so that equal input gives equal factors.
+    Without ``partitions`` there are 20 blocks, and more where ratings are many.
     """
+    if partitions is None:
+        partitions = max(20, -(-ratings.count() // BLOCK_RATINGS))
     shared_dir(ratings.sparkSession)  # lets ALS cut its lineage every ten rounds
     placed = ratings.repartition(partitions, "uid").sortWithinPartitions("uid", "pid")
     als = ALS(
@@ -123,21 +129,23 @@ def predict_pairs(pairs: DataFrame, user_factors: DataFrame, item_factors: DataF
 def _against_request(
     users: DataFrame, products: DataFrame, user_factors: DataFrame
 ) -> DataFrame:
-    """Every product rated for the few users of a request.
+    """Every product rated for the users of a request, however many.
 
-    The users' factors travel as one value inside the product scan, so there is
-    no join and no shuffle; more than ``MAX_REQUEST_USERS`` users is an error.
+    Users are numbered and packed in blocks of ``USER_BLOCK``; products meet each block
+    once, by its number, and are rated there for all its users.
     """
     chosen = user_factors.join(users.select("user").distinct(), "user", "left_semi")
-    packed = chosen.agg(F.collect_list(F.struct("user", F.col("factors").alias("uf"))).alias("r"))
-    checked = packed.select(
-        F.when(F.size("r") <= MAX_REQUEST_USERS, F.col("r")).otherwise(
-            F.raise_error(F.lit("too many users in one request")).cast(packed.schema["r"].dataType)
+    numbered = dense_ids(chosen, ["user"], "_n")
+    blocks = durable(
+        numbered.groupBy(F.floor(F.col("_n") / USER_BLOCK).alias("block")).agg(
+            F.collect_list(F.struct("user", F.col("factors").alias("uf"))).alias("users")
         )
     )
+    last = blocks.agg(F.max("block")).scalar()
+    each = products.withColumn("block", F.explode(F.when(last.isNotNull(), F.sequence(F.lit(0).cast("bigint"), last))))
     return (
-        products.withColumn("_request", checked.scalar())
-        .select("product", "factors", F.explode("_request").alias("q"))
+        each.join(blocks, "block")
+        .select("product", "factors", F.explode("users").alias("q"))
         .select(
             F.col("q.user").alias("user"),
             "product",
@@ -163,6 +171,32 @@ def recommend_top_n(
     return _ranked(rated.withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= n))
 
 
+def predictions_json(rated: DataFrame, part_size: int = 10_000) -> DataFrame:
+    """The preferences of a request as JSON documents, one per user and part, in rating order."""
+    scores = rated.select("user", "product", F.col("rating").alias("score"))
+    return preferences_json(scores, part_size)
+
+
+def solved_users(recommender: Recommender, ratings: DataFrame, regularization: float = 0.01, tolerance: float = 1e-3) -> DataFrame:
+    """For each user of the ratings, whether its factors solve the regularised normal equations for the product factors.
+
+    The last half step of a fit solves them for all users: the sum over a user's ratings
+    of v (v.u - r), plus lambda times their number times u, is zero.
+    """
+    u = recommender.model.userFactors.select(F.col("id").alias("uid"), F.col("features").alias("u"))
+    v = recommender.model.itemFactors.select(F.col("id").alias("pid"), F.col("features").alias("v"))
+    met = ratings.join(v, "pid").join(u, "uid")
+    error = _dot(F.col("u"), F.col("v")) - F.col("rating")
+    place = met.select("uid", error.alias("error"), "rating", F.posexplode(F.arrays_zip("u", "v")).alias("i", "f"))
+    term = F.col("f.v").cast("double")
+    sums = place.groupBy("uid", "i").agg(
+        (F.sum(term * F.col("error")) + regularization * F.count(F.lit(1)) * F.first("f.u").cast("double")).alias("left"),
+        F.sum(F.abs(term * F.col("rating"))).alias("scale"),
+    )
+    solved = sums.groupBy("uid").agg(F.bool_and(F.abs("left") <= tolerance * (1 + F.col("scale"))).alias("solved"))
+    return recommender.users.select(F.col("term").alias("user"), F.col("idx").alias("uid")).join(solved, "uid", "left").select("user", F.coalesce("solved", F.lit(False)).alias("solved"))
+
+
 # ---------------------------------------------------------------- model store
 
 _INDEX = T.StructType(

@@ -27,6 +27,11 @@ def frequent_itemsets(
     unique = durable(lines.select(*keys, "item").distinct())
     baskets = unique.select(*keys).distinct().count()
     needed = max(1, math.ceil(min_support * baskets - 1e-9))
+    return _itemsets(unique, needed, keys, partitions)
+
+
+def _itemsets(unique: DataFrame, needed: int, keys: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """Itemsets in at least ``needed`` baskets; ``unique`` has each basket's items once."""
     common = (
         unique.groupBy("item").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= needed)
     )
@@ -81,14 +86,24 @@ def top_k_rules(
     lines: DataFrame,
     k: int = 10,
     min_confidence: float = 0.8,
-    min_support: float = 0.01,
     keys: Sequence[str] = ORDER_KEYS,
 ) -> DataFrame:
-    """The ``k`` rules with most support among the confident ones."""
-    rules = association_rules(lines, min_support, min_confidence, keys)
-    return rules.orderBy(
-        F.desc("support"), F.desc("confidence"), "antecedent", "consequent"
-    ).limit(k)
+    """The ``k`` rules with most support among the confident ones, whatever that support is.
+
+    Rules are looked for above a support that is lowered until there are ``k`` or one
+    basket is enough. Those above it are all known, so the best ``k`` are exact.
+    """
+    unique = durable(lines.select(*keys, "item").distinct())
+    counts = unique.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+    # a rule needs two items, so the second most frequent one bounds its support
+    top = counts.orderBy(F.desc("n")).limit(2).agg(F.min("n")).first()[0] or 1
+    needed = max(1, -(-top // 4))
+    while True:
+        rules = rules_of(_itemsets(unique, needed, keys), min_confidence)
+        best = rules.orderBy(F.desc("support"), F.desc("confidence"), "antecedent", "consequent").limit(k)
+        if needed == 1 or best.count() == k:
+            return best
+        needed = max(1, needed // 4)
 
 
 def also_bought(
@@ -99,19 +114,18 @@ def also_bought(
     A rule applies when the basket holds its whole antecedent; an item keeps the
     confidence of its best rule. A basket row carries only items that occur in some
     rule, so its length is bounded by the rules, and it meets a rule once, through
-    the rule's first item.
+    the item of the antecedent that the fewest baskets hold.
     """
     rules = durable(rules.select("antecedent", "consequent", "confidence"))
     words = rules.select(
         F.explode(F.array_append("antecedent", F.col("consequent"))).alias("item")
     ).distinct()
-    held = (
-        lines.select(*keys, "item")
-        .join(words, "item", "left_semi")
-        .groupBy(*keys)
-        .agg(F.collect_set("item").alias("held"))
-    )
-    starts = rules.withColumn("item", F.element_at("antecedent", 1))
+    kept = lines.select(*keys, "item").join(words, "item", "left_semi")
+    held = kept.groupBy(*keys).agg(F.collect_set("item").alias("held"))
+    counts = kept.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+    asked = rules.select("*", F.explode("antecedent").alias("item")).join(counts, "item")
+    rarest = F.min(F.struct("n", "item"))["item"].alias("item")
+    starts = asked.groupBy("antecedent", "consequent", "confidence").agg(rarest)
     applies = (F.size(F.array_except("antecedent", "held")) == 0) & ~F.array_contains(
         "held", F.col("consequent")
     )
@@ -127,15 +141,16 @@ def also_bought(
 def sequence_patterns(
     occurrences: DataFrame,
     min_support: float,
-    max_length: int = 2,
+    max_length: int | None = None,
     keys: Sequence[str] = ("idsite", "user"),
 ) -> DataFrame:
     """Frequent patterns (lists of itemsets) in customers' ordered baskets.
 
     ``occurrences`` has one row per customer, ``pos`` and ``item``. A pattern of n
-    items grows by one item, in a later basket or in its last one. Per customer
-    only the places where a pattern ends are kept, as rows, so no customer's
-    history is gathered in one place.
+    items grows by one item, in a later basket or in its last one, until no pattern
+    is frequent or has ``max_length`` items. A pattern only grows by what a frequent
+    pair allows: the last item before the new one, in the same way, must be frequent.
+    Per customer only the places where a pattern ends are kept, as rows.
     """
     keys = list(keys)
     occ = durable(occurrences.select(*keys, "pos", "item"))
@@ -155,42 +170,53 @@ def sequence_patterns(
         ends.join(found.select("pattern"), "pattern", "left_semi").drop("pattern")
     )
     ends = occ.select(*keys, "pos", single.alias("pattern"), F.col("item").alias("last"))
-
-    for length in range(2, max_length + 1):
-        final = length == max_length
-        first_end = ends.groupBy(*keys, "pattern").agg(F.min("pos").alias("_end"))
-        if final:  # only whether it occurs matters now: the last place of each item will do
-            later = occ.groupBy(*keys, "item").agg(F.max("pos").alias("pos"))
+    last_place = durable(occ.groupBy(*keys, "item").agg(F.max("pos").alias("_latest")))
+    steps = None
+    length = 2
+    while max_length is None or length <= max_length:
+        # a customer's first end of a pattern leaves most room for what comes later
+        first_end = ends.groupBy(*keys, "pattern", "last").agg(F.min("pos").alias("_end"))
+        wide = ends.select(*keys, "pos", "pattern", "last")
+        if steps is not None:
+            first_end = first_end.join(steps["later"], "last")
+            wide = wide.join(steps["with"], "last").withColumnRenamed("next", "item")
+        if steps is not None:
+            first_end = first_end.withColumnRenamed("next", "item")
+            later = first_end.join(last_place, [*keys, "item"])
         else:
-            later = occ
-        longer = (
-            first_end.join(later, keys)
-            .where(F.col("pos") > F.col("_end"))
-            .select(
-                *keys,
-                "pos",
-                F.concat("pattern", F.array(F.array("item"))).alias("pattern"),
-                F.col("item").alias("last"),
-            )
+            later = first_end.join(last_place, keys)
+        # who has it at all decides what is frequent; places follow only for those
+        longer = later.where(F.col("_latest") > F.col("_end")).select(
+            *keys, "pattern", "last", "item", "_end", F.concat("pattern", F.array(F.array("item"))).alias("grown")
         )
-        wider = (
-            ends.join(occ, [*keys, "pos"])
-            .where(F.col("item") > F.col("last"))
-            .select(
-                *keys,
-                "pos",
-                F.concat(
-                    F.slice("pattern", F.lit(1), F.size("pattern") - 1),
-                    F.array(F.concat(F.element_at("pattern", -1), F.array("item"))),
-                ).alias("pattern"),
-                F.col("item").alias("last"),
-            )
+        joined = wide.join(occ, [*keys, "pos"] + (["item"] if steps is not None else []))
+        wider = joined.where(F.col("item") > F.col("last")).select(
+            *keys,
+            "pos",
+            F.concat(
+                F.slice("pattern", F.lit(1), F.size("pattern") - 1),
+                F.array(F.concat(F.element_at("pattern", -1), F.array("item"))),
+            ).alias("pattern"),
+            F.col("last").alias("before"),
+            F.col("item").alias("last"),
         )
-        grown = longer.unionByName(wider)
-        if not final:
-            grown = durable(grown)
-        found = durable(frequent(grown))
+        longer, wider = durable(longer), durable(wider)
+        once = longer.select(F.col("grown").alias("pattern"), *keys).unionByName(wider.select("pattern", *keys))
+        found = durable(frequent(once))
+        if found.isEmpty():
+            break
         result = result.unionByName(found)
-        if not final:
-            ends = durable(grown.join(found.select("pattern"), "pattern", "left_semi"))
+        if steps is None:
+            steps = {
+                "later": durable(longer.join(found.select(F.col("pattern").alias("grown")), "grown", "left_semi").select("last", F.col("item").alias("next")).distinct()),
+                "with": durable(wider.join(found.select("pattern"), "pattern", "left_semi").select(F.col("before").alias("last"), F.col("last").alias("next")).distinct()),
+            }
+        longer = longer.join(found.select(F.col("pattern").alias("grown")), "grown", "left_semi")
+        places = longer.join(occ, [*keys, "item"]).where(F.col("pos") > F.col("_end"))
+        ends = durable(
+            places.select(*keys, "pos", F.col("grown").alias("pattern"), F.col("item").alias("last")).unionByName(
+                wider.join(found.select("pattern"), "pattern", "left_semi").select(*keys, "pos", "pattern", "last")
+            )
+        )
+        length += 1
     return result

@@ -123,7 +123,7 @@ def _promising(sequences: DataFrame, chunk_rows: int) -> DataFrame:
     rows = (
         every.join(spread, ["pos", "item"])
         .join(heads, "cid")
-        .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("cid", "pos")))
+        .join(every.groupBy("cid", "pos").agg(F.count(F.lit(1)).alias("n")), ["cid", "pos"])
         .withColumn("_chunk", F.pmod(F.xxhash64("pos", "item"), F.col("chunks")))
         .withColumn("_k", F.row_number().over(basket.orderBy(*rarity)))
         .withColumn("_after", here.over(chunk.orderBy(*rarity)))
@@ -136,6 +136,31 @@ def _promising(sequences: DataFrame, chunk_rows: int) -> DataFrame:
 
 def customer_similarity(
     sequences: DataFrame, min_similarity: float = 0.5, chunk_rows: int = 100_000
+) -> DataFrame:
+    """All pairs of customers with at least the given similarity, equal histories included.
+
+    Pairs of histories are found once and then named for every customer who has them,
+    so the answer is as large as the question makes it. ``similar_histories`` with
+    ``sequence_groups`` says the same in fewer rows where many histories are equal.
+    """
+    named = sequence_groups(sequences)
+    shared = named.where(F.col("copies") > 1).select("head", F.col("cid").alias("member"))
+    heads = similar_histories(sequences, min_similarity, chunk_rows)
+
+    def members(pairs: DataFrame, side: str) -> DataFrame:
+        """One row per customer in place of the head; a history of one customer stays as it is."""
+        of = shared.select(F.col("head").alias(side), F.col("member").alias("_m"))
+        return pairs.join(of, side, "left").withColumn(side, F.coalesce("_m", side)).drop("_m")
+
+    between = members(members(heads, "a"), "b")
+    other = shared.select("head", F.col("member").alias("other"))
+    within = shared.join(other, "head").where(F.col("member") < F.col("other"))
+    equal = within.select(F.col("member").alias("a"), F.col("other").alias("b"), F.lit(1.0).alias("similarity"))
+    return between.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "similarity").unionByName(equal)
+
+
+def similar_histories(
+    sequences: DataFrame, min_similarity: float = 0.5, chunk_rows: int = 100_000
 ) -> DataFrame:
     """All pairs of distinct histories with at least the given similarity.
 

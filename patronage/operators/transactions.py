@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import (
-    customer_key,
     daytime,
     epoch_millis,
     quantity_level,
     visitor_hex,
 )
-from ..functions.ordering import MAX_SEGMENT, dense_ids, segments
+from ..functions.ordering import MAX_SEGMENT, dense_ids, known, positions, segments
 from ..sources.scans import filter_not_deleted, filter_orders, scan_conversion_item
 
 DAY = 86_400_000  # milliseconds
@@ -108,26 +107,30 @@ def visit_paths(actions: DataFrame, max_pages: int = MAX_SEGMENT) -> DataFrame:
     )
 
 
-def customer_sequences(baskets: DataFrame, max_orders: int = MAX_SEGMENT) -> DataFrame:
-    """Baskets per customer in time order, ties by order id."""
+def customer_sequences(baskets: DataFrame, max_items: int = MAX_SEGMENT) -> DataFrame:
+    """Baskets per customer in time order, ties by order id.
+
+    A row begins with the first basket that has ``max_items`` items or a multiple of
+    them before it, so it holds at most that many items and one basket more.
+    """
+    keys, order = ["idsite", "user"], ["timestamp", "idorder", "part"]
+    parts = baskets.withColumnRenamed("segment", "part")
+    placed = positions(parts, keys, order, slot_of("timestamp"), "_items_before", F.size("items").cast("bigint"))
     whole = F.struct("timestamp", "idorder", "items")
     return segments(
-        baskets.withColumnRenamed("segment", "part"),
-        ["idsite", "user"],
-        ["timestamp", "idorder", "part"],
-        whole,
-        slot_of("timestamp"),
-        "baskets",
-        max_len=max_orders,
+        placed, keys, order, whole, None, "baskets", max_len=max_items, position=F.col("_items_before")
     )
 
 
 def numbered_baskets(baskets: DataFrame) -> DataFrame:
-    """Baskets with a gap-free line number instead of site, customer and order."""
-    keyed = baskets.select("idsite", "user", "idorder", "segment", "items")
-    return dense_ids(keyed, ["idorder", "idsite", "user", "segment"], "lno").select(
-        "lno", "items"
-    )
+    """Baskets with a gap-free line number instead of site, customer and order.
+
+    An order has one number; one that is cut into segments has a row for each.
+    """
+    order = ["idorder", "idsite", "user"]
+    keyed = known(baskets.select(*order, "segment", "items"), order)
+    numbers = dense_ids(keyed.where(F.col("segment") == 0).select(*order), order, "lno")
+    return keyed.join(numbers, order).select("lno", "segment", "items")
 
 
 def categorical_items(items: DataFrame, conversions: DataFrame) -> DataFrame:
@@ -156,7 +159,3 @@ def categorical_items(items: DataFrame, conversions: DataFrame) -> DataFrame:
     )
     from_places = places.join(from_items.select(*keys).distinct(), keys, "left_semi").distinct()
     return from_items.unionByName(from_places)
-
-
-def with_customer(df: DataFrame) -> DataFrame:
-    return df.withColumn("cid", customer_key(F.col("idsite"), F.col("user")))
