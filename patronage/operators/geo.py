@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.columns import to_pixel
 from ..session import durable
@@ -68,18 +69,25 @@ def geo_clusters(
     return assign_clusters(points, fit_centers(points, clusters, iterations, seed))
 
 
-def customer_segments(
+def fit_segments(
     df: DataFrame,
     features: Sequence[str],
+    categories: Sequence[str] = (),
     clusters: int = 5,
     iterations: int = 100,
     seed: int = 5,
-) -> DataFrame:
-    """K-means over standardised numeric features; adds ``cluster``."""
-    data = durable(df.dropna(subset=list(features)))
+) -> tuple[PipelineModel, DataFrame]:
+    """K-means over standardised numeric features and one-hot categories, and the complete rows it was fitted on."""
+    data = durable(df.dropna(subset=[*features, *categories]))
+    hot = [f"_hot_{c}" for c in categories]
+    coded = [
+        StringIndexer(inputCols=[*categories], outputCols=[f"_code_{c}" for c in categories], stringOrderType="alphabetAsc"),
+        OneHotEncoder(inputCols=[f"_code_{c}" for c in categories], outputCols=hot, dropLast=False),
+    ]
     pipeline = Pipeline(
         stages=[
-            VectorAssembler(inputCols=list(features), outputCol="_raw"),
+            *(coded if categories else []),
+            VectorAssembler(inputCols=[*features, *hot], outputCol="_raw"),
             StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True, withStd=True),
             KMeans(
                 k=clusters, maxIter=iterations, seed=seed,
@@ -87,7 +95,28 @@ def customer_segments(
             ),
         ]
     )
-    return pipeline.fit(data).transform(data).drop("_raw", "_scaled")
+    return pipeline.fit(data), data
+
+
+def customer_segments(
+    df: DataFrame, features: Sequence[str], categories: Sequence[str] = (), **parameters
+) -> DataFrame:
+    """The complete rows with the ``cluster`` of their segment."""
+    model, data = fit_segments(df, features, categories, **parameters)
+    return model.transform(data).select(*df.columns, "cluster")
+
+
+def at_nearest_center(model: PipelineModel, rows: DataFrame) -> DataFrame:
+    """Rows with their ``cluster``, and in ``nearest`` whether no centre is nearer than that one's."""
+    placed = model.transform(rows).withColumn("_x", vector_to_array("_scaled"))
+
+    def away(center) -> Column:
+        apart = F.zip_with("_x", F.array(*[F.lit(float(c)) for c in center]), lambda a, b: (a - b) * (a - b))
+        return F.aggregate(apart, F.lit(0.0), lambda s, x: s + x)
+
+    distances = F.array(*[away(c) for c in model.stages[-1].clusterCenters()])
+    nearest = F.get(distances, F.col("cluster")) <= F.array_min(distances) + 1e-9
+    return placed.withColumn("nearest", nearest).select(*rows.columns, "cluster", "nearest")
 
 
 def project_pixels(points: DataFrame, width: int, height: int) -> DataFrame:
@@ -95,12 +124,12 @@ def project_pixels(points: DataFrame, width: int, height: int) -> DataFrame:
     return points.withColumn("x", x).withColumn("y", y)
 
 
-def cluster_pixels(clustered: DataFrame, width: int, height: int) -> DataFrame:
-    """Pixels of points and of their cluster centres."""
+def cluster_pixels(clustered: DataFrame, width: int, height: int, *more: str) -> DataFrame:
+    """Pixels of points and of their cluster centres, and further columns as they are."""
     cx, cy = to_pixel(F.col("clat"), F.col("clon"), width, height)
     x, y = to_pixel(F.col("lat"), F.col("lon"), width, height)
     return clustered.select(
-        "cluster", cx.alias("cx"), cy.alias("cy"), x.alias("x"), y.alias("y")
+        "cluster", cx.alias("cx"), cy.alias("cy"), x.alias("x"), y.alias("y"), *more
     )
 
 

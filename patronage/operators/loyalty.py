@@ -24,14 +24,18 @@ HIDDEN = ("L", "N", "H")
 # time since the last purchase (small, medium, large) x amount (less, same, more)
 OBSERVABLE = tuple(t + a for t in "SML" for a in "LSM")
 PIECE = 10_000
+# Decoding copies a growing list at each step, so it works on shorter pieces.
+DECODED_AT_ONCE = 256
 
 
 class HiddenMarkov(NamedTuple):
-    """Start, step and emission probabilities, rows in ``HIDDEN`` order."""
+    """Start, step and emission probabilities, rows in the order of ``hidden``, columns of ``emit`` in that of ``observable``."""
 
     start: tuple[float, ...]
     step: tuple[tuple[float, ...], ...]
     emit: tuple[tuple[float, ...], ...]
+    hidden: tuple[str, ...] = HIDDEN
+    observable: tuple[str, ...] = OBSERVABLE
 
 
 def loyalty_observations(transactions: DataFrame, **thresholds) -> DataFrame:
@@ -39,17 +43,22 @@ def loyalty_observations(transactions: DataFrame, **thresholds) -> DataFrame:
     return transaction_states(transactions, amount_letters="LSM", **thresholds)
 
 
-def _codes(state: Column) -> Column:
-    return F.array_position(F.array(*[F.lit(o) for o in OBSERVABLE]), state).cast("int") - 1
+def _codes(state: Column, observable: Sequence[str]) -> Column:
+    """Place of an observed state; a state the model does not know is an error."""
+    place = F.array_position(F.array(*[F.lit(o) for o in observable]), state).cast("int")
+    unknown = F.raise_error(F.concat(F.lit("unknown state "), F.coalesce(state, F.lit("null")))).cast("int")
+    return F.when(place > 0, place - 1).otherwise(unknown)
 
 
-def observation_pieces(observations: DataFrame, piece: int = PIECE) -> DataFrame:
+def observation_pieces(
+    observations: DataFrame, piece: int = PIECE, observable: Sequence[str] = OBSERVABLE
+) -> DataFrame:
     """Observation numbers per customer in time order, in pieces."""
     return segments(
         observations,
         KEYS,
         ORDER,
-        _codes(F.col("state")),
+        _codes(F.col("state"), observable),
         None,
         "obs",
         max_len=piece,
@@ -78,17 +87,21 @@ def loyalty_states(
 ) -> DataFrame:
     """The most likely level of every observation (Viterbi, in logs), per customer.
 
+    A row has up to ``piece`` levels in time order and the position of the first of
+    them. Decoding itself goes in shorter pieces, the largest that divide a row.
+
     Three steps: each piece is summed up by the best log-probability between every
     pair of levels; per customer these few matrices fix the level at the end of
     each piece; each piece is then decoded between its fixed ends.
     """
-    size = len(HIDDEN)
+    size = len(model.hidden)
     span = range(size)
+    short = next(d for d in range(min(piece, DECODED_AT_ONCE), 0, -1) if piece % d == 0)
     start = [F.lit(_log(p)) for p in model.start]
     step = [[F.lit(_log(p)) for p in row] for row in model.step]
     emit = [F.array(*[F.lit(_log(p)) for p in row]) for row in model.emit]
 
-    pieces = observation_pieces(observations, piece)
+    pieces = observation_pieces(observations, short, model.observable)
     first = F.get("obs", F.lit(0))
     rest = F.slice("obs", F.lit(2), F.size("obs"))
 
@@ -193,18 +206,25 @@ def loyalty_states(
             lambda acc, b: F.array_append(acc, F.get(b, F.element_at(acc, -1))),
         )
     )
-    names = F.array(*[F.lit(h) for h in HIDDEN])
-    return decoded.select(
-        *KEYS, "segment", F.transform(levels, lambda i: F.get(names, i)).alias("states")
+    names = F.array(*[F.lit(h) for h in model.hidden])
+    named = decoded.select(*KEYS, "segment", F.transform(levels, lambda i: F.get(names, i)).alias("part"))
+    row = F.floor(F.col("segment") * F.lit(short) / F.lit(piece)).cast("int")
+    parts = F.array_sort(F.collect_list(F.struct("segment", "part")))
+    joined = named.groupBy(*KEYS, row.alias("row")).agg(F.flatten(F.transform(parts, lambda p: p["part"])).alias("states"))
+    return joined.select(
+        *KEYS, F.col("row").alias("segment"), (F.col("row").cast("bigint") * piece).alias("first"), "states"
     )
 
 
-def loyalty_trend(states: DataFrame, piece: int = PIECE) -> DataFrame:
-    """Slope of each customer's loyalty curve (L=0, N=1, H=2 per step); below 0 is downward."""
-    level = F.array_position(F.array(*[F.lit(h) for h in HIDDEN]), F.col("s")).cast("double") - 1
-    steps = states.select(*KEYS, "segment", F.posexplode("states").alias("p", "s")).select(
+def loyalty_trend(states: DataFrame, hidden: Sequence[str] = HIDDEN) -> DataFrame:
+    """Slope of each customer's loyalty curve (0, 1, 2 for L, N, H per step); below 0 is downward.
+
+    ``states`` says where in the history each row begins, so rows may be of any length.
+    """
+    level = F.array_position(F.array(*[F.lit(h) for h in hidden]), F.col("s")).cast("double") - 1
+    steps = states.select(*KEYS, "first", F.posexplode("states").alias("p", "s")).select(
         *KEYS,
-        (F.col("segment").cast("double") * piece + F.col("p")).alias("pos"),
+        (F.col("first") + F.col("p")).cast("double").alias("pos"),
         level.alias("level"),
     )
     fitted = steps.groupBy(*KEYS).agg(
@@ -342,7 +362,9 @@ def _messages(pdf: pd.DataFrame) -> pd.DataFrame:
     )
 
 
-def starting_model(seed: int = 11) -> HiddenMarkov:
+def starting_model(
+    seed: int = 11, hidden: Sequence[str] = HIDDEN, observable: Sequence[str] = OBSERVABLE
+) -> HiddenMarkov:
     """A nearly even model, tilted by the seed so that the levels can part."""
     rng = np.random.default_rng(seed)
 
@@ -350,18 +372,22 @@ def starting_model(seed: int = 11) -> HiddenMarkov:
         p = 1.0 + 0.2 * rng.random((n, m))
         return tuple(map(tuple, p / p.sum(axis=1, keepdims=True)))
 
-    h, o = len(HIDDEN), len(OBSERVABLE)
-    return HiddenMarkov(rows(1, h)[0], rows(h, h), rows(h, o))
+    h, o = len(hidden), len(observable)
+    return HiddenMarkov(rows(1, h)[0], rows(h, h), rows(h, o), tuple(hidden), tuple(observable))
 
 
-def _ordered(start, step, emit) -> HiddenMarkov:
-    """Name the levels by the amount they spend: least is L, most is H."""
-    amount = np.array([{"L": 0.0, "S": 1.0, "M": 2.0}[o[1]] for o in OBSERVABLE])
-    rank = np.argsort(emit @ amount, kind="stable")
+def _ordered(start, step, emit, hidden, observable) -> HiddenMarkov:
+    """Name the levels by the amount they spend, least first, where the states tell amounts."""
+    amounts = {"L": 0.0, "S": 1.0, "M": 2.0}
+    rank = np.arange(len(hidden))
+    if all(o[-1:] in amounts for o in observable):
+        rank = np.argsort(emit @ np.array([amounts[o[-1]] for o in observable]), kind="stable")
     return HiddenMarkov(
         tuple(start[rank]),
         tuple(map(tuple, step[np.ix_(rank, rank)])),
         tuple(map(tuple, emit[rank])),
+        tuple(hidden),
+        tuple(observable),
     )
 
 
@@ -377,16 +403,21 @@ def hmm_train(
     seed: int = 11,
     piece: int = PIECE,
     start_model: HiddenMarkov | None = None,
+    hidden: Sequence[str] = HIDDEN,
+    observable: Sequence[str] = OBSERVABLE,
 ) -> Training:
     """Baum-Welch over all customers; stops when no probability moves by ``epsilon``.
 
     Equal histories are counted once with their weight. Per round the driver
-    receives 40 sums, whatever the data size.
+    receives as many sums as the model has numbers, whatever the data size. A start
+    model brings its own alphabets.
     """
-    pieces = durable(observation_pieces(observations, piece))
+    model = start_model or starting_model(seed, hidden, observable)
+    hidden, observable = model.hidden, model.observable
+    pieces = durable(observation_pieces(observations, piece, observable))
     long_keys = durable(pieces.where("segment > 0").select(*KEYS).distinct())
     any_long = not long_keys.isEmpty()
-    h = len(HIDDEN)
+    h = len(hidden)
     short = pieces.join(long_keys, KEYS, "left_anti") if any_long else pieces
     even = F.array(*[F.lit(1.0 / h)] * h)
     ones = F.array(*[F.lit(1.0)] * h)
@@ -397,8 +428,7 @@ def hmm_train(
     )
     long = durable(pieces.join(long_keys, KEYS, "left_semi")) if any_long else None
 
-    model = start_model or starting_model(seed)
-    arrays = tuple(np.array(p, dtype=float) for p in model)
+    arrays = tuple(np.array(p, dtype=float) for p in model[:3])
     history: list[float] = []
     for _ in range(max_iterations):
         work = short
@@ -437,20 +467,20 @@ def hmm_train(
         arrays = tuple(fresh)
         if moved < epsilon:
             break
-    return Training(_ordered(*arrays), history)
+    return Training(_ordered(*arrays, hidden, observable), history)
 
 
 def model_table(spark: SparkSession, model: HiddenMarkov) -> DataFrame:
-    """The model's 39 numbers as rows (part, state, target, prob)."""
-    rows = [("start", "", h, float(p)) for h, p in zip(HIDDEN, model.start)]
+    """The model's numbers as rows (part, state, target, prob)."""
+    rows = [("start", "", h, float(p)) for h, p in zip(model.hidden, model.start)]
     rows += [
         ("step", a, b, float(p))
-        for a, line in zip(HIDDEN, model.step)
-        for b, p in zip(HIDDEN, line)
+        for a, line in zip(model.hidden, model.step)
+        for b, p in zip(model.hidden, line)
     ]
     rows += [
         ("emit", a, b, float(p))
-        for a, line in zip(HIDDEN, model.emit)
-        for b, p in zip(OBSERVABLE, line)
+        for a, line in zip(model.hidden, model.emit)
+        for b, p in zip(model.observable, line)
     ]
     return spark.createDataFrame(rows, "part string, state string, target string, prob double")

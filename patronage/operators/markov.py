@@ -178,66 +178,56 @@ def next_state(transactions: DataFrame, states: DataFrame) -> DataFrame:
     return _next(customers, rhythm(states)).select(*KEYS, "state", "next", "prob", "basis")
 
 
-def _means(known: DataFrame, keys: list[str], label: str) -> DataFrame:
-    """Mean gap per time letter and mean revenue ratio per amount letter."""
-    parts = F.explode(
-        F.array(
-            F.struct(
-                F.lit("time").alias("kind"),
-                F.substring("next", 1, 1).alias("letter"),
-                F.col("gaps").cast("double").alias("x"),
-                F.col("n").alias("n"),
-            ),
-            F.struct(
-                F.lit("amount").alias("kind"),
-                F.substring("next", 2, 1).alias("letter"),
-                F.col("ratios").alias("x"),
-                F.col("rated").alias("n"),
-            ),
-        )
-    )
-    mean = F.when(F.sum("p.n") > 0, F.sum("p.x") / F.sum("p.n"))
-    return (
-        known.select(*keys, parts.alias("p"))
-        .groupBy(*keys, F.col("p.kind").alias("kind"), F.col("p.letter").alias("letter"))
-        .agg(mean.alias(label))
-    )
+def _of_kind(kind: str) -> Column:
+    return F.substring("next", 1 if kind == "time" else 2, 1)
+
+
+def _site_means(known: DataFrame, kind: str, total: str, n: str) -> DataFrame:
+    """Mean gap or ratio of a site's states with the same time or amount letter."""
+    mean = F.when(F.sum(n) > 0, F.sum(F.col(total).cast("double")) / F.sum(n))
+    return known.groupBy("idsite", _of_kind(kind).alias(f"{kind}_letter")).agg(mean.alias(f"site_{kind}"))
 
 
-def purchase_horizon(transactions: DataFrame, states: DataFrame) -> DataFrame:
+def purchase_horizon(
+    transactions: DataFrame, states: DataFrame, time_letters: str = "SML", amount_letters: str = "LEG"
+) -> DataFrame:
     """Likely time and amount of each customer's next purchase.
 
     Time: last purchase plus the mean gap of the predicted time letter. Amount:
     last revenue times the mean ratio of the predicted amount letter. Means are
     the customer's own where there are any, else the site's. Customers with a
     single transaction get nulls.
+
+    A customer's own means are looked up in one row that holds the sums by letter,
+    at most three of each kind.
     """
     known = rhythm(states)
     last = transactions.groupBy(*KEYS).agg(
         F.max_by(F.struct("timestamp", "revenue_subtotal"), F.struct(*ORDER)).alias("l")
     )
-    ahead = durable(_next(last, known))
-    wanted = F.explode(
-        F.array(
-            F.struct(F.lit("time").alias("kind"), F.substring("next", 1, 1).alias("letter")),
-            F.struct(F.lit("amount").alias("kind"), F.substring("next", 2, 1).alias("letter")),
-        )
-    )
-    factors = (
-        ahead.where(F.col("state").isNotNull() & F.col("next").isNotNull())
-        .select(*KEYS, wanted.alias("w"))
-        .select(*KEYS, "w.*")
-        .join(_means(known, KEYS, "own"), [*KEYS, "kind", "letter"], "left")
-        .join(_means(known, ["idsite"], "site"), ["idsite", "kind", "letter"], "left")
-        .groupBy(*KEYS)
-        .agg(
-            F.max(F.when(F.col("kind") == "time", F.coalesce("own", "site"))).alias("gap"),
-            F.max(F.when(F.col("kind") == "amount", F.coalesce("own", "site"))).alias("ratio"),
-        )
+    sums = [
+        F.sum(F.when(_of_kind(kind) == letter, F.col(c)).cast("double")).alias(f"{kind}_{letter}_{c}")
+        for kind, letters, columns in (("time", time_letters, ("gaps", "n")), ("amount", amount_letters, ("ratios", "rated")))
+        for letter in letters
+        for c in columns
+    ]
+    own = known.groupBy(*KEYS).agg(*sums)
+
+    def mine(kind: str, letters: str, total: str, n: str) -> Column:
+        picks = [(F.col(f"{kind}_letter") == x, F.col(f"{kind}_{x}_{total}") / F.col(f"{kind}_{x}_{n}"), F.col(f"{kind}_{x}_{n}") > 0) for x in letters]
+        return F.coalesce(*[F.when(is_it & some, mean) for is_it, mean, some in picks], F.col(f"site_{kind}"))
+
+    sure = F.col("state").isNotNull() & F.col("next").isNotNull()
+    ahead = _next(last, known).withColumns({f"{k}_letter": F.when(sure, _of_kind(k)) for k in ("time", "amount")})
+    joined = (
+        ahead.join(own, KEYS, "left")
+        .join(_site_means(known, "time", "gaps", "n"), ["idsite", "time_letter"], "left")
+        .join(_site_means(known, "amount", "ratios", "rated"), ["idsite", "amount_letter"], "left")
     )
-    return ahead.join(factors, KEYS, "left").select(
+    gap, ratio = mine("time", time_letters, "gaps", "n"), mine("amount", amount_letters, "ratios", "rated")
+    return joined.select(
         *KEYS,
         F.when(F.col("state").isNotNull(), F.col("next")).alias("next"),
-        (F.col("l.timestamp") + F.floor(F.col("gap") + F.lit(0.5))).alias("next_timestamp"),
-        (F.col("l.revenue_subtotal") * F.col("ratio")).alias("next_amount"),
+        (F.col("l.timestamp") + F.floor(gap + F.lit(0.5))).alias("next_timestamp"),
+        (F.col("l.revenue_subtotal") * ratio).alias("next_amount"),
     )

@@ -28,12 +28,21 @@ def visitor_counts(
     window: str = "15 seconds",
     slide: str = "2 seconds",
     late: str | None = None,
+    tick: str = "second",
 ) -> DataFrame:
-    """Views per visitor in a sliding window."""
+    """Views per visitor in a sliding window.
+
+    Windows begin and end on whole ticks, so a table's views are counted per tick
+    first and the counts, not the views, are copied into their windows.
+    """
+    if views.isStreaming:
+        ticks = _marked(views, late).select("timestamp", "visitor", F.lit(1).cast("bigint").alias("n"))
+    else:
+        at = F.date_trunc(tick, "timestamp").alias("timestamp")
+        ticks = views.groupBy(at, "visitor").agg(F.count(F.lit(1)).alias("n"))
     return (
-        _marked(views, late)
-        .groupBy(F.window("timestamp", window, slide).alias("w"), "visitor")
-        .agg(F.count(F.lit(1)).alias("count"))
+        ticks.groupBy(F.window("timestamp", window, slide).alias("w"), "visitor")
+        .agg(F.sum("n").alias("count"))
         .select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), "visitor", "count")
     )
 
@@ -62,14 +71,20 @@ def distinct_visitors(
     )
 
 
-def clickstream_estimates(views: DataFrame, window: str = "1 day", k: int = 5) -> DataFrame:
-    """Estimated number of pages and of visitors, and likely top pages, per site and window."""
+def clickstream_estimates(
+    views: DataFrame, window: str = "1 day", k: int = 5, late: str | None = None, tracked: int = 10_000
+) -> DataFrame:
+    """Estimated number of pages and of visitors, and likely top pages, per site and window.
+
+    ``tracked`` is how many pages the top-k sketch follows; with at most so many pages
+    in a window its counts are exact.
+    """
     return (
-        views.groupBy(F.window("timestamp", window).alias("w"), "site")
+        _marked(views, late).groupBy(F.window("timestamp", window).alias("w"), "site")
         .agg(
             F.approx_count_distinct("pageurl").alias("pages"),
             F.approx_count_distinct("visitor").alias("visitors"),
-            F.expr(f"approx_top_k(pageurl, {int(k)})").alias("top"),
+            F.expr(f"approx_top_k(pageurl, {int(k)}, {int(tracked)})").alias("top"),
         )
         .select(
             F.col("w.start").alias("start"),
