@@ -14,7 +14,8 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
     "conv": (
         (),
         """SELECT o_orderkey, o_custkey, 1 + o_custkey % 3 AS idsite, lower(to_hex(o_custkey)) AS "user",
-        o_orderdate AS server_time, epoch_ms(o_orderdate) AS "timestamp",
+        o_orderdate + to_hours(o_orderkey * 7 % 24) AS server_time,
+        epoch_ms(o_orderdate) + o_orderkey * 7 % 24 * 3600000 AS "timestamp",
         CAST(o_orderkey AS VARCHAR) AS idorder,
         CAST(CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END AS INTEGER) AS idgoal,
         o_totalprice AS revenue_subtotal,
@@ -25,8 +26,8 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
     "item": (
         (),
         """SELECT 1 + o_custkey % 3 AS idsite, lower(to_hex(o_custkey)) AS "user", o_custkey,
-        o_orderdate + to_seconds(l_linenumber) AS server_time,
-        epoch_ms(o_orderdate) + l_linenumber * 1000::BIGINT AS "timestamp",
+        o_orderdate + to_hours(o_orderkey * 7 % 24) + to_seconds(l_linenumber) AS server_time,
+        epoch_ms(o_orderdate) + o_orderkey * 7 % 24 * 3600000 + l_linenumber * 1000::BIGINT AS "timestamp",
         CAST(o_orderkey AS VARCHAR) AS idorder, l_partkey AS idaction_sku,
         CAST(replace(p_brand, 'Brand#', '') AS BIGINT) AS brand,
         l_extendedprice AS price, l_quantity AS quantity, l_returnflag = 'R' AS deleted
@@ -388,10 +389,13 @@ def build() -> dict[str, str]:
         """SELECT '{"url":"' || pageurl || '","count":' || count(*) || '}' AS value
         FROM view GROUP BY date_trunc('day', ts), pageurl""",
     )
+    q["stream_sink_visitor_json"] = (
+        _sliding("""'{"visitor":"' || visitor || '","count":' || count(*) || '}' AS value""") + " GROUP BY start, visitor"
+    )
     q["preferences_json"] = _sql(
         "score",
-        """SELECT "user", 0::INTEGER AS part, '{"items":[' || string_agg('{"user":"' || "user" || '","product":"' ||
-        product || '","score":' || score || '}', ',' ORDER BY product) || ']}' AS json FROM score GROUP BY "user" """,
+        """SELECT "user", 0::INTEGER AS part, '{"part":0,"parts":1,"items":[' || string_agg('{"user":"' || "user" || '","product":"' ||
+        product || '","score":' || score || '}', ',' ORDER BY score DESC, product) || ']}' AS json FROM score GROUP BY "user" """,
     )
 
     q["visitor_hex"] = _sql("conv", 'SELECT idorder, "user" FROM conv')
@@ -436,8 +440,8 @@ def build() -> dict[str, str]:
     )
     q["numbered_baskets"] = _sql(
         "basket",
-        """SELECT row_number() OVER (ORDER BY substr(md5(idorder || '|' || idsite || '|' || "user" || '|0'), 1, 3),
-        idorder, idsite, "user") - 1 AS lno, items FROM basket""",
+        """SELECT row_number() OVER (ORDER BY substr(md5(idorder || '|' || idsite || '|' || "user"), 1, 3),
+        idorder, idsite, "user") - 1 AS lno, segment, items FROM basket""",
     )
 
     q["user_totals"] = _sql("totals", "SELECT cid, total FROM totals")
@@ -456,6 +460,15 @@ def build() -> dict[str, str]:
         + f""", num AS ({numbered}) SELECT u.idx AS uid, p.idx AS pid, score::DOUBLE AS rating FROM bounded
         JOIN num u ON u.kind = 'user' AND u.term = "user" JOIN num p ON p.kind = 'product' AND p.term = product"""
     )
+    trained = "SELECT cid FROM brandline GROUP BY cid HAVING count(DISTINCT item) >= 10 AND count(DISTINCT item) < 20"
+    q["als_train"] = _sql("brandline", f'SELECT cid AS "user", true AS solved FROM ({trained})')
+    q["als_train_parts"] = _sql("line", f'SELECT cid AS "user", true AS solved FROM ({trained.replace("brandline", "line")})')
+    q["model_store"] = _sql(
+        "brandline",
+        f"""SELECT side, {s.RANK}::INTEGER AS rank, terms, 'brands' AS model, 2000::BIGINT AS saved_at FROM (
+        SELECT 'user' AS side, count(DISTINCT cid) AS terms FROM brandline WHERE cid IN ({trained})
+        UNION ALL SELECT 'product', count(DISTINCT item) FROM brandline WHERE cid IN ({trained}))""",
+    )
     q["predict_pairs"] = _sql(
         "factor",
         """SELECT u.term AS "user", p.term AS product, CAST(trunc(list_dot_product(u.f, p.f)) AS INTEGER) AS score,
@@ -522,6 +535,8 @@ def build() -> dict[str, str]:
 
     brands = _itemsets("brandline", "idorder", "brandline", s.ITEMSET_SUPPORT, 4)
     q["frequent_itemsets"] = f"{brands} SELECT array_to_string(items, ' ') AS items, support FROM sets"
+    parts = _itemsets("line", "idorder", "line", s.PART_SUPPORT, 3)
+    q["part_itemsets"] = f"{parts} SELECT array_to_string(items, ' ') AS items, support FROM sets"
     q["top_k_rules"] = _top_rules(brands, s.RULE_CONFIDENCE)
     q["also_bought"] = (
         f"{brands}, have AS (SELECT cid, idorder, list(item) AS items FROM brandline GROUP BY ALL) "
@@ -553,6 +568,12 @@ def build() -> dict[str, str]:
     )
     q["sequence_groups"] = _sql("grp", "SELECT cid, head, copies FROM grp")
     q["customer_similarity"] = _sql(
+        "sim", f"SELECT a, b, similarity FROM sim WHERE a < b AND similarity >= {s.SIMILARITY}::DOUBLE"
+    )
+    q["close_customers"] = _sql(
+        "sim", f"SELECT a, b, similarity FROM sim WHERE a < b AND similarity >= {s.CLOSE}::DOUBLE"
+    )
+    q["similar_histories"] = _sql(
         "sim grp",
         f"""SELECT a, b, similarity FROM sim WHERE a < b AND similarity >= {s.SIMILARITY}::DOUBLE
         AND a IN (SELECT head FROM grp) AND b IN (SELECT head FROM grp)""",
@@ -564,6 +585,11 @@ def build() -> dict[str, str]:
         WHERE a IN (SELECT cid FROM selected)) WHERE rank <= {s.TOP_SIMILAR}""",
     )
 
+    q["geo_clusters"] = _sql("conv", "SELECT lat, lon, true AS nearest, true AS centred FROM conv")
+    q["cluster_pixels"] = _sql("pix", "SELECT x, y, true AS centred FROM pix")
+    q["customer_segments"] = _sql(
+        "tx kept", 'SELECT idsite, "user", idorder, true AS nearest FROM tx WHERE idorder IN (SELECT idorder FROM kept)'
+    )
     q["assign_clusters"] = _sql("near", "SELECT cluster, clat, clon, lat, lon FROM near")
     q["project_pixels"] = _sql(
         "conv",
@@ -583,9 +609,10 @@ def build() -> dict[str, str]:
     def channel(expression: str) -> str:
         return f"CAST(trunc(least(greatest({expression}, 0.0::DOUBLE), 255.0::DOUBLE)) AS INTEGER)"
 
-    q["heat_colour"] = (
-        _with(("heat",))
-        + f""", z AS (SELECT x, y, round(heat / (SELECT max(heat) FROM heat), 6) / 0.7::DOUBLE AS w FROM heat)
+    def colours(share: str) -> str:
+        return (
+            _with(("heat",))
+            + f""", z AS (SELECT x, y, {share} / 0.7::DOUBLE AS w FROM heat)
         SELECT x, y,
         CASE WHEN w < 0.5 THEN 0 WHEN w < 0.75 THEN {channel('255 * (0.75 - w) / 0.25')}
              ELSE {channel('255 * (w - 0.75) / 0.25')} END AS r,
@@ -593,7 +620,10 @@ def build() -> dict[str, str]:
              ELSE {channel('255 * (1.0 - w) / 0.25')} END AS g,
         CASE WHEN w < 0.25 THEN {channel('255 * w / 0.25')} WHEN w < 0.5 THEN {channel('255 * (0.5 - w) / 0.25')}
              ELSE 0 END AS b, 200 AS a FROM z"""
-    )
+        )
+
+    q["heat_colour"] = colours("heat")
+    q["heat_share_colour"] = colours("round(heat / (SELECT max(heat) FROM heat), 6)")
 
     q["page_counts"] = _sql(
         "view",
@@ -605,6 +635,11 @@ def build() -> dict[str, str]:
         + " GROUP BY start, visitor"
     )
     q["visitor_counts_stream"] = q["visitor_counts"]
+    q["clickstream_estimates"] = _sql(
+        "view",
+        """SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS start, site, count(DISTINCT pageurl) AS exact_pages,
+        count(DISTINCT visitor) AS exact_visitors, true AS pages_near, true AS visitors_near FROM view GROUP BY 1, 2""",
+    )
     q["distinct_visitors"] = (
         _sliding('start, start + INTERVAL 15 SECOND AS "end", count(DISTINCT visitor) AS visitors')
         + " GROUP BY start"

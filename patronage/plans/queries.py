@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import columns as c
+from ..functions.columns import to_pixel
 from ..operators import (
     geo,
     loyalty,
@@ -133,21 +134,30 @@ def stream_source(spark, sf_dir):
 
 @query
 def stream_sink_json(spark, sf_dir):
-    path = scratch(spark, "pagecount")
-    counted = counts.page_counts(feed.page_views(_click_stream(spark, sf_dir)), "1 day")
-    messages = feed.json_messages(counted, ["url", "count"])
+    counted = counts.page_counts(feed.page_views(_click_stream(spark, sf_dir)), "1 day", late=s.LATE)
+    return feed.json_messages(_drained(counted, ["start", "end", "url"]), ["url", "count"])
 
-    def replace(result: DataFrame, _: int) -> None:
-        result.write.mode("overwrite").text(path)
 
-    feed.write_each(
-        messages, replace, scratch(spark, "progress"), "complete", drain=True
-    ).awaitTermination()
-    return spark.read.text(path)
+def _drained(counted: DataFrame, keys: list[str]) -> DataFrame:
+    """What a stream of counts has stored once its input is used up."""
+    spark = counted.sparkSession
+    path = scratch(spark, "counts")
+    feed.write_updates(counted, path, scratch(spark, "progress"), drain=True).awaitTermination()
+    return feed.latest(spark, path, counted.schema, keys)
+
+
+def _visitor_stream(spark, sf_dir):
+    counted = counts.visitor_counts(feed.page_views(_click_stream(spark, sf_dir)), late=s.LATE)
+    return _drained(counted, ["start", "end", "visitor"])
+
+
+@query
+def stream_sink_visitor_json(spark, sf_dir):
+    return feed.json_messages(_visitor_stream(spark, sf_dir), ["visitor", "count"])
 
 
 def _trained(spark, sf_dir):
-    return recommend.train(_lines(spark, sf_dir, "brand"), partitions=8)
+    return recommend.train(_lines(spark, sf_dir, "brand"))
 
 
 @query
@@ -285,7 +295,7 @@ def customer_sequences(spark, sf_dir):
 @query
 def numbered_baskets(spark, sf_dir):
     baskets = tx.order_baskets(mapping.log_conversion_item(spark, sf_dir))
-    return tx.numbered_baskets(baskets).select("lno", _text("items"))
+    return tx.numbered_baskets(baskets).select("lno", "segment", _text("items"))
 
 
 # ----------------------------------------------- preferences, recommendation
@@ -345,12 +355,24 @@ def rating_matrix(spark, sf_dir):
     )
 
 
+def _solved(spark, sf_dir, sku):
+    """Every training user, and whether the fit solved its equations."""
+    scores = durable(preferences.bounded_users(preferences.preference_scores(_lines(spark, sf_dir, sku))))
+    users = durable(preferences.dictionary(scores, "user"))
+    products = durable(preferences.dictionary(scores, "product"))
+    ratings = durable(preferences.rating_matrix(scores, users, products))
+    fitted = recommend.Recommender(users, products, recommend.als_train(ratings))
+    return recommend.solved_users(fitted, ratings)
+
+
 @query
 def als_train(spark, sf_dir):
-    fitted = _trained(spark, sf_dir)
-    users, products = recommend.factor_tables(fitted)
-    pairs = recommend.zip_pairs(fitted.users, fitted.products)
-    return recommend.predict_pairs(pairs, users, products)
+    return _solved(spark, sf_dir, "brand")
+
+
+@query
+def als_train_parts(spark, sf_dir):
+    return _solved(spark, sf_dir, "part")
 
 
 def _fixed_factors(terms: DataFrame, name: str, salt: int) -> DataFrame:
@@ -457,7 +479,7 @@ def loyalty_observations(spark, sf_dir):
 
 @query
 def hmm_train(spark, sf_dir):
-    fitted = loyalty.hmm_train(_observations(spark, sf_dir), max_iterations=10)
+    fitted = loyalty.hmm_train(_observations(spark, sf_dir))
     return loyalty.model_table(spark, fitted.model)
 
 
@@ -491,11 +513,17 @@ def frequent_itemsets(spark, sf_dir):
     return found.select(_text("items"), "support")
 
 
+@query
+def part_itemsets(spark, sf_dir):
+    found = rules.frequent_itemsets(_lines(spark, sf_dir), s.PART_SUPPORT)
+    return found.select(_text("items"), "support")
+
+
 @query
 def top_k_rules(spark, sf_dir):
     lines = _lines(spark, sf_dir, "brand")
     return _rule_text(
-        rules.top_k_rules(lines, s.TOP_RULES, s.RULE_CONFIDENCE, s.ITEMSET_SUPPORT)
+        rules.top_k_rules(lines, s.TOP_RULES, s.RULE_CONFIDENCE)
     )
 
 
@@ -510,7 +538,7 @@ def also_bought(spark, sf_dir):
 def multi_predicate_rules(spark, sf_dir):
     return _rule_text(
         rules.top_k_rules(
-            _categories(spark, sf_dir), s.TOP_RULES, s.CATEGORY_CONFIDENCE, s.CATEGORY_SUPPORT
+            _categories(spark, sf_dir), s.TOP_RULES, s.CATEGORY_CONFIDENCE
         )
     )
 
@@ -522,7 +550,7 @@ def page_rules(spark, sf_dir):
     )
     return _rule_text(
         rules.top_k_rules(
-            pages, s.TOP_RULES, s.PAGE_CONFIDENCE, s.PAGE_SUPPORT, ["idsite", "idvisit"]
+            pages, s.TOP_RULES, s.PAGE_CONFIDENCE, ["idsite", "idvisit"]
         )
     )
 
@@ -530,7 +558,7 @@ def page_rules(spark, sf_dir):
 @query
 def sequence_patterns(spark, sf_dir):
     lines = similarity.sequence_lines(_lines(spark, sf_dir, "brand"))
-    found = rules.sequence_patterns(lines, s.SEQUENCE_SUPPORT, 2)
+    found = rules.sequence_patterns(lines, s.SEQUENCE_SUPPORT)
     text = F.array_join(
         F.transform(
             "pattern", lambda e: F.array_join(F.transform(e, lambda i: i.cast("string")), " ")
@@ -555,6 +583,18 @@ def customer_similarity(spark, sf_dir):
     return found.withColumn("similarity", F.round("similarity", 9))
 
 
+@query
+def close_customers(spark, sf_dir):
+    found = similarity.customer_similarity(_sequences(spark, sf_dir), s.CLOSE)
+    return found.withColumn("similarity", F.round("similarity", 9))
+
+
+@query
+def similar_histories(spark, sf_dir):
+    found = similarity.similar_histories(_sequences(spark, sf_dir), s.SIMILARITY)
+    return found.withColumn("similarity", F.round("similarity", 9))
+
+
 @query
 def top_k_similar(spark, sf_dir):
     return similarity.top_k_similar(
@@ -565,9 +605,21 @@ def top_k_similar(spark, sf_dir):
 # ------------------------------------------------------------------ geo, heat
 
 
+def _fitted(spark, sf_dir):
+    """Clustered places with the mean of each cluster's points."""
+    found = durable(geo.geo_clusters(_places(spark, sf_dir)))
+    means = found.groupBy("cluster").agg(F.avg("lat").alias("mlat"), F.avg("lon").alias("mlon"))
+    return found.join(means, "cluster"), [tuple(r) for r in found.select("clat", "clon").distinct().collect()]
+
+
 @query
 def geo_clusters(spark, sf_dir):
-    return geo.geo_clusters(_places(spark, sf_dir))
+    """Every point, whether it is at its nearest centre, and whether that is the mean of its points."""
+    found, centers = _fitted(spark, sf_dir)
+    away = lambda a, b: (F.col("lat") - a) * (F.col("lat") - a) + (F.col("lon") - b) * (F.col("lon") - b)
+    nearest = F.least(*[away(F.lit(a), F.lit(b)) for a, b in centers])
+    centred = (F.abs(F.col("clat") - F.col("mlat")) < 0.01) & (F.abs(F.col("clon") - F.col("mlon")) < 0.01)
+    return found.select("lat", "lon", (away(F.col("clat"), F.col("clon")) <= nearest + 1e-9).alias("nearest"), centred.alias("centred"))
 
 
 @query
@@ -577,15 +629,15 @@ def assign_clusters(spark, sf_dir):
 
 @query
 def customer_segments(spark, sf_dir):
-    """Orders grouped by time of day, revenue and the brand of their dearest item."""
+    """Orders grouped by time of day, revenue and the brand of their dearest item, and whether each is at its nearest centre."""
     items = scans.filter_not_deleted(mapping.log_conversion_item(spark, sf_dir, "brand"))
     main = items.groupBy("idorder").agg(
         F.max_by("idaction_sku", F.struct("price", "idaction_sku")).alias("category"),
         F.hour(F.min("server_time")).alias("hour"),
     )
     orders = _orders(spark, sf_dir).join(main, "idorder")
-    found = geo.customer_segments(orders, ["hour", "category", "revenue_subtotal"])
-    return found.select("idsite", "user", "idorder", "cluster")
+    model, rows = geo.fit_segments(orders, ["hour", "revenue_subtotal"], ["category"])
+    return geo.at_nearest_center(model, rows).select("idsite", "user", "idorder", "nearest")
 
 
 @query
@@ -596,7 +648,12 @@ def project_pixels(spark, sf_dir):
 
 @query
 def cluster_pixels(spark, sf_dir):
-    return geo.cluster_pixels(geo.geo_clusters(_places(spark, sf_dir)), s.WIDTH, s.HEIGHT)
+    """Every point's pixel, and whether its centre's pixel is that of the mean of the cluster's points, give or take one."""
+    found, _ = _fitted(spark, sf_dir)
+    placed = geo.cluster_pixels(found, s.WIDTH, s.HEIGHT, "mlat", "mlon")
+    mx, my = to_pixel(F.col("mlat"), F.col("mlon"), s.WIDTH, s.HEIGHT)
+    centred = (F.abs(F.col("cx") - mx) <= 1) & (F.abs(F.col("cy") - my) <= 1)
+    return placed.select("x", "y", centred.alias("centred"))
 
 
 def _pixels(spark, sf_dir):
@@ -621,12 +678,19 @@ def point_heat(spark, sf_dir):
     return found.withColumn("heat", F.round("heat", 6))
 
 
+def _heat(spark, sf_dir):
+    return geo.pixel_heat(_pixels(spark, sf_dir), s.WIDTH, s.HEIGHT).withColumn("heat", F.round("heat", 6))
+
+
 @query
 def heat_colour(spark, sf_dir):
+    return geo.heat_colour(_heat(spark, sf_dir))
+
+
+@query
+def heat_share_colour(spark, sf_dir):
     """Colours of the heat share: heat over its largest value."""
-    heat = geo.pixel_heat(_pixels(spark, sf_dir), s.WIDTH, s.HEIGHT).withColumn(
-        "heat", F.round("heat", 6)
-    )
+    heat = _heat(spark, sf_dir)
     top = heat.agg(F.max("heat").alias("top"))
     return geo.heat_colour(heat.withColumn("heat", F.round(F.col("heat") / top.scalar(), 6)))
 
@@ -654,21 +718,21 @@ def distinct_visitors(spark, sf_dir):
 
 @query
 def clickstream_estimates(spark, sf_dir):
-    found = counts.clickstream_estimates(_views(spark, sf_dir))
-    return found.withColumn("start", F.col("start").cast("timestamp_ntz"))
+    """Exact counts beside the question whether the estimates are within their bound."""
+    views = _views(spark, sf_dir)
+    found = counts.clickstream_estimates(views)
+    exact = views.groupBy(F.window("timestamp", "1 day")["start"].alias("start"), "site").agg(
+        F.countDistinct("pageurl").alias("exact_pages"), F.countDistinct("visitor").alias("exact_visitors")
+    )
+    # three times the relative standard deviation of the estimate; of few values one may fall on another
+    near = [
+        (F.abs(F.col(c) - F.col(f"exact_{c}")) <= 1 + 0.15 * F.col(f"exact_{c}")).alias(f"{c}_near") for c in ("pages", "visitors")
+    ]
+    joined = found.join(exact, ["start", "site"])
+    return joined.select(F.col("start").cast("timestamp_ntz").alias("start"), "site", "exact_pages", "exact_visitors", *near)
 
 
 @query
 def visitor_counts_stream(spark, sf_dir):
-    """The visitor counts from a drained stream, all windows kept."""
-    path = scratch(spark, "visitorcount")
-    found = counts.visitor_counts(feed.page_views(_click_stream(spark, sf_dir)))
-
-    def replace(result: DataFrame, _: int) -> None:
-        result.write.mode("overwrite").parquet(path)
-
-    feed.write_each(
-        found, replace, scratch(spark, "progress"), "complete", drain=True
-    ).awaitTermination()
-    stored = spark.read.schema(found.schema).parquet(path)
-    return stored.select(_plain("start"), _plain("end"), "visitor", "count")
+    """The visitor counts from a drained stream, in update mode with a watermark."""
+    return _visitor_stream(spark, sf_dir).select(_plain("start"), _plain("end"), "visitor", "count")

@@ -17,13 +17,18 @@ WIDTH, HEIGHT = 72, 36
 
 ITEMSET_SUPPORT = 0.001
 RULE_CONFIDENCE = 0.12
-CATEGORY_SUPPORT = 0.1
+CATEGORY_SUPPORT = 0.01
 CATEGORY_CONFIDENCE = 0.8
 PAGE_SUPPORT = 0.001
 PAGE_CONFIDENCE = 0.04
 TOP_RULES = 10
+# how long after its window a view of a stream may still arrive
+LATE = "1 day"
 SEQUENCE_SUPPORT = 0.25
 SIMILARITY = 0.03
+# what a user would ask for; the one above lets the comparison see many pairs
+CLOSE = 0.3
+PART_SUPPORT = 0.0005
 TOP_SIMILAR = 10
 
 RANK = 10

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from patronage import schemas
 from patronage.operators import markov, preferences, recommend, transactions as tx
+from patronage.session import scratch
 
 USER = bytes.fromhex("b65ce95de5c8e7ea")
 BASKETS = {  # order -> (epoch ms, items)
@@ -51,10 +52,17 @@ def test_customer_sequence_is_ordered_by_time(spark):
 
 def test_long_sequences_are_cut_but_whole(spark):
     many = {f"o{i}": (i * 86_400_000 * 3, [i]) for i in range(25)}
-    got = tx.customer_sequences(tx.order_baskets(item_rows(spark, many)), max_orders=10).collect()
+    got = tx.customer_sequences(tx.order_baskets(item_rows(spark, many)), max_items=10).collect()
     assert sorted(len(r.baskets) for r in got) == [5, 10, 10]
 
 
+def test_sequence_rows_are_bounded_in_items(spark):
+    many = {f"o{i:02}": (i * 86_400_000, list(range(1 + i % 4))) for i in range(30)}
+    got = tx.customer_sequences(tx.order_baskets(item_rows(spark, many)), max_items=8).orderBy("segment").collect()
+    assert [b.idorder for r in got for b in r.baskets] == sorted(many)
+    assert all(sum(len(b["items"]) for b in r.baskets) <= 8 + 4 for r in got) and len(got) > 5
+
+
 def test_numbers_are_dense(spark):
     got = tx.numbered_baskets(tx.order_baskets(item_rows(spark, BASKETS))).collect()
     assert sorted(r.lno for r in got) == [0, 1, 2]
@@ -90,12 +98,14 @@ def test_bounds_keep_10_and_drop_20(spark):
     assert sorted(r.user for r in kept) == ["u10", "u19"]
 
 
-def test_json_documents_split_but_complete(spark):
-    rows = [("u", str(i), i % 6) for i in range(50)]
+def test_json_documents_are_parts_by_rank(spark):
+    rows = [("u", str(i), i % 6) for i in range(50)] + [("v", "1", 2)]
     df = spark.createDataFrame(rows, "user string, product string, score int")
-    docs = [json.loads(r.json)["items"] for r in preferences.preferences_json(df, 20).collect()]
-    assert len(docs) > 1
-    assert sorted((d["user"], d["product"], d["score"]) for doc in docs for d in doc) == sorted(rows)
+    found = preferences.preferences_json(df, 20).orderBy("user", "part").collect()
+    docs = [json.loads(r.json) for r in found]
+    assert [(d["part"], d["parts"], len(d["items"])) for d in docs] == [(0, 3, 20), (1, 3, 20), (2, 3, 10), (0, 1, 1)]
+    mine = [(d["product"], d["score"]) for doc in docs[:3] for d in doc["items"]]
+    assert mine == sorted(((p, s) for u, p, s in rows if u == "u"), key=lambda x: (-x[1], x[0]))
 
 
 DAY = 86_400_000
@@ -175,8 +185,38 @@ def test_top_n_ties_by_product(spark):
     assert [(r["product"], r.rating) for r in got] == [("y", 8.0), ("z", 8.0)]
 
 
-def test_too_many_users_in_a_request_is_an_error(spark, monkeypatch):
+def test_a_request_may_name_any_number_of_users(spark):
+    u = spark.range(1_100).selectExpr("concat('u', id) AS user", "array(cast(id + 1 AS float), 0f) AS factors")
+    _, p = factors(spark)
+    got = recommend.recommend_top_n(u, 1, u, p).collect()
+    assert {(r.user, r["product"]) for r in got} == {(f"u{i}", "x") for i in range(1_100)}
+    assert recommend.recommend_top_n(u.limit(0), 1, u, p).isEmpty()
+
+
+def test_predictions_as_json_in_rating_order(spark):
     u, p = factors(spark)
-    monkeypatch.setattr(recommend, "MAX_REQUEST_USERS", 1)
-    with pytest.raises(Exception, match="too many users"):
-        recommend.recommend_top_n(u, 1, u, p).collect()
+    rated = recommend.predict_user_items(u, p, u, p)
+    docs = {r.user: json.loads(r.json)["items"] for r in recommend.predictions_json(rated).collect()}
+    assert [d["product"] for d in docs["a"]] == ["x", "z", "y"] and [d["product"] for d in docs["b"]] == ["y", "z", "x"]
+
+
+def test_a_stored_model_gives_the_same_ratings(spark):
+    rows = [(f"u{i}", str(j), (i * 7 + j) % 6) for i in range(12) for j in range(15) if (i + j) % 4]
+    scores = spark.createDataFrame(rows, "user string, product string, score int")
+    users, products = preferences.dictionary(scores, "user"), preferences.dictionary(scores, "product")
+    ratings = preferences.rating_matrix(scores, users, products)
+    fitted = recommend.Recommender(users, products, recommend.als_train(ratings, rank=3, iterations=4, partitions=2))
+    assert recommend.solved_users(fitted, ratings).where("NOT solved").isEmpty()
+    root = scratch(spark, "store")
+    recommend.save_model(fitted, root, "m", 1)
+    recommend.save_model(fitted, root, "m", 2)
+    loaded = recommend.load_model(spark, root, "m")
+    assert recommend.latest_models(spark, root).collect()[0].saved_at == 2
+    pairs = scores.select("user", "product")
+    before = recommend.predict_pairs(pairs, *recommend.factor_tables(fitted)).collect()
+    assert recommend.predict_pairs(pairs, *recommend.factor_tables(loaded)).collect() == before
+
+
+def test_an_order_in_segments_has_one_number(spark):
+    got = tx.numbered_baskets(tx.order_baskets(item_rows(spark, BASKETS), max_items=2)).collect()
+    assert {r.lno for r in got} == {0, 1, 2} and len(got) > 3

@@ -94,6 +94,6 @@ def test_equal_distance_takes_the_first_centre(spark):
 def test_segments_need_complete_rows(spark):
     rows = [(float(i % 2) * 100 + i * 0.01, float(i % 2)) for i in range(40)] + [(None, 1.0)]
     df = spark.createDataFrame(rows, "revenue double, hour double")
-    got = geo.customer_segments(df, ["revenue", "hour"], 2).collect()
+    got = geo.customer_segments(df, ["revenue", "hour"], clusters=2).collect()
     assert len(got) == 40
     assert len({(r.hour, r.cluster) for r in got}) == 2

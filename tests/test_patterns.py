@@ -55,12 +55,21 @@ def test_itemsets_and_rules(spark, support):
 
 
 def test_top_k_is_sorted_by_support(spark):
-    got = rules.top_k_rules(frame(spark, baskets()), 5, 0.3, 0.05).collect()
+    got = rules.top_k_rules(frame(spark, baskets()), 5, 0.3).collect()
     assert len(got) == 5
     keys = [(-r.support, -r.confidence, r.antecedent, r.consequent) for r in got]
     assert keys == sorted(keys)
 
 
+def test_top_k_has_no_support_floor(spark):
+    """The only rules are held by one basket in two hundred."""
+    bs = {f"b{i}": {i} for i in range(200)} | {"x": {1000, 1001}, "y": {1002, 1003, 1004}}
+    found = rules.top_k_rules(frame(spark, bs), 8, 1.0).collect()
+    assert len(found) == 8 and all(r.support == 1 and r.confidence == 1 for r in found)
+    assert found == sorted(found, key=lambda r: (r.antecedent, r.consequent))
+    assert len(rules.top_k_rules(frame(spark, bs), 100, 1.0).collect()) == 11
+
+
 def test_also_bought(spark):
     bs = {"a": {1, 2}, "b": {1, 2, 3}, "c": {1, 2, 3}, "d": {4}}
     lines = frame(spark, bs)
@@ -114,6 +123,17 @@ def test_sequence_patterns_up_to_three_items(spark):
     assert got == want
 
 
+def test_sequence_patterns_grow_as_long_as_they_are_frequent(spark):
+    hist = {f"c{i}": [{1}, {2, 3}, {4}, {1, 5}] for i in range(4)} | {"x": [{4}, {1}]}
+    df = spark.createDataFrame(occurrences(hist), "idsite bigint, user string, pos bigint, item bigint")
+    found = {tuple(tuple(e) for e in r.pattern): r.support for r in rules.sequence_patterns(df, 0.8).collect()}
+    assert found[((1,), (2, 3), (4,), (1, 5))] == 4 and found[((4,), (1,))] == 5
+    assert all(sum(contains(seq, p) for seq in hist.values()) == c for p, c in found.items())
+    baskets_of = [((1,),), ((2,), (3,), (2, 3)), ((4,),), ((1,), (5,), (1, 5))]
+    subs = {tuple(b for b in p if b) for p in itertools.product(*[((), *b) for b in baskets_of])} - {()}
+    assert found.keys() == subs
+
+
 def brute_similarity(hist):
     out = {}
     for a, b in itertools.permutations(hist, 2):
@@ -153,8 +173,14 @@ def test_similarity_equals_brute_force(spark, threshold, chunk_rows):
         for (a, b), s in brute_similarity(hist).items()
         if a < b and s >= threshold - 1e-9 and heads[a] == a and heads[b] == b
     }
-    got = similarity.customer_similarity(seqs, threshold, chunk_rows).collect()
+    got = similarity.similar_histories(seqs, threshold, chunk_rows).collect()
     assert {(r.a[2:], r.b[2:]): round(r.similarity, 9) for r in got} == want
+    every = {
+        (a, b): round(s, 9) for (a, b), s in brute_similarity(hist).items() if a < b and s >= threshold - 1e-9
+    }
+    found = similarity.customer_similarity(seqs, threshold, chunk_rows).collect()
+    assert len(found) == len(every)
+    assert {(r.a[2:], r.b[2:]): round(r.similarity, 9) for r in found} == every
 
 
 def test_common_items_do_not_bring_histories_together(spark):

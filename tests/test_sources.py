@@ -4,7 +4,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from patronage import schemas
+from patronage import schemas, session
 from patronage.sources import mapping, piped, scans
 from patronage.streaming import feed
 
@@ -72,3 +72,50 @@ def test_mapping_has_the_declared_schema(spark, small):
     schemas.conform(mapping.log_conversion(spark, small), schemas.CONVERSION)
     schemas.conform(mapping.log_conversion_item(spark, small), schemas.CONVERSION_ITEM)
     schemas.conform(mapping.log_link_visit_action(spark, small), schemas.VISIT_ACTION)
+
+
+def test_narrower_types_are_cast(spark):
+    wide = schemas.CONVERSION_ITEM
+    names = {f.name: "NULL" for f in wide.fields} | {
+        "idsite": "CAST(1 AS INT)", "idvisitor": "X'01'", "server_time": "TIMESTAMP'2020-01-02'", "idorder": "'a'", "idaction_sku": "CAST(5 AS INT)",
+        "price": "CAST(2.5 AS FLOAT)", "quantity": "CAST(3.25 AS DECIMAL(8,2))", "deleted": "CAST(1 AS TINYINT)",
+    }
+    df = spark.sql("SELECT " + ", ".join(f"{v} AS {k}" for k, v in names.items()))
+    row = schemas.conform(df, wide).first()
+    assert (row.idsite, row.idaction_sku, row.price, row.quantity, row.deleted) == (1, 5, 2.5, 3.25, True)
+    with pytest.raises(ValueError, match="price is string"):
+        schemas.conform(df.withColumn("price", F.lit("x")), wide)
+
+
+def test_rows_without_flags_count_as_plain_orders(spark):
+    flags = spark.createDataFrame([(1, True), (2, False), (3, None)], "id int, deleted boolean")
+    assert [r.id for r in scans.filter_not_deleted(flags).orderBy("id").collect()] == [2, 3]
+    goals = spark.createDataFrame([(1, 0), (2, 1), (3, None)], "id int, idgoal int")
+    assert [r.id for r in scans.filter_orders(goals).orderBy("id").collect()] == [1, 3]
+
+
+def test_a_parallel_database_scan_needs_bounds(spark):
+    with pytest.raises(ValueError, match="bounds"):
+        scans.read_jdbc(spark, "jdbc:x", "t")
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(Session())
+    Context.master = "local-cluster[2,1,1024]"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(Session())

@@ -5,6 +5,7 @@ import json
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from patronage.sources import mapping
 from patronage.streaming import counts, feed
@@ -101,3 +102,20 @@ def test_estimates_are_close(spark, events):
     got = counts.clickstream_estimates(v.withColumn("site", v.site.substr(1, 0)), "365 days").collect()
     assert abs(sum(r.pages for r in got) - exact.p) <= 0.15 * exact.p
     assert abs(max(r.visitors for r in got) - exact.n) <= 0.15 * exact.n + 1
+
+
+def test_updates_with_a_watermark_keep_the_newest_count(spark, events):
+    count = lambda v: counts.page_counts(v, "1 hour", late="1 day")
+    found = count(views(spark, events, True))
+    path = folder() + "/updates"
+    feed.write_updates(found, path, folder(), drain=True).awaitTermination()
+    stored = feed.latest(spark, path, found.schema, ["start", "end", "url"])
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, count(views(spark, events, False)).collect()))
+    assert spark.read.parquet(path).select("trigger").distinct().count() > 1
+
+
+def test_ticks_do_not_change_the_windows(spark, events):
+    v = views(spark, events, False)
+    direct = v.groupBy(F.window("timestamp", "15 seconds", "2 seconds").alias("w"), "visitor").count()
+    want = sorted((r.w.start, r.w.end, r.visitor, r["count"]) for r in direct.collect())
+    assert sorted(map(tuple, counts.visitor_counts(v).collect())) == want
