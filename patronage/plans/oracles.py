@@ -298,6 +298,26 @@ def _itemsets(source: str, keys: str, parts: str, support: float, longest: int)
     return f"{_with(tuple(parts.split()))}, " + ", ".join(steps)
 
 
+def _patterns(longest: int) -> str:
+    """Frequent sequences, grown item by item from frequent ones; each level keeps where a customer's pattern ends."""
+    steps = [
+        f"need AS (SELECT CAST(ceil({s.SEQUENCE_SUPPORT}::DOUBLE * count(DISTINCT cid) - 1e-9) AS BIGINT) AS m FROM bseq)",
+        "e1 AS (SELECT CAST(item AS VARCHAR) AS pattern, cid, pos, item AS last FROM bseq)",
+    ]
+    for n in range(1, longest + 1):
+        steps.append(
+            f"k{n} AS (SELECT pattern, count(DISTINCT cid) AS support FROM e{n} GROUP BY pattern "
+            "HAVING count(DISTINCT cid) >= (SELECT m FROM need))"
+        )
+        steps.append(
+            f"e{n + 1} AS (SELECT DISTINCT a.pattern || CASE WHEN b.pos > a.pos THEN ' > ' ELSE ' ' END || b.item AS pattern, "
+            f"a.cid, b.pos, b.item AS last FROM e{n} a JOIN bseq b ON a.cid = b.cid AND (b.pos > a.pos OR b.pos = a.pos AND b.item > a.last) "
+            f"WHERE a.pattern IN (SELECT pattern FROM k{n}) AND CAST(b.item AS VARCHAR) IN (SELECT pattern FROM k1))"
+        )
+    union = " UNION ALL ".join(f"SELECT pattern, support FROM k{n}" for n in range(1, longest + 1))
+    return f"{_with(('bseq',))}, " + ", ".join(steps) + f" {union}"
+
+
 def _top_rules(ctes: str, confidence: float) -> str:
     return (
         f"{ctes} SELECT array_to_string(antecedent, ' ') AS antecedent, "
@@ -554,18 +574,7 @@ def build() -> dict[str, str]:
         ),
         s.PAGE_CONFIDENCE,
     )
-    q["sequence_patterns"] = (
-        _with(("bseq",))
-        + f""", need AS (SELECT CAST(ceil({s.SEQUENCE_SUPPORT}::DOUBLE * count(DISTINCT cid) - 1e-9) AS BIGINT) AS m FROM bseq),
-        found AS (
-          SELECT CAST(item AS VARCHAR) AS pattern, cid FROM bseq
-          UNION ALL SELECT x.item || ' ' || y.item, x.cid FROM bseq x JOIN bseq y
-            ON x.cid = y.cid AND x.pos = y.pos AND x.item < y.item
-          UNION ALL SELECT x.item || ' > ' || y.item, x.cid FROM bseq x JOIN bseq y
-            ON x.cid = y.cid AND x.pos < y.pos)
-        SELECT pattern, count(DISTINCT cid) AS support FROM found GROUP BY pattern
-        HAVING count(DISTINCT cid) >= (SELECT m FROM need)"""
-    )
+    q["sequence_patterns"] = _patterns(5)
     q["sequence_groups"] = _sql("grp", "SELECT cid, head, copies FROM grp")
     q["customer_similarity"] = _sql(
         "sim", f"SELECT a, b, similarity FROM sim WHERE a < b AND similarity >= {s.SIMILARITY}::DOUBLE"
