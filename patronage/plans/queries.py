@@ -171,12 +171,11 @@ def model_store(spark, sf_dir):
     sizes = users.select(F.lit("user").alias("side"), F.size("factors").alias("rank")).unionByName(
         products.select(F.lit("product").alias("side"), F.size("factors").alias("rank"))
     )
-    stored = recommend.latest_models(spark, root).select("model", "saved_at")
+    stored = recommend.latest_models(spark, root).where(F.col("model") == "brands").select("saved_at")
     return (
         sizes.groupBy("side", "rank")
         .agg(F.count(F.lit(1)).alias("terms"))
-        .withColumn("model", F.lit("brands"))
-        .join(stored, "model")
+        .withColumns({"model": F.lit("brands"), "saved_at": stored.scalar()})
     )
 
 
