@@ -108,4 +108,4 @@ def filter_orders(conversions: DataFrame) -> DataFrame:
 
 def filter_not_deleted(items: DataFrame) -> DataFrame:
     """Items that stand; one without the flag was not deleted."""
-    return items.where(~F.coalesce("deleted", F.lit(False)))
+    return items.where(F.col("deleted").isNull() | ~F.col("deleted"))  # a form that reaches the scan
