@@ -118,7 +118,7 @@ def log_conversion_item(
         item.alias("idaction_sku"),
         F.col("l_extendedprice").alias("price"),
         F.col("l_quantity").alias("quantity"),
-        (F.col("l_returnflag") == "R").alias("deleted"),
+        F.col("l_returnflag").eqNullSafe("R").alias("deleted"),
     )
 
 

@@ -50,7 +50,7 @@ def test_only_bucket_offsets_meet_in_one_task(spark, name):
 
 def test_pushdown_reaches_the_scan(spark):
     plan = physical(entry.queries()["filter_not_deleted"](spark, SMALL))
-    assert "Not(EqualTo(l_returnflag,R))" in plan
+    assert "Not(EqualNullSafe(l_returnflag,R))" in plan
     columns = re.search(r"ReadSchema: struct<([^>]*l_orderkey[^>]*)>", plan).group(1)
     assert "l_tax" not in columns and "l_shipdate" not in columns
 
