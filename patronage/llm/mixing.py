@@ -9,9 +9,9 @@ totals from the targets, plus a little of the distance from rate 1, over r >= 0:
 
 with w_i the token share of a document, b the targets over all tokens and
 G = sum_i w_i p_i p_i' the domains' Gram matrix, which makes a step of 1/(1 + ridge)
-right for any data. Each step of the projected gradient is one aggregate that sends as
-many numbers as there are domains to the driver; a document's rate is recomputed from
-the steps so far, so nothing is stored per step.
+right for any data. Each step of the (accelerated) projected gradient is one aggregate that
+sends as many numbers as there are domains to the driver; a document's rate is recomputed
+from the steps so far, so nothing is stored per step.
 
 Defined cases: a null text counts as empty and has no tokens; its rate does not matter
 to the totals and follows its posterior. Rows without an identifier or a label are not
@@ -27,10 +27,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import CountVectorizer, VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import durable
@@ -40,7 +39,10 @@ SAMPLE = 8192
 DIMS = 1 << 15
 RIDGE = 1e-3
 ROUNDS = 60
-TOLERANCE = 1e-6
+#: Steps end when no domain's share of all tokens moves by more.
+TOLERANCE = 1e-5
+#: Characters that prose has none of.
+MARKS = "%*&$#|!"
 DOMAINS = ("plain", "good", "toxic")
 
 
@@ -49,54 +51,76 @@ def domain(quality: Column, toxic: Column) -> Column:
     return F.when(toxic == 1, 2).when(quality == 1, 1).when(quality == 0, 0)
 
 
-def _prepared(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, words, n_tokens, and the shares, of every document."""
-    text = F.coalesce(docs[text_col], F.lit(""))
-    given = docs.select(docs[id_col].alias("id"), text.alias("text"))
-    words = F.filter(F.split(F.lower("text"), " |\n"), lambda w: w != "")
-    split = given.select("id", words.alias("words"), F.greatest(F.char_length("text"), F.lit(1)).cast("double").alias("chars"), F.octet_length(F.translate("text", "%*&$#|!", "")).alias("left"), F.octet_length("text").alias("bytes"))
-    n = F.greatest(F.size("words"), F.lit(1)).cast("double")
-    return split.select(
-        "id",
-        "words",
-        F.size("words").cast("long").alias("n_tokens"),
-        ((F.col("bytes") - F.col("left")) / F.col("chars")).alias("mark_share"),
-        (F.size(F.array_distinct("words")) / n).alias("distinct_share"),
-        (F.col("chars") / n / 100).alias("word_length"),
-    )
+def described(text: str) -> tuple[int, set[str], tuple[float, float, float]]:
+    """Number of words, the different words without marks, and three shares that tell prose from noise."""
+    low = text.lower()
+    n = len(low.split())
+    for mark in MARKS + ".,;:?":
+        low = low.replace(mark, " ")
+    words = set(low.split())
+    return n, words, (sum(map(text.count, MARKS)) / max(len(text), 1), len(words) / max(n, 1), len(text) / max(n, 1) / 100)
 
 
 @dataclasses.dataclass(frozen=True)
 class Classifier:
-    model: PipelineModel | None
+    """A linear model over the words of a text and its shares; ``words`` has those with a weight."""
+
+    words: dict[str, np.ndarray]
+    shares: np.ndarray  # shares x classes
+    intercept: np.ndarray
     n_domains: int
 
+    def posterior(self, words: set[str], shares: tuple[float, ...]) -> np.ndarray:
+        out = np.zeros(self.n_domains)
+        z = self.intercept + np.array(shares) @ self.shares
+        for w in words & self.words.keys():
+            z = z + self.words[w]
+        e = np.exp(z - z.max())
+        out[: len(z)] = e / e.sum()  # domains past the last one seen have none
+        return out
+
     def posteriors(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """id, n_tokens, posterior (one share per domain)."""
-        rows = _prepared(docs, id_col, text_col)
-        if self.model is None:
-            even = F.array(*[F.lit(1 / self.n_domains)] * self.n_domains)
-            return rows.select("id", "n_tokens", even.alias("posterior"))
-        found = self.model.transform(rows).select("id", "n_tokens", vector_to_array("probability").alias("p"))
-        zeros = F.array(*[F.lit(0.0)] * self.n_domains)  # domains past the last one seen
-        return found.select("id", "n_tokens", F.slice(F.concat("p", zeros), 1, self.n_domains).alias("posterior"))
+        given = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
+        kind = given.schema["id"].dataType.simpleString()
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                n, found = [], []
+                for text in b.column(1).to_pylist():
+                    tokens, words, shares = described(text or "")
+                    n.append(tokens)
+                    found.append(self.posterior(words, shares))
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(found, pa.list_(pa.float64()))], ["id", "n_tokens", "posterior"])
+
+        return given.mapInArrow(run, f"id {kind}, n_tokens long, posterior array<double>")
 
 
 def fit_classifier(docs: DataFrame, labels: DataFrame, n_domains: int = len(DOMAINS), id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, dims: int = DIMS) -> Classifier:
-    """labels: id, domain (a place). Fitted on about ``sample`` labelled documents, chosen by a hash of the identifier."""
+    """labels: id, domain (a place). Fitted on about ``sample`` labelled documents, chosen by a hash of the identifier; ``dims`` bounds the words."""
     known = labels.select(labels[labels.columns[0]].alias("id"), labels[labels.columns[1]].cast("double").alias("label")).where("id IS NOT NULL AND label IS NOT NULL").dropDuplicates(["id"])
     share = min(1.0, sample / max(known.count(), 1))
     chosen = known.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < round(share * 1_000_000))  # bounded, so it may be broadcast
-    texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).join(F.broadcast(chosen), "id")
-    rows = durable(_prepared(texts.select("id", "text"), "id", "text").join(F.broadcast(chosen), "id"))
-    if rows.select("label").distinct().count() < 2:
-        return Classifier(None, n_domains)
+    texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).join(F.broadcast(chosen), "id").select("label", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [described(t or "") for t in b.column(1).to_pylist()]
+            columns = [pa.array([sorted(r[1]) for r in rows], pa.list_(pa.string())), *(pa.array([r[2][i] for r in rows], pa.float64()) for i in range(3))]
+            yield pa.RecordBatch.from_arrays([b.column(0), *columns], ["label", "words", "s0", "s1", "s2"])
+
+    rows = durable(texts.mapInArrow(run, "label double, words array<string>, s0 double, s1 double, s2 double"))
+    if rows.select("label").distinct().count() < 2 or rows.where("size(words) > 0").isEmpty():
+        return Classifier({}, np.zeros((3, n_domains)), np.zeros(n_domains), n_domains)
     stages = [
-        HashingTF(inputCol="words", outputCol="tf", numFeatures=dims, binary=True),
-        VectorAssembler(inputCols=["tf", "mark_share", "distinct_share", "word_length"], outputCol="features"),
-        LogisticRegression(featuresCol="features", labelCol="label", family="multinomial", maxIter=40, regParam=0.002),
+        CountVectorizer(inputCol="words", outputCol="has", vocabSize=dims, binary=True),
+        VectorAssembler(inputCols=["has", "s0", "s1", "s2"], outputCol="features"),
+        LogisticRegression(featuresCol="features", labelCol="label", family="multinomial", maxIter=100, regParam=0.002, elasticNetParam=1.0),
     ]
-    return Classifier(Pipeline(stages=stages).fit(rows), n_domains)
+    model = Pipeline(stages=stages).fit(rows)
+    weights, intercept = model.stages[2].coefficientMatrix.toArray().T, model.stages[2].interceptVector.toArray()
+    used = {w: x for w, x in zip(model.stages[0].vocabulary, weights, strict=False) if x.any()}
+    return Classifier(used, weights[-3:], intercept, n_domains)
 
 
 @dataclasses.dataclass(frozen=True)
@@ -104,14 +128,18 @@ class Steps:
     """The steps of the projected gradient so far: what each document needs to know its rate."""
 
     pulls: np.ndarray  # steps x domains: G^-1 (totals - targets)
+    drives: tuple[float, ...]  # of each step, how far the next one starts ahead
     ridge: float
 
-    def rates(self, posterior: np.ndarray) -> np.ndarray:
-        r = np.ones(len(posterior))
+    def rates(self, posterior: np.ndarray, ahead: bool = False) -> np.ndarray:
+        """The rates, or where the next step starts."""
+        r = y = np.ones(len(posterior))
         eta = 1 / (1 + self.ridge)
-        for pull in self.pulls:
-            r = np.maximum(0.0, r - eta * (posterior @ pull + self.ridge * (r - 1)))
-        return r
+        for pull, drive in zip(self.pulls, self.drives, strict=True):
+            new = np.maximum(0.0, y - eta * (posterior @ pull + self.ridge * (y - 1)))
+            y = new + drive * (new - r)
+            r = new
+        return y if ahead else r
 
 
 def _matrix(column: pa.Array, k: int) -> np.ndarray:
@@ -124,27 +152,30 @@ def fit_rates(weights: DataFrame, targets: list[float], ridge: float = RIDGE, ro
     gram = [F.sum(F.col("n_tokens") * F.col("posterior")[i] * F.col("posterior")[j]) for i in range(k) for j in range(k)]
     total, *cells = weights.agg(F.sum("n_tokens"), *gram).first()
     if not total:
-        return Steps(np.empty((0, k)), ridge)
+        return Steps(np.empty((0, k)), (), ridge)
     g = np.array(cells).reshape(k, k) / total
     inverse = np.linalg.inv(g + 1e-9 * np.trace(g) * np.eye(k))
     goal = np.array(targets, float) / total
-    steps, last = Steps(np.empty((0, k)), ridge), None
+    steps, last, since, before = Steps(np.empty((0, k)), (), ridge), None, 0, np.inf
     for _ in range(rounds):
 
         def sums(batches: Iterator[pa.RecordBatch], steps: Steps = steps) -> Iterator[pa.RecordBatch]:
             found = np.zeros(k)
             for b in batches:
                 p = _matrix(b.column(1), k)
-                found += (steps.rates(p) * b.column(0).to_numpy()) @ p
+                found += (steps.rates(p, ahead=True) * b.column(0).to_numpy()) @ p
             yield pa.RecordBatch.from_arrays([pa.array([x]) for x in found], [f"t{i}" for i in range(k)])
 
         parts = weights.select("n_tokens", "posterior").mapInArrow(sums, ", ".join(f"t{i} double" for i in range(k)))
         got = np.array(parts.agg(*[F.sum(f"t{i}") for i in range(k)]).first(), float) / total
         pull = inverse @ (got - goal)
-        if last is not None and np.abs(got - last).max() < tolerance * max(goal.sum(), 1e-12):
+        if last is not None and np.abs(got - last).max() < tolerance:
             break
         last = got
-        steps = Steps(np.vstack([steps.pulls, pull]), ridge)
+        off = float((got - goal) @ pull)
+        since = since + 1 if off < before else 0  # what no longer comes nearer starts anew
+        before = off
+        steps = Steps(np.vstack([steps.pulls, pull]), (*steps.drives, since / (since + 3)), ridge)
     return steps
 
 
