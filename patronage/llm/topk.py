@@ -18,8 +18,6 @@ give fewer rows, an empty table none.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
