@@ -49,7 +49,7 @@ LENGTH, GRAM, FREE = 50, 20, 7
 #: Share of documents that are looked at for frequent minimisers, and how many of these are dealt by document.
 SAMPLE_ONE_IN, MOST_FREQUENT = 64, 1 << 16
 #: Rows in one bucket of minimisers (about), rows held before they are dealt, letters in one suffix array, bytes of text in one step; matters of memory only.
-BUCKET_ROWS, HELD, ARRAY_LETTERS, PIECE = 1 << 17, 1 << 19, 1 << 16, 1 << 20
+BUCKET_ROWS, HELD, ARRAY_LETTERS, PIECE = 1 << 17, 1 << 18, 1 << 15, 1 << 18
 #: Bits of a minimiser's hash. More than one in a group only means that more contexts are compared.
 KEY_BITS = 40
 END, BREAK, LETTER, CORE = 0, 1, 2, 300
@@ -122,35 +122,48 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     return np.array(out)
 
 
+def _common(texts: list[bytes]) -> int:
+    """Length of the longest common start."""
+    low, high = min(texts), max(texts)
+    return next((i for i, (a, b) in enumerate(zip(low, high, strict=False)) if a != b), min(len(low), len(high)))
+
+
 def smallest_docs(cores: list[list[tuple[bytes, bytes, int]]], free: int = FREE) -> list[list[np.ndarray]]:
     """For each core's distinct (left, right, doc), the smallest doc that has each of its strings.
 
     Entry u of an answer belongs to the string that takes u bytes of left, the core and
-    free - u bytes of right; strings that do not fit have the largest integer.
+    free - u bytes of right; strings that do not fit have the largest integer. Bytes next
+    to the core that all its strings share are one letter with it.
     """
     none = np.iinfo(np.int64).max
-    letters, docs, starts, owner, taken = [], [], [], [], []
+    letters, docs, starts, owner, taken, widths = [], [], [], [], [], []
     size, flat = 0, 0
     for c, strings in enumerate(cores):
+        before = _common([s[0][::-1] for s in strings])
+        after = _common([s[1] for s in strings])
         for left, right, doc in strings:
-            whole = np.frombuffer(left + b"\0" + right + b"\0", np.uint8).astype(np.int64) + LETTER
-            whole[len(left)], whole[-1] = CORE + c, BREAK
+            edge = len(left) - before
+            whole = np.frombuffer(left[:edge] + b"\0" + right[after:] + b"\0", np.uint8).astype(np.int64) + LETTER
+            whole[edge], whole[-1] = CORE + c, BREAK
             letters.append(whole)
             use = np.arange(max(0, free - len(right)), min(free, len(left)) + 1)
-            starts.append(size + len(left) - use)
+            lead = np.maximum(use - before, 0)
+            starts.append(size + edge - lead)
+            widths.append(lead + 1 + np.maximum(free - use - after, 0))
             taken.append(use)
             owner.append(np.full(len(use), flat))
             docs.append(doc)
             size += len(whole)
             flat += 1
     text = np.concatenate([*letters, [END]])
-    start, use, own = np.concatenate(starts), np.concatenate(taken), np.concatenate(owner)
+    start, use, own, width = (np.concatenate(x) for x in (starts, taken, owner, widths))
     rank = np.empty(len(text), np.int64)
     rank[suffix_array(text)] = np.arange(len(text))
-    order = np.argsort(rank[start])
-    start, use, own = start[order], use[order], own[order]
-    strings = text[start[:, None] + np.arange(free + 1)]
-    new = np.append(True, (strings[1:] != strings[:-1]).any(axis=1))
+    order = np.lexsort((rank[start], use))  # equal strings take as much of left
+    start, use, own, width = start[order], use[order], own[order], width[order]
+    at = np.arange(free + 1)
+    strings = np.where(at < width[:, None], np.append(text, np.zeros(free, np.int64))[start[:, None] + at], -1)
+    new = np.append(True, (strings[1:] != strings[:-1]).any(axis=1) | (use[1:] != use[:-1]))
     least = np.minimum.reduceat(np.array(docs)[own], np.flatnonzero(new))[np.cumsum(new) - 1]
     answers = np.full((flat, free + 1), none)
     answers[own, use] = least
@@ -299,11 +312,11 @@ def _blobs(named: DataFrame, length: int, gram: int, tagged: bool, n_buckets: in
 REMOVED, KEPT, FREQUENT = 0, 1, 2
 
 
-def settle(key: np.ndarray, ctx: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(rows, kinds) of the occurrences that matter among whole groups of anchors.
+def settle(key: np.ndarray, ctx: np.ndarray, doc: np.ndarray, often: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, kinds) of the occurrences that matter among whole groups of anchors, or among parts of frequent ones.
 
     REMOVED: a smaller document has the same context. KEPT: the context's smallest
-    document, in a group with other contexts.
+    document, in a group with other contexts. FREQUENT: the smallest of a part.
     """
     order = np.lexsort((doc, ctx, key))
     key, ctx, doc = key[order], ctx[order], doc[order]
@@ -312,6 +325,8 @@ def settle(key: np.ndarray, ctx: np.ndarray, doc: np.ndarray) -> tuple[np.ndarra
     group = np.cumsum(new) - 1
     new_ctx = new | np.append(True, ctx[1:] != ctx[:-1])
     ctx_least = doc[np.flatnonzero(new_ctx)][np.cumsum(new_ctx) - 1]
+    if often:
+        return order, np.where(doc > ctx_least, REMOVED, FREQUENT)
     shared = np.minimum.reduceat(doc, starts) < np.maximum.reduceat(doc, starts)
     several = np.add.reduceat(new_ctx.astype(np.int64), starts) > 1
     kind = np.where(doc > ctx_least, REMOVED, KEPT)
@@ -332,13 +347,12 @@ def _settled(blobs: DataFrame, n_buckets: int) -> DataFrame:
             quarter = len(buffer) // 4
             key, ctx, doc, pos = (unplaned(buffer[i * quarter : (i + 1) * quarter]) for i in range(4))
             parts.append((np.cumsum(key), ctx, doc, pos))
-            if bucket >= n_buckets:
-                yield batch(doc, pos, np.full(len(doc), FREQUENT), parts.pop()[0], ctx)
-        if parts:
-            key, ctx, doc, pos = (np.concatenate(x) for x in zip(*parts, strict=True))
-            rows, kind = settle(key, ctx, doc)
-            for at in range(0, len(rows), 50_000):
-                yield batch(doc[rows[at : at + 50_000]], pos[rows[at : at + 50_000]], kind[at : at + 50_000])
+        key, ctx, doc, pos = (np.concatenate(x) for x in zip(*parts, strict=True))
+        often = bucket >= n_buckets
+        rows, kind = settle(key, ctx, doc, often)
+        for at in range(0, len(rows), 50_000):
+            r, k = rows[at : at + 50_000], kind[at : at + 50_000]
+            yield batch(doc[r], pos[r], k, *((key[r], ctx[r]) if often else ()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, data = None, []
