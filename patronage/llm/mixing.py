@@ -15,7 +15,9 @@ from the steps so far, so nothing is stored per step.
 
 Defined cases: a null text counts as empty and has no tokens; its rate does not matter
 to the totals and follows its posterior. Rows without an identifier or a label are not
-learned from but get a rate. Repeated rows get equal rates and each counts. Targets that
+learned from but get a rate. A document is an identifier and a text: texts that share an
+identifier, or have none, each have their own rate and draw. Rows equal in both get equal
+rates and draws, and each counts. Targets that
 cannot be met are approached in the least-squares sense. An empty table gives no rows.
 Other columns, whatever their names, do not take part.
 """
@@ -31,6 +33,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer, VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..session import durable
 
@@ -80,20 +83,20 @@ class Classifier:
         return out
 
     def posteriors(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-        """id, n_tokens, posterior (one share per domain)."""
-        given = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
+        """id, text_hash, n_tokens, posterior (one share per domain)."""
+        given = docs.select(docs[id_col].alias("id"), text_hash(docs[text_col]).alias("text_hash"), docs[text_col].alias("text"))
         kind = given.schema["id"].dataType.simpleString()
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 n, found = [], []
-                for text in b.column(1).to_pylist():
+                for text in b.column(2).to_pylist():
                     tokens, words, shares = described(text or "")
                     n.append(tokens)
                     found.append(self.posterior(words, shares))
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(found, pa.list_(pa.float64()))], ["id", "n_tokens", "posterior"])
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(found, pa.list_(pa.float64()))], ["id", "text_hash", "n_tokens", "posterior"])
 
-        return given.mapInArrow(run, f"id {kind}, n_tokens long, posterior array<double>")
+        return given.mapInArrow(run, f"id {kind}, text_hash binary, n_tokens long, posterior array<double>")
 
 
 def fit_classifier(docs: DataFrame, labels: DataFrame, n_domains: int = len(DOMAINS), id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, dims: int = DIMS) -> Classifier:
@@ -180,25 +183,31 @@ def fit_rates(weights: DataFrame, targets: list[float], ridge: float = RIDGE, ro
 
 
 def rates(weights: DataFrame, steps: Steps, n_domains: int) -> DataFrame:
-    """id, n_tokens, posterior, rate."""
-    kind = weights.schema["id"].dataType.simpleString()
+    """The columns of weights, rate."""
+    names = [*weights.columns, "rate"]
+    at = weights.columns.index("posterior")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            r = steps.rates(_matrix(b.column(2), n_domains))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(r)], ["id", "n_tokens", "posterior", "rate"])
+            r = steps.rates(_matrix(b.column(at), n_domains))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(r)], names)
 
-    return weights.select("id", "n_tokens", "posterior").mapInArrow(run, f"id {kind}, n_tokens long, posterior array<double>, rate double")
+    return weights.mapInArrow(run, StructType([*weights.schema.fields, StructField("rate", DoubleType())]))
 
 
-def copies(rate: Column, ident: Column, seed: int = 0) -> Column:
-    """Whole copies of a document whose expectation is its rate; the choice is a hash of the identifier."""
-    u = F.pmod(F.xxhash64(ident, F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+def text_hash(text: Column) -> Column:
+    """What tells the texts of one identifier apart; a null text counts as empty."""
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
+
+
+def copies(rate: Column, *key: Column, seed: int = 0) -> Column:
+    """Whole copies of a document whose expectation is its rate; the choice is a hash of what identifies it."""
+    u = F.pmod(F.xxhash64(*key, F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
     return F.floor(rate + u).cast("int")
 
 
 def mix(docs: DataFrame, labels: DataFrame, shares: dict[str, float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_tokens, posterior, rate, copies. shares: for each domain, its target as a multiple of its present expected tokens.
+    """id, text_hash, n_tokens, posterior, rate, copies. shares: for each domain, its target as a multiple of its present expected tokens.
 
     labels has the columns id_col, quality, toxic.
     """
@@ -208,12 +217,14 @@ def mix(docs: DataFrame, labels: DataFrame, shares: dict[str, float], id_col: st
     present = weights.agg(*[F.coalesce(F.sum(F.col("n_tokens") * F.col("posterior")[i]), F.lit(0.0)) for i in range(len(DOMAINS))]).first()
     steps = fit_rates(weights, [x * shares[name] for x, name in zip(present, DOMAINS, strict=True)])
     found = rates(weights, steps, len(DOMAINS))
-    return found.select(F.col("id").alias(id_col), "n_tokens", "posterior", "rate", copies(F.col("rate"), F.col("id")).alias("copies"))
+    number = copies(F.col("rate"), F.col("id"), F.col("text_hash"))
+    return found.select(F.col("id").alias(id_col), "text_hash", "n_tokens", "posterior", "rate", number.alias("copies"))
 
 
-def apply_copies(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
+def apply_copies(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs, each as often as its document's copies say, with their own columns."""
-    wanted = mixed.select(mixed[id_col].alias("_mixed_id"), F.col("copies").alias("_copies")).dropDuplicates(["_mixed_id"])
-    rows = docs.select(F.struct("*").alias("_row"))
-    joined = rows.join(wanted, F.col("_row")[id_col].eqNullSafe(F.col("_mixed_id")))
+    keys = mixed[id_col].alias("_mixed_id"), mixed["text_hash"].alias("_mixed_hash")
+    wanted = mixed.groupBy(*keys).agg(F.max("copies").alias("_copies"))  # equal for equal rows
+    rows = docs.select(F.struct("*").alias("_row"), docs[id_col].alias("_id"), text_hash(docs[text_col]).alias("_hash"))
+    joined = rows.join(wanted, F.col("_id").eqNullSafe(F.col("_mixed_id")) & (F.col("_hash") == F.col("_mixed_hash")))
     return joined.where("_copies > 0").select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).select("_row.*")

@@ -51,7 +51,7 @@ def op2_token_counts(spark, sf_dir):
 
 @query
 def op3_mixing(spark, sf_dir):
-    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), SHARES)
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), SHARES).drop("text_hash")
 
 
 @query

@@ -82,3 +82,23 @@ def test_without_labels_every_domain_is_as_likely(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     found = mixing.mix(docs, labels, {"plain": 2.0, "good": 2.0, "toxic": 2.0}).first()
     assert found.posterior == pytest.approx([1 / 3] * 3) and found.rate == pytest.approx(2.0, rel=0.01)
+
+
+def test_texts_that_share_an_identifier_take_their_own_decisions(spark):
+    """A third without an identifier, a third with one in common, a third with their own; every domain in each."""
+    texts = {"good": "calm river stones lie under clear water {}", "toxic": "%% ** ## $$ hate {}", "plain": "list item entry number {}"}
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else 1000 + i, texts[kind].format(i), kind) for kind in texts for i in range(300)]
+    rows += [(None, None, "good"), (None, "", "good")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _mixed_id string")
+    labelled = [(1000 + i, texts[kind].format(i), kind) for kind, start in (("good", 9000), ("toxic", 9300), ("plain", 9600)) for i in range(start, start + 100)]
+    known = spark.createDataFrame([(i, int(kind == "good"), int(kind == "toxic")) for i, _, kind in labelled], "doc_id long, quality int, toxic int")
+    every = docs.unionByName(spark.createDataFrame(labelled, docs.schema))
+    mixed = mixing.mix(every, known, {"plain": 0.5, "good": 1.25, "toxic": 0.05})
+    assert mixed.count() == every.count()
+    again = mixing.apply_copies(every, mixed)
+    seen = again.where("doc_id IS NULL OR doc_id = 7").groupBy("doc_id", "text", F.col("_mixed_id").alias("kind")).count().collect()
+    assert sum(r["count"] for r in seen) > 0
+    for ident in (None, 7):
+        n = {kind: [r["count"] for r in seen if r.doc_id == ident and r.kind == kind and r.text] for kind in texts}
+        assert len(n["good"]) == 100 and 110 <= sum(n["good"]) <= 140, "good ones stay and some are repeated"
+        assert 30 <= len(n["plain"]) <= 70 and len(n["toxic"]) <= 20, "each takes a draw of its own"
