@@ -1,6 +1,7 @@
 """Secrets in texts: three fixed patterns, and strings that a primed compressor finds new.
 
-A candidate is a long string of key-like characters soon after a sensitive word. It is
+A candidate is a long string of key-like characters that starts soon after a sensitive
+word; every one that does is measured, once, as a whole. It is
 compressed by zstandard primed with an identifier dictionary and the surrounding text;
 its marginal bytes, those beyond an empty frame, say how much of it is new. Names,
 paths and words of the text come out short, keys do not compress: a candidate that
@@ -67,16 +68,15 @@ def marginal_bytes(candidate: str, around: str, identifiers: str = IDENTIFIERS)
 def novel_spans(text: str, taken: list[tuple[int, int, str]], least: float = NOVELTY) -> list[tuple[int, int, str]]:
     found, done = [], 0
     for word in SENSITIVE.finditer(text):
-        m = CANDIDATE.search(text, max(word.end(), done), word.end() + REACH + 1024)
-        if m is None or m.start() > word.end() + REACH:
-            continue
-        m = CANDIDATE.match(text, m.start())  # its true end, however long
-        done = m.end()
-        if any(a < m.end() and m.start() < b for a, b, _ in taken):
-            continue
-        around = text[max(0, m.start() - AROUND) : m.start()] + "\n" + text[m.end() : m.end() + AROUND]
-        if any(c.isdigit() for c in m[0]) and marginal_bytes(m[0], around) >= least * len(m[0]):
-            found.append((*m.span(), "novel"))
+        done = max(word.end(), done)
+        while m := CANDIDATE.search(text, done, max(done, word.end() + REACH + 16)):  # so it starts within reach
+            m = CANDIDATE.match(text, m.start())  # its true end, however long
+            done = m.end()
+            if any(a < m.end() and m.start() < b for a, b, _ in taken):
+                continue
+            around = text[max(0, m.start() - AROUND) : m.start()] + "\n" + text[m.end() : m.end() + AROUND]
+            if any(c.isdigit() for c in m[0]) and marginal_bytes(m[0], around) >= least * len(m[0]):
+                found.append((*m.span(), "novel"))
     return found
 
 

@@ -107,6 +107,16 @@ def test_new_strings_near_sensitive_words_are_reported():
     assert secrets.novel_spans(f"token {whole} end", []) == [(6, 6 + len(whole), "novel")] or secrets.marginal_bytes(whole, "") < 0.8 * len(whole)
 
 
+def test_every_candidate_in_reach_of_a_word_is_measured():
+    one, two, far = "q7Zt0PxW3mK9vR2sY5nB8cD1", "Lw4Jh6Gf8Ds0Aa2Zx5Cv7Bn9", "Mq1We3Rt5Yu7Io9Pl2Kj4Hg6"
+    after = f"auth header client_identifier_name: {one}"
+    assert (36, 60, "novel") in secrets.novel_spans(after, []), "an identifier in front"
+    both = f"bearer {one} {two} {far}"
+    assert secrets.novel_spans(both, []) == [(7, 31, "novel"), (32, 56, "novel")], "the third starts beyond reach"
+    assert secrets.novel_spans(both, [(7, 31, "assign")]) == [(32, 56, "novel")], "the first is taken by a pattern"
+    assert secrets.novel_spans(f"auth secret bearer {one} {two}", []) == [(19, 43, "novel"), (44, 68, "novel")], "once each"
+
+
 # ---------------------------------------------------------------- languages
 
 
