@@ -117,6 +117,42 @@ def test_every_candidate_in_reach_of_a_word_is_measured():
     assert secrets.novel_spans(f"auth secret bearer {one} {two}", []) == [(19, 43, "novel"), (44, 68, "novel")], "once each"
 
 
+@pytest.mark.parametrize("alphabet", ["0123456789", "0123456789ABCDEF", "0123456789abcdef", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "letters", "base64"])
+@pytest.mark.parametrize("n", [16, 24, 64, 128, 1000, 5000])
+def test_random_strings_of_any_alphabet_and_length_are_reported(alphabet, n):
+    import string
+
+    drawn = {"letters": string.ascii_letters, "base64": string.ascii_letters + string.digits + "+/"}.get(alphabet, alphabet)
+    for seed in range(6):
+        key = "".join(random.Random(f"{n} {alphabet} {seed}").choices(drawn, k=n))
+        for before in ("The signature: ", "private ", "signature="):
+            text = f"{before}{key} and then prose."
+            spans = secrets.novel_spans(text, [])
+            assert [(x[1], x[2]) for x in spans][:1] == [(len(before) + n, "novel")] or any(key[len(key) // 2 :] in text[a:b] for a, b, _ in spans), (before, key)
+
+
+def test_a_key_that_stands_twice_after_sensitive_words_is_reported_twice():
+    key = "q7Zt0PxW3mK9vR2sY5nB8cD1"
+    assert secrets.novel_spans(f"The bearer is {key}. The signature: {key}.", []) == [(14, 38, "novel"), (55, 79, "novel")]
+    assert secrets.novel_spans(f"bearer {key} signature={key}", []) == [(7, 31, "novel"), (32, 66, "novel")], "with a name in front"
+    long = "".join(random.Random(3).choices("0123456789ABCDEF", k=900))
+    assert len(secrets.novel_spans(f"bearer {long} signature {long}", [])) == 2, "longer than what primes"
+    assert secrets.novel_spans(f"bearer {key} token: {key}", [(32, 63, "assign")]) == [(7, 31, "novel")], "the other is a pattern's"
+
+
+def test_a_key_behind_a_sensitive_word_inside_a_longer_name():
+    key = "q7Zt0PxW3mK9vR2sY5nB8cD1"
+    text = f"auth header settings_environment_request_response_session_private_name={key}"
+    assert secrets.novel_spans(text, []) == [(len(text) - len(key) - 6, len(text), "novel")]
+
+
+def test_what_compresses_is_not_reported():
+    for text in ("-" * 40, "=" * 200, "0" * 64, "ab" * 50, "deadbeef" * 16, "client_secret_access_key", "password_credential_authorization"):
+        assert secrets.novel_spans(f"The bearer is {text} here", []) == [], text
+    path = "settings/environment/configuration/static/application_content"
+    assert secrets.novel_spans(f"See {path}. The bearer is {path} here", []) == []
+
+
 # ---------------------------------------------------------------- languages
 
 
