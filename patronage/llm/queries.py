@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import prepare
-from . import bpe, exact_dedup, language, line_dedup, mixing, near_dedup, secrets, suffix_dedup, token_counts, topk
+from . import bpe, exact_dedup, language, line_dedup, mixing, near_dedup, secrets, suffix_dedup, token_counts, topk, whitening
 from .common import LOWER, UPPER, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,3 +115,10 @@ FROM s QUALIFY rank <= 5"""
 @query
 def op10_near_dedup(spark, sf_dir):
     return near_dedup.near_groups(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_whitening(spark, sf_dir):
+    """``deviation`` is null where it does not fit eight bytes; ``deviation_exact`` has it always."""
+    rows = whitening.whitened_rows(table(spark, sf_dir, "embeddings"))
+    return rows.withColumns({"deviation": F.col("deviation").try_cast("long"), "deviation_exact": F.col("deviation")})
