@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import prepare
-from . import bpe, exact_dedup, language, line_dedup, mixing, near_dedup, secrets, suffix_dedup, token_counts, topk, whitening
+from . import bpe, conversations, exact_dedup, language, line_dedup, mixing, near_dedup, secrets, suffix_dedup, token_counts, topk, whitening
 from .common import LOWER, UPPER, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -122,3 +122,71 @@ def op11_whitening(spark, sf_dir):
     """``deviation`` is null where it does not fit eight bytes; ``deviation_exact`` has it always."""
     rows = whitening.whitened_rows(table(spark, sf_dir, "embeddings"))
     return rows.withColumns({"deviation": F.col("deviation").try_cast("long"), "deviation_exact": F.col("deviation")})
+
+
+@query
+def op12_conversations(spark, sf_dir):
+    given = table(spark, sf_dir, "conversations")
+    found = conversations.audits(conversations.damage(given), given.select("conv_id"))
+    return found.withColumnRenamed("conv", "conv_id")
+
+
+def _repair_sql() -> str:
+    """Row by row, the cheapest way to each state: cost c, edits a, text t; a row is taken after rows are put in before it."""
+
+    def more(state: str, cost: str, edit: str, line: str) -> str:
+        return f"struct_pack(c := {state}.c + {cost}, a := {state}.a || '{edit}', t := {state}.t || {line})"
+
+    def best(*ways: str) -> str:
+        return f"list_min([{', '.join(ways)}])"
+
+    def put(state: str, role: str) -> str:
+        return more(state, "3", "I", f"chr(10) || '{role}:'")
+
+    before = best("s2", put("s0", "user"), put("s1", "user"))
+    closed = f"s0, s1, {best('s2', put('s0', 'user'), put('s1', 'user'), put('s3', 'user'))} AS s2, {best('s3', put(before, 'assistant'))} AS s3"
+    line = "chr(10) || o.role || ':' || o.text"
+
+    def keep(state: str, initial: str) -> str:
+        return f"CASE WHEN o.fine AND o.initial = '{initial}' THEN {more('w.' + state, 'o.broken', 'K', line)} END"
+
+    def recast(state: str, role: str) -> str:
+        recast_line = f"chr(10) || '{role}:' || o.text"
+        return f"CASE WHEN o.fine THEN {more('w.' + state, '3 + o.broken', 'R', recast_line)} END"
+
+    def drop(state: str) -> str:
+        return more("w." + state, "4", "D", "''")
+
+    step = ", ".join(
+        best(drop(to), keep(to, ""), *(way for source in sources for way in (keep(source, initial), *([recast(source, role)] if role else [])))) + f" AS {to}"
+        for to, sources, initial, role in (("s0", (), "", ""), ("s1", ("s0",), "s", ""), ("s2", ("s0", "s1", "s3"), "u", "user"), ("s3", ("s2",), "a", "assistant"))
+    )
+    never = "struct_pack(c := 1000000000000::BIGINT, a := '~', t := '')"
+    return f"""
+WITH RECURSIVE k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+h AS (SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, len(key) + 1), lambda i: ascii(substr(key, i, 1))::BIGINT)),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END))),
+  4294967295::BIGINT) % 20 AS kind FROM k),
+d AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+  CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+  unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy FROM h WHERE kind <> 0),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS n, substr(role, 1, 1) AS initial,
+  trim(text, {_BLANKS}) AS core FROM d),
+f AS (SELECT *, core = '' AS blank, core <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 AS duplicate,
+  lag(initial) OVER (PARTITION BY conv_id ORDER BY n) AS before, count(*) OVER (PARTITION BY conv_id) AS rows FROM n),
+o AS MATERIALIZED (SELECT *, NOT blank AND NOT duplicate AS fine, NOT blank AND NOT duplicate AND right(core, 1) NOT IN ('.', '!', '?') AS truncated,
+  CASE WHEN right(core, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS broken FROM f),
+v AS (SELECT DISTINCT conv_id, 0::BIGINT AS n, struct_pack(c := 0::BIGINT, a := '', t := '') AS s0, {never} AS s1, {never} AS s2, {never} AS s3 FROM o
+  UNION ALL SELECT o.conv_id, o.n, {step} FROM (SELECT conv_id, n, {closed} FROM v) w JOIN o ON o.conv_id IS NOT DISTINCT FROM w.conv_id AND o.n = w.n + 1),
+g AS (SELECT conv_id, n, {closed} FROM v),
+r AS (SELECT conv_id, n, {best('s0', 's3')} AS best FROM g),
+q AS (SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+  count(*) FILTER (truncated) AS truncated, count(*) FILTER (before || initial NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS rows FROM o GROUP BY conv_id)
+SELECT i.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(best.c, 0) AS cost, coalesce(best.a, '') AS audit, sha256(coalesce(substr(best.t, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) i LEFT JOIN q ON q.conv_id IS NOT DISTINCT FROM i.conv_id
+LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM i.conv_id AND r.n = q.rows"""
+
+
+SQL["op12_conversations"] = _repair_sql()
