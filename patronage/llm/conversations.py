@@ -53,6 +53,8 @@ NEVER = 1 << 60
 INITIALS, FAULTS = "suaoe", ("", "truncated", "blank", "duplicate")  # o: another one, e: an empty role
 #: Edits as they are noted: rows put in (U, A), kept, deleted, given another role (u, a); and as they are shown.
 NOTED, SHOWN = "UAKDua", "IIKDRR"
+KEYS = ["conv", "turn", "role", "hash"]
+PIECES = "turn long, role string, hash binary, place long, part long, codes string"
 ROLES = {"U": "user", "A": "assistant", "u": "user", "a": "assistant"}
 
 
@@ -193,8 +195,7 @@ def _codes(rows: DataFrame) -> DataFrame:
     core = F.btrim("text", F.lit(BLANKS))
     fault = F.when(core == "", 2).when(F.right(core, F.lit(1)).isin(*ENDS), 0).otherwise(1)
     once = _hashed(rows).withColumn("fault", fault).groupBy("conv", "turn", "role", "hash").agg(F.min("fault").alias("fault"), F.count(F.lit(1)).alias("n"))
-    place = F.struct(F.col("turn").isNotNull().alias("has"), "turn")
-    first = once.groupBy(F.col("conv").alias("_conv"), F.col("role").alias("_role"), F.col("hash").alias("_hash")).agg(F.min(place).alias("_first"))
+    first = once.groupBy(F.col("conv").alias("_conv"), F.col("role").alias("_role"), F.col("hash").alias("_hash")).agg(F.max(F.isnull("turn")).alias("_null"), F.min("turn").alias("_low"))
     same = F.col("conv").eqNullSafe(F.col("_conv")) & (F.col("role") == F.col("_role")) & (F.col("hash") == F.col("_hash"))
     met = once.join(first, same)
     head = F.left("role", F.lit(1))
@@ -204,14 +205,11 @@ def _codes(rows: DataFrame) -> DataFrame:
         return F.char(F.lit(ord("A")) + initial * len(FAULTS) + f)
 
     again = F.when(F.col("fault") == 2, 2).otherwise(3)
-    code = F.when(place.eqNullSafe(F.col("_first")), F.col("fault")).otherwise(again)
+    new = F.when(F.col("_null"), F.isnull("turn")).otherwise(F.col("turn") == F.col("_low"))
+    code = F.when(new, F.col("fault")).otherwise(again)
     return met.select(*KEYS, "n", char(code).alias("code"), char(again).alias("again"))
 
 
-KEYS = ["conv", "turn", "role", "hash"]
-PIECES = "turn long, role string, hash binary, place long, part long, codes string"
-
-
 def _table(schema: str, conv: pa.DataType, rows: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
     """Rows as batches; the first column is the conversation, whatever its type."""
     types = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<string>": pa.list_(pa.string())}
