@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import prepare
-from . import bpe, conversations, exact_dedup, language, line_dedup, mixing, near_dedup, secrets, suffix_dedup, token_counts, topk, whitening
+from . import bpe, conversations, exact_dedup, language, line_dedup, mixing, near_dedup, secrets, suffix_dedup, token_counts, topk, toxicity, whitening
 from .common import LOWER, UPPER, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -190,3 +190,9 @@ LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM i.conv_id AND r.n = q.rows"""
 
 
 SQL["op12_conversations"] = _repair_sql()
+
+
+@query
+def op13_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
