@@ -88,11 +88,11 @@ def solve(rows: np.ndarray, columns: np.ndarray, dense: np.ndarray, labels: np.n
         found[kept] = w
         off, _ = gradient(w, r, c, len(active))
         pull = np.abs(by_word(off, rows, columns, n_words)).max(axis=1) if n_words else np.empty(0)
-        pull[active] = 0
-        more = np.flatnonzero(pull > penalty * (1 + 1e-3))
-        if not len(more) and calm:
+        used = found[:n_words].any(axis=1)
+        more = np.flatnonzero(~used & (pull > penalty * (1 + 1e-3)))
+        if calm and not len(np.setdiff1d(more, active)):
             break
-        active = np.union1d(active, more)
+        active = np.union1d(np.flatnonzero(used), more)
     return found
 
 
