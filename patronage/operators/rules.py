@@ -5,15 +5,23 @@ Input throughout: long-form baskets, one row per (basket keys, item).
 
 from __future__ import annotations
 
+import functools
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import durable
 
 ORDER_KEYS = ("idsite", "user", "idorder")
+#: Rules that are expanded in one scan of the baskets.
+EXPANDED = 4096
+#: Different items of a history beyond which its pairs are not listed but asked for.
+LONG = 1024
 
 
 def frequent_itemsets(
@@ -87,23 +95,145 @@ def top_k_rules(
     k: int = 10,
     min_confidence: float = 0.8,
     keys: Sequence[str] = ORDER_KEYS,
+    batch: int = EXPANDED,
 ) -> DataFrame:
     """The ``k`` rules with most support among the confident ones, whatever that support is.
 
-    Rules are looked for above a support that is lowered until there are ``k`` or one
-    basket is enough. Those above it are all known, so the best ``k`` are exact.
+    Rules grow from single consequents by one item of the antecedent at a time, those with
+    most support first (see ``_best_rules``). Items below a floor stay out at first; it
+    is lowered until ``k`` rules are found above it or one basket is enough. Equal support
+    goes by confidence, then by antecedent and consequent.
     """
     unique = durable(lines.select(*keys, "item").distinct())
-    counts = unique.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+    counts = durable(unique.groupBy("item").agg(F.count(F.lit(1)).alias("support")))
     # a rule needs two items, so the second most frequent one bounds its support
-    top = counts.orderBy(F.desc("n")).limit(2).agg(F.min("n")).first()[0] or 1
-    needed = max(1, -(-top // 4))
+    top = counts.orderBy(F.desc("support")).limit(2).agg(F.min("support")).first()[0] or 1
+    floor = max(1, -(-top // 4))
     while True:
-        rules = rules_of(_itemsets(unique, needed, keys), min_confidence)
-        best = rules.orderBy(F.desc("support"), F.desc("confidence"), "antecedent", "consequent").limit(k)
-        if needed == 1 or best.count() == k:
+        common = counts.where(F.col("support") >= floor)
+        kept = unique.join(common.select("item"), "item", "left_semi").groupBy(*keys).agg(F.collect_list("item").alias("items"))
+        best = _best_rules(durable(kept.select("items")), common, floor, k, min_confidence, batch)
+        if floor == 1 or len(best) == k:
+            item = lines.schema["item"].dataType.simpleString()
+            return lines.sparkSession.createDataFrame(best, f"antecedent array<{item}>, consequent {item}, support long, confidence double")
+        floor = max(1, floor // 4)
+
+
+def _best_rules(
+    baskets: DataFrame, common: DataFrame, floor: int, k: int, min_confidence: float, batch: int
+) -> list[tuple]:
+    """Best-first search: the best ``k`` rules with a support of at least ``floor``.
+
+    A rule X -> c grows into X + y -> c with y above all of X, so every rule has one
+    way to it, and support only falls on the way. Of the rules met, ``batch`` with
+    most support are expanded at a time, in one scan of the baskets that counts both X + y
+    and X + y + c. Once ``k`` are confident, the last one's support is the bound
+    below which nothing is expanded; at the bound itself, if that one's confidence is 1,
+    only what can still come before it in order. What is met stays in tables; a
+    table's rows up to its cut are expanded, so nothing is written again.
+    """
+    names = ["support", "antecedent", "consequent"]
+    item = common.schema["item"].dataType.simpleString()
+    roots = common.select("support", F.array().cast(f"array<{item}>").alias("antecedent"), F.col("item").alias("consequent"))
+    tables: list[tuple[DataFrame, tuple | None]] = [(roots, None)]
+    best: list[tuple] = []
+    bound = floor
+
+    def place(row) -> tuple:
+        return (-row["support"], list(row["antecedent"]), row["consequent"])
+
+    def beyond(cut: tuple) -> Column:
+        support, x, c = -cut[0], F.array(*map(F.lit, cut[1])).cast(f"array<{item}>"), F.lit(cut[2])
+        after = (F.col("antecedent") > x) | ((F.col("antecedent") == x) & (F.col("consequent") > c))
+        return (F.col("support") < support) | ((F.col("support") == support) & after)
+
+    while True:
+        open_rules = functools.reduce(
+            DataFrame.unionByName, [t.select(*names) if cut is None else t.select(*names).where(beyond(cut)) for t, cut in tables]
+        ).where(F.col("support") >= bound)
+        if len(best) == k and best[-1][3] == 1.0:
+            last = F.array(*map(F.lit, best[-1][0])).cast(f"array<{item}>")
+            open_rules = open_rules.where((F.col("support") > bound) | (F.col("antecedent") < last))
+        chosen = open_rules.orderBy(F.desc("support"), "antecedent", "consequent").limit(batch).collect()
+        if not chosen:
             return best
-        needed = max(1, needed // 4)
+        cut = place(chosen[-1])
+        tables = [(t, cut if c is None else max(c, cut)) for t, c in tables]
+        grown = durable(_expanded(baskets, chosen, item, bound))
+        tables.append((grown, None))
+        met = grown.where(F.col("confidence") >= min_confidence).orderBy(F.desc("support"), F.desc("confidence"), "antecedent", "consequent").limit(k).collect()
+        best += [(list(r["antecedent"]), r["consequent"], r["support"], r["confidence"]) for r in met]
+        best = sorted(best, key=lambda r: (-r[2], -r[3], r[0], r[1]))[:k]
+        if len(best) == k:
+            bound = max(bound, best[-1][2])
+
+
+def _expanded(baskets: DataFrame, rules: list, item: str, bound: int) -> DataFrame:
+    """antecedent, consequent, support, confidence of the rules with one more item, in at least ``bound`` baskets.
+
+    A task keeps, for each batch of baskets, the list of baskets of every item; lists
+    are intersected along antecedents that share their beginning, and what the
+    baskets left hold is counted at once for every item.
+    """
+    asked = [(tuple(r["antecedent"]), r["consequent"]) for r in rules]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lists = b.column(0)
+            lengths = lists.value_lengths().to_numpy(zero_copy_only=False)
+            words = lists.flatten()
+            items = pc.unique(words).sort()
+            codes = pc.index_in(words, items).to_numpy(zero_copy_only=False)
+            place = {x: i for i, x in enumerate(items.to_pylist())}
+            starts = np.cumsum(lengths) - lengths
+            owner = np.repeat(np.arange(len(lengths)), lengths)
+            by_item = np.argsort(codes, kind="stable")
+            edges = np.searchsorted(codes[by_item], np.arange(len(items) + 1))
+            everywhere = np.ones(len(lengths), bool)
+
+            @functools.cache
+            def holders(x: tuple) -> np.ndarray:
+                if not x:
+                    return everywhere
+                mine = np.zeros(len(lengths), bool)
+                if x[-1] in place:
+                    at = place[x[-1]]
+                    mine[owner[by_item[edges[at] : edges[at + 1]]]] = True
+                return holders(x[:-1]) & mine
+
+            def held(rows: np.ndarray) -> np.ndarray:
+                """How many of these baskets hold each item."""
+                n = lengths[rows]
+                at = np.repeat(starts[rows] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                return np.bincount(codes[at], minlength=len(items))
+
+            with_x: dict[tuple, np.ndarray] = {}
+            found = []
+            for i, (x, c) in enumerate(asked):
+                if x not in with_x:
+                    with_x[x] = held(np.flatnonzero(holders(x)))
+                n_x = with_x[x]
+                first = place.get(x[-1], len(items)) + 1 if x else 0
+                some = first + np.flatnonzero(n_x[first:])
+                if c in place:
+                    some = some[some != place[c]]
+                if not len(some):
+                    continue
+                n_xc = held(np.flatnonzero(holders(x) & holders((c,))))[some]
+                found.append((np.full(len(some), i), some, n_x[some], n_xc))
+            if found:
+                rule, some, n_x, n_xc = map(np.concatenate, zip(*found, strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(rule), items.take(pa.array(some)), pa.array(n_x), pa.array(n_xc)], ["rule", "item", "base", "support"])
+
+    counted = baskets.mapInArrow(run, f"rule long, item {item}, base long, support long").groupBy("rule", "item").agg(F.sum("base").alias("base"), F.sum("support").alias("support"))
+    about = baskets.sparkSession.createDataFrame(
+        [(i, list(x), c) for i, (x, c) in enumerate(asked)], f"rule long, antecedent array<{item}>, consequent {item}"
+    )
+    return (
+        counted.where(F.col("support") >= bound)
+        .join(F.broadcast(about), "rule")  # as many rows as were chosen
+        .select(F.array_append("antecedent", F.col("item")).alias("antecedent"), "consequent", "support", (F.col("support") / F.col("base")).alias("confidence"))
+    )
 
 
 def also_bought(
@@ -143,6 +273,7 @@ def sequence_patterns(
     min_support: float,
     max_length: int | None = None,
     keys: Sequence[str] = ("idsite", "user"),
+    long: int = LONG,
 ) -> DataFrame:
     """Frequent patterns (lists of itemsets) in customers' ordered baskets.
 
@@ -150,73 +281,90 @@ def sequence_patterns(
     items grows by one item, in a later basket or in its last one, until no pattern
     is frequent or has ``max_length`` items. A pattern only grows by what a frequent
     pair allows: the last item before the new one, in the same way, must be frequent.
-    Per customer only the places where a pattern ends are kept, as rows.
+
+    What a pattern has to grow in is projected, not copied: per customer and frequent
+    pattern only the places where it ends are kept, as rows. Extensions are counted
+    as they are joined, and only those of frequent patterns become places.
     """
     keys = list(keys)
     occ = durable(occurrences.select(*keys, "pos", "item"))
     customers = occ.select(*keys).distinct().count()
     needed = max(1, math.ceil(min_support * customers - 1e-9))
-
-    def frequent(rows: DataFrame) -> DataFrame:
-        once = rows.select("pattern", *keys).distinct()
-        counted = once.groupBy("pattern").agg(F.count(F.lit(1)).alias("support"))
-        return counted.where(F.col("support") >= needed)
-
+    spans = durable(occ.groupBy(*keys, "item").agg(F.min("pos").alias("first"), F.max("pos").alias("latest")))
+    items = durable(spans.groupBy("item").agg(F.count(F.lit(1)).alias("support")).where(F.col("support") >= needed))
     single = F.array(F.array("item"))
-    ends = occ.withColumn("pattern", single)
-    found = durable(frequent(ends))
-    result = found
-    occ = durable(
-        ends.join(found.select("pattern"), "pattern", "left_semi").drop("pattern")
-    )
+    result = items.select(single.alias("pattern"), "support")
+    occ = durable(occ.join(items.select("item"), "item", "left_semi"))
+    spans = durable(spans.join(items.select("item"), "item", "left_semi"))
+    later, along = (durable(p) for p in _frequent_pairs(occ, spans, needed, keys, long))
     ends = occ.select(*keys, "pos", single.alias("pattern"), F.col("item").alias("last"))
-    last_place = durable(occ.groupBy(*keys, "item").agg(F.max("pos").alias("_latest")))
-    steps = None
     length = 2
     while max_length is None or length <= max_length:
         # a customer's first end of a pattern leaves most room for what comes later
-        first_end = ends.groupBy(*keys, "pattern", "last").agg(F.min("pos").alias("_end"))
-        wide = ends.select(*keys, "pos", "pattern", "last")
-        if steps is not None:
-            first_end = first_end.join(steps["later"], "last")
-            wide = wide.join(steps["with"], "last").withColumnRenamed("next", "item")
-        if steps is not None:
-            first_end = first_end.withColumnRenamed("next", "item")
-            later = first_end.join(last_place, [*keys, "item"])
-        else:
-            later = first_end.join(last_place, keys)
-        # who has it at all decides what is frequent; places follow only for those
-        longer = later.where(F.col("_latest") > F.col("_end")).select(
-            *keys, "pattern", "last", "item", "_end", F.concat("pattern", F.array(F.array("item"))).alias("grown")
+        first_end = ends.groupBy(*keys, "pattern", "last").agg(F.min("pos").alias("_end")).join(later, "last")
+        longer = (
+            first_end.join(spans.drop("first"), [*keys, "item"])
+            .where(F.col("latest") > F.col("_end"))
+            .select(*keys, "item", "_end", F.concat("pattern", F.array(F.array("item"))).alias("pattern"))
         )
-        joined = wide.join(occ, [*keys, "pos"] + (["item"] if steps is not None else []))
-        wider = joined.where(F.col("item") > F.col("last")).select(
+        wider = ends.join(along, "last").join(occ, [*keys, "pos", "item"]).select(
             *keys,
             "pos",
             F.concat(
                 F.slice("pattern", F.lit(1), F.size("pattern") - 1),
                 F.array(F.concat(F.element_at("pattern", -1), F.array("item"))),
             ).alias("pattern"),
-            F.col("last").alias("before"),
-            F.col("item").alias("last"),
+            "item",
         )
-        longer, wider = durable(longer), durable(wider)
-        once = longer.select(F.col("grown").alias("pattern"), *keys).unionByName(wider.select("pattern", *keys))
-        found = durable(frequent(once))
+        # a customer has a pattern once in longer, in wider at several places
+        once = longer.select("pattern", *keys).unionByName(wider.select("pattern", *keys).distinct())
+        found = durable(once.groupBy("pattern").agg(F.count(F.lit(1)).alias("support")).where(F.col("support") >= needed))
         if found.isEmpty():
             break
         result = result.unionByName(found)
-        if steps is None:
-            steps = {
-                "later": durable(longer.join(found.select(F.col("pattern").alias("grown")), "grown", "left_semi").select("last", F.col("item").alias("next")).distinct()),
-                "with": durable(wider.join(found.select("pattern"), "pattern", "left_semi").select(F.col("before").alias("last"), F.col("last").alias("next")).distinct()),
-            }
-        longer = longer.join(found.select(F.col("pattern").alias("grown")), "grown", "left_semi")
-        places = longer.join(occ, [*keys, "item"]).where(F.col("pos") > F.col("_end"))
-        ends = durable(
-            places.select(*keys, "pos", F.col("grown").alias("pattern"), F.col("item").alias("last")).unionByName(
-                wider.join(found.select("pattern"), "pattern", "left_semi").select(*keys, "pos", "pattern", "last")
-            )
-        )
+        kept = found.select("pattern")
+        places = longer.join(kept, "pattern", "left_semi").join(occ, [*keys, "item"]).where(F.col("pos") > F.col("_end"))
+        columns = [*keys, "pos", "pattern", F.col("item").alias("last")]
+        ends = durable(places.select(*columns).unionByName(wider.join(kept, "pattern", "left_semi").select(*columns)))
         length += 1
     return result
+
+
+def _frequent_pairs(
+    occ: DataFrame, spans: DataFrame, needed: int, keys: list[str], long: int
+) -> tuple[DataFrame, DataFrame]:
+    """(last, item) of the frequent pairs, an item in a later basket and a larger one in the same basket.
+
+    Fewer than ``needed`` customers have long histories (more than ``long`` items, which
+    is raised until that holds), so a frequent pair is also found among the others, and
+    as often as what the long ones cannot make up for. All pairs are listed for the
+    others alone; a long history is asked for those candidates only.
+    """
+    sizes = durable(spans.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
+    while (n_long := sizes.where(F.col("n") > long).count()) >= needed:
+        long *= 2
+    who = sizes.where(F.col("n") > long).select(*keys)
+    left, right = F.col("item").alias("last"), F.col("item")
+
+    def later(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
+        return a.join(b.drop("first"), on).where(F.col("latest") > F.col("first")).select("last", right)
+
+    def along(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
+        return a.join(b, on).where(right > F.col("last")).select(*keys, "last", right).distinct().select("last", right)
+
+    def counted(pairs: DataFrame, least: int) -> DataFrame:
+        return pairs.groupBy("last", "item").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+
+    out = []
+    for table, pairs, on, columns in ((spans, later, keys, [*keys, "first"]), (occ, along, [*keys, "pos"], [*keys, "pos"])):
+        if not n_long:
+            out.append(counted(pairs(table.select(*columns, left), table, on), needed).select("last", "item"))
+            continue
+        some = table.join(who, keys, "left_anti")
+        candidates = durable(counted(pairs(some.select(*columns, left), some, on), max(1, needed - n_long)))
+        rest = table.join(who, keys, "left_semi")
+        asked = rest.select(*columns, left).join(candidates.select("last", "item"), "last")
+        more = counted(pairs(asked, rest, [*on, "item"]), 1)
+        both = candidates.unionByName(more).groupBy("last", "item").agg(F.sum("n").alias("n"))
+        out.append(both.where(F.col("n") >= needed).select("last", "item"))
+    return out[0], out[1]

@@ -204,3 +204,39 @@ def test_top_k_similar(spark):
         )[:6]
         mine = sorted((r.rank, -r.similarity, r.b) for r in got if r.a == f"1|{me}")
         assert [(s, b) for _, s, b in mine] == best
+
+
+def brute_rules(bs, k, confidence):
+    counts = brute_itemsets(bs, 1)
+    found = []
+    for s, c in counts.items():
+        for x in s if len(s) > 1 else ():
+            rest = tuple(i for i in s if i != x)
+            if c / counts[rest] >= confidence:
+                found.append((-c, -c / counts[rest], list(rest), x))
+    return [(a, x, -c, -f) for c, f, a, x in sorted(found)[:k]]
+
+
+@pytest.mark.parametrize(("seed", "confidence", "k", "batch"), [(3, 0.9, 12, 7), (4, 0.5, 40, 64), (5, 1.0, 25, 3), (6, 0.0, 200, 4096)])
+def test_best_first_search_equals_all_rules(spark, seed, confidence, k, batch):
+    """Whatever is expanded at a time, ties included."""
+    bs = baskets(n=40, items=7, seed=seed)
+    got = rules.top_k_rules(frame(spark, bs), k, confidence, batch=batch).collect()
+    assert [(r.antecedent, r.consequent, r.support, pytest.approx(r.confidence)) for r in got] == brute_rules(bs, k, confidence)
+
+
+def test_rules_of_one_basket_among_long_ones(spark):
+    """The last of the best has one basket's support, and a basket of 60 items has 2 ** 60 itemsets."""
+    r = random.Random(2)
+    bs = {f"o{i}": set(r.sample(range(60), 58)) for i in range(3)} | {"p": set(range(60)), "q": {1, 100}, "s": {1, 100}}
+    bs |= {f"t{i}": {200 + i, 300 + i} for i in range(4)}
+    counts = Counter(x for b in bs.values() for x in b)
+    got = rules.top_k_rules(frame(spark, bs).where("item >= 100 OR idorder IN ('p', 'q', 's')"), 12, 1.0).collect()
+    assert len(got) == 12 and got[-1].support == 1 and got[0].support >= 2 and counts[1] >= 3
+    assert (got[0].antecedent, got[0].consequent, got[0].support) == ([100], 1, 2)
+    keys = [(-x.support, -x.confidence, x.antecedent, x.consequent) for x in got]
+    assert keys == sorted(keys)
+    # of the rest, the first in order: what holds in the long basket alone
+    assert [(x.antecedent, x.consequent) for x in got[1:]] == [([0], c) for c in range(1, 12)]
+    deep = rules.top_k_rules(frame(spark, {k: b for k, b in bs.items() if k < "q"}), 30, 1.0).collect()
+    assert len(deep) == 30
