@@ -7,11 +7,13 @@ cosine; a text takes the language of the centroid with the largest cosine. A tex
 cosine lies below the model's floor, half of what nearly all training texts reach, is
 rejected: it is far from every language known.
 
-The model is fitted on a bounded sample of labelled texts (SAMPLE, chosen by a hash of
-the identifier). Prediction uses the text alone and all of it.
+The model is fitted on a bounded sample of labelled texts (SAMPLE, in equal shares for the
+languages, but at least LEAST of each; chosen by a hash of identifier and text). Prediction
+uses the text alone and all of it.
 
 Defined cases: a null text or one without letters is ``und`` with score 0, and rejected.
-Rows without an identifier are predicted but not learned from, nor are null languages.
+Rows without an identifier are predicted but not learned from (and not held out), nor are
+null languages. Rows equal in identifier, text and language are learned from once.
 Without any labelled text everything is ``und``. Ties go to the first language in
 alphabetical order. Repeated rows give equal rows; other columns do not take part.
 """
@@ -25,9 +27,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
+
+from . import linear
 
 DIMS = 2048
-SAMPLE = 4096
+SAMPLE, LEAST = 4096, 64
 CENTROIDS = 4
 #: Code points that are put through the n-grams at a time; a matter of memory only.
 PIECE = 1 << 20
@@ -127,8 +132,10 @@ def cluster(vectors: np.ndarray, k: int, rounds: int = 20) -> np.ndarray:
 
 def fit_vectors(counts: np.ndarray, langs: list[str], k: int = CENTROIDS) -> Model:
     n = len(langs)
-    idf = np.log((1 + n) / (1 + (counts > 0).sum(axis=0))) + 1
-    vectors = unit(np.log1p(counts) * idf)
+    idf = np.log((1 + n) / (1 + np.count_nonzero(counts, axis=0))) + 1
+    vectors = np.log1p(counts, dtype=np.float32)
+    vectors *= idf.astype(np.float32)
+    vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
     names, parts, own = [], [], []
     langs = np.array(langs, object)
     for lang in sorted(set(langs)):
@@ -142,15 +149,18 @@ def fit_vectors(counts: np.ndarray, langs: list[str], k: int = CENTROIDS) -> Mod
 
 
 def held_out(id_col: Column) -> Column:
-    return F.crc32(id_col.cast("string")) % 5 == 0
+    """Never null: a row without an identifier is not held out."""
+    return F.coalesce(F.crc32(id_col.cast("string")) % 5 == 0, F.lit(False))
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, k: int = CENTROIDS, dims: int = DIMS) -> Model:
-    """Learn from about ``sample`` labelled texts that are not held out."""
-    labelled = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"), docs[lang_col].alias("lang")).where(~held_out(F.col("id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    n = labelled.select("id").count()
-    share = min(1.0, sample / max(n, 1))
-    chosen = labelled.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < round(share * 1_000_000))
+    """Learn from at most ``sample`` labelled texts that are not held out, or LEAST of each language if that is more."""
+    given = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"), docs[lang_col].alias("label"))
+    labelled = given.where("id IS NOT NULL AND label IS NOT NULL AND text IS NOT NULL").where(~held_out(F.col("id")))
+    keyed = labelled.select("label", linear.small_hash(F.col("id"), F.col("text")).alias("order"), F.col("id").cast("string"), "text")
+    known = [r["label"] for r in labelled.select("label").distinct().collect()]  # languages are few
+    share = max(sample // max(len(known), 1), LEAST)
+    chosen = linear.smallest(keyed, share, once=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -162,18 +172,22 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                 ids = [x for x, m in zip(part.column(0).to_pylist(), n_letters, strict=True) if m]
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(langs, pa.string()), pa.array([r.tobytes() for r in rows], pa.binary())], ["id", "lang", "counts"])
 
-    rows = chosen.select(F.col("id").cast("string"), "text", "lang").mapInArrow(run, "id string, lang string, counts binary").collect()
+    rows = chosen.select("id", "text", "label").mapInArrow(run, "id string, lang string, counts binary").collect()
     rows.sort(key=lambda r: (r["id"], r["lang"]))  # the order of partitions does not matter
-    counts = np.frombuffer(b"".join(r["counts"] for r in rows), "<u2").reshape(-1, dims)
-    return fit_vectors(counts, [r["lang"] for r in rows], k)
+    langs = [r["lang"] for r in rows]
+    counts = np.empty((len(rows), dims), np.uint16)
+    for i in range(len(rows)):
+        counts[i] = np.frombuffer(rows[i]["counts"], "<u2")
+        rows[i] = None  # the bytes are not kept beside the matrix
+    return fit_vectors(counts, langs, k)
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
     """id, lang_pred, score, rejected; with ``carry`` a struct _row of all columns in place of the id."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]) if carry else docs[id_col]
+    row = F.struct("*") if carry else docs[id_col]
     given = docs.select(row.alias("_row"), docs[text_col].alias("_text"))
-    kind = given.schema["_row"].dataType.simpleString()
     name = "_row" if carry else id_col
+    fields = [StructField(name, given.schema["_row"].dataType), StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("rejected", BooleanType())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -182,4 +196,4 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
                 names, score, rejected = model.predict([t or "" for t in b.column(1).to_pylist()])
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(names), pa.array(score, pa.float64()), pa.array(rejected)], [name, "lang_pred", "score", "rejected"])
 
-    return given.mapInArrow(run, f"`{name}` {kind}, lang_pred string, score double, rejected boolean")
+    return given.mapInArrow(run, StructType(fields))

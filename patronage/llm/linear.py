@@ -29,17 +29,28 @@ def small_hash(*key: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*key, F.lit(11)), 4)
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, bound: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """label, weight, text of at most ``bound`` documents a class; labels: id, label (a number). weight: the class's documents for each one taken.
+def smallest(rows: DataFrame, bound: int, once: bool = False) -> DataFrame:
+    """At most ``bound`` rows of each label, those smallest by ``order`` (see small_hash), and weight: the label's rows for each one taken.
 
-    An identifier with several labels counts with the largest. Every task keeps at most ``bound`` rows of a class before any is shuffled.
+    Labels with more rows are first cut to about twice the bound by the value of their hashes, so
+    no task sorts more than that of a label, however many rows it has. There are few labels.
+    With ``once``, of rows equal in label and order one is taken.
     """
+    sizes = rows.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
+    share = F.least(F.lit(1.0), F.lit(2.0 * bound) / F.col("size"))
+    near = rows.join(F.broadcast(sizes), "label").where(F.col("order") < share * float(1 << 60))
+    if once:
+        near = near.dropDuplicates(["label", "order"])
+    best = Window.partitionBy("label").orderBy("order")
+    taken = near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= bound)
+    return taken.withColumn("weight", F.col("size") / F.least("size", F.lit(bound))).drop("rank", "size")
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, bound: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """label, weight, text of at most ``bound`` documents a class; labels: id, label (a number). An identifier with several labels counts with the largest."""
     known = labels.select(labels[labels.columns[0]].alias("id"), labels[labels.columns[1]].cast("double").alias("label")).where("id IS NOT NULL AND label IS NOT NULL")
     known = known.groupBy("id").agg(F.max("label").alias("label"))
-    best = Window.partitionBy("label").orderBy("order", "id")
-    taken = known.withColumn("order", small_hash(F.col("id"))).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= bound)
-    sizes = known.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
-    chosen = taken.join(F.broadcast(sizes), "label").select("id", "label", (F.col("size") / F.least("size", F.lit(bound))).alias("weight"))
+    chosen = smallest(known.withColumn("order", small_hash(F.col("id"))), bound).drop("order")
     texts = docs.select(docs[id_col].alias("id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
     met = texts.join(F.broadcast(chosen), "id")  # at most ``bound`` rows a class
     return met.groupBy("id", "label", "weight").agg(F.min_by("text", F.xxhash64("text")).alias("text")).drop("id")

@@ -9,9 +9,9 @@ totals from the targets, plus a little of the distance from rate 1, over r >= 0:
 
 with w_i the token share of a document, b the targets over all tokens and
 G = sum_i w_i p_i p_i' the domains' Gram matrix, which makes a step of 1/(1 + ridge)
-right for any data. Each step of the (accelerated) projected gradient is one aggregate that
+right for any data. Each step of the (accelerated) projected gradient is one pass in which a task
 sends as many numbers as there are domains to the driver; a document's rate is recomputed
-from the steps so far, so nothing is stored per step.
+from the steps so far, so nothing is stored per step. Steps go on until they converge.
 
 Defined cases: a null text counts as empty and has no tokens; its rate does not matter
 to the totals and follows its posterior. Rows without an identifier or a label are not
@@ -25,23 +25,22 @@ Other columns, whatever their names, do not take part.
 from __future__ import annotations
 
 import dataclasses
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml import Pipeline
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizer, VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..session import durable
+from . import linear
 
-#: Bound (about) on the labelled texts that the classifier is fitted on.
-SAMPLE = 8192
-DIMS = 1 << 15
+#: Bound on the labelled texts of each domain that the classifier is fitted on.
+SAMPLE = 4096
 RIDGE = 1e-3
-ROUNDS = 60
+#: Where steps that do not converge end, with a warning.
+ROUNDS = 1000
 #: Steps end when no domain's share of all tokens moves by more.
 TOLERANCE = 1e-5
 #: Characters that prose has none of.
@@ -99,31 +98,19 @@ class Classifier:
         return given.mapInArrow(run, f"id {kind}, text_hash binary, n_tokens long, posterior array<double>")
 
 
-def fit_classifier(docs: DataFrame, labels: DataFrame, n_domains: int = len(DOMAINS), id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, dims: int = DIMS) -> Classifier:
-    """labels: id, domain (a place). Fitted on about ``sample`` labelled documents, chosen by a hash of the identifier; ``dims`` bounds the words."""
-    known = labels.select(labels[labels.columns[0]].alias("id"), labels[labels.columns[1]].cast("double").alias("label")).where("id IS NOT NULL AND label IS NOT NULL").dropDuplicates(["id"])
-    share = min(1.0, sample / max(known.count(), 1))
-    chosen = known.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < round(share * 1_000_000))  # bounded, so it may be broadcast
-    texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).join(F.broadcast(chosen), "id").select("label", "text")
+def fit_classifier(docs: DataFrame, labels: DataFrame, n_domains: int = len(DOMAINS), id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Classifier:
+    """labels: id, domain (a place). Fitted on at most ``sample`` labelled documents of each domain."""
+    texts = linear.labelled_sample(docs, labels, sample, id_col, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [described(t or "") for t in b.column(1).to_pylist()]
-            columns = [pa.array([sorted(r[1]) for r in rows], pa.list_(pa.string())), *(pa.array([r[2][i] for r in rows], pa.float64()) for i in range(3))]
-            yield pa.RecordBatch.from_arrays([b.column(0), *columns], ["label", "words", "s0", "s1", "s2"])
-
-    rows = durable(texts.mapInArrow(run, "label double, words array<string>, s0 double, s1 double, s2 double"))
-    if rows.select("label").distinct().count() < 2 or rows.where("size(words) > 0").isEmpty():
-        return Classifier({}, np.zeros((3, n_domains)), np.zeros(n_domains), n_domains)
-    stages = [
-        CountVectorizer(inputCol="words", outputCol="has", vocabSize=dims, binary=True),
-        VectorAssembler(inputCols=["has", "s0", "s1", "s2"], outputCol="features"),
-        LogisticRegression(featuresCol="features", labelCol="label", family="multinomial", maxIter=100, regParam=0.002, elasticNetParam=1.0),
-    ]
-    model = Pipeline(stages=stages).fit(rows)
-    weights, intercept = model.stages[2].coefficientMatrix.toArray().T, model.stages[2].interceptVector.toArray()
-    used = {w: x for w, x in zip(model.stages[0].vocabulary, weights, strict=False) if x.any()}
-    return Classifier(used, weights[-3:], intercept, n_domains)
+            rows = [described(t or "") for t in b.column(2).to_pylist()]
+            columns = [pa.array([sorted(r[1]) for r in rows], pa.list_(pa.string())), pa.array([list(r[2]) for r in rows], pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *columns], ["label", "weight", "words", "dense"])
+
+    rows = durable(texts.select("label", "weight", "text").mapInArrow(run, "label double, weight double, words array<string>, dense array<double>"))
+    words, rest = linear.fit_in_one_task(rows, n_domains, 3)
+    return Classifier(words, rest[:3], rest[3], n_domains)
 
 
 @dataclasses.dataclass(frozen=True)
@@ -160,6 +147,7 @@ def fit_rates(weights: DataFrame, targets: list[float], ridge: float = RIDGE, ro
     inverse = np.linalg.inv(g + 1e-9 * np.trace(g) * np.eye(k))
     goal = np.array(targets, float) / total
     steps, last, since, before = Steps(np.empty((0, k)), (), ridge), None, 0, np.inf
+    given, names = weights.select("n_tokens", "posterior"), ", ".join(f"t{i} double" for i in range(k))
     for _ in range(rounds):
 
         def sums(batches: Iterator[pa.RecordBatch], steps: Steps = steps) -> Iterator[pa.RecordBatch]:
@@ -169,16 +157,17 @@ def fit_rates(weights: DataFrame, targets: list[float], ridge: float = RIDGE, ro
                 found += (steps.rates(p, ahead=True) * b.column(0).to_numpy()) @ p
             yield pa.RecordBatch.from_arrays([pa.array([x]) for x in found], [f"t{i}" for i in range(k)])
 
-        parts = weights.select("n_tokens", "posterior").mapInArrow(sums, ", ".join(f"t{i} double" for i in range(k)))
-        got = np.array(parts.agg(*[F.sum(f"t{i}") for i in range(k)]).first(), float) / total
+        parts = given.mapInArrow(sums, names).collect()  # as many numbers as there are domains from each task
+        got = np.array(parts, float).reshape(-1, k).sum(axis=0) / total
         pull = inverse @ (got - goal)
         if last is not None and np.abs(got - last).max() < tolerance:
-            break
+            return steps
         last = got
         off = float((got - goal) @ pull)
         since = since + 1 if off < before else 0  # what no longer comes nearer starts anew
         before = off
         steps = Steps(np.vstack([steps.pulls, pull]), (*steps.drives, since / (since + 3)), ridge)
+    warnings.warn(f"rates still move after {rounds} steps", RuntimeWarning, stacklevel=2)
     return steps
 
 

@@ -51,11 +51,10 @@ LOOKS_LIKE = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l",
 }
 SIGNS = "".join(map(re.escape, LOOKS_LIKE))
-#: Parts of a token: letters and signs between punctuation; signs at the end that are punctuation as a rule do not count.
-PART = re.compile(rf"[^\W_{SIGNS}](?:[^\W_]|[{SIGNS}])*(?<![!|+(])|[{SIGNS}](?=(?:[^\W_]|[{SIGNS}])*[^\W\d_])(?:[^\W_]|[{SIGNS}])*(?<![!|+(])")
+#: Parts of a token between punctuation; signs that are punctuation as a rule do not count at a part's ends.
+PART, EDGES = re.compile(rf"(?:[^\W_]|[{SIGNS}])+"), "!|+(@"
 SPACED = re.compile(rf"(?:[^\W_]|[{SIGNS}])(?:[._\-*~,/](?:[^\W_]|[{SIGNS}])){{2,}}")
 REPEATED = re.compile(r"([^\W\d_])\1\1|([^\W\d_])\2[^\W\d_]*?([^\W\d_])\3")
-TAIL = re.compile(rf"([{SIGNS}])\1\1+$")
 SINGLES = re.compile(r"(?:^|(?<=\s))\S(?:\s\S){2,}(?=\s|$)")
 #: Code points that are counted at a time, and entries of a task's table of tokens; matters of memory only.
 PIECE, MEMORY = 1 << 20, 1 << 18
@@ -188,14 +187,16 @@ class Channel:
             yield token
             return
         apart = SPACED.fullmatch(token.strip(".,;:?\"'()[]"))
-        if apart:
+        if apart and any(map(str.isalpha, token)):
             yield from self.read(self.lattice(re.sub(r"[._\-*~,/]", "", apart.group()), True)).split()
             return
-        for m in PART.finditer(TAIL.sub("", token)):
-            part = m.group()
+        for m in PART.finditer(token):
+            part = m.group().strip(EDGES)
+            bare = part.rstrip(part[-1:]) if part[-1:] in LOOKS_LIKE else part
+            part = bare if len(part) - len(bare) > 2 else part  # a row of signs after a word is no ending
             if part.isalpha() and not REPEATED.search(part):
                 yield part
-            elif not part.isdigit():
+            elif any(map(str.isalpha, part)):
                 yield from self.read(self.lattice(part)).split()
 
     def read_text(self, text: str) -> frozenset[str]:
