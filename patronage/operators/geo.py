@@ -12,9 +12,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.columns import to_pixel
 from ..session import durable
+from . import convolution
 
 ALPHA = 200
 THRESHOLD = 0.7
+#: Pairs of pixels up to which heat is added up pair by pair; beyond, transforms do less work.
+PAIRS = 1 << 24
 
 
 def fit_centers(
@@ -141,9 +144,10 @@ def grid(spark: SparkSession, width: int, height: int) -> DataFrame:
     )
 
 
-def pixel_counts(pixels: DataFrame) -> DataFrame:
-    """Points per occupied pixel; from here on sizes depend on the image alone."""
-    return pixels.groupBy("x", "y").agg(F.count(F.lit(1)).alias("points"))
+def pixel_counts(pixels: DataFrame, width: int, height: int) -> DataFrame:
+    """Points per occupied pixel, borders included; from here on sizes depend on the image alone."""
+    inside = pixels.where(F.col("x").between(0, width) & F.col("y").between(0, height))
+    return inside.groupBy("x", "y").agg(F.count(F.lit(1)).alias("points"))
 
 
 def _weight(square):
@@ -153,12 +157,15 @@ def _weight(square):
 def pixel_heat(pixels: DataFrame, width: int, height: int) -> DataFrame:
     """Heat of every pixel from the points nearer than a fifth of the width on both axes.
 
-    Each occupied pixel hands its share to the pixels around it; shares for the
-    same pixel are summed before they are shuffled. Cost: occupied pixels times
-    the square of the reach, however many points there are.
+    On a small image each occupied pixel hands its share to the pixels around it, and shares for the
+    same pixel are summed before they are shuffled: occupied pixels times the square of the
+    reach. Larger ones (see PAIRS) are convolved with the kernel, cut at the reach. Either way
+    the number of points does not matter.
     """
     reach = width // 5
-    counted = pixel_counts(pixels)
+    counted = pixel_counts(pixels, width, height)
+    if width * height * (2 * reach - 1) ** 2 > PAIRS:
+        return convolution.inverse_square(counted, width, height, reach)
     offsets = F.sequence(F.lit(1 - reach), F.lit(reach - 1)) if reach > 0 else F.array().cast(
         "array<int>"
     )
@@ -187,11 +194,14 @@ def pixel_heat(pixels: DataFrame, width: int, height: int) -> DataFrame:
 def point_heat(pixels: DataFrame, width: int, height: int) -> DataFrame:
     """Heat of every occupied pixel from all points; other pixels of the image are 0.
 
-    Each occupied pixel meets the occupied pixels of one image row at a time, by an
-    equi-join on the row number. Cost: occupied pixels squared, as the definition
-    asks, however many points there are.
+    On a small image each occupied pixel meets the occupied pixels of one image row at a time, by
+    an equi-join on the row number: occupied pixels squared. Larger ones (see PAIRS) are
+    convolved with the whole kernel. Either way the number of points does not matter.
     """
-    counted = pixel_counts(pixels)
+    counted = pixel_counts(pixels, width, height)
+    if (width * height) ** 2 > PAIRS:
+        heat = convolution.inverse_square(counted, width, height).join(counted, ["x", "y"], "left")
+        return heat.select("x", "y", F.when(F.col("points").isNull(), 0.0).otherwise(F.col("heat")).alias("heat"))
     sources = counted.select(F.col("x").alias("sx"), F.col("y").alias("sy"), "points")
     targets = counted.select(
         "x", "y", F.explode(F.sequence(F.lit(0), F.lit(height))).alias("sy")

@@ -218,30 +218,46 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
         """SELECT cluster, clat, clon, lat, lon FROM conv, center QUALIFY row_number() OVER
         (PARTITION BY o_orderkey ORDER BY (lat - clat) * (lat - clat) + (lon - clon) * (lon - clon), cluster) = 1""",
     ),
-    "pix": (
-        ("near",),
-        f"""SELECT cluster,
-        CAST(trunc({s.WIDTH}::DOUBLE * (0.5::DOUBLE + clon / 360.0::DOUBLE)) AS INTEGER) AS cx,
-        CAST(trunc({s.HEIGHT}::DOUBLE * (0.5::DOUBLE - clat / 180.0::DOUBLE)) AS INTEGER) AS cy,
-        CAST(trunc({s.WIDTH}::DOUBLE * (0.5::DOUBLE + lon / 360.0::DOUBLE)) AS INTEGER) AS x,
-        CAST(trunc({s.HEIGHT}::DOUBLE * (0.5::DOUBLE - lat / 180.0::DOUBLE)) AS INTEGER) AS y
-        FROM near""",
-    ),
-    "spot": (("pix",), "SELECT x, y, count(*) AS c FROM pix GROUP BY x, y"),
-    "cell": (
-        (),
-        f"""SELECT CAST(a.x AS INTEGER) AS x, CAST(b.y AS INTEGER) AS y
-        FROM range(0, {s.WIDTH}) AS a(x), range(0, {s.HEIGHT}) AS b(y)""",
-    ),
-    "heat": (
-        ("spot", "cell"),
-        f"""SELECT g.x, g.y, round(coalesce(sum(CASE WHEN p.c IS NULL THEN 0.0::DOUBLE
+}
+
+
+def _image(suffix: str, width: int, height: int) -> dict[str, tuple[tuple[str, ...], str]]:
+    """Points as pixels (pix), occupied pixels (spot), all pixels (cell) and their heat (heat, near) on an image."""
+
+    def pixel(share: str, size: int) -> str:
+        return f"CAST(trunc({size}::DOUBLE * (0.5::DOUBLE {share}::DOUBLE)) AS INTEGER)"
+
+    return {
+        f"pix{suffix}": (
+            ("near",),
+            f"""SELECT cluster, {pixel('+ clon / 360.0', width)} AS cx, {pixel('- clat / 180.0', height)} AS cy,
+        {pixel('+ lon / 360.0', width)} AS x, {pixel('- lat / 180.0', height)} AS y FROM near""",
+        ),
+        f"spot{suffix}": ((f"pix{suffix}",), f"SELECT x, y, count(*) AS c FROM pix{suffix} GROUP BY x, y"),
+        f"cell{suffix}": (
+            (),
+            f"""SELECT CAST(a.x AS INTEGER) AS x, CAST(b.y AS INTEGER) AS y
+        FROM range(0, {width}) AS a(x), range(0, {height}) AS b(y)""",
+        ),
+        f"heat{suffix}": (
+            (f"spot{suffix}", f"cell{suffix}"),
+            f"""SELECT g.x, g.y, round(coalesce(sum(CASE WHEN p.c IS NULL THEN 0.0::DOUBLE
           WHEN p.x = g.x AND p.y = g.y THEN p.c::DOUBLE
           ELSE p.c::DOUBLE / ((p.x - g.x) * (p.x - g.x) + (p.y - g.y) * (p.y - g.y))::DOUBLE END), 0.0::DOUBLE), 6) AS heat
-        FROM cell g LEFT JOIN spot p ON abs(p.x - g.x) < {s.WIDTH // 5} AND abs(p.y - g.y) < {s.WIDTH // 5}
+        FROM cell{suffix} g LEFT JOIN spot{suffix} p ON abs(p.x - g.x) < {width // 5} AND abs(p.y - g.y) < {width // 5}
         GROUP BY g.x, g.y""",
-    ),
-}
+        ),
+        f"points{suffix}": (
+            (f"spot{suffix}", f"cell{suffix}"),
+            f"""SELECT g.x, g.y, coalesce(h.heat, 0.0::DOUBLE) AS heat FROM cell{suffix} g LEFT JOIN (
+        SELECT a.x, a.y, round(sum(CASE WHEN a.x = b.x AND a.y = b.y THEN b.c::DOUBLE ELSE
+          b.c::DOUBLE / ((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y))::DOUBLE END), 6) AS heat
+        FROM spot{suffix} a, spot{suffix} b GROUP BY a.x, a.y) h ON h.x = g.x AND h.y = g.y""",
+        ),
+    }
+
+
+PARTS |= _image("", s.WIDTH, s.HEIGHT) | _image("_fine", s.FINE_WIDTH, s.FINE_HEIGHT)
 
 
 def _with(names: tuple[str, ...], recursive: str = "") -> str:
@@ -606,14 +622,9 @@ def build() -> dict[str, str]:
         CAST(trunc({s.HEIGHT}::DOUBLE * (0.5::DOUBLE - lat / 180.0::DOUBLE)) AS INTEGER) AS y FROM conv""",
     )
     q["cluster_pixels_fixed"] = _sql("pix", "SELECT cluster, cx, cy, x, y FROM pix")
-    q["pixel_heat"] = _sql("heat", "SELECT x, y, heat FROM heat")
-    q["point_heat"] = _sql(
-        "spot cell",
-        """SELECT g.x, g.y, coalesce(h.heat, 0.0::DOUBLE) AS heat FROM cell g LEFT JOIN (
-        SELECT a.x, a.y, round(sum(CASE WHEN a.x = b.x AND a.y = b.y THEN b.c::DOUBLE ELSE
-          b.c::DOUBLE / ((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y))::DOUBLE END), 6) AS heat
-        FROM spot a, spot b GROUP BY a.x, a.y) h ON h.x = g.x AND h.y = g.y""",
-    )
+    for suffix in ("", "_fine"):
+        q[f"pixel_heat{suffix}"] = _sql(f"heat{suffix}", f"SELECT x, y, heat FROM heat{suffix}")
+        q[f"point_heat{suffix}"] = _sql(f"points{suffix}", f"SELECT x, y, heat FROM points{suffix}")
 
     def channel(expression: str) -> str:
         return f"CAST(trunc(least(greatest({expression}, 0.0::DOUBLE), 255.0::DOUBLE)) AS INTEGER)"

@@ -655,9 +655,9 @@ def cluster_pixels(spark, sf_dir):
     return placed.select("x", "y", centred.alias("centred"))
 
 
-def _pixels(spark, sf_dir):
+def _pixels(spark, sf_dir, width=s.WIDTH, height=s.HEIGHT):
     clustered = geo.assign_clusters(_places(spark, sf_dir), s.CENTERS)
-    return geo.cluster_pixels(clustered, s.WIDTH, s.HEIGHT)
+    return geo.cluster_pixels(clustered, width, height)
 
 
 @query
@@ -677,6 +677,18 @@ def point_heat(spark, sf_dir):
     return found.withColumn("heat", F.round("heat", 6))
 
 
+@query
+def pixel_heat_fine(spark, sf_dir):
+    size = s.FINE_WIDTH, s.FINE_HEIGHT
+    return geo.pixel_heat(_pixels(spark, sf_dir, *size), *size).withColumn("heat", F.round("heat", 6))
+
+
+@query
+def point_heat_fine(spark, sf_dir):
+    size = s.FINE_WIDTH, s.FINE_HEIGHT
+    return geo.point_heat(_pixels(spark, sf_dir, *size), *size).withColumn("heat", F.round("heat", 6))
+
+
 def _heat(spark, sf_dir):
     return geo.pixel_heat(_pixels(spark, sf_dir), s.WIDTH, s.HEIGHT).withColumn("heat", F.round("heat", 6))
 

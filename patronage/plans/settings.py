@@ -14,6 +14,8 @@ VISIT_END = "2024-01-25"
 # centres for the parts of the geo operators that need no fit: two belts of five
 CENTERS = [(lat, lon) for lat in (-45.0, 45.0) for lon in (-144.0, -72.0, 0.0, 72.0, 144.0)]
 WIDTH, HEIGHT = 72, 36
+# an image on which transforms are the cheaper way
+FINE_WIDTH, FINE_HEIGHT = 180, 90
 
 ITEMSET_SUPPORT = 0.001
 RULE_CONFIDENCE = 0.12

@@ -1,8 +1,10 @@
 import random
+import time
 
+import numpy as np
 import pytest
 
-from patronage.operators import geo
+from patronage.operators import convolution, geo
 
 W, H = 20, 12
 
@@ -49,6 +51,43 @@ def test_point_heat(spark):
         assert r.heat == pytest.approx(want, abs=1e-9)
 
 
+@pytest.mark.parametrize("block", [64, 3])
+def test_transforms_equal_sums_over_pairs(spark, monkeypatch, block):
+    """Both ways give the same heat, borders and points outside the image included."""
+    rows, df = pixels(spark)
+    beyond = spark.createDataFrame([(0, 0, 0, W + 1, 3), (0, 0, 0, 4, -1), (0, 0, 0, None, 2)], df.schema)
+    df = df.unionByName(beyond)
+    pairs = [{(r.x, r.y): r.heat for r in heat(df, W, H).collect()} for heat in (geo.pixel_heat, geo.point_heat)]
+    monkeypatch.setattr(geo, "PAIRS", 0)
+    monkeypatch.setattr(convolution, "BLOCK", block)
+    for heat, want in zip((geo.pixel_heat, geo.point_heat), pairs, strict=True):
+        got = {(r.x, r.y): r.heat for r in heat(df, W, H).collect()}
+        assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want)
+        assert all(got[k] == 0 for k in want if want[k] == 0)
+    assert {r.heat for r in geo.pixel_heat(df.where("false"), W, H).collect()} == {0.0}
+    assert {r.heat for r in geo.pixel_heat(df, 4, H).collect()} == {0.0}
+
+
+def test_lengths_have_small_factors():
+    plain = sorted(2**a * 3**b * 5**c for a in range(14) for b in range(9) for c in range(6))
+    assert all(convolution.fast_length(n) == next(x for x in plain if x >= n) for n in range(1, 5000))
+
+
+def test_heat_of_a_large_image(spark):
+    """Every pixel of a 4K image from 200,000 points, checked at some pixels."""
+    width, height = 3840, 2160
+    df = spark.range(200_000).selectExpr(f"cast(pmod(hash(id), {width}) AS int) AS x", f"cast(pmod(hash(id, 7), {height}) AS int) AS y")
+    begin = time.time()
+    heat = geo.pixel_heat(df, width, height).where("x % 700 = 3 AND y % 500 = 7").collect()
+    assert time.time() - begin < 300 and len(heat) == 6 * 5
+    points = np.array(df.collect())
+    for r in heat:
+        d = np.abs(points - [r.x, r.y])
+        d = d[(d < width // 5).all(axis=1)].astype(float)
+        square = (d * d).sum(axis=1)
+        assert r.heat == pytest.approx((1 / np.where(square == 0, 1, square)).sum(), rel=1e-9)
+
+
 def test_colours(spark):
     weights = [0.0, 0.1, 0.25, 0.4, 0.5, 0.6, 0.75, 0.9, 1.0, 5.0, 1e12]
     df = spark.createDataFrame([(i, 0, w) for i, w in enumerate(weights)], "x int, y int, heat double")

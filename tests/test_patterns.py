@@ -240,3 +240,30 @@ def test_rules_of_one_basket_among_long_ones(spark):
     assert [(x.antecedent, x.consequent) for x in got[1:]] == [([0], c) for c in range(1, 12)]
     deep = rules.top_k_rules(frame(spark, {k: b for k, b in bs.items() if k < "q"}), 30, 1.0).collect()
     assert len(deep) == 30
+
+
+@pytest.mark.parametrize("long", [1, 3, 1024])
+def test_sequence_patterns_with_long_histories(spark, long):
+    """Whoever counts as long, the patterns are the same."""
+    hist = random_histories(24, 5, 4, 8) | {f"l{i}": [{j, (j * 3) % 5} for j in range(5)] * 3 for i in range(3)}
+    df = spark.createDataFrame(occurrences(hist), "idsite bigint, user string, pos bigint, item bigint")
+    found = {tuple(tuple(e) for e in r.pattern): r.support for r in rules.sequence_patterns(df, 0.25, 3, long=long).collect()}
+    sets = [s for n in (1, 2, 3) for s in itertools.combinations(range(5), n)]
+    want = {}
+    for n in (1, 2, 3):
+        for pattern in itertools.product(sets, repeat=n):
+            if sum(map(len, pattern)) <= 3 and (c := sum(contains(seq, pattern) for seq in hist.values())) >= 7:
+                want[pattern] = c
+    assert found == want
+
+
+def test_a_history_of_ten_thousand_frequent_items(spark):
+    """Its fifty million pairs are never listed: it is asked for the pairs that others make frequent."""
+    n = 10_000
+    rows = spark.range(n).selectExpr("1L AS idsite", "'long' AS user", "id AS pos", "id AS item")
+    twice = spark.range(2 * n).selectExpr("1L AS idsite", "concat('s', id % 5000, '-', id DIV 10000) AS user", "id % 2 + id DIV 5000 % 2 AS pos", "id % 10000 AS item")
+    pairs = spark.createDataFrame([(1, f"p{i}", p, x) for i in range(3) for p, x in enumerate((17, 4711))], "idsite bigint, user string, pos bigint, item bigint")
+    df = rows.unionByName(twice).unionByName(pairs)
+    customers = df.select("user").distinct().count()
+    found = {tuple(tuple(e) for e in r.pattern): r.support for r in rules.sequence_patterns(df, 3.5 / customers).collect()}
+    assert found[(17,), (4711,)] == 4 and len(found) == 3
