@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import functools
+from collections.abc import Iterator, Mapping
 from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
@@ -14,6 +17,8 @@ from .preferences import bounded_users, dictionary, preference_scores, preferenc
 
 # Users whose factors travel in one row.
 USER_BLOCK = 512
+# Products that travel in one row when all users are served.
+PRODUCT_BLOCK = 256
 # Ratings that one block of a fit should hold.
 BLOCK_RATINGS = 1_000_000
 
@@ -171,6 +176,95 @@ def recommend_top_n(
     return _ranked(rated.withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= n))
 
 
+def _norm(factors: str) -> Column:
+    return F.sqrt(F.aggregate(factors, F.lit(0.0), lambda s, x: s + x * x))
+
+
+def recommend_everyone(
+    n: int, user_factors: DataFrame, item_factors: DataFrame, block: int = PRODUCT_BLOCK, waves: list[dict] | None = None
+) -> DataFrame:
+    """The ``n`` best products for every user; ties by product.
+
+    Products go in blocks by falling norm of their factors. A rating is at most the product of both norms, so a
+    user whose n-th best rating exceeds its norm times that of the next block is done:
+    nothing further can enter. Blocks come in waves of 1, 2, 4, ..., and in a wave a user
+    only meets the blocks its bests so far leave open, so most ratings of most users are
+    never computed, and the answer is exact. Between waves a user is its n bests. ``waves`` takes
+    what each wave did: users open, and ratings computed.
+    """
+    double = F.transform("factors", lambda x: x.cast("double"))
+    users = durable(user_factors.dropDuplicates(["user"]).select("user", double.alias("f")).withColumn("norm", _norm("f")))
+    ranged = item_factors.select("product", double.alias("f")).withColumn("norm", _norm("f")).repartitionByRange(F.desc("norm"), "product")
+    placed = ranged.sortWithinPartitions(F.desc("norm"), "product").withColumn("_at", F.monotonically_increasing_id())
+    # a partition's rows have consecutive numbers above its own multiple of 2 ** 33
+    whole = F.shiftright("_at", 33) * (1 << 33) + F.floor((F.col("_at") % (1 << 33)) / block)
+    packed = durable(placed.groupBy(whole.alias("_b")).agg(F.max("norm").alias("top"), F.collect_list(F.struct("product", "norm", "f")).alias("products")))
+    blocks = durable(packed.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("top"), "_b")) - 1).drop("_b"))  # one row per block of products
+    tops = blocks.select("rank", "top")
+    n_blocks = blocks.count()
+
+    kinds = [user_factors.schema["user"].dataType, item_factors.schema["product"].dataType]
+    schema = T.StructType([T.StructField("user", kinds[0]), T.StructField("product", kinds[1]), T.StructField("rating", T.DoubleType()), T.StructField("rated", T.LongType())])
+
+    def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for who, what in zip(b.column(0), b.column(1), strict=True):
+                u, p = who.values, what.values
+                uf = u.field("f").flatten().to_numpy().reshape(len(u), -1)
+                pf = p.field("f").flatten().to_numpy().reshape(len(p), -1)
+                least = u.field("least").to_numpy(zero_copy_only=False)
+                least = np.where(np.isnan(least), -np.inf, least)
+                # both sorted by norm: each user rates the products its bound reaches
+                reach = u.field("norm").to_numpy()[:, None] * p.field("norm").to_numpy() * (1 + 1e-9) >= least[:, None]
+                ratings = np.where(reach, uf @ pf.T, -np.inf)
+                keep = min(n, len(p))
+                low = np.partition(ratings, len(p) - keep, axis=1)[:, len(p) - keep]
+                i, j = np.nonzero((ratings >= np.maximum(low, least)[:, None]) & reach)
+                rated = np.zeros(len(i), np.int64)
+                if len(i):
+                    rated[0] = int(reach.sum())
+                yield pa.RecordBatch.from_arrays([u.field("user").take(pa.array(i)), p.field("product").take(pa.array(j)), pa.array(ratings[i, j]), pa.array(rated)], schema.names)
+
+    best = Window.partitionBy("user").orderBy(F.desc("rating"), "product")
+    done: list[DataFrame] = []
+    open_users, bests = users.withColumn("least", F.lit(None).cast("double")).withColumn("last", F.lit(0)), None
+    first, size = 0, 1
+    while first < n_blocks:
+        packs = max(1, -(-open_users.count() // USER_BLOCK))
+        packed = open_users.withColumn("upto", F.least("last", F.lit(first + size - 1))).groupBy(F.pmod(F.xxhash64("user"), F.lit(packs)).alias("pack"), "upto")
+        who = packed.agg(F.collect_list(F.struct("user", "norm", "f", "least")).alias("who"))
+        pairs = who.withColumn("rank", F.explode(F.sequence(F.lit(first), "upto"))).join(blocks, "rank").select("who", "products")
+        found = durable(pairs.mapInArrow(rate, schema))
+        rows = found.select("user", "product", "rating")
+        if bests is not None:
+            rows = rows.unionByName(bests)
+        bests = durable(rows.withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= n).drop("_rank"))
+        if waves is not None:
+            waves.append({"users": open_users.count(), "rated": found.agg(F.coalesce(F.sum("rated"), F.lit(0))).first()[0]})
+        first, size = first + size, size * 2
+        if first >= n_blocks:
+            break
+        # how far each user still has to go: to the last block that its n-th best does not rule out
+        nth = bests.groupBy("user").agg(F.when(F.count(F.lit(1)) >= n, F.min("rating")).alias("least"))
+        limits = [(r["rank"], r["top"]) for r in tops.where(F.col("rank") >= first).orderBy("rank").limit(size).collect()]
+        met = open_users.drop("least", "last").join(nth, "user", "left")
+        reach = F.col("norm") * F.lit(limits[0][1]) * (1 + 1e-9) >= F.col("least")
+        met = met.where(F.col("least").isNull() | reach)
+        far = F.array(*[F.lit(t) for _, t in limits])
+        count = F.size(F.filter(far, lambda t: F.col("least").isNull() | (F.col("norm") * t * (1 + 1e-9) >= F.col("least"))))
+        still = durable(met.withColumn("last", F.lit(first - 1) + count))
+        done.append(bests.join(still.select("user"), "user", "left_anti"))
+        bests = bests.join(still.select("user"), "user", "left_semi")
+        open_users = still
+        if still.isEmpty():
+            bests = None
+            break
+    parts = done if bests is None else [*done, bests]
+    if not parts:
+        return _ranked(users.sparkSession.createDataFrame([], schema).drop("rated"))
+    return _ranked(functools.reduce(DataFrame.unionByName, parts))
+
+
 def predictions_json(rated: DataFrame, part_size: int = 10_000) -> DataFrame:
     """The preferences of a request as JSON documents, one per user and part, in rating order."""
     scores = rated.select("user", "product", F.col("rating").alias("score"))

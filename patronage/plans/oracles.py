@@ -79,30 +79,7 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
         """SELECT * FROM score WHERE "user" IN
         (SELECT "user" FROM score GROUP BY 1 HAVING count(*) >= 10 AND count(*) < 20)""",
     ),
-    "brandterm": (
-        ("brandline",),
-        """SELECT 'user' AS kind, cid AS term FROM brandline GROUP BY cid
-        UNION ALL SELECT 'product', CAST(item AS VARCHAR) FROM brandline GROUP BY item""",
-    ),
-    "factor": (
-        ("brandterm",),
-        f"""SELECT kind, term, idx,
-        list_transform(range(1, {s.RANK + 1}),
-          lambda r: ((idx * r + r * r + CASE WHEN kind = 'user' THEN 3 ELSE 5 END) % 17) / 8.0::DOUBLE) AS f
-        FROM (SELECT kind, term, row_number() OVER (PARTITION BY kind
-              ORDER BY substr(md5(term), 1, 3), term) - 1 AS idx FROM brandterm)""",
-    ),
-    "selected": (
-        ("totals",),
-        """SELECT cid FROM (SELECT cid, row_number() OVER (PARTITION BY split_part(cid, '|', 1)
-        ORDER BY total DESC, cid) AS r FROM totals) WHERE r = 1""",
-    ),
-    "rated": (
-        ("factor", "selected"),
-        """SELECT u.term AS "user", p.term AS product, list_dot_product(u.f, p.f) AS rating
-        FROM factor u, factor p WHERE u.kind = 'user' AND p.kind = 'product'
-        AND u.term IN (SELECT cid FROM selected)""",
-    ),
+    "selected": (("kept",), """SELECT DISTINCT idsite || '|' || "user" AS cid FROM kept WHERE o_custkey % 100 = 0"""),
     # states
     "tx": (
         ("conv",),
@@ -257,6 +234,31 @@ def _image(suffix: str, width: int, height: int) -> dict[str, tuple[tuple[str, .
     }
 
 
+def _factors(suffix: str, lines: str) -> dict[str, tuple[tuple[str, ...], str]]:
+    """Terms of users and products (term), factors by rule (factor) and all ratings (rated)."""
+    return {
+        f"term{suffix}": (
+            (lines,),
+            f"""SELECT 'user' AS kind, cid AS term FROM {lines} GROUP BY cid
+        UNION ALL SELECT 'product', CAST(item AS VARCHAR) FROM {lines} GROUP BY item""",
+        ),
+        f"factor{suffix}": (
+            (f"term{suffix}",),
+            f"""SELECT kind, term, idx,
+        list_transform(range(1, {s.RANK + 1}),
+          lambda r: ((idx * r + r * r + CASE WHEN kind = 'user' THEN 3 ELSE 5 END) % 17) / 8.0::DOUBLE) AS f
+        FROM (SELECT kind, term, row_number() OVER (PARTITION BY kind
+              ORDER BY substr(md5(term), 1, 3), term) - 1 AS idx FROM term{suffix})""",
+        ),
+        f"rated{suffix}": (
+            (f"factor{suffix}",),
+            f"""SELECT u.term AS "user", p.term AS product, list_dot_product(u.f, p.f) AS rating
+        FROM factor{suffix} u, factor{suffix} p WHERE u.kind = 'user' AND p.kind = 'product'""",
+        ),
+    }
+
+
+PARTS |= _factors("", "brandline") | _factors("_part", "line")
 PARTS |= _image("", s.WIDTH, s.HEIGHT) | _image("_fine", s.FINE_WIDTH, s.FINE_HEIGHT)
 
 
@@ -514,11 +516,12 @@ def build() -> dict[str, str]:
     q["predict_user_items"] = _sql(
         "rated", 'SELECT "user", product, CAST(trunc(rating) AS INTEGER) AS score, rating FROM rated'
     )
-    q["recommend_top_n"] = _sql(
-        "rated",
-        f"""SELECT "user", product, CAST(trunc(rating) AS INTEGER) AS score, rating FROM rated
-        QUALIFY row_number() OVER (PARTITION BY "user" ORDER BY rating DESC, product) <= {s.TOP_N}""",
-    )
+    for name, rated in (("recommend_top_n", "rated"), ("recommend_everyone", "rated_part")):
+        q[name] = _sql(
+            rated,
+            f"""SELECT "user", product, CAST(trunc(rating) AS INTEGER) AS score, rating FROM {rated}
+            QUALIFY row_number() OVER (PARTITION BY "user" ORDER BY rating DESC, product) <= {s.TOP_N}""",
+        )
 
     q["transaction_states"] = _sql(
         "st",
