@@ -8,8 +8,9 @@ than 1/256 of all lines is not sorted: its document count and survivor come from
 aggregate and are broadcast (at most 255 rows).
 
 Defined cases: a null or empty text is one empty line. Rows that share an identifier
-are one document: they count once and lose the same positions. A row without an
-identifier counts for nothing and keeps all lines. An empty table gives no rows.
+are one document and count once; each text of theirs loses its own lines (a bitmap belongs to an
+identifier and a text's hash, ``mark``). A row without an identifier counts for nothing
+and keeps all lines. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import durable
 from .common import hot_keys
@@ -31,8 +32,13 @@ BLANKS = b" \t\n\x0b\x0c\r"
 LEAST_CHARS, LEAST_DOCS = 20, 3
 
 
+def text_mark(text: str) -> Column:
+    """Tells the texts of one identifier apart."""
+    return F.xxhash64(text).alias("mark")
+
+
 def line_keys(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
-    """doc, pos, key (hash of the line's key) of every line that is long enough."""
+    """doc, mark, pos, key (hash of the line's key) of every line that is long enough."""
     kind = docs.schema["doc"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -48,15 +54,16 @@ def line_keys(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
                             pos.append(n)
                             keys.append(hashlib.blake2b(key, digest_size=16).digest())
             docs_of = b.column(0).take(pa.array(owner, pa.int64()))
-            yield pa.RecordBatch.from_arrays([docs_of, pa.array(pos, pa.int32()), pa.array(keys, pa.binary())], ["doc", "pos", "key"])
+            marks = b.column(2).take(pa.array(owner, pa.int64()))
+            yield pa.RecordBatch.from_arrays([docs_of, marks, pa.array(pos, pa.int32()), pa.array(keys, pa.binary())], ["doc", "mark", "pos", "key"])
 
-    return docs.select("doc", "text").mapInArrow(run, f"doc {kind}, pos int, key binary")
+    return docs.select("doc", "text", text_mark("text")).mapInArrow(run, f"doc {kind}, mark long, pos int, key binary")
 
 
-def dropped(rows: Iterable[tuple], least_docs: int = LEAST_DOCS) -> Iterator[tuple[int, int]]:
-    """(doc, pos) of the lines that go, from (key, doc, pos) sorted by key, doc descending, pos."""
+def dropped(rows: Iterable[tuple], least_docs: int = LEAST_DOCS) -> Iterator[tuple]:
+    """(doc, mark, pos) of the lines that go, from (key, doc, mark, pos) sorted by key, then doc descending."""
     key, first, last, seen, waiting = None, None, None, 0, []
-    for k, doc, pos in rows:
+    for k, doc, *line in rows:
         if k != key:
             key, first, last, seen, waiting = k, doc, doc, 1, []
         if doc != last:
@@ -64,11 +71,11 @@ def dropped(rows: Iterable[tuple], least_docs: int = LEAST_DOCS) -> Iterator[tup
         if doc == first:
             continue
         if seen < least_docs:  # at most the lines of least_docs - 2 documents wait
-            waiting.append((doc, pos))
+            waiting.append((doc, *line))
         else:
             yield from waiting
             waiting = []
-            yield doc, pos
+            yield doc, *line
 
 
 def bitmap(positions: np.ndarray) -> bytes:
@@ -88,13 +95,13 @@ def kept_lines(packed: bytes | None, lines: list[str]) -> list[str]:
 
 
 def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_chars: int = LEAST_CHARS, least_docs: int = LEAST_DOCS) -> DataFrame:
-    """doc, keep_bitmap for every document that loses a line. Bit i is line i; bits past the last dropped line are left out and mean keep."""
+    """doc, mark, keep_bitmap for every text that loses a line. Bit i is line i; bits past the last dropped line are left out and mean keep."""
     given = docs.select(docs[id_col].alias("doc"), docs[text_col].alias("text")).where(F.col("doc").isNotNull())
     lines = durable(line_keys(given, least_chars))  # a few bytes per line, and read three times
     doc_type = given.schema["doc"].dataType.simpleString()
     hot = hot_keys(lines, "key").select(F.col("key").alias("hot"))
     marked = lines.join(F.broadcast(hot), lines["key"] == F.col("hot"), "left")
-    rest = marked.where("hot IS NULL").select("key", "doc", "pos").repartitionByRange("key").sortWithinPartitions("key", F.desc("doc"), "pos")
+    rest = marked.where("hot IS NULL").select("key", "doc", "mark", "pos").repartitionByRange("key").sortWithinPartitions("key", F.desc("doc"), "mark", "pos")
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
@@ -105,28 +112,32 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for pair in dropped(rows(), least_docs):
             out.append(pair)
             if len(out) == 50_000:
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out, strict=True)], ["doc", "pos"])
+                yield batch(out)
                 out = []
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out]), pa.array([x[1] for x in out], pa.int32())], ["doc", "pos"])
+            yield batch(out)
+
+    def batch(out: list[tuple]) -> pa.RecordBatch:
+        docs, marks, places = zip(*out, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(docs), pa.array(marks, pa.int64()), pa.array(places, pa.int32())], ["doc", "mark", "pos"])
 
-    gone = rest.mapInArrow(stream, f"doc {doc_type}, pos int")
-    often = marked.where("hot IS NOT NULL").select("hot", "doc", "pos")
+    gone = rest.mapInArrow(stream, f"doc {doc_type}, mark long, pos int")
+    often = marked.where("hot IS NOT NULL").select("hot", "doc", "mark", "pos")
     totals = often.groupBy("hot", "doc").agg(F.lit(1).alias("one")).groupBy("hot").agg(F.count("one").alias("n"), F.max("doc").alias("keeper"))
     totals = totals.where(F.col("n") >= least_docs).select(F.col("hot").alias("h"), "keeper")
-    hot_gone = often.join(F.broadcast(totals), often["hot"] == F.col("h")).where("doc <> keeper").select("doc", "pos")
+    hot_gone = often.join(F.broadcast(totals), often["hot"] == F.col("h")).where("doc <> keeper").select("doc", "mark", "pos")
 
     @F.pandas_udf("binary")
     def pack(positions: pd.Series) -> pd.Series:
         return positions.map(bitmap)
 
-    return gone.unionByName(hot_gone).groupBy("doc").agg(F.collect_set("pos").alias("pos")).select("doc", pack("pos").alias("keep_bitmap"))
+    return gone.unionByName(hot_gone).groupBy("doc", "mark").agg(F.collect_set("pos").alias("pos")).select("doc", "mark", pack("pos").alias("keep_bitmap"))
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc, n_lines, n_dropped, kept_text of every row of docs."""
     given = docs.select(docs[id_col].alias("doc"), docs[text_col].alias("text"))
-    joined = given.join(bitmaps, "doc", "left").select("doc", "text", "keep_bitmap")
+    joined = given.withColumn("mark", text_mark("text")).join(bitmaps, ["doc", "mark"], "left").select("doc", "text", "keep_bitmap")
     doc_type = given.schema["doc"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

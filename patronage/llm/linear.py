@@ -20,7 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 PENALTY = 5e-4
-STEPS = 100
+#: Steps before the set of words is looked at anew, at first and later on (more and more).
+FIRST, STEPS = 20, 100
 CALM = 1e-4
 
 
@@ -82,19 +83,21 @@ def solve(rows: np.ndarray, columns: np.ndarray, dense: np.ndarray, labels: np.n
         r, c = rows[mine], place[columns[mine]]
         kept = np.concatenate([active, np.arange(n_words, len(found))])
         w = y = found[kept]
-        norm = np.bincount(r, minlength=n) + (dense * dense).sum(axis=1) + 1
-        step, drive = 2 / max(float(norm.max()) if len(r) < 2 else _largest(r, c, dense, share, len(active)), 1e-9), 1.0
-        cut = np.full((len(kept), 1), step * penalty)
+        # a feature's own step: what it meets in the rows that hold it bounds the curvature along it
+        met = share * (np.bincount(r, minlength=n) + np.abs(dense).sum(axis=1) + 1)
+        bend = np.concatenate([np.bincount(c, met[r], len(active)), np.abs(dense).T @ met, [met.sum()]])
+        step, drive = (2 / np.maximum(bend, 1e-12))[:, None], 1.0
+        cut = step * penalty
         cut[-1] = 0
-        for _ in range(STEPS * (1 + turn // 8)):
+        for _ in range(FIRST if turn < 4 else STEPS * (1 + turn // 8)):
             _, g = gradient(y, r, c, len(active))
             new = y - step * g
             new = np.sign(new) * np.maximum(np.abs(new) - cut, 0)
-            if ((y - new) * (new - w)).sum() > 0:
+            if ((y - new) / step * (new - w)).sum() > 0:
                 drive = 1.0
             ahead = (1 + np.sqrt(1 + 4 * drive * drive)) / 2
-            y, moved, w, drive = new + (drive - 1) / ahead * (new - w), np.abs(new - w).max(), new, ahead
-            if calm := moved < CALM * step:
+            y, moved, w, drive = new + (drive - 1) / ahead * (new - w), (np.abs(new - w) / step).max(), new, ahead
+            if calm := moved < CALM:
                 break
         found[kept] = w
         off, _ = gradient(w, r, c, len(active))
@@ -107,17 +110,6 @@ def solve(rows: np.ndarray, columns: np.ndarray, dense: np.ndarray, labels: np.n
     return found
 
 
-def _largest(r: np.ndarray, c: np.ndarray, dense: np.ndarray, share: np.ndarray, size: int) -> float:
-    """A little more than the largest eigenvalue of the weighted Gram matrix, by power iteration."""
-    v, value = np.ones(size + dense.shape[1] + 1), 1.0
-    for _ in range(30):
-        z = (np.bincount(r, v[c], len(share)) + dense @ v[size:-1] + v[-1]) * share
-        v = np.concatenate([np.bincount(c, z[r], size), dense.T @ z, [z.sum()]])
-        value = float(np.linalg.norm(v))
-        v /= max(value, 1e-300)
-    return 1.1 * value
-
-
 def fit_words(texts: Iterable[tuple[int, float, Iterable[str], Iterable[float]]], n_classes: int, n_dense: int = 0, penalty: float = PENALTY) -> tuple[dict[str, np.ndarray], np.ndarray]:
     """Weights of words with any, and of dense features and the intercept. texts: class, weight, words, dense features."""
     index: dict[str, int] = {}
@@ -131,7 +123,11 @@ def fit_words(texts: Iterable[tuple[int, float, Iterable[str], Iterable[float]]]
         dense.append(list(more))
     if len(set(labels)) < 2:
         return {}, np.zeros((n_dense + 1, n_classes))
-    found = solve(np.concatenate(rows), np.concatenate(columns), np.array(dense, float).reshape(len(labels), n_dense), np.array(labels), np.array(weights), len(index), n_classes, penalty)
+    x = np.array(dense, float).reshape(len(labels), n_dense)
+    middle, spread = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-12)  # dense features weigh by their spread, words by their presence
+    found = solve(np.concatenate(rows), np.concatenate(columns), (x - middle) / spread, np.array(labels), np.array(weights), len(index), n_classes, penalty)
+    found[len(index) : -1] /= spread[:, None]
+    found[-1] -= middle @ found[len(index) : -1]
     return {w: found[i] for w, i in index.items() if found[i].any()}, found[len(index) :]
 
 

@@ -37,7 +37,7 @@ from ..session import durable
 from . import linear
 
 #: Bound on the labelled texts of each domain that the classifier is fitted on.
-SAMPLE = 4096
+SAMPLE = 2048
 RIDGE = 1e-3
 #: Where steps that do not converge end, with a warning.
 ROUNDS = 1000

@@ -311,8 +311,16 @@ def _compared(groups: DataFrame, shingles: DataFrame, similarity: float) -> Data
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """One document of each group, with its own columns: the one with the smallest identifier. Rows without an identifier stay."""
-    classes = near_groups(docs, id_col, text_col, similarity).where(f"`{id_col}` = class_id").select(F.col(id_col).alias("_class")).distinct()
-    rows = docs.select(F.struct("*").alias("_row"))
-    kept = rows.join(classes, F.col("_row")[id_col] == F.col("_class"), "left_semi")
-    return kept.unionByName(rows.where(F.col("_row")[id_col].isNull())).select("_row.*")
+    """One document of each group, with its own columns: the one with the smallest identifier.
+
+    A document is an identifier and a text, so texts that share an identifier are told apart (the smaller
+    hash goes first), and of rows equal in both one stays. Rows without an identifier all stay.
+    """
+    key = F.struct(docs[id_col].alias("id"), F.xxhash64(docs[text_col]).alias("text"))
+    rows = docs.select(key.alias("key"), docs[text_col].alias("text"), F.struct("*").alias("_row"))
+    known = rows.where("key.id IS NOT NULL")
+    classes = near_groups(known.select("key", "text"), "key", "text", similarity).where("key = class_id")
+    heads = classes.groupBy(F.col("key").alias("head")).agg(F.count(F.lit(1)).alias("n"))
+    kept = known.join(heads, F.col("key") == F.col("head")).select("key", "_row", "n")
+    once = kept.where("n = 1").unionByName(kept.where("n > 1").dropDuplicates(["key"]))
+    return once.select("_row").unionByName(rows.where("key.id IS NULL").select("_row")).select("_row.*")

@@ -115,3 +115,11 @@ def test_hot_lines_are_not_sorted_in_one_task(spark):
     rows = spark.range(600).select(F.col("id").alias("doc_id"), F.lit("one line in all of the documents").alias("text"))
     kept = line_dedup.apply_bitmaps(rows, line_dedup.keep_bitmaps(rows))
     assert kept.where("n_dropped = 0").select("doc").collect()[0][0] == 599 and kept.where("n_dropped = 1").count() == 599
+
+
+def test_texts_that_share_an_identifier_lose_their_own_lines(spark):
+    only, often = "a unique line that stands only here", "a line that several documents hold"
+    rows = [(7, only), (7, often), (8, often), (9, f"{only[:-1]}\n{often}"), (10, often)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = line_dedup.apply_bitmaps(df, line_dedup.keep_bitmaps(df)).collect()
+    assert sorted((r.doc, r.kept_text) for r in kept) == [(7, ""), (7, only), (8, ""), (9, only[:-1]), (10, often)]

@@ -203,3 +203,10 @@ def test_one_of_each_group_stays_with_its_columns(spark):
     kept = near_dedup.keep_one(df)
     assert kept.columns == df.columns and sorted(map(tuple, kept.collect()), key=str) == sorted([rows[0], rows[2], rows[3]], key=str)
     assert near_dedup.near_groups(df.limit(0)).isEmpty() and near_dedup.keep_one(df.limit(0)).isEmpty()
+
+
+def test_of_texts_that_share_an_identifier_each_is_its_own_document(spark):
+    base = " ".join(f"word{i}" for i in range(60))
+    rows = [(3, base), (7, "something else that nobody else has written"), (7, base + " extra"), (8, "x"), (8, "x"), (None, base), (None, base)]
+    kept = near_dedup.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([rows[0], rows[1], rows[3], rows[5], rows[6]], key=str)

@@ -188,3 +188,35 @@ def test_long_texts_count_piece_by_piece(monkeypatch):
     monkeypatch.setattr(language, "PIECE", 97)
     pieces, m = language.gram_counts([text])
     assert n == m and np.abs(whole - pieces).sum() <= 6 * (len(text) // 97 + 1)
+
+
+def test_rows_with_odd_columns_are_carried_and_never_held_out_without_an_identifier(spark):
+    df = spark.createDataFrame([(1, "plain words of a text", "en", 1, "x"), (None, "more plain words", "en", 2, "y")], "doc_id long, text string, lang string, `x.y` int, `a``b` string")
+    found = language.identify(df, language.fit(df), carry=True)
+    assert sorted(map(tuple, found.select("_row.*").collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
+    assert [r.h for r in df.select(language.held_out(F.col("doc_id")).alias("h")).collect()] is not None
+    assert df.where(language.held_out(F.col("doc_id")).isNull()).isEmpty()
+
+
+@pytest.mark.parametrize("rows", [3000, 60_000])
+def test_language_sample_is_bounded_and_takes_every_language(spark, rows):
+    """One identifier holds a third of the rows, one language has five texts."""
+    r = F.col("id")
+    df = spark.range(rows).select(
+        F.when(r % 3 == 0, 148).otherwise(r).alias("doc_id"),
+        F.concat(F.when(r % 3 == 0, "same text").otherwise(F.concat(F.lit("ordinary words "), r)), F.when(r < 40, " zzz").otherwise("")).alias("text"),
+        F.when(r < 40, "zz").otherwise("en").alias("lang"),
+    )
+    model = language.fit(df, sample=256)
+    assert set(model.languages) == {"en", "zz"}
+
+
+def test_sample_of_any_size(spark):
+    """The share that is looked at never rounds to nothing, and no label has more than the bound."""
+    from patronage.llm import linear
+
+    few = spark.range(1000).select(F.lit("a").alias("label"), linear.small_hash(F.col("id")).alias("order"), "id")
+    assert linear.smallest(few, 100).count() == 100 and linear.smallest(few, 5000).count() == 1000
+    assert {x.weight for x in linear.smallest(few, 100).collect()} == {10.0}
+    for size in (10**11, 10**15):  # the cut that a label of so many rows would get
+        assert 2.0 * 4096 / size * float(1 << 60) > 1e6
