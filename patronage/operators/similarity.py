@@ -14,6 +14,8 @@ from ..session import durable
 from .transactions import slot_of
 
 KEYS = ["idsite", "user"]
+# Pairs of histories on a shared item that are listed for each row of the table before any bound pays.
+FEW = 32
 
 
 def sequence_lines(lines: DataFrame) -> DataFrame:
@@ -93,7 +95,18 @@ def _side(rows: DataFrame, tag: str, *names: str) -> DataFrame:
     )
 
 
+def _distinct(every: DataFrame) -> DataFrame:
+    """The smallest customer, length and size of each distinct history."""
+    same = [F.min("cid").alias("cid"), F.first("len").alias("len")]
+    return durable(_prints(every).groupBy(*_MARKS).agg(*same).select("cid", "len", "f4"))
+
+
 def _promising(sequences: DataFrame, chunk_rows: int) -> DataFrame:
+    every = durable(_rows(sequences))
+    return _bounded(every, _distinct(every), chunk_rows)
+
+
+def _bounded(every: DataFrame, heads: DataFrame, chunk_rows: int) -> DataFrame:
     """Rows of distinct histories, with what each history can still share from there on.
 
     Take two histories with similarity t and the rarest item they share. All they
@@ -108,13 +121,7 @@ def _promising(sequences: DataFrame, chunk_rows: int) -> DataFrame:
     chunks, where the other chunks count in full: it keeps more rows than needed,
     never fewer.
     """
-    every = durable(_rows(sequences))
-    heads = (
-        _prints(every)
-        .groupBy(*_MARKS)
-        .agg(F.min("cid").alias("cid"), F.first("len").alias("len"))
-        .select("cid", "len", F.ceil(F.col("f4") / F.lit(chunk_rows)).alias("chunks"))
-    )
+    heads = heads.select("cid", "len", F.ceil(F.col("f4") / F.lit(chunk_rows)).alias("chunks"))
     spread = every.groupBy("pos", "item").agg(F.count(F.lit(1)).alias("f"))
     chunk = Window.partitionBy("cid", "_chunk")
     basket = Window.partitionBy("cid", "_chunk", "pos")
@@ -165,15 +172,28 @@ def similar_histories(
     """All pairs of distinct histories with at least the given similarity.
 
     Customers with the same history are one row here (see ``sequence_groups`` for
-    who they are), so a crowd of copies costs no pairs. Histories meet only on
-    items rare enough to matter (see ``_promising``) and in baskets of sizes that
-    fit; every pair found is then scored in full.
+    who they are), so a crowd of copies costs no pairs. Where items are rare, so that
+    those who share one are at most ``FEW`` pairs for each row, these pairs are
+    scored at once. Otherwise histories meet only on items rare enough to matter (see
+    ``_bounded``) and in baskets of sizes that fit; every pair found is then
+    scored in full. Both ways are exact.
     """
     t = float(min_similarity)
     if not 0 < t <= 1:
         raise ValueError("min_similarity must be above 0 and at most 1")
-    rows = _promising(sequences, chunk_rows)
     slack = 1e-9
+    every = durable(_rows(sequences))
+    heads = _distinct(every)
+    mine = every.join(heads.select("cid", "len"), "cid")
+    shared = mine.groupBy("pos", "item").agg(F.count(F.lit(1)).cast("double").alias("f"))
+    total = shared.agg(F.sum("f").alias("rows"), F.sum(F.col("f") * (F.col("f") - 1) / 2).alias("pairs")).first()
+    if (total["pairs"] or 0) <= FEW * (total["rows"] or 0):
+        sized = durable(mine.join(mine.groupBy("cid", "pos").agg(F.count(F.lit(1)).alias("n")), ["cid", "pos"]))
+        met = _side(sized, "a").join(_side(sized, "b"), ["pos", "item"]).where(
+            (F.col("a") < F.col("b")) & (F.least("len_a", "len_b") >= F.greatest("len_a", "len_b") * t - slack)
+        )
+        return _scored(met).where(F.col("similarity") >= t - slack)
+    rows = _bounded(every, heads, chunk_rows)
 
     # partner baskets by size class (1, 2, 3-4, 5-8, ...), of those that occur at all
     size_class = F.ceil(F.log2(F.col("n").cast("double"))).cast("int")

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -220,3 +221,23 @@ def test_a_stored_model_gives_the_same_ratings(spark):
 def test_an_order_in_segments_has_one_number(spark):
     got = tx.numbered_baskets(tx.order_baskets(item_rows(spark, BASKETS), max_items=2)).collect()
     assert {r.lno for r in got} == {0, 1, 2} and len(got) > 3
+
+
+@pytest.mark.parametrize(("n", "block"), [(1, 4), (3, 7), (5, 1000)])
+def test_everyone_gets_the_best_of_all_ratings(spark, n, block):
+    """Ties, equal norms, zero and negative factors included; most ratings are not computed."""
+    r = random.Random(n)
+    users = [(f"u{i}", [r.choice([-1.0, 0.0, 0.5, 1.0, r.uniform(-2, 2)]) for _ in range(3)]) for i in range(70)] + [("zero", [0.0] * 3)]
+    items = [(f"p{i}", [r.gauss(0, 1) * (10 if i < 12 else 0.1) for _ in range(3)]) for i in range(300)] + [(f"q{i}", [1.0, 1.0, 1.0]) for i in range(6)]
+    u = spark.createDataFrame(users, "user string, factors array<double>")
+    p = spark.createDataFrame(items, "product string, factors array<double>")
+    waves = []
+    got = recommend.recommend_everyone(n, u, p, block=block, waves=waves).collect()
+    want = []
+    for name, f in users:
+        scored = sorted((-sum(a * b for a, b in zip(f, g, strict=True)), q) for q, g in items)[:n]
+        want += [(name, q, pytest.approx(-s, abs=1e-9)) for s, q in scored]
+    assert sorted((x.user, x["product"], x.rating) for x in got) == sorted(want, key=lambda w: w[:2])
+    if block == 4:
+        assert sum(w["rated"] for w in waves) < 0.5 * len(users) * len(items) and waves[-1]["users"] < waves[0]["users"]
+    assert recommend.recommend_everyone(n, u.limit(0), p).isEmpty() and recommend.recommend_everyone(n, u, p.limit(0)).isEmpty()

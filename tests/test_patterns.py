@@ -267,3 +267,15 @@ def test_a_history_of_ten_thousand_frequent_items(spark):
     customers = df.select("user").distinct().count()
     found = {tuple(tuple(e) for e in r.pattern): r.support for r in rules.sequence_patterns(df, 3.5 / customers).collect()}
     assert found[(17,), (4711,)] == 4 and len(found) == 3
+
+
+@pytest.mark.parametrize("threshold", [0.05, 0.3, 0.8])
+def test_both_ways_to_similar_histories_agree(spark, monkeypatch, threshold):
+    """Pairs scored at once where items are rare, and found by bounds where they are not."""
+    seqs = as_sequences(spark, crowd())
+    ways = []
+    for few in (0, 10**9):
+        monkeypatch.setattr(similarity, "FEW", few)
+        ways.append(sorted((r.a, r.b, round(r.similarity, 9)) for r in similarity.similar_histories(seqs, threshold).collect()))
+    assert ways[0] == ways[1]
+    assert similarity.similar_histories(seqs.where("false"), threshold).isEmpty()
