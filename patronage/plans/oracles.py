@@ -388,6 +388,25 @@ def _sliding(select: str) -> str:
     )
 
 
+def _estimates(slide: int) -> str:
+    """Exact counts and the five most frequent, per site and windows of a day every ``slide`` hours."""
+
+    def top(column: str) -> str:
+        return f"""(SELECT start, site, string_agg({column} || ':' || n, ' ' ORDER BY n DESC, {column}) AS top FROM (
+        SELECT start, site, {column}, count(*) AS n FROM d GROUP BY start, site, {column}
+        QUALIFY row_number() OVER (PARTITION BY start, site ORDER BY count(*) DESC, {column}) <= 5) GROUP BY ALL)"""
+
+    seconds = slide * 3600
+    return (
+        _with(("view",))
+        + f""", d AS (SELECT site, visitor, pageurl, make_timestamp((epoch_us(ts) // {seconds}000000 - i) * {seconds}000000) AS start
+        FROM view, range(0, {24 // slide}) AS r(i))
+        SELECT d.start, d.start + INTERVAL 1 DAY AS "end", d.site, count(*) AS views, count(DISTINCT pageurl) AS pages,
+        count(DISTINCT visitor) AS visitors, any_value(p.top) AS top_pages, any_value(v.top) AS top_visitors
+        FROM d JOIN {top('pageurl')} p USING (start, site) JOIN {top('visitor')} v USING (start, site) GROUP BY 1, 2, 3"""
+    )
+
+
 def build() -> dict[str, str]:
     q: dict[str, str] = {}
 
@@ -658,11 +677,8 @@ def build() -> dict[str, str]:
         + " GROUP BY start, visitor"
     )
     q["visitor_counts_stream"] = q["visitor_counts"]
-    q["clickstream_estimates"] = _sql(
-        "view",
-        """SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS start, site, count(DISTINCT pageurl) AS exact_pages,
-        count(DISTINCT visitor) AS exact_visitors, true AS pages_near, true AS visitors_near FROM view GROUP BY 1, 2""",
-    )
+    q["clickstream_estimates"] = q["clickstream_stored"] = _estimates(24)
+    q["clickstream_sliding"] = _estimates(6)
     q["distinct_visitors"] = (
         _sliding('start, start + INTERVAL 15 SECOND AS "end", count(DISTINCT visitor) AS visitors')
         + " GROUP BY start"

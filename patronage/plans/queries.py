@@ -729,20 +729,27 @@ def distinct_visitors(spark, sf_dir):
     return found.select(_plain("start"), _plain("end"), "visitors")
 
 
+def _estimates(found):
+    return found.select(_plain("start"), _plain("end"), "site", "views", "pages", "visitors", "top_pages", "top_visitors")
+
+
 @query
 def clickstream_estimates(spark, sf_dir):
-    """Exact counts beside the question whether the estimates are within their bound."""
-    views = _views(spark, sf_dir)
-    found = counts.clickstream_estimates(views)
-    exact = views.groupBy(F.window("timestamp", "1 day")["start"].alias("start"), "site").agg(
-        F.countDistinct("pageurl").alias("exact_pages"), F.countDistinct("visitor").alias("exact_visitors")
-    )
-    # three times the relative standard deviation of the estimate; of few values one may fall on another
-    near = [
-        (F.abs(F.col(c) - F.col(f"exact_{c}")) <= 1 + 0.15 * F.col(f"exact_{c}")).alias(f"{c}_near") for c in ("pages", "visitors")
-    ]
-    joined = found.join(exact, ["start", "site"])
-    return joined.select(F.col("start").cast("timestamp_ntz").alias("start"), "site", "exact_pages", "exact_visitors", *near)
+    """Days, merged from sketches of hours."""
+    return _estimates(counts.clickstream_estimates(_views(spark, sf_dir)))
+
+
+@query
+def clickstream_sliding(spark, sf_dir):
+    """A day every six hours, merged from the same sketches."""
+    return _estimates(counts.clickstream_estimates(_views(spark, sf_dir), slide="6 hours"))
+
+
+@query
+def clickstream_stored(spark, sf_dir):
+    """Days, merged from the sketches that a drained stream has stored."""
+    sketches = counts.click_sketches(feed.page_views(_click_stream(spark, sf_dir)), late=s.LATE)
+    return _estimates(counts.merge_sketches(_drained(sketches, ["start", "end", "site"])))
 
 
 @query

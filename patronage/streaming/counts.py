@@ -8,6 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+# Different items that a sketch of frequent ones follows, and the binary logarithm of a HyperLogLog sketch's size.
+TRACKED, PRECISION = 10_000, 14
+
 
 def _marked(views: DataFrame, late: str | None) -> DataFrame:
     return views.withWatermark("timestamp", late) if late and views.isStreaming else views
@@ -71,26 +74,68 @@ def distinct_visitors(
     )
 
 
-def clickstream_estimates(
-    views: DataFrame, window: str = "1 day", k: int = 5, late: str | None = None, tracked: int = 10_000
-) -> DataFrame:
-    """Estimated number of pages and of visitors, and likely top pages, per site and window.
+def click_sketches(views: DataFrame, tick: str = "1 hour", late: str | None = None, tracked: int = TRACKED) -> DataFrame:
+    """Views, and sketches of pages and visitors, per site and tick: what windows of any length are made of.
 
-    ``tracked`` is how many pages the top-k sketch follows; with at most so many pages
-    in a window its counts are exact.
+    Two kinds: how many different ones (HyperLogLog) and which are the most frequent. Sketches can
+    be merged (``merge_sketches``), so a stream stores one row per site and tick and
+    no task ever sees a window's views again.
     """
-    return (
-        _marked(views, late).groupBy(F.window("timestamp", window).alias("w"), "site")
-        .agg(
-            F.approx_count_distinct("pageurl").alias("pages"),
-            F.approx_count_distinct("visitor").alias("visitors"),
-            F.expr(f"approx_top_k(pageurl, {int(k)}, {int(tracked)})").alias("top"),
-        )
-        .select(
-            F.col("w.start").alias("start"),
-            "site",
-            "pages",
-            "visitors",
-            F.array_join(F.transform("top", lambda t: t["item"]), " ").alias("top_pages"),
+    sketches = [
+        agg
+        for name, column in (("pages", "pageurl"), ("visitors", "visitor"))
+        for agg in (
+            F.hll_sketch_agg(column, F.lit(PRECISION)).alias(name),
+            F.expr(f"approx_top_k_accumulate({column}, {int(tracked)})").alias(f"top_{name}"),
         )
+    ]
+    ticks = _marked(views, late).groupBy(F.window("timestamp", tick).alias("w"), "site").agg(F.count(F.lit(1)).alias("views"), *sketches)
+    return ticks.select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), "site", "views", "pages", "top_pages", "visitors", "top_visitors")
+
+
+def _frequent(sketch: str, k: int, tracked: int):
+    """The k most frequent as item:count; equal counts by item."""
+    found = F.expr(f"approx_top_k_estimate({sketch}, {int(tracked)})")
+    ranked = F.array_sort(F.transform(found, lambda t: F.struct((-t["count"]).alias("n"), t["item"].alias("item"))))
+    return F.array_join(F.transform(F.slice(ranked, 1, k), lambda t: F.concat(t["item"], F.lit(":"), -t["n"])), " ")
+
+
+def _estimated(sketches: DataFrame, keys: list[str], k: int, tracked: int) -> DataFrame:
+    return sketches.select(
+        *keys,
+        "views",
+        *[F.hll_sketch_estimate(name).alias(name) for name in ("pages", "visitors")],
+        *[_frequent(f"top_{name}", k, tracked).alias(f"top_{name}") for name in ("pages", "visitors")],
     )
+
+
+def merge_sketches(sketches: DataFrame, window: str = "1 day", slide: str | None = None, k: int = 5, tracked: int = TRACKED) -> DataFrame:
+    """Estimates per site and window from the ticks inside it; ticks must divide window and slide.
+
+    Estimated numbers of pages and visitors are exact for some hundred of them, the frequent ones
+    while a window has at most ``tracked``. The rows of ``sketches`` may come from any number of batches.
+    """
+    both = [agg for name in ("pages", "visitors") for agg in (
+        F.hll_union_agg(name).alias(name), F.expr(f"approx_top_k_combine(top_{name}, {int(tracked)})").alias(f"top_{name}"))]
+    merged = sketches.groupBy(F.window("start", window, slide or window).alias("w"), "site").agg(F.sum("views").alias("views"), *both)
+    placed = merged.select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), "*").drop("w")
+    return _estimated(placed, ["start", "end", "site"], k, tracked)
+
+
+def clickstream_estimates(
+    views: DataFrame,
+    window: str = "1 day",
+    k: int = 5,
+    late: str | None = None,
+    tracked: int = TRACKED,
+    slide: str | None = None,
+    tick: str = "1 hour",
+) -> DataFrame:
+    """Views, estimated number of pages and of visitors, and the most frequent of both, per site and window.
+
+    A table's views become sketches per tick, and these windows. On a stream every window is one
+    sketch; for sliding windows there, store ``click_sketches`` and merge what is stored.
+    """
+    if views.isStreaming:
+        return _estimated(click_sketches(views, window, late, tracked), ["start", "end", "site"], k, tracked)
+    return merge_sketches(click_sketches(views, tick, late, tracked), window, slide, k, tracked)
