@@ -676,11 +676,12 @@ def build() -> dict[str, str]:
         _sliding('start, start + INTERVAL 15 SECOND AS "end", visitor, count(*) AS count')
         + " GROUP BY start, visitor"
     )
-    q["visitor_counts_stream"] = q["visitor_counts"]
+    q["visitor_counts_stream"] = q["visitor_counts_keyed"] = q["visitor_counts"]
     q["clickstream_estimates"] = q["clickstream_stored"] = _estimates(24)
     q["clickstream_sliding"] = _estimates(6)
     q["distinct_visitors"] = (
         _sliding('start, start + INTERVAL 15 SECOND AS "end", count(DISTINCT visitor) AS visitors')
         + " GROUP BY start"
     )
+    q["distinct_visitors_keyed"] = q["distinct_visitors"]
     return q

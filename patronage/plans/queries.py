@@ -22,7 +22,7 @@ from ..operators import (
 from ..session import durable, prepare, scratch
 from ..sources import mapping, piped, scans
 from ..schemas import CLUSTER_LINE
-from ..streaming import counts, feed
+from ..streaming import counts, feed, keyed
 from . import settings as s
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -756,3 +756,18 @@ def clickstream_stored(spark, sf_dir):
 def visitor_counts_stream(spark, sf_dir):
     """The visitor counts from a drained stream, in update mode with a watermark."""
     return _visitor_stream(spark, sf_dir).select(_plain("start"), _plain("end"), "visitor", "count")
+
+
+@query
+def visitor_counts_keyed(spark, sf_dir):
+    """The same from one row of state per visitor."""
+    counted = keyed.visitor_counts(feed.page_views(_click_stream(spark, sf_dir)), s.LATE)
+    return _drained(counted, ["start", "end", "visitor"]).select(_plain("start"), _plain("end"), "visitor", "count")
+
+
+@query
+def distinct_visitors_keyed(spark, sf_dir):
+    """Different visitors of every window, from the same state."""
+    counted = keyed.visitor_counts(feed.page_views(_click_stream(spark, sf_dir)), s.LATE)
+    newest = _drained(counted, ["start", "end", "visitor"])
+    return newest.groupBy(_plain("start"), _plain("end")).agg(F.count(F.lit(1)).alias("visitors"))
