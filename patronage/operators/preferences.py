@@ -5,10 +5,11 @@ Input throughout: basket lines, one row per (idsite, user, idorder, item).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.columns import customer_key, half_up
 from ..functions.ordering import dense_ids, positions
+from ..session import durable
 
 
 def _lines(lines: DataFrame) -> DataFrame:
@@ -84,6 +85,36 @@ def dictionary(scores: DataFrame, column: str) -> DataFrame:
     return dense_ids(terms, ["term"], "idx").select("term", F.col("idx").cast("int").alias("idx"))
 
 
+def grown_dictionary(known: DataFrame, scores: DataFrame, column: str, version: int) -> DataFrame:
+    """A dictionary (term, idx, version) with the terms it lacks added at its end.
+
+    Known terms keep their numbers, so models fitted on an earlier version stay valid. New ones
+    get the numbers after the last, dense and the same in every run, and this version's
+    number. Only rows of the new version need to be stored (see ``store_terms``).
+    """
+    terms = scores.select(F.col(column).alias("term")).distinct()
+    fresh = durable(dense_ids(terms.join(known.select("term"), "term", "left_anti"), ["term"], "idx"))
+    after = known.agg(F.coalesce(F.max("idx") + 1, F.lit(0))).scalar()
+    added = fresh.select("term", (F.col("idx") + after).cast("int").alias("idx"), F.lit(version).alias("version"))
+    return known.select("term", "idx", "version").unionByName(added)
+
+
+def no_terms(spark: SparkSession) -> DataFrame:
+    """The dictionary before its first version."""
+    return spark.createDataFrame([], "term string, idx int, version int")
+
+
+def store_terms(grown: DataFrame, path: str, version: int) -> None:
+    """Write what a version added; writing it again replaces it."""
+    grown.where(F.col("version") == version).select("term", "idx").write.mode("overwrite").parquet(f"{path}/version={version}")
+
+
+def stored_terms(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The dictionary as of a version (the latest without one); a file scan of the versions up to it."""
+    found = spark.read.schema("term string, idx int, version int").parquet(path)
+    return found if version is None else found.where(F.col("version") <= version)
+
+
 def rating_matrix(scores: DataFrame, users: DataFrame, products: DataFrame) -> DataFrame:
     """Scores with both terms replaced by their numbers."""
     u = users.select(F.col("term").alias("user"), F.col("idx").alias("uid"))

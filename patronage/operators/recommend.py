@@ -271,6 +271,36 @@ def predictions_json(rated: DataFrame, part_size: int = 10_000) -> DataFrame:
     return preferences_json(scores, part_size)
 
 
+def fold_in(ratings: DataFrame, item_factors: DataFrame, rank: int = 10, regularization: float = 0.01) -> DataFrame:
+    """Factors of users that a fit has not seen, from stored product factors: user, factors.
+
+    ratings: user, product, rating. A user's factors solve the regularised normal
+    equations of its ratings, which is what the last half step of a fit does. Both sides are
+    sums over ratings, so a user with very many is added up before anything is shuffled;
+    the small systems are solved in batches. Products without factors do not count, and users
+    without others fall out.
+    """
+    f = F.transform("factors", lambda x: x.cast("double"))
+    met = ratings.join(item_factors.select("product", f.alias("f")), "product").withColumn("rating", F.col("rating").cast("double"))
+    at = [(i, j) for i in range(rank) for j in range(i + 1)]
+    sums = [F.sum(F.col("f")[i] * F.col("f")[j]) for i, j in at] + [F.sum(F.col("f")[i] * F.col("rating")) for i in range(rank)]
+    equations = met.groupBy("user").agg(F.count(F.lit(1)).alias("n"), F.array(*sums).alias("sums"))
+    schema = T.StructType([equations.schema["user"], T.StructField("factors", T.ArrayType(T.DoubleType()))])
+
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        i, j = np.array(at).T
+        for b in batches:
+            x = b.column(2).flatten().to_numpy().reshape(b.num_rows, -1)
+            left = np.zeros((b.num_rows, rank, rank))
+            left[:, i, j] = left[:, j, i] = x[:, : len(at)]
+            left += regularization * b.column(1).to_numpy()[:, None, None] * np.eye(rank)
+            found = np.linalg.solve(left, x[:, len(at) :, None])[:, :, 0]
+            lists = pa.ListArray.from_arrays(np.arange(b.num_rows + 1, dtype=np.int32) * rank, pa.array(found.ravel()))
+            yield pa.RecordBatch.from_arrays([b.column(0), lists], schema.names)
+
+    return equations.mapInArrow(solve, schema)
+
+
 def solved_users(recommender: Recommender, ratings: DataFrame, regularization: float = 0.01, tolerance: float = 1e-3) -> DataFrame:
     """For each user of the ratings, whether its factors solve the regularised normal equations for the product factors.
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import (
     daytime,
@@ -11,6 +13,7 @@ from ..functions.columns import (
     visitor_hex,
 )
 from ..functions.ordering import MAX_SEGMENT, dense_ids, known, positions, segments
+from ..session import durable
 from ..sources.scans import filter_not_deleted, filter_orders, scan_conversion_item
 
 DAY = 86_400_000  # milliseconds
@@ -133,6 +136,40 @@ def numbered_baskets(baskets: DataFrame) -> DataFrame:
     return keyed.join(numbers, order).select("lno", "segment", "items")
 
 
+def quantile_edges(values: DataFrame, columns: Sequence[str], levels: int = 3, accuracy: int = 10_000) -> DataFrame:
+    """One row: for each column the values at which its next level begins, at equal shares of the rows.
+
+    From sketches that every task makes and that merge, so no value is sorted; an edge's rank is
+    off by at most rows / accuracy. Nulls do not count; a column without values has null edges.
+    """
+    shares = [i / levels for i in range(1, levels)]
+    return values.agg(*[F.percentile_approx(c, shares, accuracy).alias(c) for c in columns])
+
+
+def learned_categories(items: DataFrame, conversions: DataFrame, accuracy: int = 10_000) -> DataFrame:
+    """As ``categorical_items``, with levels of quantity and of revenue that the data set.
+
+    An item's quantity and revenue are low, mid or high by thirds of all rows (see ``quantile_edges``);
+    those without a value have no such item.
+    """
+    bought = filter_not_deleted(items).withColumn("revenue", F.col("price"))
+    edges = durable(quantile_edges(bought, ["quantity", "revenue"], 3, accuracy))
+    keys = ["idsite", "user", "idorder"]
+    user = visitor_hex(F.col("idvisitor")).alias("user")
+
+    def level(column: str) -> Column:
+        first, second = (edges.select(F.col(column)[i]).scalar() for i in (0, 1))
+        name = F.when(F.col(column) <= first, "low").when(F.col(column) <= second, "mid").when(F.col(column).isNotNull(), "high")
+        return F.concat(F.lit(f"{column}="), name)
+
+    found = F.array(
+        F.concat(F.lit("buys="), F.col("idaction_sku").cast("string")), F.concat(F.lit("daytime="), daytime(F.col("server_time"))), level("quantity"), level("revenue")
+    )
+    from_items = bought.select("idsite", user, "idorder", F.explode(found).alias("item")).where(F.col("item").isNotNull()).distinct()
+    places = conversions.select("idsite", user, "idorder", F.concat(F.lit("location="), F.col("location_country")).alias("item"))
+    return from_items.unionByName(places.join(from_items.select(*keys).distinct(), keys, "left_semi").distinct())
+
+
 def categorical_items(items: DataFrame, conversions: DataFrame) -> DataFrame:
     """Long-form baskets whose items also carry place, time of day and quantity.
 

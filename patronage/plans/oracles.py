@@ -464,6 +464,22 @@ def build() -> dict[str, str]:
     q["pageview"] = _sql("view", "SELECT site, visitor, pageurl FROM view")
     q["categorical_items"] = _sql("wide", 'SELECT idsite, "user", idorder, item FROM wide')
 
+    q["learned_categories"] = _sql(
+        "kept conv",
+        """SELECT DISTINCT idsite, "user", idorder, item FROM (
+        SELECT idsite, "user", idorder, unnest(['buys=' || brand,
+          'daytime=' || CASE WHEN hour(server_time) < 6 THEN 'night' WHEN hour(server_time) < 12 THEN 'morning'
+            WHEN hour(server_time) < 18 THEN 'afternoon' ELSE 'evening' END,
+          'quantity=' || CASE WHEN quantity <= q1 THEN 'low' WHEN quantity <= q2 THEN 'mid' ELSE 'high' END,
+          'revenue=' || CASE WHEN price <= r1 THEN 'low' WHEN price <= r2 THEN 'mid' ELSE 'high' END]) AS item
+        FROM kept, (SELECT quantile_disc(quantity, 1 / 3) AS q1, quantile_disc(quantity, 2 / 3) AS q2,
+          quantile_disc(price, 1 / 3) AS r1, quantile_disc(price, 2 / 3) AS r2 FROM kept)
+        UNION ALL
+        SELECT idsite, "user", idorder, 'location=' || n_name FROM conv
+        JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey
+        WHERE idorder IN (SELECT idorder FROM kept))""",
+    )
+
     q["order_transactions"] = _sql(
         "conv",
         """SELECT idsite, "user", idorder, "timestamp", revenue_subtotal, revenue_discount FROM conv
@@ -512,6 +528,15 @@ def build() -> dict[str, str]:
     numbered = f"""SELECT kind, term, CAST(row_number() OVER (PARTITION BY kind
         ORDER BY substr(md5(term), 1, 3), term) - 1 AS INTEGER) AS idx FROM {terms}"""
     q["dictionary"] = _sql("bounded", f"SELECT kind, term, idx FROM ({numbered})")
+    place = "row_number() OVER (PARTITION BY kind, version ORDER BY substr(md5(term), 1, 3), term) - 1"
+    q["grown_dictionary"] = _sql(
+        "kept",
+        f"""SELECT kind, term, version::INTEGER AS version, CAST({place} + CASE WHEN version = 2 THEN
+        count(*) FILTER (version = 1) OVER (PARTITION BY kind) ELSE 0 END AS INTEGER) AS idx FROM (
+        SELECT kind, term, CASE WHEN min("timestamp") < epoch_ms(TIMESTAMP '{s.FIRST_VERSION}') THEN 1 ELSE 2 END AS version FROM (
+        SELECT 'user' AS kind, idsite || '|' || "user" AS term, "timestamp" FROM kept
+        UNION ALL SELECT 'product', CAST(idaction_sku AS VARCHAR), "timestamp" FROM kept) GROUP BY kind, term)""",
+    )
     q["rating_matrix"] = (
         _with(("bounded",))
         + f""", num AS ({numbered}) SELECT u.idx AS uid, p.idx AS pid, score::DOUBLE AS rating FROM bounded
@@ -542,6 +567,17 @@ def build() -> dict[str, str]:
             QUALIFY row_number() OVER (PARTITION BY "user" ORDER BY rating DESC, product) <= {s.TOP_N}""",
         )
 
+    q["fold_in"] = (
+        _with(("brandline", "factor"))
+        + f""", sc AS (SELECT cid, item, floor(5.0::DOUBLE * (pref / max(pref) OVER (PARTITION BY item)) + 0.5::DOUBLE) AS r
+        FROM (SELECT cid, item, ln(1.0::DOUBLE + count(*)::DOUBLE / any_value(total)::DOUBLE) AS pref FROM brandline
+          JOIN (SELECT cid, count(DISTINCT idorder) AS total FROM brandline GROUP BY cid) USING (cid) GROUP BY cid, item)),
+        e AS (SELECT cid, sum(f[1] * f[1]) + {s.FOLD_LAMBDA}::DOUBLE * count(*) AS a, sum(f[1] * f[2]) AS b,
+          sum(f[2] * f[2]) + {s.FOLD_LAMBDA}::DOUBLE * count(*) AS c, sum(f[1] * r) AS p, sum(f[2] * r) AS q
+          FROM sc JOIN factor ON kind = 'product' AND term = CAST(item AS VARCHAR) GROUP BY cid HAVING count(*) < 10 OR count(*) >= 20)
+        SELECT cid AS "user", round((c * p - b * q) / (a * c - b * b), 6) AS f1, round((a * q - b * p) / (a * c - b * b), 6) AS f2 FROM e"""
+    )
+
     q["transaction_states"] = _sql(
         "st",
         'SELECT idsite, "user", idorder, "timestamp", gap, round(ratio, 6) AS ratio, state FROM st',

@@ -246,6 +246,12 @@ def categorical_items(spark, sf_dir):
     return _categories(spark, sf_dir)
 
 
+@query
+def learned_categories(spark, sf_dir):
+    places = mapping.log_conversion(spark, sf_dir, ["idsite", "idvisitor", "idorder", "location_country"])
+    return tx.learned_categories(mapping.log_conversion_item(spark, sf_dir, "brand"), places, s.ACCURACY)
+
+
 # --------------------------------------------------------------- transactions
 
 
@@ -346,6 +352,20 @@ def dictionary(spark, sf_dir):
     )
 
 
+@query
+def grown_dictionary(spark, sf_dir):
+    """Customers and parts of early orders, stored, and then those of all orders added."""
+    lines = durable(_lines(spark, sf_dir).select(c.customer_key(F.col("idsite"), F.col("user")).alias("user"), F.col("item").cast("string").alias("product"), "timestamp"))
+    early = lines.where(F.col("timestamp") < F.unix_millis(F.lit(s.FIRST_VERSION).cast("timestamp")))
+    found = []
+    for kind in ("user", "product"):
+        path = scratch(spark, f"terms-{kind}")
+        preferences.store_terms(preferences.grown_dictionary(preferences.no_terms(spark), early, kind, 1), path, 1)
+        preferences.store_terms(preferences.grown_dictionary(preferences.stored_terms(spark, path), lines, kind, 2), path, 2)
+        found.append(preferences.stored_terms(spark, path).withColumn("kind", F.lit(kind)))
+    return found[0].unionByName(found[1])
+
+
 @query
 def rating_matrix(spark, sf_dir):
     kept = durable(_bounded(spark, sf_dir))
@@ -374,9 +394,9 @@ def als_train_parts(spark, sf_dir):
     return _solved(spark, sf_dir, "part")
 
 
-def _fixed_factors(terms: DataFrame, name: str, salt: int) -> DataFrame:
+def _fixed_factors(terms: DataFrame, name: str, salt: int, rank: int = s.RANK) -> DataFrame:
     """Factors by rule, in eighths so that sums are exact in any order."""
-    ranks = F.sequence(F.lit(1), F.lit(s.RANK))
+    ranks = F.sequence(F.lit(1), F.lit(rank))
     factors = F.transform(
         ranks, lambda r: ((F.col("idx") * r + r * r + salt) % 17).cast("double") / F.lit(8.0)
     )
@@ -426,6 +446,17 @@ def recommend_everyone(spark, sf_dir):
     return recommend.recommend_everyone(s.TOP_N, uf, pf)
 
 
+@query
+def fold_in(spark, sf_dir):
+    """Factors of the customers that training leaves out, from product factors by rule."""
+    scores = durable(preferences.preference_scores(_lines(spark, sf_dir, "brand")))
+    products = _fixed_factors(preferences.dictionary(scores, "product"), "product", 5, s.FOLD_RANK)
+    trained = preferences.bounded_users(scores).select("user").distinct()
+    ratings = scores.join(trained, "user", "left_anti").withColumnRenamed("score", "rating")
+    found = recommend.fold_in(ratings, products, s.FOLD_RANK, s.FOLD_LAMBDA)
+    return found.select("user", *[F.round(F.col("factors")[i], 6).alias(f"f{i + 1}") for i in range(s.FOLD_RANK)])
+
+
 # ------------------------------------------------------ states and loyalty
 
 

@@ -34,6 +34,12 @@ PART_SUPPORT = 0.0005
 TOP_SIMILAR = 10
 
 RANK = 10
+# rank at which SQL can solve the normal equations, and their regularization
+FOLD_RANK, FOLD_LAMBDA = 2, 0.01
+# orders before this make the first version of a dictionary
+FIRST_VERSION = "1998-01-01"
+# ranks of learned bins are off by at most rows / ACCURACY
+ACCURACY = 100_000
 TOP_N = 10
 
 # a fixed, lopsided model, so that no two paths have the same probability by symmetry
