@@ -378,6 +378,44 @@ def _viterbi(final: str) -> str:
     )
 
 
+def _training_step() -> str:
+    """Expected counts of one round by sums forwards and backwards over each history, and the model they give."""
+    n, codes = range(3), "[" + ", ".join(f"'{o}'" for o in OBSERVABLE) + "]"
+
+    def e(x: float) -> str:
+        return f"{x!r}::DOUBLE"
+
+    emit = ["[" + ", ".join(e(p) for p in row) + "]" for row in s.MODEL.emit]
+    step = s.MODEL.step
+    first = ", ".join(f"{e(p)} * {emit[i]}[code] AS a{i}" for i, p in enumerate(s.MODEL.start))
+    forward = ", ".join("(" + " + ".join(f"a{i} * {e(step[i][j])}" for i in n) + f") * {emit[j]}[o.code] AS a{j}" for j in n)
+    # w holds what came after k, and what was observed at k + 1
+    backward = ", ".join(" + ".join(f"{e(step[i][j])} * {emit[j]}[w.code] * b{j}" for j in n) + f" AS b{i}" for i in n)
+    same = 'o.idsite = w.idsite AND o."user" = w."user"'
+    gamma = " UNION ALL ".join(f"SELECT {i} AS i, k, code, a{i} * b{i} / total AS g FROM m" for i in n)
+    xi = " UNION ALL ".join(
+        f"SELECT {i} AS i, {j} AS j, sum(m.a{i} * {e(step[i][j])} * {emit[j]}[x.code] * x.b{j} / m.total) AS g "
+        'FROM m JOIN m x ON x.idsite = m.idsite AND x."user" = m."user" AND x.k = m.k + 1'
+        for i in n for j in n
+    )
+    amount = f"CASE right({codes}[code], 1) WHEN 'L' THEN 0.0 WHEN 'S' THEN 1.0 ELSE 2.0 END"
+    return f"""{_with(('st',), 'RECURSIVE')},
+    o AS MATERIALIZED (SELECT idsite, "user", row_number() OVER w AS k, list_position({codes}, obs) AS code,
+      count(*) OVER (PARTITION BY idsite, "user") AS n FROM st WINDOW w AS (PARTITION BY idsite, "user" ORDER BY "timestamp", idorder)),
+    f AS (SELECT idsite, "user", k, n, code, {first} FROM o WHERE k = 1 UNION ALL
+      SELECT o.idsite, o."user", o.k, o.n, o.code, {forward} FROM f w JOIN o ON {same} AND o.k = w.k + 1),
+    b AS (SELECT idsite, "user", k, code, 1.0::DOUBLE AS b0, 1.0::DOUBLE AS b1, 1.0::DOUBLE AS b2 FROM o WHERE k = n UNION ALL
+      SELECT o.idsite, o."user", o.k, o.code, {backward} FROM b w JOIN o ON {same} AND o.k = w.k - 1),
+    m AS (SELECT f.*, b0, b1, b2, a0 * b0 + a1 * b1 + a2 * b2 AS total FROM f JOIN b USING (idsite, "user", k)),
+    g AS ({gamma}), xi AS ({xi}),
+    emits AS (SELECT i, code, sum(g) / (SELECT sum(g) FROM g WHERE g.i = z.i) AS p FROM g z GROUP BY i, code),
+    place AS (SELECT i, ['L', 'N', 'H'][row_number() OVER (ORDER BY sum(p * {amount}))] AS h FROM emits GROUP BY i),
+    every AS (SELECT i, unnest(range(1, {len(OBSERVABLE)} + 1)) AS code FROM place)
+    SELECT 'start' AS part, '' AS state, h AS target, round(sum(g) / (SELECT sum(g) FROM g WHERE k = 1), 9) AS prob FROM g JOIN place USING (i) WHERE k = 1 GROUP BY h
+    UNION ALL SELECT 'step', a.h, c.h, round(xi.g / sum(xi.g) OVER (PARTITION BY xi.i), 9) FROM xi JOIN place a ON a.i = xi.i JOIN place c ON c.i = xi.j
+    UNION ALL SELECT 'emit', h, {codes}[code], round(coalesce(p, 0.0), 9) FROM every JOIN place USING (i) LEFT JOIN emits USING (i, code)"""
+
+
 def _sliding(select: str) -> str:
     """Windows of 15 s every 2 s, aligned to the epoch."""
     return _sql(
@@ -618,6 +656,7 @@ def build() -> dict[str, str]:
     q["loyalty_observations"] = _sql(
         "st", 'SELECT idsite, "user", idorder, "timestamp", obs AS state FROM st'
     )
+    q["hmm_step"] = _training_step()
     q["loyalty_states"] = _viterbi('SELECT idsite, "user", segment, states FROM path')
     q["loyalty_trend"] = _viterbi(
         """SELECT idsite, "user", CASE WHEN count(*) > 1 THEN round(regr_slope(level, pos), 9) END AS slope,

@@ -515,6 +515,13 @@ def hmm_train(spark, sf_dir):
     return loyalty.model_table(spark, fitted.model)
 
 
+@query
+def hmm_step(spark, sf_dir):
+    """The model after one round of training from a given one."""
+    fitted = loyalty.hmm_train(_observations(spark, sf_dir), max_iterations=1, start_model=s.MODEL)
+    return loyalty.model_table(spark, fitted.model).withColumn("prob", F.round("prob", 9))
+
+
 @query
 def loyalty_states(spark, sf_dir):
     found = loyalty.loyalty_states(_observations(spark, sf_dir), s.MODEL)
