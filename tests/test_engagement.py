@@ -241,3 +241,69 @@ def test_everyone_gets_the_best_of_all_ratings(spark, n, block):
     if block == 4:
         assert sum(w["rated"] for w in waves) < 0.5 * len(users) * len(items) and waves[-1]["users"] < waves[0]["users"]
     assert recommend.recommend_everyone(n, u.limit(0), p).isEmpty() and recommend.recommend_everyone(n, u, p.limit(0)).isEmpty()
+
+
+def test_a_dictionary_grows_at_its_end(spark):
+    path = scratch(spark, "terms")
+    def terms(*names):
+        return spark.createDataFrame([(n,) for n in names], "user string")
+
+    first = preferences.grown_dictionary(preferences.no_terms(spark), terms("b", "a", "a", "c"), "user", 1)
+    preferences.store_terms(first, path, 1)
+    second = preferences.grown_dictionary(preferences.stored_terms(spark, path), terms("z", "a", "y", "b", "x"), "user", 2)
+    preferences.store_terms(second, path, 2)
+    one = {r.term: r.idx for r in preferences.stored_terms(spark, path, 1).collect()}
+    two = {r.term: r.idx for r in preferences.stored_terms(spark, path).collect()}
+    assert sorted(one.values()) == [0, 1, 2] and sorted(two.values()) == list(range(6)) and one.items() <= two.items()
+    again = preferences.grown_dictionary(preferences.stored_terms(spark, path, 1), terms("z", "a", "y", "b", "x"), "user", 2)
+    preferences.store_terms(again, path, 2)  # a version that is written again replaces itself
+    assert {r.term: r.idx for r in preferences.stored_terms(spark, path).collect()} == two
+    same = preferences.grown_dictionary(preferences.stored_terms(spark, path), terms("a"), "user", 3)
+    assert same.where("version = 3").isEmpty() and same.count() == 6
+
+
+def fitted(spark):
+    rows = [(f"u{i}", str(j), (i * 7 + j) % 6) for i in range(12) for j in range(15) if (i + j) % 4]
+    scores = spark.createDataFrame(rows, "user string, product string, score int")
+    users, products = preferences.dictionary(scores, "user"), preferences.dictionary(scores, "product")
+    ratings = preferences.rating_matrix(scores, users, products)
+    return scores, ratings, recommend.Recommender(users, products, recommend.als_train(ratings, rank=3, iterations=6, partitions=2))
+
+
+def test_folded_in_users_get_the_factors_of_a_fit(spark):
+    scores, _, model = fitted(spark)
+    users, products = recommend.factor_tables(model)
+    got = {r.user: r.factors for r in recommend.fold_in(scores.withColumnRenamed("score", "rating"), products, 3).collect()}
+    want = {r.user: r.factors for r in users.collect()}
+    assert got.keys() == want.keys() and all(got[u] == pytest.approx(want[u], abs=2e-4) for u in want)
+    new = spark.createDataFrame([("n", "1", 5.0), ("n", "2", 0.0), ("n", "unknown", 3.0), ("m", "unknown", 1.0)], "user string, product string, rating double")
+    assert [r.user for r in recommend.fold_in(new, products, 3).collect()] == ["n"]
+    assert recommend.fold_in(new.limit(0), products, 3).isEmpty()
+
+
+def test_a_wrong_factor_is_seen(spark):
+    """The flag of a fit is false where a user's factors do not solve its equations."""
+    _, ratings, model = fitted(spark)
+
+    class Model:
+        userFactors = model.model.userFactors.withColumn("features", F.when(F.col("id") == 0, F.transform("features", lambda x: x + 0.05)).otherwise(F.col("features")))
+        itemFactors = model.model.itemFactors
+
+    found = recommend.solved_users(recommend.Recommender(model.users, model.products, Model), ratings).collect()
+    wrong = model.users.where("idx = 0").first().term
+    assert {r.user for r in found if not r.solved} == {wrong}
+
+
+def test_levels_are_set_by_the_data(spark):
+    """Thirds of the rows, ties below, missing values without a level."""
+    t = dt.datetime(2024, 1, 1, 9)
+    rows = [(1, USER, t, f"o{i}", i, float(i), float(q), False) for i, q in enumerate([1, 1, 1, 1, 2, 2, 3, 4, 5])]
+    rows.append((1, USER, t, "o9", 9, None, None, False))
+    items = spark.createDataFrame(rows, schemas.CONVERSION_ITEM)
+    places = spark.createDataFrame([(1, USER, "o0", "berlin"), (1, USER, "gone", "rome")], "idsite long, idvisitor binary, idorder string, location_country string")
+    got = {(r.idorder, r.item) for r in tx.learned_categories(items, places).collect()}
+    level = {o: i.split("=")[1] for o, i in got if i.startswith("quantity=")}
+    assert level == {f"o{i}": x for i, x in enumerate(["low"] * 4 + ["mid", "mid", "high", "high", "high"])}
+    assert {i for o, i in got if o == "o9"} == {"buys=9", "daytime=morning"} and {i for _, i in got if i.startswith("location")} == {"location=berlin"}
+    revenue = [i.split("=")[1] for o, i in sorted(got) if i.startswith("revenue=")]
+    assert revenue == ["low"] * 3 + ["mid"] * 3 + ["high"] * 3

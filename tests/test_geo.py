@@ -136,3 +136,25 @@ def test_segments_need_complete_rows(spark):
     got = geo.customer_segments(df, ["revenue", "hour"], clusters=2).collect()
     assert len(got) == 40
     assert len({(r.hour, r.cluster) for r in got}) == 2
+
+
+def test_a_wrong_centre_is_seen(spark):
+    """The flag of a fit is false for rows that are nearer to another centre than to their own."""
+    df = spark.createDataFrame([(float(x), float(x % 3)) for x in [1, 2, 3, 100, 101, 102]], "a double, b double")
+    model, rows = geo.fit_segments(df, ["a", "b"], clusters=2)
+    assert geo.at_nearest_center(model, rows).where("NOT nearest").isEmpty()
+
+    class Turned:
+        """The same clusters, with the centres the other way round."""
+
+        def transform(self, rows):
+            return model.transform(rows)
+
+        class Stage:
+            @staticmethod
+            def clusterCenters():
+                return model.stages[-1].clusterCenters()[::-1]
+
+        stages = [Stage]
+
+    assert geo.at_nearest_center(Turned(), rows).where("nearest").isEmpty()

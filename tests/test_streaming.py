@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from patronage.sources import mapping
-from patronage.streaming import counts, feed
+from patronage.streaming import counts, feed, keyed
 
 
 def folder():
@@ -119,3 +119,107 @@ def test_ticks_do_not_change_the_windows(spark, events):
     direct = v.groupBy(F.window("timestamp", "15 seconds", "2 seconds").alias("w"), "visitor").count()
     want = sorted((r.w.start, r.w.end, r.visitor, r["count"]) for r in direct.collect())
     assert sorted(map(tuple, counts.visitor_counts(v).collect())) == want
+
+
+def sketched(spark, events, **options):
+    v = views(spark, events, False)
+    return sorted(map(tuple, counts.clickstream_estimates(v, **options).select("start", "end", "site", "views", "pages", "visitors", "top_pages", "top_visitors").collect()))
+
+
+@pytest.mark.parametrize(("slide", "tick"), [(None, "1 hour"), ("6 hours", "1 hour"), ("6 hours", "2 hours")])
+def test_merged_sketches_equal_counts(spark, events, slide, tick):
+    v = views(spark, events, False)
+    w = F.window("timestamp", "1 day", slide or "1 day").alias("w")
+    rows = v.select(w, "site", "pageurl", "visitor").collect()
+    want = {}
+    for r in rows:
+        want.setdefault((r.w.start, r.w.end, r.site), []).append((r.pageurl, r.visitor))
+
+    def top(values):
+        n = {x: values.count(x) for x in set(values)}
+        return " ".join(f"{x}:{c}" for c, x in sorted((-c, x) for x, c in n.items())[:5]).replace(":-", ":")
+
+    expected = [(*k, len(x), len({p for p, _ in x}), len({u for _, u in x}), top([p for p, _ in x]), top([u for _, u in x])) for k, x in want.items()]
+    assert sketched(spark, events, slide=slide, tick=tick) == sorted(expected)
+
+
+def test_sketches_of_batches_merge(spark, events):
+    """Sketches made of parts of the views, stored and read again, say what those of all say."""
+    v = views(spark, events, False)
+    path = folder() + "/sketches"
+    for part in range(3):
+        counts.click_sketches(v.where(F.pmod(F.xxhash64("visitor", "timestamp"), F.lit(3)) == part)).write.mode("append").parquet(path)
+    merged = counts.merge_sketches(spark.read.parquet(path))
+    assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, counts.clickstream_estimates(v).collect()))
+
+
+def test_estimates_of_a_sketch_that_is_too_small_are_seen(spark, events):
+    """With fewer items followed than there are, the frequent ones are no longer sure: the comparison can fail."""
+    v = views(spark, events, False).withColumn("site", F.lit("x"))
+    exact = counts.clickstream_estimates(v, "365 days", tick="1 day").collect()
+    small = counts.clickstream_estimates(v, "365 days", tick="1 day", tracked=8).collect()
+    assert [r.top_visitors for r in exact] != [r.top_visitors for r in small] and [r.views for r in exact] == [r.views for r in small]
+
+
+@pytest.mark.parametrize(("window", "slide", "tick"), [("15 seconds", "2 seconds", "1 second"), ("1 hour", "20 minutes", "5 minutes"), ("90 seconds", "1 minute", "30 seconds")])
+def test_keyed_state_equals_batch(spark, events, window, slide, tick):
+    counted = keyed.visitor_counts(views(spark, events, True), "30 days", window, slide, tick)
+    path = folder() + "/keyed"
+    feed.write_updates(counted, path, folder(), drain=True).awaitTermination()
+    stored = feed.latest(spark, path, counted.schema, ["start", "end", "visitor"])
+    batch = counts.visitor_counts(views(spark, events, False), window, slide)
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, batch.collect()))
+
+
+class Handle:
+    """What a processor sees of its state, for one visitor."""
+
+    def __init__(self):
+        self.value, self.timers = None, []
+
+    def getValueState(self, name, schema):
+        return self
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+    def listTimers(self):
+        return self.timers
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+
+class At:
+    def __init__(self, seconds):
+        self.seconds = seconds
+
+    def getCurrentWatermarkInMs(self):
+        return self.seconds * 1000
+
+
+def test_state_of_a_visitor_expires():
+    ring, handle = keyed.Ring(10_000_000, 5_000_000, 1_000_000), Handle()
+    ring.init(handle)
+    at = [{"at": s * 1_000_000 + 7} for s in (100, 100, 103)]
+    out = list(ring.handleInputRows(("v",), iter(at), At(0)))
+    assert [(r["start"].timestamp(), r["count"]) for r in out] == [(95.0, 3), (100.0, 3)]
+    assert handle.value == ([100_000_000, 103_000_000], [2, 1]) and len(handle.timers) == 1
+    list(ring.handleInputRows(("v",), iter([{"at": 109_000_000}]), At(50)))
+    assert handle.value[0] == [100_000_000, 103_000_000, 109_000_000] and handle.timers == [111_001]
+    list(ring.handleExpiredTimer(("v",), At(112), None))
+    assert handle.value == ([103_000_000, 109_000_000], [1, 1]) and handle.timers == [114_001]
+    list(ring.handleExpiredTimer(("v",), At(500), None))
+    assert handle.value is None and handle.timers == []
