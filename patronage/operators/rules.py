@@ -20,6 +20,9 @@ from ..session import durable
 ORDER_KEYS = ("idsite", "user", "idorder")
 #: Rules that are expanded in one scan of the baskets.
 EXPANDED = 4096
+#: What the support of items is divided by to get the floor, and the floor to get the next: a search stays near the
+#: best whatever its floor, which only says what items it looks at.
+FLOOR = 64
 #: Different items of a history beyond which its pairs are not listed but asked for.
 LONG = 1024
 
@@ -107,8 +110,8 @@ def top_k_rules(
     unique = durable(lines.select(*keys, "item").distinct())
     counts = durable(unique.groupBy("item").agg(F.count(F.lit(1)).alias("support")))
     # a rule needs two items, so the second most frequent one bounds its support
-    top = counts.orderBy(F.desc("support")).limit(2).agg(F.min("support")).first()[0] or 1
-    floor = max(1, -(-top // 4))
+    top = min((r["support"] for r in counts.orderBy(F.desc("support")).limit(2).collect()), default=1)
+    floor = max(1, -(-top // FLOOR))
     while True:
         common = counts.where(F.col("support") >= floor)
         kept = unique.join(common.select("item"), "item", "left_semi").groupBy(*keys).agg(F.collect_list("item").alias("items"))
@@ -116,7 +119,7 @@ def top_k_rules(
         if floor == 1 or len(best) == k:
             item = lines.schema["item"].dataType.simpleString()
             return lines.sparkSession.createDataFrame(best, f"antecedent array<{item}>, consequent {item}, support long, confidence double")
-        floor = max(1, floor // 4)
+        floor = max(1, floor // FLOOR)
 
 
 def _best_rules(
