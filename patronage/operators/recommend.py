@@ -19,8 +19,8 @@ from .preferences import bounded_users, dictionary, preference_scores, preferenc
 USER_BLOCK = 512
 # Products that travel in one row when all users are served.
 PRODUCT_BLOCK = 256
-# Ratings that one block of a fit should hold.
-BLOCK_RATINGS = 1_000_000
+# Ratings that one block of a fit should hold: at most, and at least while there are fewer than 20 blocks.
+BLOCK_RATINGS, SMALL_BLOCK = 1_000_000, 10_000
 
 
 class Recommender(NamedTuple):
@@ -40,10 +40,11 @@ def als_train(
     """Explicit alternating least squares on (uid, pid, rating).
 
     Rows are placed and sorted by id first, so that equal input gives equal factors.
-    Without ``partitions`` there are 20 blocks, and more where ratings are many.
+    Without ``partitions`` there are up to 20 blocks, as ratings go round for, and more where ratings are many.
     """
     if partitions is None:
-        partitions = max(20, -(-ratings.count() // BLOCK_RATINGS))
+        n = ratings.count()
+        partitions = max(min(20, -(-n // SMALL_BLOCK)), -(-n // BLOCK_RATINGS), 1)
     shared_dir(ratings.sparkSession)  # lets ALS cut its lineage every ten rounds
     placed = ratings.repartition(partitions, "uid").sortWithinPartitions("uid", "pid")
     als = ALS(
@@ -307,17 +308,19 @@ def solved_users(recommender: Recommender, ratings: DataFrame, regularization: f
     The last half step of a fit solves them for all users: the sum over a user's ratings
     of v (v.u - r), plus lambda times their number times u, is zero.
     """
-    u = recommender.model.userFactors.select(F.col("id").alias("uid"), F.col("features").alias("u"))
-    v = recommender.model.itemFactors.select(F.col("id").alias("pid"), F.col("features").alias("v"))
-    met = ratings.join(v, "pid").join(u, "uid")
-    error = _dot(F.col("u"), F.col("v")) - F.col("rating")
-    place = met.select("uid", error.alias("error"), "rating", F.posexplode(F.arrays_zip("u", "v")).alias("i", "f"))
-    term = F.col("f.v").cast("double")
-    sums = place.groupBy("uid", "i").agg(
-        (F.sum(term * F.col("error")) + regularization * F.count(F.lit(1)) * F.first("f.u").cast("double")).alias("left"),
-        F.sum(F.abs(term * F.col("rating"))).alias("scale"),
+    double = F.transform("features", lambda x: x.cast("double"))
+    u = recommender.model.userFactors.select(F.col("id").alias("uid"), double.alias("u"))
+    v = recommender.model.itemFactors.select(F.col("id").alias("pid"), double.alias("v"))
+    met = ratings.join(v, "pid").join(u, "uid").select("uid", "rating", "v", (_dot(F.col("u"), F.col("v")) - F.col("rating")).alias("error"))
+    places = range(len(recommender.model.itemFactors.select("features").first()[0]))
+    sums = met.groupBy("uid").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.array(*[F.sum(F.col("v")[i] * F.col("error")) for i in places]).alias("error"),
+        F.array(*[F.sum(F.abs(F.col("v")[i] * F.col("rating"))) for i in places]).alias("scale"),
     )
-    solved = sums.groupBy("uid").agg(F.bool_and(F.abs("left") <= tolerance * (1 + F.col("scale"))).alias("solved"))
+    parts = F.arrays_zip("error", "scale", "u")
+    holds = F.forall(parts, lambda x: F.abs(x["error"] + regularization * F.col("n") * x["u"]) <= tolerance * (1 + x["scale"]))
+    solved = sums.join(u, "uid").select("uid", holds.alias("solved"))
     return recommender.users.select(F.col("term").alias("user"), F.col("idx").alias("uid")).join(solved, "uid", "left").select("user", F.coalesce("solved", F.lit(False)).alias("solved"))
 
 
