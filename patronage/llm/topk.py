@@ -8,7 +8,8 @@ unseen vector could have, is below its k-th score. Equal bounds go on, so ties a
 exact. A query's bests of all blocks are merged by a ranked window, which keeps k rows
 of each task before the shuffle.
 
-Components become floor(256 * x), scores are exact integers. Defined cases: vectors
+Components become floor(256 * x), scores are exact integers: a vector whose squared components then
+add up to LARGEST or more is an error, and below it no score leaves eight bytes. Defined cases: vectors
 that are null or hold a null or non-finite component, and rows without an identifier,
 take no part. Vectors are compared only with those of the same length; an empty vector
 scores 0. Equal scores go to the smaller identifier; repeated rows are rows of their
@@ -24,6 +25,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 BLOCK_ROWS = 8192
 SCALE = 256
+LARGEST = float(1 << 62)
 FOUND = "query_id long, vec_id long, score long"
 
 
@@ -72,7 +74,9 @@ def as_integers(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """id, dim, vec: the components as eight-byte integers, of the vectors that take part."""
     x = vectors.select(vectors[id_col].cast("long").alias("id"), F.transform(vectors[vec_col], lambda v: v.cast("double")).alias("v"))
     fine = F.forall("v", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    return x.where(F.col("id").isNotNull() & fine).select("id", F.size("v").alias("dim"), F.transform("v", lambda v: F.floor(v * SCALE)).alias("v"))
+    size = F.aggregate("v", F.lit(0.0), lambda s, v: s + (F.abs(v) * SCALE + 1) * (F.abs(v) * SCALE + 1))
+    whole = F.when(size < LARGEST, F.transform("v", lambda v: F.floor(v * SCALE))).otherwise(F.raise_error(F.lit("a vector is too long for exact scores")))
+    return x.where(F.col("id").isNotNull() & fine).select("id", F.size("v").alias("dim"), whole.alias("v"))
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", block_rows: int = BLOCK_ROWS) -> DataFrame:

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from patronage.llm import mixing
+from patronage.llm.queries import REGISTRY, SHARES
 
 
 def dense_rates(n, p, targets, ridge, rounds=20_000):
@@ -102,3 +103,24 @@ def test_texts_that_share_an_identifier_take_their_own_decisions(spark):
         n = {kind: [r["count"] for r in seen if r.doc_id == ident and r.kind == kind and r.text] for kind in texts}
         assert len(n["good"]) == 100 and 110 <= sum(n["good"]) <= 140, "good ones stay and some are repeated"
         assert 30 <= len(n["plain"]) <= 70 and len(n["toxic"]) <= 20, "each takes a draw of its own"
+
+
+def test_query_meets_a_dense_solver(spark, small):
+    """The rates of the whole query are those of a dense solver on its posteriors, and copies follow them."""
+    rows = REGISTRY["op3_mixing"](spark, small).collect()
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    assert {r.doc_id: r.n_tokens for r in rows} == {i: len((t or "").split()) for i, t in docs.items()}
+    n, p = np.array([r.n_tokens for r in rows]), np.array([r.posterior for r in rows])
+    assert np.allclose(p.sum(axis=1), 1)
+    targets = (n @ p) * np.array([SHARES[d] for d in mixing.DOMAINS])
+    got, want = np.array([r.rate for r in rows]), dense_rates(n, p, targets, mixing.RIDGE)
+    assert np.abs((got * n) @ p - (want * n) @ p).max() < 0.005 * n.sum() and np.abs(got - want).mean() < 0.02
+    assert all(np.floor(r.rate) <= r.copies <= np.floor(r.rate) + 1 for r in rows)
+
+
+def test_labels_that_share_an_identifier_and_no_labels(spark):
+    docs = spark.createDataFrame([(1, "good words"), (2, "bad words"), (None, "x"), (3, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (2, 0, 1), (None, 1, 0), (9, 1, 0)], "doc_id long, quality int, toxic int")
+    assert mixing.mix(docs, labels, SHARES).count() == 4
+    none = mixing.mix(docs, labels.where("false"), SHARES).collect()
+    assert len(none) == 4 and all(r.rate >= 0 for r in none)

@@ -220,3 +220,9 @@ def test_sample_of_any_size(spark):
     assert {x.weight for x in linear.smallest(few, 100).collect()} == {10.0}
     for size in (10**11, 10**15):  # the cut that a label of so many rows would get
         assert 2.0 * 4096 / size * float(1 << 60) > 1e6
+
+
+def test_vectors_too_long_for_exact_scores_are_an_error(spark):
+    with pytest.raises(Exception, match="too long"):
+        found_top(spark, [(0, [3e38, 0.0]), (1, [3e38, 1.0])], "vec_id = 0")
+    assert found_top(spark, [(0, [1e6, 0.0]), (1, [-1e6, 1.0])], "vec_id = 0") == [(0, 1, 1, -((256 * 10**6) ** 2))]
