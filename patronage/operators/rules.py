@@ -99,27 +99,30 @@ def top_k_rules(
     min_confidence: float = 0.8,
     keys: Sequence[str] = ORDER_KEYS,
     batch: int = EXPANDED,
+    min_support: float = 0.0,
 ) -> DataFrame:
     """The ``k`` rules with most support among the confident ones, whatever that support is.
 
     Rules grow from single consequents by one item of the antecedent at a time, those with
     most support first (see ``_best_rules``). Items below a floor stay out at first; it
-    is lowered until ``k`` rules are found above it or one basket is enough. Equal support
-    goes by confidence, then by antecedent and consequent.
+    is lowered until ``k`` rules are found above it or one basket is enough. With ``min_support``,
+    a share of all baskets, rules below it do not count, so there may be fewer than ``k``. Equal
+    support goes by confidence, then by antecedent and consequent.
     """
     unique = durable(lines.select(*keys, "item").distinct())
+    needed = max(1, math.ceil(min_support * unique.select(*keys).distinct().count() - 1e-9)) if min_support else 1
     counts = durable(unique.groupBy("item").agg(F.count(F.lit(1)).alias("support")))
     # a rule needs two items, so the second most frequent one bounds its support
     top = min((r["support"] for r in counts.orderBy(F.desc("support")).limit(2).collect()), default=1)
-    floor = max(1, -(-top // FLOOR))
+    floor = max(needed, -(-top // FLOOR))
     while True:
         common = counts.where(F.col("support") >= floor)
         kept = unique.join(common.select("item"), "item", "left_semi").groupBy(*keys).agg(F.collect_list("item").alias("items"))
         best = _best_rules(durable(kept.select("items")), common, floor, k, min_confidence, batch)
-        if floor == 1 or len(best) == k:
+        if floor == needed or len(best) == k:
             item = lines.schema["item"].dataType.simpleString()
             return lines.sparkSession.createDataFrame(best, f"antecedent array<{item}>, consequent {item}, support long, confidence double")
-        floor = max(1, floor // FLOOR)
+        floor = max(needed, floor // FLOOR)
 
 
 def _best_rules(

@@ -242,6 +242,16 @@ def test_rules_of_one_basket_among_long_ones(spark):
     assert len(deep) == 30
 
 
+@pytest.mark.parametrize("share", [0.05, 0.2, 0.4])
+def test_rules_below_the_support_asked_for_do_not_count(spark, share):
+    """Fewer than k, where fewer reach it."""
+    bs = baskets(n=40, items=7, seed=3)
+    got = rules.top_k_rules(frame(spark, bs), 500, 0.3, min_support=share).collect()
+    want = [r for r in brute_rules(bs, 10_000, 0.3) if r[2] >= share * len(bs)][:500]
+    assert [(r.antecedent, r.consequent, r.support, pytest.approx(r.confidence)) for r in got] == want
+    assert share < 0.4 or len(want) < 500
+
+
 @pytest.mark.parametrize("long", [1, 3, 1024])
 def test_sequence_patterns_with_long_histories(spark, long):
     """Whoever counts as long, the patterns are the same."""
