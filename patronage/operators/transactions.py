@@ -20,6 +20,8 @@ DAY = 86_400_000  # milliseconds
 # Slot width for ordering inside a key. A minute spreads even one customer's busy
 # day over many tasks, and years of minutes are still few rows to add up per key.
 SLOT = 60_000
+# Different values that one step of the search for a quantile looks at.
+PAGE = 10_000
 
 
 def slot_of(ts: str, width: int = SLOT):
@@ -137,13 +139,38 @@ def numbered_baskets(baskets: DataFrame) -> DataFrame:
 
 
 def quantile_edges(values: DataFrame, columns: Sequence[str], levels: int = 3, accuracy: int = 10_000) -> DataFrame:
-    """One row: for each column the values at which its next level begins, at equal shares of the rows.
+    """One row: for each column the values at which its next level begins, at equal shares of the rows; exact.
 
-    From sketches that every task makes and that merge, so no value is sorted; an edge's rank is
-    off by at most rows / accuracy. Nulls do not count; a column without values has null edges.
+    An edge is the first value that, with those below it, holds its share. Sketches that every task makes
+    and that merge bracket it, and only the rows in the bracket (some rows / ``accuracy``) are
+    counted by value. Nulls do not count; a column without values has null edges.
     """
-    shares = [i / levels for i in range(1, levels)]
-    return values.agg(*[F.percentile_approx(c, shares, accuracy).alias(c) for c in columns])
+    kept = durable(values.select(*columns))
+    rows = kept.agg(*[F.count(c).alias(c) for c in columns]).first()
+    edges = {c: [_value_at(kept.select(F.col(c).alias("x")), rows[c], -(-rows[c] * i // levels), accuracy) for i in range(1, levels)] if rows[c] else None for c in columns}
+    types = ", ".join(f"`{c}` array<{kept.schema[c].dataType.simpleString()}>" for c in columns)
+    return values.sparkSession.createDataFrame([tuple(edges[c] for c in columns)], types)
+
+
+def _value_at(values: DataFrame, n: int, rank: int, accuracy: int):
+    """The value of this rank (from 1) among the ``n`` that are not null."""
+    values, share = values.dropna(), 2 / accuracy
+    while True:
+        around = [max(0.0, rank / n - share), min(1.0, rank / n + share)]
+        low, high = values.agg(F.percentile_approx("x", around, accuracy)).first()[0]
+        inside = F.col("x").between(F.lit(low), F.lit(high))
+        below, within = values.agg(F.count_if(F.col("x") < F.lit(low)), F.count_if(inside)).first()
+        if below < rank <= below + within:
+            break
+        share *= 2  # at the latest a bracket of all values holds it
+    counted = values.where(inside).groupBy("x").agg(F.count(F.lit(1)).alias("n")).orderBy("x")
+    while True:
+        # a page of values at a time, however many the bracket has
+        for row in counted.limit(PAGE).collect():
+            below += row["n"]
+            if below >= rank:
+                return row["x"]
+        counted = counted.where(F.col("x") > F.lit(row["x"]))
 
 
 def learned_categories(items: DataFrame, conversions: DataFrame, accuracy: int = 10_000) -> DataFrame:

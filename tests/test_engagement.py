@@ -307,3 +307,15 @@ def test_levels_are_set_by_the_data(spark):
     assert {i for o, i in got if o == "o9"} == {"buys=9", "daytime=morning"} and {i for _, i in got if i.startswith("location")} == {"location=berlin"}
     revenue = [i.split("=")[1] for o, i in sorted(got) if i.startswith("revenue=")]
     assert revenue == ["low"] * 3 + ["mid"] * 3 + ["high"] * 3
+
+
+@pytest.mark.parametrize("accuracy", [4, 100])
+def test_edges_are_exact_whatever_the_sketch(spark, accuracy, monkeypatch):
+    monkeypatch.setattr(tx, "PAGE", 7)
+    r = random.Random(accuracy)
+    rows = [(r.choice([1.0, 2.0, 2.0, 3.0]), r.gauss(0, 1), None) for _ in range(3_001)] + [(None, None, None)] * 50
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    got = tx.quantile_edges(df, ["a", "b", "c"], 3, accuracy).collect()
+    a, b = (sorted(x[i] for x in rows if x[i] is not None) for i in (0, 1))
+    # of 3001 rows, the 1001st and the 2001st are the first to hold a third and two
+    assert [tuple(x) for x in got] == [([a[1000], a[2000]], [b[1000], b[2000]], None)]
