@@ -18,13 +18,16 @@ ALPHA = 200
 THRESHOLD = 0.7
 #: Pairs of pixels up to which heat is added up pair by pair; beyond, transforms do less work.
 PAIRS = 1 << 24
+#: Rounds of a fit that ends when its centres rest.
+ENDLESS = (1 << 31) - 1
 
 
 def fit_centers(
-    points: DataFrame, clusters: int = 10, iterations: int = 100, seed: int = 5
+    points: DataFrame, clusters: int = 10, iterations: int | None = None, seed: int = 5
 ) -> list[tuple[float, float]]:
     """K-means centres of raw (lat, lon), in a fixed order.
 
+    Without ``iterations`` the fit goes on until no centre moves any more.
     Equal places count once with their weight, so the fit sees as many rows as
     there are distinct places.
     """
@@ -36,7 +39,7 @@ def fit_centers(
     )
     vectors = VectorAssembler(inputCols=["lat", "lon"], outputCol="v").transform(places)
     model = KMeans(
-        k=clusters, maxIter=iterations, seed=seed, featuresCol="v", weightCol="weight"
+        k=clusters, maxIter=ENDLESS if iterations is None else iterations, seed=seed, featuresCol="v", weightCol="weight"
     ).fit(vectors)
     return sorted((float(c[0]), float(c[1])) for c in model.clusterCenters())
 
@@ -67,7 +70,7 @@ def assign_clusters(points: DataFrame, centers: Sequence[tuple[float, float]]) -
 
 
 def geo_clusters(
-    points: DataFrame, clusters: int = 10, iterations: int = 100, seed: int = 5
+    points: DataFrame, clusters: int = 10, iterations: int | None = None, seed: int = 5
 ) -> DataFrame:
     return assign_clusters(points, fit_centers(points, clusters, iterations, seed))
 

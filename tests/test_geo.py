@@ -3,6 +3,7 @@ import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from patronage.operators import convolution, geo
 
@@ -125,6 +126,13 @@ def test_clusters_find_separate_places(spark):
     assert sum(again, ()) == pytest.approx(sum(geo.fit_centers(df, 3, 50), ()))
 
 
+def test_centres_are_the_means_of_their_points_however_slowly_they_settle(spark):
+    """On an even line centres pass on what is left of the start from one to the next, for hundreds of rounds."""
+    df = spark.range(20_000).selectExpr("0.0D AS lat", "id * 0.009D - 90 AS lon")
+    found = geo.geo_clusters(df, 80).groupBy("clon").agg(F.avg("lon").alias("mean")).collect()
+    assert len(found) == 80 and max(abs(r.clon - r["mean"]) for r in found) < 0.01
+
+
 def test_equal_distance_takes_the_first_centre(spark):
     df = spark.createDataFrame([(0.0, 0.0)], "lat double, lon double")
     assert geo.assign_clusters(df, [(1.0, 0.0), (-1.0, 0.0)]).first().cluster == 0
