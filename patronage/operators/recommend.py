@@ -171,10 +171,12 @@ def predict_user_items(
 def recommend_top_n(
     users: DataFrame, n: int, user_factors: DataFrame, item_factors: DataFrame
 ) -> DataFrame:
-    """The ``n`` best products for each user of a request; ties by product."""
-    rated = _against_request(users, item_factors, user_factors)
-    best = Window.partitionBy("user").orderBy(F.desc("rating"), "product")
-    return _ranked(rated.withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= n))
+    """The ``n`` best products for each user of a request; ties by product.
+
+    As for everyone (see ``recommend_everyone``), so no task ever holds all ratings of its users.
+    """
+    chosen = user_factors.join(users.select("user").distinct(), "user", "left_semi")
+    return recommend_everyone(n, chosen, item_factors)
 
 
 def _norm(factors: str) -> Column:
@@ -186,6 +188,24 @@ def recommend_everyone(
 ) -> DataFrame:
     """The ``n`` best products for every user; ties by product.
 
+    Equal factors have equal ratings: users that share them are served once, by the least of them, and of products
+    that share them only the first ``n`` can be among the best. So the work is that of the different
+    factors (see ``_best_of_all``), and each user is then joined to what its factors were given.
+    """
+    double = F.transform("factors", lambda x: x.cast("double"))
+    # -0.0 is 0.0 here, so that equal factors are found by grouping
+    members = durable(user_factors.dropDuplicates(["user"]).select("user", F.transform(double, lambda x: x + F.lit(0.0)).alias("factors")))
+    heads = durable(members.groupBy("factors").agg(F.min("user").alias("head")))
+    of_head = durable(members.join(heads, "factors").select("user", "head"))
+    same = Window.partitionBy("factors").orderBy("product")
+    ranked = item_factors.select("product", F.transform(double, lambda x: x + F.lit(0.0)).alias("factors")).withColumn("_n", F.row_number().over(same))
+    best = durable(_best_of_all(n, heads.select(F.col("head").alias("user"), "factors"), ranked.where(F.col("_n") <= n).drop("_n"), block, waves))
+    return _ranked(of_head.join(best.withColumnRenamed("user", "head"), "head"))
+
+
+def _best_of_all(n: int, user_factors: DataFrame, item_factors: DataFrame, block: int, waves: list[dict] | None) -> DataFrame:
+    """The ``n`` best products for every user, in no order.
+
     Products go in blocks by falling norm of their factors. A rating is at most the product of both norms, so a
     user whose n-th best rating exceeds its norm times that of the next block is done:
     nothing further can enter. Blocks come in waves of 1, 2, 4, ..., and in a wave a user
@@ -194,7 +214,7 @@ def recommend_everyone(
     what each wave did: users open, and ratings computed.
     """
     double = F.transform("factors", lambda x: x.cast("double"))
-    users = durable(user_factors.dropDuplicates(["user"]).select("user", double.alias("f")).withColumn("norm", _norm("f")))
+    users = durable(user_factors.select("user", double.alias("f")).withColumn("norm", _norm("f")))
     ranged = item_factors.select("product", double.alias("f")).withColumn("norm", _norm("f")).repartitionByRange(F.desc("norm"), "product")
     placed = ranged.sortWithinPartitions(F.desc("norm"), "product").withColumn("_at", F.monotonically_increasing_id())
     # a partition's rows have consecutive numbers above its own multiple of 2 ** 33
@@ -262,8 +282,8 @@ def recommend_everyone(
             break
     parts = done if bests is None else [*done, bests]
     if not parts:
-        return _ranked(users.sparkSession.createDataFrame([], schema).drop("rated"))
-    return _ranked(functools.reduce(DataFrame.unionByName, parts))
+        return users.sparkSession.createDataFrame([], schema).drop("rated")
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def predictions_json(rated: DataFrame, part_size: int = 10_000) -> DataFrame:

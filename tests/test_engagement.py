@@ -243,6 +243,24 @@ def test_everyone_gets_the_best_of_all_ratings(spark, n, block):
     assert recommend.recommend_everyone(n, u.limit(0), p).isEmpty() and recommend.recommend_everyone(n, u, p.limit(0)).isEmpty()
 
 
+def test_equal_factors_are_rated_once(spark):
+    """Ten thousand users and products of six and five different factors, signed zeros among them."""
+    kinds = [[0.0, 1.0], [-0.0, 1.0], [2.0, 1.0], [1.0, -1.0], [0.5, 0.5], [-1.0, 3.0]]
+    listed = "array(" + ", ".join(f"array({x[0]}D, {x[1]}D)" for x in kinds) + ")"
+    u = spark.range(10_000).selectExpr("concat('u', id) AS user", f"{listed}[id % 6] AS factors")
+    p = spark.range(10_000).selectExpr("concat('p', id) AS product", f"{listed}[id % 5] AS factors")
+    waves = []
+    got = {}
+    for r in recommend.recommend_everyone(3, u, p, waves=waves).collect():
+        got.setdefault(r.user, []).append((r["product"], r.rating))
+    assert len(got) == 10_000 and sum(w["rated"] for w in waves) <= 5 * 12
+    for i in (0, 1, 3, 9_999):
+        rated = sorted((-sum(a * b for a, b in zip(kinds[i % 6], kinds[j % 5], strict=True)), f"p{j}") for j in range(10_000))
+        assert got[f"u{i}"] == [(q, -x) for x, q in rated[:3]]
+    asked = recommend.recommend_top_n(u.where("user IN ('u0', 'u9999')"), 3, u, p).collect()
+    assert sorted((r.user, r["product"], r.rating) for r in asked) == sorted((k, *x) for k in ("u0", "u9999") for x in got[k])
+
+
 def test_a_dictionary_grows_at_its_end(spark):
     path = scratch(spark, "terms")
     def terms(*names):
