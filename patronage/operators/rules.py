@@ -23,7 +23,9 @@ EXPANDED = 4096
 #: What the support of items is divided by to get the floor, and the floor to get the next: a search stays near the
 #: best whatever its floor, which only says what items it looks at.
 FLOOR = 64
-#: Different items of a history beyond which its pairs are not listed but asked for.
+#: Words of 64 baskets that a task holds at a time when it counts the extensions of patterns.
+WORDS = 1 << 21
+#: Occurrences of a history beyond which it is not one row, and different items beyond which its pairs are not listed but asked for.
 LONG = 1024
 
 
@@ -288,9 +290,9 @@ def sequence_patterns(
     is frequent or has ``max_length`` items. A pattern only grows by what a frequent
     pair allows: the last item before the new one, in the same way, must be frequent.
 
-    What a pattern has to grow in is projected, not copied: per customer and frequent
-    pattern only the places where it ends are kept, as rows. Extensions are counted
-    as they are joined, and only those of frequent patterns become places.
+    Nothing is stored per customer and pattern: a history of up to ``long`` occurrences is a row of bits per
+    item, and every level counts the extensions of its patterns in scans of these (see ``_extended``). Longer
+    ones are not put in one row; they grow by joins (see ``_grown``), and both counts are added up.
     """
     keys = list(keys)
     occ = durable(occurrences.select(*keys, "pos", "item"))
@@ -299,43 +301,168 @@ def sequence_patterns(
     spans = durable(occ.groupBy(*keys, "item").agg(F.min("pos").alias("first"), F.max("pos").alias("latest")))
     items = durable(spans.groupBy("item").agg(F.count(F.lit(1)).alias("support")).where(F.col("support") >= needed))
     single = F.array(F.array("item"))
-    result = items.select(single.alias("pattern"), "support")
-    occ = durable(occ.join(items.select("item"), "item", "left_semi"))
+    found = items.select(single.alias("pattern"), "support")
+    result = found
+    occ = durable(occ.join(items.select("item"), "item", "left_semi").dropna(subset=[*keys, "pos"]))
     spans = durable(spans.join(items.select("item"), "item", "left_semi"))
     later, along = (durable(p) for p in _frequent_pairs(occ, spans, needed, keys, long))
-    ends = occ.select(*keys, "pos", single.alias("pattern"), F.col("item").alias("last"))
+    allowed = [{r["last"]: r["items"] for r in p.groupBy("last").agg(F.array_sort(F.collect_list("item")).alias("items")).collect()} for p in (later, along)]
+    sizes = durable(occ.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
+    many = sizes.where(F.col("n") > long).select(*keys)
+    apart = not many.isEmpty()
+    short = occ.join(many, keys, "left_anti") if apart else occ
+    rows = F.array_sort(F.collect_list(F.struct("pos", "item"))).alias("h")
+    histories = durable(short.groupBy(*keys).agg(rows).select(F.col("h.pos").alias("pos"), F.col("h.item").alias("item")))
+    ends = None
+    if apart:
+        occ, spans = (durable(x.join(many, keys, "left_semi")) for x in (occ, spans))
+        ends = occ.select(*keys, "pos", single.alias("pattern"), F.col("item").alias("last"))
     length = 2
     while max_length is None or length <= max_length:
-        # a customer's first end of a pattern leaves most room for what comes later
-        first_end = ends.groupBy(*keys, "pattern", "last").agg(F.min("pos").alias("_end")).join(later, "last")
-        longer = (
-            first_end.join(spans.drop("first"), [*keys, "item"])
-            .where(F.col("latest") > F.col("_end"))
-            .select(*keys, "item", "_end", F.concat("pattern", F.array(F.array("item"))).alias("pattern"))
-        )
-        wider = ends.join(along, "last").join(occ, [*keys, "pos", "item"]).select(
-            *keys,
-            "pos",
-            F.concat(
-                F.slice("pattern", F.lit(1), F.size("pattern") - 1),
-                F.array(F.concat(F.element_at("pattern", -1), F.array("item"))),
-            ).alias("pattern"),
-            "item",
-        )
-        # a customer has a pattern once in longer, in wider at several places
-        once = longer.select("pattern", *keys).unionByName(wider.select("pattern", *keys).distinct())
-        found = durable(once.groupBy("pattern").agg(F.count(F.lit(1)).alias("support")).where(F.col("support") >= needed))
+        batches = max(1, -(-found.count() // EXPANDED))
+        batch_of = F.pmod(F.xxhash64("pattern"), F.lit(batches))
+        counted = []
+        for i in range(batches):
+            asked = [r["pattern"] for r in found.where(batch_of == i).select("pattern").collect()]
+            if asked:
+                some = _extended(histories, asked, allowed, 1 if apart else needed)
+                counted.append(durable(some) if batches > 1 else some)
+        once = functools.reduce(DataFrame.unionByName, counted)
+        if apart:
+            longer, wider = _grown(ends, occ, spans, later, along, keys)
+            # a customer has a pattern once in longer, in wider at several places
+            met = longer.select("pattern", *keys).unionByName(wider.select("pattern", *keys).distinct())
+            once = once.unionByName(met.groupBy("pattern").agg(F.count(F.lit(1)).alias("support"))).groupBy("pattern").agg(F.sum("support").alias("support"))
+        found = durable(once.where(F.col("support") >= needed))
         if found.isEmpty():
             break
         result = result.unionByName(found)
-        kept = found.select("pattern")
-        places = longer.join(kept, "pattern", "left_semi").join(occ, [*keys, "item"]).where(F.col("pos") > F.col("_end"))
-        columns = [*keys, "pos", "pattern", F.col("item").alias("last")]
-        ends = durable(places.select(*columns).unionByName(wider.join(kept, "pattern", "left_semi").select(*columns)))
+        if apart:
+            kept = found.select("pattern")
+            places = longer.join(kept, "pattern", "left_semi").join(occ, [*keys, "item"]).where(F.col("pos") > F.col("_end"))
+            columns = [*keys, "pos", "pattern", F.col("item").alias("last")]
+            ends = durable(places.select(*columns).unionByName(wider.join(kept, "pattern", "left_semi").select(*columns)))
         length += 1
     return result
 
 
+def _grown(ends: DataFrame, occ: DataFrame, spans: DataFrame, later: DataFrame, along: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Patterns that long histories hold with one item more, in a later basket and in the last one."""
+    # a customer's first end of a pattern leaves most room for what comes later
+    first_end = ends.groupBy(*keys, "pattern", "last").agg(F.min("pos").alias("_end")).join(later, "last")
+    longer = (
+        first_end.join(spans.drop("first"), [*keys, "item"])
+        .where(F.col("latest") > F.col("_end"))
+        .select(*keys, "item", "_end", _longer(F.col("pattern"), F.col("item")).alias("pattern"))
+    )
+    wider = ends.join(along, "last").join(occ, [*keys, "pos", "item"]).select(
+        *keys, "pos", _wider(F.col("pattern"), F.col("item")).alias("pattern"), "item"
+    )
+    return longer, wider
+
+
+def _longer(pattern: Column, item: Column) -> Column:
+    return F.concat(pattern, F.array(F.array(item)))
+
+
+def _wider(pattern: Column, item: Column) -> Column:
+    return F.concat(F.slice(pattern, F.lit(1), F.size(pattern) - 1), F.array(F.concat(F.element_at(pattern, -1), F.array(item))))
+
+
+def _extended(histories: DataFrame, patterns: list, allowed: list[dict], least: int) -> DataFrame:
+    """pattern, support: the patterns with one more item, in at least ``least`` histories.
+
+    A task keeps, for some histories at a time, a bit for every basket that holds an item, in words of 64.
+    The bits where a pattern ends follow from those of the pattern before its last item, and only
+    histories that hold it go on; patterns are taken in order, so only one path of them is kept.
+    """
+    item = histories.schema["item"].dataType.elementType.simpleString()
+    paths = sorted((tuple((int(j > 0), x) for e in p for j, x in enumerate(e)), i) for i, p in enumerate(patterns))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lengths = b.column(0).value_lengths().to_numpy(zero_copy_only=False)
+            pos = b.column(0).flatten().to_numpy()
+            words = b.column(1).flatten()
+            items = pc.unique(words)
+            codes = pc.index_in(words, items).to_numpy(zero_copy_only=False)
+            place = {x: i for i, x in enumerate(items.to_pylist())}
+            owner = np.repeat(np.arange(len(lengths)), lengths)
+            # baskets of a history, from 0; its occurrences come by position
+            fresh = np.ones(len(pos), bool)
+            fresh[1:] = (owner[1:] != owner[:-1]) | (pos[1:] != pos[:-1])
+            basket = np.cumsum(fresh) - 1
+            first = np.zeros(len(lengths), np.int64)
+            first[owner[::-1]] = basket[::-1]
+            basket -= first[owner]
+            wide = np.zeros(len(lengths), np.int64)
+            np.maximum.at(wide, owner, basket // 64 + 1)
+            sums: dict[tuple, int] = {}
+            order = np.argsort(wide, kind="stable")
+            at = 0
+            while at < len(order):
+                size = WORDS // max(1, len(items))
+                taken = order[at : at + max(1, size // int(wide[order[at]]))]
+                # histories of like length go together
+                taken = taken[wide[taken] <= 2 * wide[taken[0]]]
+                at += len(taken)
+                row = np.full(len(lengths), -1)
+                row[taken] = np.arange(len(taken))
+                mine = row[owner] >= 0
+                bits = np.zeros((len(items), len(taken), int(wide[taken].max())), np.uint64)
+                np.bitwise_or.at(bits, (codes[mine], row[owner[mine]], basket[mine] // 64), np.uint64(1) << (basket[mine] % 64).astype(np.uint64))
+                count(bits, place, sums)
+            if sums:
+                rule, kind, code = (np.array(x) for x in zip(*sums, strict=True))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(rule), pa.array(kind), items.take(pa.array(code)), pa.array(list(sums.values()), pa.int64())], ["rule", "kind", "item", "n"]
+                )
+
+    def after(x: np.ndarray) -> np.ndarray:
+        """All bits beyond the first of each row."""
+        beyond = ~(x ^ (x - np.uint64(1)))
+        if x.shape[1] > 1:
+            passed = np.logical_or.accumulate(x != 0, axis=1)
+            beyond[:, 1:][passed[:, :-1]] = ~np.uint64(0)
+        return beyond
+
+    def count(bits: np.ndarray, place: dict, sums: dict[tuple, int]) -> None:
+        codes = [{last: np.array([place[x] for x in more if x in place], np.int64) for last, more in pairs.items() if last in place} for pairs in allowed]
+        none = np.zeros(0, np.int64)
+        path: list[tuple] = []  # steps of the pattern at hand: step, rows that hold it, where it ends there
+        for steps, rule in paths:
+            shared = 0
+            while shared < min(len(path), len(steps)) and path[shared][0] == steps[shared]:
+                shared += 1
+            del path[shared:]
+            for step in steps[shared:]:
+                kind, x = step
+                if x not in place:
+                    rows, ends = none, bits[0, :0]
+                elif not path:
+                    rows, ends = np.arange(bits.shape[1]), bits[place[x]]
+                else:
+                    rows, ends = path[-1][1:]
+                    ends = (ends if kind else after(ends)) & bits[place[x]][rows]
+                held = ends.any(axis=1)
+                path.append((step, rows[held], ends[held]))
+            _, rows, ends = path[-1]
+            if not len(rows):
+                continue
+            for kind, from_here in ((0, after(ends)), (1, ends)):
+                more = codes[kind].get(steps[-1][1], none)
+                step = max(1, WORDS // from_here.size)
+                for some in (more[i : i + step] for i in range(0, len(more), step)):
+                    n = (bits[some[:, None], rows] & from_here).any(axis=2).sum(axis=1)
+                    for code, held in zip(some[n > 0].tolist(), n[n > 0].tolist(), strict=True):
+                        sums[rule, kind, code] = sums.get((rule, kind, code), 0) + held
+
+    counted = histories.mapInArrow(run, f"rule long, kind long, item {item}, n long").groupBy("rule", "kind", "item").agg(F.sum("n").alias("support"))
+    about = histories.sparkSession.createDataFrame([(i, p) for i, p in enumerate(patterns)], f"rule long, pattern array<array<{item}>>")
+    grown = F.when(F.col("kind") == 0, _longer(F.col("pattern"), F.col("item"))).otherwise(_wider(F.col("pattern"), F.col("item")))
+    return counted.where(F.col("support") >= least).join(F.broadcast(about), "rule").select(grown.alias("pattern"), "support")
+
+
 def _frequent_pairs(
     occ: DataFrame, spans: DataFrame, needed: int, keys: list[str], long: int
 ) -> tuple[DataFrame, DataFrame]:

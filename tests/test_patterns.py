@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
+from patronage import session
 from patronage.operators import rules, similarity
 
 SCHEMA = "idsite bigint, user string, idorder string, item bigint"
@@ -289,3 +290,22 @@ def test_both_ways_to_similar_histories_agree(spark, monkeypatch, threshold):
         ways.append(sorted((r.a, r.b, round(r.similarity, 9)) for r in similarity.similar_histories(seqs, threshold).collect()))
     assert ways[0] == ways[1]
     assert similarity.similar_histories(seqs.where("false"), threshold).isEmpty()
+
+
+def test_sequence_patterns_store_nothing_per_customer_and_pattern(spark, monkeypatch):
+    """Histories of up to 150 baskets, so bits go over several words, and few of each length."""
+    r = random.Random(9)
+    hist = {f"c{i}": [{r.randrange(6) for _ in range(r.randrange(1, 3))} for _ in range(r.choice([2, 64, 65, 150]))] for i in range(12)}
+    hist |= {f"d{i}": [{5}] * 63 + [{0}, {1}, {2, 3}] for i in range(4)}
+    df = spark.createDataFrame(occurrences(hist), "idsite bigint, user string, pos bigint, item bigint")
+    stored = []
+    monkeypatch.setattr(session, "WATCHERS", [lambda copy: stored.append(set(copy.columns))])
+    found = {tuple(tuple(e) for e in x.pattern): x.support for x in rules.sequence_patterns(df, 0.5, 3).collect()}
+    assert not any({"user", "pattern"} <= columns for columns in stored)
+    sets = [s for n in (1, 2, 3) for s in itertools.combinations(range(6), n)]
+    want = {}
+    for n in (1, 2, 3):
+        for pattern in itertools.product(sets, repeat=n):
+            if sum(map(len, pattern)) <= 3 and (c := sum(contains(seq, pattern) for seq in hist.values())) >= 8:
+                want[pattern] = c
+    assert found == want
