@@ -14,6 +14,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.ordering import segments
@@ -26,6 +27,8 @@ OBSERVABLE = tuple(t + a for t in "SML" for a in "LSM")
 PIECE = 10_000
 # Decoding copies a growing list at each step, so it works on shorter pieces.
 DECODED_AT_ONCE = 256
+# Observations that training handles at a time: what it holds of them stays below a few MB.
+BLOCK_CODES = 1 << 17
 
 
 class HiddenMarkov(NamedTuple):
@@ -262,33 +265,35 @@ def expected_counts(
     used for first pieces), ``after`` the backward message from the next piece.
     """
     rows, length = o.shape
-    alpha = np.empty((length, rows, start.size))
-    norm = np.empty((length, rows))
-    prior = np.broadcast_to(start, (rows, start.size)) if is_first else before @ step
+    # levels by rows, so that every operation runs along the rows
+    alpha = np.empty((length, start.size, rows))
+    prior = np.broadcast_to(start[:, None], (start.size, rows)) if is_first else step.T @ before.T
+    loglik = 0.0
     for t in range(length):
-        raw = (prior if t == 0 else alpha[t - 1] @ step) * emit[:, o[:, t]].T
-        norm[t] = raw.sum(axis=1)
-        alpha[t] = raw / norm[t][:, None]
-    beta = after
+        raw = (prior if t == 0 else step.T @ alpha[t - 1]) * emit[:, o[:, t]]
+        norm = raw.sum(axis=0)
+        loglik += float(np.log(norm) @ weight)
+        alpha[t] = raw / norm
+    beta = after.T
     steps = np.zeros_like(step)
     emits = np.zeros_like(emit)
     starts = np.zeros_like(start)
     for t in range(length - 1, -1, -1):
         gamma = alpha[t] * beta
-        gamma = gamma / gamma.sum(axis=1, keepdims=True) * weight[:, None]
-        np.add.at(emits.T, o[:, t], gamma)
+        gamma *= weight / gamma.sum(axis=0)
+        for level in range(start.size):
+            emits[level] += np.bincount(o[:, t], gamma[level], emit.shape[1])
         if t == 0 and is_first:
-            starts += gamma.sum(axis=0)
+            starts += gamma.sum(axis=1)
             break
-        source = alpha[t - 1] if t else before
-        arriving = emit[:, o[:, t]].T * beta
-        pair = source[:, :, None] * step[None] * arriving[:, None, :]
-        pair *= (weight / pair.sum(axis=(1, 2)))[:, None, None]
-        steps += pair.sum(axis=0)
-        beta = arriving @ step.T
-        beta = beta / beta.sum(axis=1, keepdims=True)
-    loglik = np.array([float((np.log(norm).sum(axis=0) * weight).sum())])
-    return {"start": starts, "step": steps, "emit": emits, "loglik": loglik}
+        source = alpha[t - 1] if t else before.T
+        arriving = emit[:, o[:, t]] * beta
+        # a row's pairs of levels sum up to its weight; only their sum over the rows is formed
+        total = ((step.T @ source) * arriving).sum(axis=0)
+        steps += step * ((source * (weight / total)) @ arriving.T)
+        beta = step @ arriving
+        beta /= beta.sum(axis=0)
+    return {"start": starts, "step": steps, "emit": emits, "loglik": np.array([loglik])}
 
 
 def _flat(parts: dict[str, np.ndarray]) -> np.ndarray:
@@ -315,7 +320,47 @@ def _count_batches(model_arrays):
                             o, weight[rows], before[rows], after[rows], first, start, step, emit
                         )
                     )
-        yield pd.DataFrame({"slot": np.arange(size), "x": total})
+        yield pd.DataFrame({"sums": [total]})
+
+    return run
+
+
+def _pack(kind: np.dtype):
+    """Histories of one length as one row: their number, all codes step by step, and their weights."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            obs, weight = b.column(0), b.column(1).to_numpy()
+            codes, ends = obs.flatten().to_numpy(), np.cumsum(obs.value_lengths().to_numpy())
+            lengths = np.diff(ends, prepend=0)
+            found = []
+            for n in np.unique(lengths):
+                rows = np.flatnonzero(lengths == n)
+                for some in np.array_split(rows, -(-rows.size * int(n) // BLOCK_CODES)):
+                    o = codes[(ends[some] - n) + np.arange(n)[:, None]]
+                    found.append((int(n), o.astype(kind).tobytes(), weight[some]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*found), (pa.int32(), pa.binary(), pa.list_(pa.float64())))], ["length", "codes", "weight"]
+            )
+
+    return run
+
+
+def _count_blocks(model_arrays, kind: np.dtype):
+    """The expected counts of packed whole histories."""
+    start, step, emit = model_arrays
+    size = start.size + step.size + emit.size + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        for b in batches:
+            for length, codes, weight in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
+                o = np.frombuffer(codes.as_buffer(), kind).reshape(length, -1).T
+                nothing = np.ones((o.shape[0], start.size))
+                total += _flat(expected_counts(o, weight.values.to_numpy(), nothing, nothing, True, start, step, emit))
+        yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], ["sums"])
 
     return run
 
@@ -408,8 +453,9 @@ def hmm_train(
 ) -> Training:
     """Baum-Welch over all customers; stops when no probability moves by ``epsilon``.
 
-    Equal histories are counted once with their weight. Per round the driver
-    receives as many sums as the model has numbers, whatever the data size. A start
+    Equal histories are counted once with their weight, and packed by length once,
+    so that a round does no work per row in Python. Per round the driver
+    receives as many sums as the model has numbers from each task, which has 128 MB of packed histories. A start
     model brings its own alphabets.
     """
     model = start_model or starting_model(seed, hidden, observable)
@@ -417,21 +463,17 @@ def hmm_train(
     pieces = durable(observation_pieces(observations, piece, observable))
     long_keys = durable(pieces.where("segment > 0").select(*KEYS).distinct())
     any_long = not long_keys.isEmpty()
-    h = len(hidden)
     short = pieces.join(long_keys, KEYS, "left_anti") if any_long else pieces
-    even = F.array(*[F.lit(1.0 / h)] * h)
-    ones = F.array(*[F.lit(1.0)] * h)
-    short = durable(
-        short.groupBy("obs")
-        .agg(F.count(F.lit(1)).cast("double").alias("weight"))
-        .select(F.lit(0).alias("segment"), "obs", "weight", even.alias("before"), ones.alias("after"))
-    )
+    kind = np.min_scalar_type(len(observable) - 1)
+    weighted = short.groupBy("obs").agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    sorted_ = weighted.sortWithinPartitions(F.size("obs"))
+    short = durable(sorted_.mapInArrow(_pack(kind), "length int, codes binary, weight array<double>"))
     long = durable(pieces.join(long_keys, KEYS, "left_semi")) if any_long else None
 
     arrays = tuple(np.array(p, dtype=float) for p in model[:3])
     history: list[float] = []
     for _ in range(max_iterations):
-        work = short
+        work = short.mapInArrow(_count_blocks(arrays, kind), "sums array<double>")
         if long is not None:
             vector = "array<double>"
             keyed = "idsite bigint, user string, segment int"
@@ -444,18 +486,11 @@ def hmm_train(
             parts = long.join(mail, [*KEYS, "segment"]).select(
                 "segment", "obs", F.lit(1.0).alias("weight"), "before", "after"
             )
-            work = short.unionByName(parts)
-        sums = (
-            work.mapInPandas(_count_batches(arrays), "slot int, x double")
-            .groupBy("slot")
-            .agg(F.sum("x").alias("x"))
-            .collect()
-        )
-        if not sums:
+            work = work.unionByName(parts.mapInPandas(_count_batches(arrays), "sums array<double>"))
+        # a job of one stage: what a round costs beyond its arithmetic counts as often as there are rounds
+        flat = np.sum([row["sums"] for row in work.collect()], axis=0)
+        if not np.any(flat):
             raise ValueError("no observations to train on")
-        flat = np.zeros(len(sums))
-        for row in sums:
-            flat[row["slot"]] = row["x"]
         cut = np.cumsum([a.size for a in arrays])
         history.append(float(flat[-1]))
         fresh = []

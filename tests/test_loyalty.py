@@ -126,3 +126,31 @@ def test_other_alphabets(spark):
     states = h.loyalty_states(obs, found).collect()
     assert {x for r in states for x in r.states} <= {"p", "q"} and all(r.first == 0 for r in states)
     assert h.model_table(spark, found).count() == 2 + 4 + 6
+
+
+def test_a_round_is_one_job_of_one_stage_on_packed_histories(spark):
+    obs = observations(spark, random_sequences(40, 12, 23))
+    tracker = spark.sparkContext.statusTracker()
+
+    def stages(rounds):
+        spark.sparkContext.setJobGroup(f"rounds-{rounds}", "")
+        try:
+            h.hmm_train(obs, epsilon=0.0, max_iterations=rounds)
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        jobs = tracker.getJobIdsForGroup(f"rounds-{rounds}")
+        return sum(len(tracker.getJobInfo(j).stageIds) for j in jobs)
+
+    assert stages(6) - stages(2) == 4
+
+
+def test_packing_keeps_every_history_and_its_weight(spark, monkeypatch):
+    monkeypatch.setattr(h, "BLOCK_CODES", 7)
+    rows = [([1, 2, 3], 2.0), ([4], 1.0), ([0, 8, 7], 5.0), ([6, 5, 4], 1.0), ([3], 4.0), ([2] * 20, 1.0)]
+    kind = np.min_scalar_type(8)
+    found = []
+    for r in spark.createDataFrame(rows, "obs array<int>, weight double").mapInArrow(h._pack(kind), "length int, codes binary, weight array<double>").collect():
+        o = np.frombuffer(bytes(r["codes"]), kind).reshape(r["length"], -1).T
+        assert o.size <= 7 or len(o) == 1
+        found += [(line.tolist(), w) for line, w in zip(o, r["weight"], strict=True)]
+    assert sorted(found) == sorted(rows)
