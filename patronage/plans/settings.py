@@ -26,6 +26,8 @@ PAGE_CONFIDENCE = 0.04
 TOP_RULES = 10
 # how long after its window a view of a stream may still arrive
 LATE = "1 day"
+# the sliding windows of visitors
+WINDOW = "15 seconds"
 SEQUENCE_SUPPORT = 0.25
 SIMILARITY = 0.03
 # what a user would ask for; the one above lets the comparison see many pairs

@@ -10,6 +10,7 @@ row.
 from __future__ import annotations
 
 import datetime as dt
+import itertools
 from collections import Counter
 from collections.abc import Iterator
 
@@ -17,6 +18,8 @@ from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 MICROS = 1_000_000
+# Windows that one row may list.
+LISTED = 10_000
 #: State lives in RocksDB, on disk and not in the heap; a stream takes the setting when it starts.
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -39,6 +42,11 @@ class Ring(StatefulProcessor):
         self.ring = handle.getValueState("ring", "ticks array<bigint>, counts array<bigint>")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        for start, total, _ in self._changed(rows):
+            yield Row(start=self._time(start), end=self._time(start + self.window), visitor=key[0], count=total)
+
+    def _changed(self, rows) -> Iterator[tuple[int, int, bool]]:
+        """Add views to the ring: start and count of every window they change, and whether it was empty before."""
         fresh = Counter(row["at"] // self.tick * self.tick for row in rows)
         known = self.ring.get() if self.ring.exists() else ([], [])
         ring = Counter(dict(zip(known[0], known[1], strict=True)))
@@ -49,15 +57,17 @@ class Ring(StatefulProcessor):
             last = at // self.slide * self.slide
             starts.update(range(last, at - self.window, -self.slide))
         ticks = sorted(ring)
-        low = high = total = 0
+        low = high = total = added = 0
         for start in sorted(starts):
             while high < len(ticks) and ticks[high] < start + self.window:
                 total += ring[ticks[high]]
+                added += fresh[ticks[high]]
                 high += 1
             while low < high and ticks[low] < start:
                 total -= ring[ticks[low]]
+                added -= fresh[ticks[low]]
                 low += 1
-            yield Row(start=self._time(start), end=self._time(start + self.window), visitor=key[0], count=total)
+            yield start, total, total == added
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
@@ -84,17 +94,46 @@ class Ring(StatefulProcessor):
         pass
 
 
-def visitor_counts(views: DataFrame, late: str, window: str = "15 seconds", slide: str = "2 seconds", tick: str = "1 second") -> DataFrame:
-    """Views per visitor in a sliding window, of a stream: the newest count of every window that a batch changes.
+class PackedRing(Ring):
+    """The same state; what a batch changes is told in a few rows of long lists, which the JVM unfolds."""
 
-    For an update-mode sink such as ``feed.write_updates``. ``late`` is how long after its time a view may still arrive.
-    """
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        changed = self._changed(rows)
+        while some := list(itertools.islice(changed, LISTED)):
+            starts, counts, firsts = map(list, zip(*some))
+            yield Row(visitor=key[0], starts=starts, counts=counts, firsts=firsts)
+
+
+def _changes(views: DataFrame, late: str, window: str, slide: str, tick: str) -> DataFrame:
+    """Windows that a batch changes: start, end, visitor, count, and whether the visitor is new there (``first``)."""
     views.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
     w, s, t = micros(window), micros(slide), micros(tick)
     if w % t or s % t:
         raise ValueError("the tick must divide window and slide")
     # views of the same tick are counted where they are kept; only visitor and time travel
     marked = views.withWatermark("timestamp", late).select("visitor", "timestamp", F.unix_micros("timestamp").alias("at"))
-    return marked.groupBy("visitor").transformWithState(
-        Ring(w, s, t), "start timestamp, end timestamp, visitor string, count bigint", "Update", "EventTime"
+    lists = marked.groupBy("visitor").transformWithState(
+        PackedRing(w, s, t), "visitor string, starts array<bigint>, counts array<bigint>, firsts array<boolean>", "Update", "EventTime"
+    )
+    each = lists.select("visitor", F.explode(F.arrays_zip("starts", "counts", "firsts")).alias("c"))
+    begin = F.col("c.starts")
+    return each.select(
+        F.timestamp_micros(begin).alias("start"), F.timestamp_micros(begin + w).alias("end"), "visitor",
+        F.col("c.counts").alias("count"), F.col("c.firsts").alias("first"),
     )
+
+
+def visitor_counts(views: DataFrame, late: str, window: str = "15 seconds", slide: str = "2 seconds", tick: str = "1 second") -> DataFrame:
+    """Views per visitor in a sliding window, of a stream: the newest count of every window that a batch changes.
+
+    For an update-mode sink such as ``feed.write_updates``. ``late`` is how long after its time a view may still arrive.
+    """
+    return _changes(views, late, window, slide, tick).drop("first")
+
+
+def new_visitors(views: DataFrame, late: str, window: str = "15 seconds", slide: str = "2 seconds", tick: str = "1 second") -> DataFrame:
+    """Every window and visitor once, with the batch that first sees it: start, end, visitor.
+
+    A window's rows over all batches are its different visitors, so they are counted and need not be compared.
+    """
+    return _changes(views, late, window, slide, tick).where("first").select("start", "end", "visitor")

@@ -238,3 +238,40 @@ def test_state_of_a_visitor_expires():
     assert handle.value == ([103_000_000, 109_000_000], [1, 1]) and handle.timers == [114_001]
     list(ring.handleExpiredTimer(("v",), At(500), None))
     assert handle.value is None and handle.timers == []
+
+
+def test_stored_ticks_merge_into_the_windows_of_the_table(spark, events):
+    ticks = counts.tick_counts(views(spark, events, True), late="30 days")
+    path = folder() + "/ticks"
+    feed.write_updates(ticks, path, folder(), drain=True).awaitTermination()
+    stored = feed.latest(spark, path, ticks.schema, ["timestamp", "visitor"])
+    v = views(spark, events, False)
+    assert sorted(map(tuple, counts.merge_ticks(stored).collect())) == sorted(map(tuple, counts.visitor_counts(v).collect()))
+    # one row of state per visitor and tick, however many windows a view lies in
+    assert spark.read.parquet(path).count() <= v.count()
+
+
+def test_a_visitor_is_new_in_a_window_once(spark, events):
+    """Windows of many days: visitors come back to them, in a later batch or in the same one."""
+    window, slide = "20 days", "10 days"
+    seen = keyed.new_visitors(views(spark, events, True), "30 days", window, slide, "1 hour")
+    path = folder() + "/seen"
+    feed.write_updates(seen, path, folder(), drain=True).awaitTermination()
+    got = sorted(tuple(r)[:3] for r in spark.read.parquet(path).select("start", "end", "visitor").collect())
+    batch = counts.visitor_counts(views(spark, events, False), window, slide, tick="hour")
+    assert got == sorted(tuple(r)[:3] for r in batch.collect()) and len(set(got)) == len(got)
+
+
+def test_newest_rows_are_found_without_sorting(spark):
+    path = folder() + "/updates"
+    rows = [[("a", 1), ("b", 2)], [("b", None)], []]
+    for trigger, some in enumerate(rows[:1]):
+        spark.createDataFrame(some, "k string, n bigint").write.parquet(f"{path}/trigger={trigger}")
+    schema = spark.createDataFrame([], "k string, n bigint").schema
+    one = feed.latest(spark, path, schema, ["k"])
+    assert sorted(map(tuple, one.collect())) == rows[0] and "Aggregate" not in one._jdf.queryExecution().executedPlan().toString()
+    for trigger, some in list(enumerate(rows))[1:]:
+        spark.createDataFrame(some, "k string, n bigint").write.parquet(f"{path}/trigger={trigger}")
+    both = feed.latest(spark, path, schema, ["k"])
+    assert sorted(map(tuple, both.collect())) == [("a", 1), ("b", None)]
+    assert "SortAggregate" not in both._jdf.queryExecution().executedPlan().toString()
