@@ -64,7 +64,10 @@ def _prints(rows: DataFrame) -> DataFrame:
 
 def sequence_groups(sequences: DataFrame) -> DataFrame:
     """Customers with exactly the same history, each with one representative."""
-    prints = _prints(_rows(sequences))
+    return _groups(_prints(_rows(sequences)))
+
+
+def _groups(prints: DataFrame) -> DataFrame:
     heads = prints.groupBy(*_MARKS).agg(
         F.min("cid").alias("head"), F.count(F.lit(1)).alias("copies")
     )
@@ -72,8 +75,11 @@ def sequence_groups(sequences: DataFrame) -> DataFrame:
 
 
 def _scored(pairs: DataFrame) -> DataFrame:
-    """Similarity from (a, b, len_a, len_b, pos, n_a, n_b) rows, one per shared item."""
-    overlap = pairs.groupBy("a", "b", "len_a", "len_b", "pos", "n_a", "n_b").agg(
+    """Similarity from (a, b, len_a, len_b, pos, n_a, n_b) rows, one per shared item.
+
+    Rows are placed by pair once, which serves both counts.
+    """
+    overlap = pairs.repartition("a", "b").groupBy("a", "b", "len_a", "len_b", "pos", "n_a", "n_b").agg(
         F.count(F.lit(1)).alias("o")
     )
     jaccard = F.col("o") / (F.col("n_a") + F.col("n_b") - F.col("o"))
@@ -95,15 +101,15 @@ def _side(rows: DataFrame, tag: str, *names: str) -> DataFrame:
     )
 
 
-def _distinct(every: DataFrame) -> DataFrame:
-    """The smallest customer, length and size of each distinct history."""
+def _distinct(prints: DataFrame) -> DataFrame:
+    """The smallest customer, length and size of each distinct history, and a number for it."""
     same = [F.min("cid").alias("cid"), F.first("len").alias("len")]
-    return durable(_prints(every).groupBy(*_MARKS).agg(*same).select("cid", "len", "f4"))
+    return durable(prints.groupBy(*_MARKS).agg(*same).select("cid", "len", "f4", F.monotonically_increasing_id().alias("id")))
 
 
 def _promising(sequences: DataFrame, chunk_rows: int) -> DataFrame:
     every = durable(_rows(sequences))
-    return _bounded(every, _distinct(every), chunk_rows)
+    return _bounded(every, _distinct(_prints(every)), chunk_rows)
 
 
 def _bounded(every: DataFrame, heads: DataFrame, chunk_rows: int) -> DataFrame:
@@ -150,9 +156,10 @@ def customer_similarity(
     so the answer is as large as the question makes it. ``similar_histories`` with
     ``sequence_groups`` says the same in fewer rows where many histories are equal.
     """
-    named = sequence_groups(sequences)
-    shared = named.where(F.col("copies") > 1).select("head", F.col("cid").alias("member"))
-    heads = similar_histories(sequences, min_similarity, chunk_rows)
+    every = durable(_rows(sequences))
+    prints = durable(_prints(every))
+    shared = durable(_groups(prints).where(F.col("copies") > 1).select("head", F.col("cid").alias("member")))
+    heads = _similar(every, prints, min_similarity, chunk_rows)
 
     def members(pairs: DataFrame, side: str) -> DataFrame:
         """One row per customer in place of the head; a history of one customer stays as it is."""
@@ -178,13 +185,18 @@ def similar_histories(
     ``_bounded``) and in baskets of sizes that fit; every pair found is then
     scored in full. Both ways are exact.
     """
+    every = durable(_rows(sequences))
+    return _similar(every, _prints(every), min_similarity, chunk_rows)
+
+
+def _similar(every: DataFrame, prints: DataFrame, min_similarity: float, chunk_rows: int) -> DataFrame:
     t = float(min_similarity)
     if not 0 < t <= 1:
         raise ValueError("min_similarity must be above 0 and at most 1")
     slack = 1e-9
-    every = durable(_rows(sequences))
-    heads = _distinct(every)
-    mine = every.join(heads.select("cid", "len"), "cid")
+    heads = _distinct(prints)
+    # histories meet by number; only pairs that are similar get their names
+    mine = every.join(heads.select("cid", "id", "len"), "cid").select(F.col("id").alias("cid"), "pos", "item", "len")
     shared = mine.groupBy("pos", "item").agg(F.count(F.lit(1)).cast("double").alias("f"))
     total = shared.agg(F.sum("f").alias("rows"), F.sum(F.col("f") * (F.col("f") - 1) / 2).alias("pairs")).first()
     if (total["pairs"] or 0) <= FEW * (total["rows"] or 0):
@@ -192,7 +204,10 @@ def similar_histories(
         met = _side(sized, "a").join(_side(sized, "b"), ["pos", "item"]).where(
             (F.col("a") < F.col("b")) & (F.least("len_a", "len_b") >= F.greatest("len_a", "len_b") * t - slack)
         )
-        return _scored(met).where(F.col("similarity") >= t - slack)
+        found = _scored(met).where(F.col("similarity") >= t - slack)
+        for side in ("a", "b"):
+            found = found.join(heads.select(F.col("id").alias(side), F.col("cid").alias(f"_{side}")), side)
+        return found.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"), "similarity")
     rows = _bounded(every, heads, chunk_rows)
 
     # partner baskets by size class (1, 2, 3-4, 5-8, ...), of those that occur at all

@@ -66,3 +66,32 @@ def test_readers_share_one_exchange(spark):
         df = entry.queries()[name](spark, SMALL)
         df.collect()
         assert "ReusedExchange" in physical(df) or "BroadcastQueryStage" in physical(df)
+
+
+def test_histories_are_made_once_for_all_that_read_them(spark):
+    """What is left to do reads stored copies; the tables were read when these were made."""
+    left = entry.queries()["customer_similarity"](spark, SMALL)
+    assert left.inputFiles() and not [f for f in left.inputFiles() if f"{SMALL}/" in f]
+
+
+def test_a_fit_of_segments_is_cut_by_rows(spark, monkeypatch):
+    from pyspark.ml import Pipeline
+
+    from patronage.operators import geo
+
+    seen, fit = [], Pipeline.fit
+    monkeypatch.setattr(Pipeline, "fit", lambda self, data: seen.append(data) or fit(self, data))
+    monkeypatch.setattr(geo, "SEGMENT_ROWS", 100)
+    rows = spark.range(1_000).selectExpr("id % 24 AS hour", "id % 7 AS category").coalesce(1)
+    geo.fit_segments(rows, ["hour"], ["category"], clusters=2)
+    assert seen[0].rdd.getNumPartitions() == 10
+
+
+def test_the_ratings_of_a_model_are_made_once(spark, monkeypatch):
+    from patronage.operators import recommend
+    from patronage.plans import queries
+
+    seen = []
+    monkeypatch.setattr(recommend, "als_train", lambda ratings, **_: seen.append(physical(ratings)))
+    queries._trained(spark, SMALL)
+    assert "Join" not in seen[0]
