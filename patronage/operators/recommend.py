@@ -73,7 +73,8 @@ def train(
     scores = durable(bounded_users(preference_scores(lines), minprefs, maxprefs))
     users = durable(dictionary(scores, "user"))
     products = durable(dictionary(scores, "product"))
-    model = als_train(rating_matrix(scores, users, products), **parameters)
+    # counted, and read by the fit
+    model = als_train(durable(rating_matrix(scores, users, products)), **parameters)
     return Recommender(users, products, model)
 
 
