@@ -20,6 +20,8 @@ THRESHOLD = 0.7
 PAIRS = 1 << 24
 #: Rounds of a fit that ends when its centres rest.
 ENDLESS = (1 << 31) - 1
+# Rows that one task of a fit of segments holds as vectors.
+SEGMENT_ROWS = 250_000
 
 
 def fit_centers(
@@ -101,7 +103,9 @@ def fit_segments(
             ),
         ]
     )
-    return pipeline.fit(data), data
+    # a stored row is small and its vector is not, so the fit's tasks are cut by rows
+    parts = -(-data.count() // SEGMENT_ROWS)
+    return pipeline.fit(data.repartition(parts) if parts > data.rdd.getNumPartitions() else data), data
 
 
 def customer_segments(
