@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,13 +29,23 @@ from tokenizers import Tokenizer
 WORDS = 400_000
 #: Texts that are worked on at a time; a matter of memory only.
 TEXTS = 128
-# fixed values: the word rule of the vocabulary, with white space as Unicode defines it
-SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-RULE = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
-
 # Letters and numbers outside these ranges depend on the Unicode version; texts with such
 # characters are split by the tokenizer's own splitter.
-SETTLED = regex.compile(r"[\u0000-\u0557\u2000-\u208e]*")
+SETTLED = re.compile(r"[\u0000-\u0557\u2000-\u208e]*")
+
+
+def settled(kind: str) -> str:
+    """The settled characters of a Unicode category, as ranges for a pattern."""
+    points = [i for i in [*range(0x558), *range(0x2000, 0x208F)] if regex.fullmatch(rf"\p{{{kind}}}", chr(i))]
+    starts = [i for i in points if i - 1 not in points]
+    ends = [i for i in points if i + 1 not in points]
+    return "".join(rf"\u{a:04x}-\u{b:04x}" for a, b in zip(starts, ends, strict=True))
+
+
+# fixed values: the word rule of the vocabulary, with white space as Unicode defines it
+SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LETTERS, NUMBERS = settled("L"), settled("N")
+RULE = rf"'(?:[stmd]|re|ve|ll)| ?(?:[{LETTERS}]+|[{NUMBERS}]+|[^{SPACE}{LETTERS}{NUMBERS}]+)|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 
 
 def byte_letters() -> dict[str, int]:
@@ -58,8 +69,11 @@ class WordTable:
         for piece, i in self.tokenizer.get_vocab().items():
             self.pieces[i] = piece.encode() if piece in added else bytes(letters[x] for x in piece)
         self.added = added
-        self.cut = regex.compile("(" + "|".join(regex.escape(x) for x in sorted(added, key=len, reverse=True)) + ")") if added else None
-        self.rule = regex.compile(RULE)
+        self.cut = re.compile("(" + "|".join(re.escape(x) for x in sorted(added, key=len, reverse=True)) + ")") if added else None
+        self.rule = re.compile(RULE)
+        self.numbers = [str(i) for i in range(len(self.pieces))]
+        self.letters = {b: x for x, b in letters.items()}
+        self.model = self.tokenizer.model
         self.start()
 
     def start(self) -> None:
@@ -80,10 +94,11 @@ class WordTable:
     def learn(self, words: set[str]) -> None:
         if len(self.ids) + len(words - self.ids.keys()) > self.most:
             self.start()
-        new = list(words - self.ids.keys())
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            ids = e.ids
-            self.ids[w] = ",".join(map(str, ids))
+        numbers, letters, tokenize = self.numbers, self.letters, self.model.tokenize
+        for w in words - self.ids.keys():
+            # a word is what the splitter leaves whole, so its bytes go straight to the merges
+            ids = [t.id for t in tokenize(w.encode().decode("latin-1").translate(letters))]
+            self.ids[w] = ",".join([numbers[i] for i in ids])
             self.bytes[w] = self.decode(ids)
 
     def decode(self, ids: list[int]) -> bytes:

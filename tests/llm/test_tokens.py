@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -64,6 +65,24 @@ def test_the_word_rule_on_every_settled_character(tokenizer):
         assert [m.span() for m in table.rule.finditer(text)] == [s for _, s in tokenizer.pre_tokenizer.pre_tokenize_str(text)], hex(ord(c))
 
 
+def test_new_words_cost_little_more_than_the_library(tokenizer):
+    r = random.Random(5)
+    texts = [" ".join("".join(r.choices("etaoinshrdlucmfwypvbgkjqxz", k=r.randint(3, 12))) for _ in range(300)) for _ in range(60)]
+    table = bpe.WordTable(VOCABULARY)
+
+    def least(work):
+        spent = []
+        for _ in range(5):
+            table.start()
+            began = time.process_time()
+            work()
+            spent.append(time.process_time() - began)
+        return min(spent)
+
+    plain = least(lambda: [tokenizer.encode(t, add_special_tokens=False).ids for t in texts])
+    assert least(lambda: list(table.look_up(texts))) < 3 * plain
+
+
 # ------------------------------------------------------------- token counts
 
 
