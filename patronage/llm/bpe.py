@@ -4,9 +4,10 @@ Each task splits its texts into words by the tokenizer's own rule, encodes a wor
 the first time it meets it, and puts ids back by position. Decoding is the reverse
 join: ids to pieces. A word's entry holds its ids and, from those, its bytes.
 
-The table is per worker, not one for the corpus: words of open text do not repeat
+The table is per task, not one for the corpus: words of open text do not repeat
 enough across tasks for a shuffle of every task's distinct words to pay (see README).
-It holds at most WORDS entries and starts anew when full, which changes no result.
+It holds at most WORDS entries and starts anew when full, which changes no result, and
+is given up with its task, as the worker may go on to steps that need the memory.
 
 Defined cases: a null text counts as empty and has no ids. Equal rows give equal rows.
 The strings of the tokenizer's added tokens are cut out of the text first, longest
@@ -26,6 +27,8 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
+from .common import tidy
+
 WORDS = 400_000
 #: Texts that are worked on at a time; a matter of memory only.
 TEXTS = 128
@@ -126,6 +129,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_table(path)
+        words.start()  # a task that was broken off has left its words
         for whole in batches:
             for at in range(0, whole.num_rows, TEXTS):
                 b = whole.slice(at, TEXTS)
@@ -138,9 +142,10 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                         ids.append(np.fromstring(text, np.int32, sep=","))
                 columns = [b.column(0), pa.array(n, pa.int64()), pa.array(digests), pa.array(decoded)] + [pa.array(ids, pa.list_(pa.int32()))] * with_ids
                 yield pa.RecordBatch.from_arrays(columns, names)
+        words.start()  # a worker that goes on to other work holds no words
 
     schema = f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
-    return docs.select(docs[id_col], docs[text_col]).mapInArrow(run, schema)
+    return docs.select(docs[id_col], docs[text_col]).mapInArrow(tidy(run), schema)
 
 
 def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

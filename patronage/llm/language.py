@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 from . import linear
+from .common import tidy
 
 DIMS = 2048
 SAMPLE, LEAST = 4096, 64
@@ -196,4 +197,4 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
                 names, score, rejected = model.predict([t or "" for t in b.column(1).to_pylist()])
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(names), pa.array(score, pa.float64()), pa.array(rejected)], [name, "lang_pred", "score", "rejected"])
 
-    return given.mapInArrow(run, StructType(fields))
+    return given.mapInArrow(tidy(run), StructType(fields))

@@ -35,6 +35,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..session import durable
 from . import linear
+from .common import tidy
 
 #: Bound on the labelled texts of each domain that the classifier is fitted on.
 SAMPLE = 2048
@@ -95,7 +96,7 @@ class Classifier:
                     found.append(self.posterior(words, shares))
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(found, pa.list_(pa.float64()))], ["id", "text_hash", "n_tokens", "posterior"])
 
-        return given.mapInArrow(run, f"id {kind}, text_hash binary, n_tokens long, posterior array<double>")
+        return given.mapInArrow(tidy(run), f"id {kind}, text_hash binary, n_tokens long, posterior array<double>")
 
 
 def fit_classifier(docs: DataFrame, labels: DataFrame, n_domains: int = len(DOMAINS), id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Classifier:
@@ -108,7 +109,7 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, n_domains: int = len(DOMA
             columns = [pa.array([sorted(r[1]) for r in rows], pa.list_(pa.string())), pa.array([list(r[2]) for r in rows], pa.list_(pa.float64()))]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *columns], ["label", "weight", "words", "dense"])
 
-    rows = durable(texts.select("label", "weight", "text").mapInArrow(run, "label double, weight double, words array<string>, dense array<double>"))
+    rows = durable(texts.select("label", "weight", "text").mapInArrow(tidy(run), "label double, weight double, words array<string>, dense array<double>"))
     words, rest = linear.fit_in_one_task(rows, n_domains, 3)
     return Classifier(words, rest[:3], rest[3], n_domains)
 

@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import durable
+from .common import tidy
 from .shingles import U, mix, multisets, slices
 
 REGISTERS, BANDS, ROWS = 128, 25, 5  # a pair at 0.8 shares no band with a chance of 5e-5
@@ -110,7 +111,7 @@ def sign(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 nodes = [p.tobytes() if s else None for p, s in zip(prints, sizes, strict=True)]
                 yield pa.RecordBatch.from_arrays([whole.column(0).slice(i, n), pa.array(nodes, pa.binary()), pa.array(sizes), pa.array(list(bands), pa.list_(pa.int64()))], ["id", "node", "size", "bands"])
 
-    return given.mapInArrow(run, f"id {kind}, node binary, size long, bands array<long>")
+    return given.mapInArrow(tidy(run), f"id {kind}, node binary, size long, bands array<long>")
 
 
 def shingle_table(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -132,7 +133,7 @@ def shingle_table(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str
                         data.append(value[a:b].tobytes() + count[a:b].astype(U).tobytes())
                 yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(data, pa.binary())], ["node", "data"])
 
-    return given.mapInArrow(run, "node binary, data binary").dropDuplicates(["node"])
+    return given.mapInArrow(tidy(run), "node binary, data binary").dropDuplicates(["node"])
 
 
 def overlap(a: bytes, b: bytes) -> tuple[int, int]:
@@ -155,7 +156,7 @@ def verify(pairs: DataFrame, shingles: DataFrame) -> DataFrame:
             found = [overlap(x, y) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([i / u for i, u in found], pa.float64())], ["a", "b", "similarity"])
 
-    return joined.mapInArrow(run, "a binary, b binary, similarity double")
+    return joined.mapInArrow(tidy(run), "a binary, b binary, similarity double")
 
 
 def components(edges: DataFrame) -> DataFrame:

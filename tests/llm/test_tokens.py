@@ -5,6 +5,7 @@ import random
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -65,6 +66,18 @@ def test_the_word_rule_on_every_settled_character(tokenizer):
         assert [m.span() for m in table.rule.finditer(text)] == [s for _, s in tokenizer.pre_tokenizer.pre_tokenize_str(text)], hex(ord(c))
 
 
+def test_idle_workers_hold_no_words(spark):
+    docs = spark.range(400).selectExpr("id AS doc_id", "concat('word', id, ' other', id * 7) AS text").repartition(8)
+    assert bpe.encode(docs, VOCABULARY).count() == 400
+
+    def held(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(bpe.word_table(VOCABULARY).ids)])], ["held"])
+
+    table = bpe.word_table(VOCABULARY)
+    assert {r.held for r in spark.range(0, 8, 1, 8).mapInArrow(held, "held long").collect()} == {len(table.added)}
+
+
 def test_new_words_cost_little_more_than_the_library(tokenizer):
     r = random.Random(5)
     texts = [" ".join("".join(r.choices("etaoinshrdlucmfwypvbgkjqxz", k=r.randint(3, 12))) for _ in range(300)) for _ in range(60)]
