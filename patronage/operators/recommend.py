@@ -11,7 +11,6 @@ import pyarrow as pa
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from ..functions.ordering import dense_ids
 from ..session import durable, shared_dir
 from .preferences import bounded_users, dictionary, preference_scores, preferences_json, rating_matrix
 
@@ -19,6 +18,10 @@ from .preferences import bounded_users, dictionary, preference_scores, preferenc
 USER_BLOCK = 512
 # Products that travel in one row when all users are served.
 PRODUCT_BLOCK = 256
+# Ratings that a task should make where every product is rated.
+TASK_RATINGS = 250_000
+# Factors up to this number are multiplied by a written-out sum.
+WRITTEN_OUT = 32
 # Ratings that one block of a fit should hold: at most, and at least while there are fewer than 20 blocks.
 BLOCK_RATINGS, SMALL_BLOCK = 1_000_000, 10_000
 
@@ -133,31 +136,45 @@ def predict_pairs(pairs: DataFrame, user_factors: DataFrame, item_factors: DataF
     return _ranked(rated.withColumn("rating", _dot(F.col("uf"), F.col("pf"))))
 
 
+def _dot_of(a: Column, b: Column, rank: int) -> Column:
+    """``_dot`` of factors whose number is known: written out, so that it is compiled; the same order of sums."""
+    if rank > WRITTEN_OUT:
+        return _dot(a, b)
+    products = (F.get(a, F.lit(i)).cast("double") * F.get(b, F.lit(i)).cast("double") for i in range(rank))
+    return functools.reduce(Column.__add__, products, F.lit(0.0))
+
+
 def _against_request(
     users: DataFrame, products: DataFrame, user_factors: DataFrame
 ) -> DataFrame:
     """Every product rated for the users of a request, however many.
 
-    Users are numbered and packed in blocks of ``USER_BLOCK``; products meet each block
-    once, by its number, and are rated there for all its users.
+    Users travel in blocks of about ``USER_BLOCK`` and products in blocks of about ``PRODUCT_BLOCK``. Each pair of
+    blocks meets once, by both numbers. The pairs are dealt to tasks by the ratings they
+    will make: as input they are small, and Spark would put them all in a few tasks.
     """
-    chosen = user_factors.join(users.select("user").distinct(), "user", "left_semi")
-    numbered = dense_ids(chosen, ["user"], "_n")
-    blocks = durable(
-        numbered.groupBy(F.floor(F.col("_n") / USER_BLOCK).alias("block")).agg(
-            F.collect_list(F.struct("user", F.col("factors").alias("uf"))).alias("users")
-        )
-    )
-    last = blocks.agg(F.max("block")).scalar()
-    each = products.withColumn("block", F.explode(F.when(last.isNotNull(), F.sequence(F.lit(0).cast("bigint"), last))))
+    chosen = durable(user_factors.join(users.select("user").distinct(), "user", "left_semi"))
+    wanted = durable(products)
+    n_users = chosen.count()
+    n_products, rank = wanted.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("factors")), F.lit(0))).first()
+    u_blocks, p_blocks = max(1, -(-n_users // USER_BLOCK)), max(1, -(-n_products // PRODUCT_BLOCK))
+    tasks = max(1, min(u_blocks * p_blocks, -(-n_users * n_products // TASK_RATINGS)))
+
+    def block(key: str, count: int) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(count))
+
+    def each(count: int) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(count - 1).cast("bigint")))
+
+    who = chosen.groupBy(block("user", u_blocks).alias("u")).agg(F.collect_list(F.struct("user", "factors")).alias("users"))
+    what = wanted.groupBy(block("product", p_blocks).alias("p")).agg(F.collect_list(F.struct("product", "factors")).alias("products"))
+    left = who.withColumn("p", each(p_blocks)).repartition(tasks, "u", "p")
+    right = what.withColumn("u", each(u_blocks)).repartition(tasks, "u", "p")
     return (
-        each.join(blocks, "block")
-        .select("product", "factors", F.explode("users").alias("q"))
-        .select(
-            F.col("q.user").alias("user"),
-            "product",
-            _dot(F.col("q.uf"), F.col("factors")).alias("rating"),
-        )
+        left.join(right, ["u", "p"])
+        .select("products", F.explode("users").alias("_u"))
+        .select("_u", F.explode("products").alias("_p"))
+        .select("_u.user", "_p.product", _dot_of(F.col("_u.factors"), F.col("_p.factors"), rank).alias("rating"))
     )
 
 

@@ -4,6 +4,7 @@ import datetime as dt
 import json
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -194,6 +195,22 @@ def test_a_request_may_name_any_number_of_users(spark):
     assert recommend.recommend_top_n(u.limit(0), 1, u, p).isEmpty()
 
 
+@pytest.mark.parametrize("rank", [3, 40])
+def test_a_task_rates_a_bounded_number_of_pairs(spark, rank):
+    """Two million ratings of a small input go to eight tasks, and each pair is rated once and right."""
+    listed = "transform(sequence(1, {}), r -> cast((id * r + {}) % 17 / 8 - 1 AS {}))"
+    u = spark.range(2_000).coalesce(1).selectExpr("concat('u', id) AS user", f"{listed.format(rank, 3, 'float')} AS factors")
+    p = spark.range(1_000).coalesce(1).selectExpr("concat('p', id) AS product", f"{listed.format(rank, 5, 'double')} AS factors")
+    rated = recommend._against_request(u, p, u)
+    assert rated.rdd.getNumPartitions() == 8
+    assert rated.groupBy().agg(F.count(F.lit(1)), F.count_distinct("user", "product")).first()[:] == (2_000_000, 2_000_000)
+    uf, pf = ({r[0]: np.array(r[1]) for r in df.collect()} for df in (u, p))
+    got = rated.where("user IN ('u0', 'u1', 'u1999')").collect()
+    assert len(got) == 3_000 and all(r.rating == uf[r.user] @ pf[r["product"]] for r in got)
+    short = recommend.predict_user_items(u.limit(0), p, u, p)
+    assert short.columns == ["user", "product", "score", "rating"] and short.isEmpty()
+
+
 def test_predictions_as_json_in_rating_order(spark):
     u, p = factors(spark)
     rated = recommend.predict_user_items(u, p, u, p)

@@ -95,3 +95,10 @@ def test_the_ratings_of_a_model_are_made_once(spark, monkeypatch):
     monkeypatch.setattr(recommend, "als_train", lambda ratings, **_: seen.append(physical(ratings)))
     queries._trained(spark, SMALL)
     assert "Join" not in seen[0]
+
+
+def test_factors_by_rule_need_no_scores(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(session, "WATCHERS", [lambda df: plans.append(physical(df))])
+    plans.append(physical(entry.queries()["predict_user_items"](spark, SMALL)))
+    assert plans and not [plan for plan in plans if "ln(" in plan]
