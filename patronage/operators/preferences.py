@@ -38,14 +38,21 @@ def user_item_pref(lines: DataFrame) -> DataFrame:
     """ln(1 + share of the customer's orders that contain the item).
 
     Totals and supports come out of one pass: every order also counts as an item
-    of its own (null), whose support is the customer's total. A customer with a large
+    of its own (null), whose support is the customer's total. The item is read from an
+    aggregate, as a filter on the key itself would be moved below the counting, and each of its
+    readers would count for itself. A customer with a large
     share of all items is joined, not gathered, so that the join can be split.
     """
     marked = _lines(lines).select(
-        "cid", "idorder", F.explode(F.array(F.col("item"), F.lit(None))).alias("item")
+        "cid", "idorder", F.explode(F.array(F.col("item"), F.lit(None))).alias("_key")
     )
-    counted = marked.distinct().groupBy("cid", "item").agg(F.count(F.lit(1)).alias("supp"))
-    total = counted.where(F.col("item").isNull()).select("cid", F.col("supp").alias("total"))
+    counted = (
+        marked.distinct()
+        .groupBy("cid", "_key")
+        .agg(F.count(F.lit(1)).alias("supp"), F.max("_key").alias("item"))
+        .drop("_key")
+    )
+    total = counted.groupBy("cid").agg(F.sum(F.when(F.col("item").isNull(), F.col("supp"))).alias("total"))
     share = F.col("supp") / F.col("total")
     return (
         counted.where(F.col("item").isNotNull())

@@ -102,3 +102,37 @@ def test_factors_by_rule_need_no_scores(spark, monkeypatch):
     monkeypatch.setattr(session, "WATCHERS", [lambda df: plans.append(physical(df))])
     plans.append(physical(entry.queries()["predict_user_items"](spark, SMALL)))
     assert plans and not [plan for plan in plans if "ln(" in plan]
+
+
+def _lines_read(df):
+    """Scans of order lines in the plan that ran, without those of an exchange that is used again."""
+    final = physical(df).split("== Initial Plan ==")[0]
+    return len(re.findall(r"FileScan parquet \[l_orderkey", final))
+
+
+def test_scores_read_their_lines_once(spark):
+    df = entry.queries()["preference_scores"](spark, SMALL)
+    df.collect()
+    assert _lines_read(df) == 1
+
+
+@pytest.mark.parametrize("name", ["bounded_users", "als_train", "als_train_parts"])
+def test_a_fit_reads_the_lines_once(spark, monkeypatch, name):
+    """Only the copy of all scores reads the tables; counting and choosing users reads the copy."""
+    from patronage.operators import recommend
+
+    class Stop(Exception):
+        pass
+
+    def stop(*_, **__):
+        raise Stop
+
+    copies = []
+    monkeypatch.setattr(session, "WATCHERS", [copies.append])
+    monkeypatch.setattr(recommend, "als_train", stop)
+    try:
+        copies.append(entry.queries()[name](spark, SMALL))
+    except Stop:
+        pass
+    assert [any(f"{SMALL}/" in f for f in df.inputFiles()) for df in copies] == [True] + [False] * (len(copies) - 1)
+    assert len(copies) > 1 and "LeftSemi" not in physical(copies[0]) and "LeftSemi" in physical(copies[1])
