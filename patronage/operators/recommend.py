@@ -73,7 +73,8 @@ def train(
     **parameters,
 ) -> Recommender:
     """From basket lines to a fitted model with its two dictionaries."""
-    scores = durable(bounded_users(preference_scores(lines), minprefs, maxprefs))
+    # all scores are counted by user, and then read
+    scores = durable(bounded_users(durable(preference_scores(lines)), minprefs, maxprefs))
     users = durable(dictionary(scores, "user"))
     products = durable(dictionary(scores, "product"))
     # counted, and read by the fit
@@ -349,8 +350,9 @@ def solved_users(recommender: Recommender, ratings: DataFrame, regularization: f
     double = F.transform("features", lambda x: x.cast("double"))
     u = recommender.model.userFactors.select(F.col("id").alias("uid"), double.alias("u"))
     v = recommender.model.itemFactors.select(F.col("id").alias("pid"), double.alias("v"))
-    met = ratings.join(v, "pid").join(u, "uid").select("uid", "rating", "v", (_dot(F.col("u"), F.col("v")) - F.col("rating")).alias("error"))
     places = range(len(recommender.model.itemFactors.select("features").first()[0]))
+    error = _dot_of(F.col("u"), F.col("v"), len(places)) - F.col("rating")
+    met = ratings.join(v, "pid").join(u, "uid").select("uid", "rating", "v", error.alias("error"))
     sums = met.groupBy("uid").agg(
         F.count(F.lit(1)).alias("n"),
         F.array(*[F.sum(F.col("v")[i] * F.col("error")) for i in places]).alias("error"),

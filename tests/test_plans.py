@@ -116,7 +116,7 @@ def test_scores_read_their_lines_once(spark):
     assert _lines_read(df) == 1
 
 
-@pytest.mark.parametrize("name", ["bounded_users", "als_train", "als_train_parts"])
+@pytest.mark.parametrize("name", ["bounded_users", "als_train", "als_train_parts", "model_store"])
 def test_a_fit_reads_the_lines_once(spark, monkeypatch, name):
     """Only the copy of all scores reads the tables; counting and choosing users reads the copy."""
     from patronage.operators import recommend
